@@ -102,3 +102,116 @@ def to_re2(pattern: str, ignore_case: bool = False, dialect: str = "py") -> str:
 def sql_quote(text: str) -> str:
     """ANSI single-quoted literal."""
     return "'" + text.replace("'", "''") + "'"
+
+
+# ---------------------------------------------------------------- prefilter
+# Characters that Java's case-insensitive (UNICODE_CASE) matching folds onto
+# an ASCII letter other than their own lower case: dotless i, long s, dotted
+# capital I, Kelvin sign.
+_FOLD_FROM = "\u0131\u017f\u0130\u212a"
+_FOLD_TO = "isik"
+
+
+def fold_lower(c):
+    """Lower-cased text in which every character a case-insensitive regex could
+    match to an ASCII letter *is* that letter — the haystack for prefilters."""
+    from pyspark.sql import functions as F
+    return F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO))
+
+
+def _split_top(pattern: str, sep: str = "|") -> list[str]:
+    parts, depth, in_class, cur, i = [], 0, False, [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\":
+            cur.append(pattern[i:i + 2])
+            i += 2
+            continue
+        if in_class:
+            in_class = ch != "]"
+        elif ch == "[":
+            in_class = True
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif ch == sep and depth == 0:
+            parts.append("".join(cur))
+            cur = []
+            i += 1
+            continue
+        cur.append(ch)
+        i += 1
+    parts.append("".join(cur))
+    return parts
+
+
+def _atoms(alt: str) -> list[tuple[str, str]]:
+    """(kind, text) atoms of one alternative: 'lit' ASCII alnum char or 'other'."""
+    out, i = [], 0
+    while i < len(alt):
+        ch = alt[i]
+        if ch == "\\":
+            out.append(("other", alt[i:i + 2]))
+            i += 2
+        elif ch == "[":
+            j = alt.index("]", i + 2 if alt[i + 1:i + 2] in ("]", "^") else i + 1)
+            out.append(("other", alt[i:j + 1]))
+            i = j + 1
+        elif ch == "(":
+            depth, j = 0, i
+            while True:
+                if alt[j] == "\\":
+                    j += 2
+                    continue
+                depth += alt[j] == "("
+                depth -= alt[j] == ")"
+                if depth == 0:
+                    break
+                j += 1
+            out.append(("group", alt[i:j + 1]))
+            i = j + 1
+        elif ch in "?*+{":
+            if ch == "{":
+                j = alt.index("}", i)
+                q = alt[i:j + 1]
+                i = j + 1
+            else:
+                q = ch
+                i += 1
+                if i < len(alt) and alt[i] in "?+":
+                    i += 1  # lazy / possessive suffix
+            optional = q in ("?", "*") or q.startswith("{0")
+            if optional and out:
+                out[-1] = ("other", "")
+            elif out:
+                out.append(("other", ""))  # a repeated atom ends the literal run
+        elif ch.isascii() and ch.isalnum():
+            out.append(("lit", ch.lower()))
+            i += 1
+        else:
+            out.append(("other", ch))
+            i += 1
+    return out
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """One lower-case ASCII literal per top-level alternative that every match
+    of that alternative contains; ``None`` when an alternative has none.
+
+    ``text ~* pattern`` implies ``fold_lower(text)`` contains one of them, so
+    the literals make an exact, cheap prefilter for case-insensitive search.
+    """
+    found = []
+    for alt in _split_top(pattern):
+        best, run = "", ""
+        for kind, text in _atoms(alt) + [("other", "")]:
+            if kind == "lit":
+                run += text
+            else:
+                best = max(best, run, key=len)
+                run = ""
+        if not best:
+            return None
+        found.append(best)
+    return found

@@ -15,6 +15,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.regex import fold_lower
 from souk.functions.rules import pg_iregex
 from souk.rulesets.catalog import SKILLS
 
@@ -36,13 +37,22 @@ def skill_rows(intended: bool = False):
 
 def match_skills(df: DataFrame, text_col: str, intended: bool = False) -> DataFrame:
     """Add (skill_id, skill_name, skill_category) rows for every skill found in
-    ``text_col``; offers without a skill produce no row."""
-    text = F.col(text_col)
+    ``text_col``; offers without a skill produce no row.
+
+    The text is lower-cased once per row; each pattern first checks a literal
+    every match must contain, so the regex only runs on candidate texts.
+    """
+    keep = [c for c in df.columns]
+    text, folded = F.col(text_col), F.col("_folded")
     hits = F.array(*[
-        F.when(cond.spark(text), F.struct(F.lit(i).cast("bigint").alias("skill_id"), F.lit(name).alias("skill_name"),
-                                          F.lit(cat).alias("skill_category")))
+        F.when(cond.spark(text, folded),
+               F.struct(F.lit(i).cast("bigint").alias("skill_id"), F.lit(name).alias("skill_name"),
+                        F.lit(cat).alias("skill_category")))
         for i, name, _, cat, cond in skill_rows(intended)])
-    found = F.filter(hits, lambda h: h.isNotNull())
-    return (df.select("*", F.explode(found).alias("_skill"))
-            .select(*[c for c in df.columns], "_skill.skill_id", "_skill.skill_name", "_skill.skill_category"))
-
+    found = (df.select(*keep, fold_lower(text).alias("_folded"))
+             .select(*keep, F.filter(hits, lambda h: h.isNotNull()).alias("_hits")))
+    # explode_outer + null filter: a plain explode makes Catalyst infer a
+    # ``size(_hits) > 0`` filter below the projection, evaluating every pattern twice.
+    return (found.select(*keep, F.explode_outer("_hits").alias("_skill"))
+            .filter(F.col("_skill").isNotNull())
+            .select(*keep, "_skill.skill_id", "_skill.skill_name", "_skill.skill_category"))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.plans import gold, oracle, silver
+from souk.plans import gold, oracle, pipeline, silver
 from souk.sources.offers import bronze_offers, bronze_table
 
 ASOF = oracle.ASOF
@@ -25,7 +25,8 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
-    jobs = unified(spark, sf_dir)
+    """Silver materialised once (as the reference's table), gold built on it."""
+    jobs = pipeline.materialize(unified(spark, sf_dir), "jobs_unified")
     dims = gold.build_dimensions(spark, jobs, ASOF)
     return jobs, dims, gold.fct_jobs(spark, jobs, dims)
 
