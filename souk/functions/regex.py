@@ -47,7 +47,15 @@ def _translate(pattern: str, engine: str, dialect: str) -> str:
             elif nxt == "b" and dialect == "pg":
                 out.append(r"\x08")  # PostgreSQL ARE: \b is a backspace
             elif nxt in "mMb" and not in_class:
-                out.append(_boundary(nxt, out, engine))
+                lead = _literal_after(pattern, i)
+                starts = nxt == "m" or (nxt == "b" and _at_start(out))
+                if engine == "java" and starts and lead:
+                    # word start before a literal word character c: match c
+                    # first, then look back — fails fast on every other position
+                    out.append(f"{lead}(?<![{WORD}]{lead})")
+                    i += len(lead)
+                else:
+                    out.append(_boundary(nxt, out, engine))
             else:
                 out.append("\\" + nxt)
             continue
@@ -70,13 +78,25 @@ def _translate(pattern: str, engine: str, dialect: str) -> str:
     return "".join(out)
 
 
+def _at_start(out: list[str]) -> bool:
+    """A ``\\b`` with nothing (or an opening group / alternation) before it
+    starts a word; otherwise it ends one."""
+    prev = "".join(out)
+    return prev == "" or prev.endswith(("(", "|", "(?:"))
+
+
+def _literal_after(pattern: str, pos: int) -> str:
+    """The ASCII letter/digit at ``pos`` if it is a plain, unquantified atom."""
+    ch = pattern[pos:pos + 1]
+    nxt = pattern[pos + 1:pos + 2]
+    if ch and ch.isascii() and ch.isalnum() and nxt not in ("?", "*", "{"):
+        return ch
+    return ""
+
+
 def _boundary(kind: str, out: list[str], engine: str) -> str:
     if kind == "b":
-        # a boundary with nothing (or an opening group / alternation) before it
-        # starts a word, otherwise it ends one.
-        prev = "".join(out)
-        at_start = prev == "" or prev.endswith(("(", "|", "(?:"))
-        kind = "m" if at_start else "M"
+        kind = "m" if _at_start(out) else "M"
         if engine == "java":
             return _JAVA_BOUNDARY
     if engine == "java":

@@ -1,11 +1,210 @@
-"""Registered text-extraction queries (filled in as extraction operators land)."""
+"""Registered text-extraction queries.
+
+Inputs are derived by Spark from ``documents`` (``offers.offer_texts`` and the
+bronze offers), so every query scans whole texts of the given table.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from souk.functions.regex import SPACE, sql_quote
+from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, url_without_query
+from souk.operators import extract as X
+from souk.operators.dedup import keep_first
+from souk.operators.quality import completeness_profile, completeness_profile_sql, grain_check
+from souk.plans import oracle
+from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, read_table
+
+_STRIP = f"^[{SPACE}]+|[{SPACE}]+$"
+
+
+def _texts(spark, sf):
+    return offer_texts(read_table(spark, sf, "documents"))
+
+
+def _py_strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, {sql_quote(_STRIP)}, '', 'g')"
+
+
+# --------------------------------------------------------------------- Spark
+def q_extract_dreamjob(spark, sf) -> DataFrame:
+    """Dreamjob record fields from title, excerpt and whole description."""
+    t = _texts(spark, sf)
+    combined = F.regexp_replace(F.concat(F.coalesce("excerpt", F.lit("")), F.lit(" "),
+                                         F.coalesce("description", F.lit(""))), _STRIP, "")
+    t = t.select("doc_id", "title", "excerpt", "description", "headline", combined.alias("combined"))
+    t = X.with_folded(t.select("*", X.joined_text("title", "combined").alias("title_text")),
+                      "excerpt", "description", "combined", "title_text")
+    comb = X.text("combined")
+    return t.select(
+        "doc_id",
+        X.company_from_title("headline").alias("company"),
+        F.coalesce(X.city(X.text("excerpt")), X.city(X.text("description"))).alias("location"),
+        X.contracts(comb).alias("contract_type"),
+        X.education(comb, "dreamjob").alias("education"),
+        X.experience(comb, "dreamjob").alias("experience"),
+        X.functions(X.text("title_text"), "dreamjob").alias("function"),
+    )
+
+
+def q_extract_indeed(spark, sf) -> DataFrame:
+    """Indeed record fields; contract falls back to the card metadata."""
+    t = _texts(spark, sf)
+    t = X.with_folded(t.select("*", X.joined_text("title", "description").alias("title_text")),
+                      "description", "title_text")
+    desc = X.text("description")
+    return t.select(
+        "doc_id",
+        F.coalesce(X.contracts(desc, english=True), clean_text("card_meta")).alias("contract_type"),
+        X.education(desc, "indeed").alias("education"),
+        X.experience(desc, "indeed").alias("experience"),
+        X.functions(X.text("title_text"), "indeed").alias("function"),
+        X.sectors(desc).alias("sector"),
+    )
+
+
+CRITERIA_FIELDS = [  # X6: ordered substring tests on the lower-cased header
+    ("experience_level", ("niveau", "seniority")),
+    ("contract_type", ("type", "employment")),
+    ("function", ("fonction", "function")),
+    ("sector", ("secteur", "industries", "industrie")),
+]
+
+
+def criteria_field(items):
+    """Name the field each (header, value) pair fills; the first test that
+    matches the header wins, unmatched pairs are ignored."""
+    def field(x):
+        h = F.lower(x["h"])
+        out = None
+        for name, needles in CRITERIA_FIELDS:
+            test = h.contains(needles[0])
+            for n in needles[1:]:
+                test = test | h.contains(n)
+            out = F.when(test, F.lit(name)) if out is None else out.when(test, F.lit(name))
+        return F.struct(out.alias("field"), clean_text(x["v"]).alias("value"))
+    return F.transform(items, field)
+
+
+def criteria_value(mapped, name: str):
+    """Later pairs overwrite earlier ones: the last pair for the field wins."""
+    return F.try_element_at(F.filter(mapped, lambda m: m["field"] == name), F.lit(-1))["value"]
+
+
+def q_extract_linkedin(spark, sf) -> DataFrame:
+    """LinkedIn record fields: criteria mapping, native id, education, years."""
+    t = X.with_folded(_texts(spark, sf).select("*", criteria_field(F.col("criteria")).alias("_mapped")),
+                      "description")
+    desc = X.text("description")
+    cut = url_without_query("url")
+    years = X.experience(desc, "linkedin")
+    return t.select(
+        "doc_id",
+        cut.alias("url"),
+        linkedin_job_id(cut).alias("job_id"),
+        F.coalesce(criteria_value(F.col("_mapped"), "experience_level"), years).alias("experience"),
+        criteria_value(F.col("_mapped"), "contract_type").alias("contract_type"),
+        criteria_value(F.col("_mapped"), "function").alias("function"),
+        criteria_value(F.col("_mapped"), "sector").alias("sector"),
+        X.education(desc, "indeed").alias("education"),
+    )
+
+
+KEYWORDS = ["data engineer", "data scientist", "data analyst", "business intelligence", "machine learning"]
+
+
+def keyword_cards(documents: DataFrame) -> DataFrame:
+    """Cards as a multi-keyword search lists them: each document appears under
+    1–3 keywords; documents 2k and 2k+1 share one offer url."""
+    d = F.col("doc_id")
+    return (documents.select(d, F.explode(F.sequence(F.lit(0), (d % 3).cast("int"))).alias("kw_rank"))
+            .select(d, "kw_rank",
+                    F.element_at(F.array(*[F.lit(k) for k in KEYWORDS]), ((d + F.col("kw_rank")) % 5).cast("int") + 1)
+                    .alias("keyword"),
+                    ((d / 25).cast("bigint") % 3).alias("page"), (d % 25).alias("pos"),
+                    F.concat(F.lit("https://www.linkedin.com/jobs/view/offer-"), (d / 2).cast("bigint").cast("string"))
+                    .alias("url")))
+
+
+def q_first_seen_cards(spark, sf) -> DataFrame:
+    """One card per url, the first seen in (keyword, page, position) order."""
+    cards = keyword_cards(read_table(spark, sf, "documents"))
+    return keep_first(cards, ["url"], [F.col("kw_rank"), F.col("page"), F.col("pos")])
+
+
+def q_bronze_profile(spark, sf) -> DataFrame:
+    """Batch completeness profile per platform."""
+    return completeness_profile(bronze_offers(spark, sf), "source")
+
+
+def q_fct_grain_check(spark, sf) -> DataFrame:
+    """T2 guard: job_ids held by more than one fact row."""
+    from souk.plans.registry import star
+    return grain_check(star(spark, sf)[2], ["job_id"])
+
 
 def spark_queries() -> dict:
-    return {}
+    return {
+        "extract_dreamjob": q_extract_dreamjob,
+        "extract_indeed": q_extract_indeed,
+        "extract_linkedin": q_extract_linkedin,
+        "first_seen_cards": q_first_seen_cards,
+        "bronze_profile": q_bronze_profile,
+        "fct_grain_check": q_fct_grain_check,
+    }
+
+
+# ---------------------------------------------------------------- oracle SQL
+def _texts_cte() -> list[tuple[str, str]]:
+    return [("t", offer_texts_sql())]
 
 
 def oracle_queries() -> dict:
-    return {}
+    combined = _py_strip_sql("COALESCE(excerpt, '') || ' ' || COALESCE(description, '')")
+    dreamjob = f"""SELECT doc_id,
+    {X.company_from_title_sql('headline')} AS company,
+    COALESCE({X.city_sql('excerpt')}, {X.city_sql('description')}) AS location,
+    {X.contracts_sql('combined')} AS contract_type,
+    {X.education_sql('combined', 'dreamjob')} AS education,
+    {X.experience_sql('combined', 'dreamjob')} AS experience,
+    {X.functions_sql(X.joined_text_sql('title', 'combined'), 'dreamjob')} AS "function"
+FROM (SELECT *, {combined} AS combined FROM t)"""
+    indeed = f"""SELECT doc_id,
+    COALESCE({X.contracts_sql('description', True)}, {clean_text_sql('card_meta')}) AS contract_type,
+    {X.education_sql('description', 'indeed')} AS education,
+    {X.experience_sql('description', 'indeed')} AS experience,
+    {X.functions_sql(X.joined_text_sql('title', 'description'), 'indeed')} AS "function",
+    {X.sectors_sql('description')} AS sector
+FROM t"""
+    field_case = "CASE " + " ".join(
+        "WHEN " + " OR ".join(f"contains(lower(x.h), '{n}')" for n in needles) + f" THEN '{name}'"
+        for name, needles in CRITERIA_FIELDS) + " END"
+    mapped = f"list_transform(criteria, lambda x: {{'field': {field_case}, 'value': {clean_text_sql('x.v')}}})"
+
+    def last(name):
+        return f"(list_filter(m, lambda y: y.field = '{name}'))[-1].value"
+    linkedin = f"""SELECT doc_id, cut AS url, {linkedin_job_id_sql('cut')} AS job_id,
+    COALESCE({last('experience_level')}, {X.experience_sql('description', 'linkedin')}) AS experience,
+    {last('contract_type')} AS contract_type, {last('function')} AS "function", {last('sector')} AS sector,
+    {X.education_sql('description', 'indeed')} AS education
+FROM (SELECT *, split_part(url, '?', 1) AS cut, {mapped} AS m FROM t)"""
+    kw_list = ", ".join(f"'{k}'" for k in KEYWORDS)
+    cards = f"""SELECT doc_id, kw_rank, list_extract([{kw_list}], CAST((doc_id + kw_rank) % 5 AS INTEGER) + 1) AS keyword,
+    CAST(floor(doc_id / 25) AS BIGINT) % 3 AS page, doc_id % 25 AS pos,
+    'https://www.linkedin.com/jobs/view/offer-' || CAST(CAST(floor(doc_id / 2) AS BIGINT) AS VARCHAR) AS url
+FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_rank FROM documents)"""
+    first_seen = f"""SELECT doc_id, kw_rank, keyword, page, pos, url FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY url ORDER BY kw_rank, page, pos) AS rn FROM ({cards})) WHERE rn = 1"""
+    from souk.sources.offers import BRONZE_OFFERS_SQL
+    return {
+        "extract_dreamjob": oracle.with_ctes(_texts_cte(), dreamjob),
+        "extract_indeed": oracle.with_ctes(_texts_cte(), indeed),
+        "extract_linkedin": oracle.with_ctes(_texts_cte(), linkedin),
+        "first_seen_cards": first_seen,
+        "bronze_profile": oracle.with_ctes([("bronze", BRONZE_OFFERS_SQL)], completeness_profile_sql("bronze", "source")),
+        "fct_grain_check": oracle.with_ctes(oracle.full_ctes(oracle.ASOF),
+                                            "SELECT job_id, COUNT(*) AS n_rows FROM fct_jobs GROUP BY job_id "
+                                            "HAVING COUNT(*) > 1"),
+    }

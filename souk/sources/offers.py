@@ -149,3 +149,56 @@ FROM documents"""
 
 
 BRONZE_OFFERS_SQL = _bronze_sql()
+
+
+# ------------------------------------------------------- texts for extraction
+# Vocabulary of the derived extraction inputs (ours, like the lists above).
+HEADLINE = ["{c} lance un recrutement", "{c} recrute des profils Data", "Postes ouverts chez {c} en 2026",
+            "Recrutement {c}, postes ouverts", "Postes à pourvoir chez {c} : Data", "Offre d'emploi {c}",
+            "Emploi chez {c}. Postulez", "Recrutement {c} : Data Engineer", "{c} renforce ses équipes"]
+HEADLINE_COMPANY = ["Leyton", "CIMR", "Capgemini Maroc", "OCP Group", "Attijariwafa bank", "EMSI", "ab",
+                    "Deloitte - Maroc", "Société Générale", "L'Oréal", "Inwi S.A."]
+CARD_META = ["CDI | Temps plein", "", "Stage", "Full-time | Hybride", "Temps partiel", "  CDD  "]
+URL_TAIL = ["", "/", "?refId=abc", "/?trk=public", "x", "?position=3&pageNum=0"]
+CRITERIA_HEADER = ["Niveau hiérarchique", "Type d'emploi", "Fonction", "Secteurs", "Seniority level",
+                   "Employment type", "Job function", "Industries", "Autre"]
+CRITERIA_VALUE = ["Premier emploi", "Temps plein", "Informatique", "Services financiers", "Mid-Senior level",
+                  "Full-time", "Engineering", "IT Services", "  Stage  "]
+
+
+def offer_texts(documents: DataFrame) -> DataFrame:
+    """Per document: title, excerpt, whole-text description, a recruitment
+    headline, Indeed card metadata, a LinkedIn url and criteria pairs."""
+    d = F.col("doc_id")
+    headline = F.replace(_pick(HEADLINE, d), F.lit("{c}"), _pick(HEADLINE_COMPANY, d))
+    url = F.concat(F.lit("https://www.linkedin.com/jobs/view/data-engineer-at-x-"),
+                   (F.lit(3900000000) + d).cast("string"), _pick(URL_TAIL, d))
+    criteria = F.array(*[
+        F.struct(_pick(CRITERIA_HEADER, d + k).alias("h"), _pick(CRITERIA_VALUE, d * 3 + k).alias("v"))
+        for k in range(4)])
+    return documents.select(
+        d,
+        _pick(TITLE, d).alias("title"),
+        F.when(d % 4 != 1, F.concat(F.lit("Offre basée à "), _pick(LOCATION, d))).alias("excerpt"),
+        F.concat(_pick(SENTENCE, d), F.lit(" "), F.col("text")).alias("description"),
+        headline.alias("headline"),
+        F.when(d % 5 != 4, _pick(CARD_META, d)).alias("card_meta"),
+        url.alias("url"),
+        criteria.alias("criteria"),
+    )
+
+
+def offer_texts_sql() -> str:
+    criteria = ", ".join(
+        f"{{'h': {_pick_sql(CRITERIA_HEADER).replace('doc_id %', f'(doc_id + {k}) %')}, "
+        f"'v': {_pick_sql(CRITERIA_VALUE).replace('doc_id %', f'(doc_id * 3 + {k}) %')}}}" for k in range(4))
+    return f"""SELECT doc_id,
+    {_pick_sql(TITLE)} AS title,
+    CASE WHEN doc_id % 4 <> 1 THEN 'Offre basée à ' || {_pick_sql(LOCATION)} END AS excerpt,
+    {_pick_sql(SENTENCE)} || ' ' || text AS description,
+    replace({_pick_sql(HEADLINE)}, '{{c}}', {_pick_sql(HEADLINE_COMPANY)}) AS headline,
+    CASE WHEN doc_id % 5 <> 4 THEN {_pick_sql(CARD_META)} END AS card_meta,
+    'https://www.linkedin.com/jobs/view/data-engineer-at-x-' || CAST(3900000000 + doc_id AS VARCHAR)
+        || {_pick_sql(URL_TAIL)} AS url,
+    [{criteria}] AS criteria
+FROM documents"""
