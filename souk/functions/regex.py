@@ -29,10 +29,12 @@ _RE2_START = rf"(?:^|[^{WORD}])"
 _RE2_END = rf"(?:$|[^{WORD}])"
 
 
-def _translate(pattern: str, engine: str, dialect: str) -> str:
+def _translate(pattern: str, engine: str, dialect: str, fold: bool = False) -> str:
     out: list[str] = []
     i, n = 0, len(pattern)
     in_class = False
+    if fold:
+        pattern = _fold_literals(pattern)
     while i < n:
         ch = pattern[i]
         if ch == "\\" and i + 1 < n:
@@ -50,8 +52,8 @@ def _translate(pattern: str, engine: str, dialect: str) -> str:
                 lead = _literal_after(pattern, i)
                 starts = nxt == "m" or (nxt == "b" and _at_start(out))
                 if engine == "java" and starts and lead:
-                    # word start before a literal word character c: match c
-                    # first, then look back — fails fast on every other position
+                    # word start before a literal word: match the literal first,
+                    # then look back one character — fails fast elsewhere
                     out.append(f"{lead}(?<![{WORD}]{lead})")
                     i += len(lead)
                 else:
@@ -86,12 +88,28 @@ def _at_start(out: list[str]) -> bool:
 
 
 def _literal_after(pattern: str, pos: int) -> str:
-    """The ASCII letter/digit at ``pos`` if it is a plain, unquantified atom."""
-    ch = pattern[pos:pos + 1]
-    nxt = pattern[pos + 1:pos + 2]
-    if ch and ch.isascii() and ch.isalnum() and nxt not in ("?", "*", "{"):
-        return ch
-    return ""
+    """The run of plain ASCII letters/digits starting at ``pos`` (a character
+    followed by a quantifier is left out)."""
+    end = pos
+    while end < len(pattern) and pattern[end].isascii() and pattern[end].isalnum():
+        end += 1
+    if end < len(pattern) and pattern[end] in "?*+{":
+        end -= 1
+    return pattern[pos:end]
+
+
+def _fold_literals(pattern: str) -> str:
+    """Lower-case literal characters (outside escapes), for matching against
+    ``fold_lower(text)`` without the case-insensitive flag."""
+    out, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "\\":
+            out.append(pattern[i:i + 2])
+            i += 2
+        else:
+            out.append(pattern[i].lower())
+            i += 1
+    return "".join(out)
 
 
 def _boundary(kind: str, out: list[str], engine: str) -> str:
@@ -113,6 +131,15 @@ def to_java(pattern: str, ignore_case: bool = False, dialect: str = "py") -> str
     return ("(?iu)" if ignore_case else "") + body
 
 
+def to_java_folded(pattern: str, dialect: str = "py") -> str:
+    """Case-insensitive ``pattern`` as a case-sensitive Java pattern over
+    ``fold_lower(text)``: literals are lower-cased, no ``(?i)`` flag.  Folding
+    maps every character that ``(?iu)`` would match to an ASCII letter onto
+    that letter and keeps string length, so hits, positions and captured
+    groups are those of ``(?iu)`` on the original text."""
+    return _translate(pattern, "java", dialect, fold=True)
+
+
 def to_re2(pattern: str, ignore_case: bool = False, dialect: str = "py") -> str:
     """Pattern for DuckDB ``regexp_matches`` / ``regexp_extract``."""
     body = _translate(pattern, "re2", dialect)
@@ -166,6 +193,11 @@ def _split_top(pattern: str, sep: str = "|") -> list[str]:
     return parts
 
 
+def split_alternatives(pattern: str) -> list[str]:
+    """Top-level alternatives of a pattern (``a|b(c|d)`` -> ``a``, ``b(c|d)``)."""
+    return _split_top(pattern)
+
+
 def _atoms(alt: str) -> list[tuple[str, str]]:
     """(kind, text) atoms of one alternative: 'lit' ASCII alnum char or 'other'."""
     out, i = [], 0
@@ -215,23 +247,41 @@ def _atoms(alt: str) -> list[tuple[str, str]]:
     return out
 
 
+def _alt_requirement(alt: str) -> list[str] | None:
+    """Literals one of which every match of this alternative contains: the
+    longest literal run, or a mandatory group's alternatives' literals."""
+    options: list[list[str]] = []
+    run = ""
+    for kind, text in _atoms(alt) + [("other", "")]:
+        if kind == "lit":
+            run += text
+            continue
+        if run:
+            options.append([run])
+        run = ""
+        if kind == "group":
+            inner = text[1:-1]
+            if inner.startswith("?:"):
+                inner = inner[2:]
+            sub = required_literals(inner)
+            if sub:
+                options.append(sub)
+    if not options:
+        return None
+    return max(options, key=lambda lits: min(len(x) for x in lits))
+
+
 def required_literals(pattern: str) -> list[str] | None:
-    """One lower-case ASCII literal per top-level alternative that every match
-    of that alternative contains; ``None`` when an alternative has none.
+    """Lower-case ASCII literals such that every match contains one of them;
+    ``None`` when some alternative requires none.
 
     ``text ~* pattern`` implies ``fold_lower(text)`` contains one of them, so
     the literals make an exact, cheap prefilter for case-insensitive search.
     """
-    found = []
+    found: list[str] = []
     for alt in _split_top(pattern):
-        best, run = "", ""
-        for kind, text in _atoms(alt) + [("other", "")]:
-            if kind == "lit":
-                run += text
-            else:
-                best = max(best, run, key=len)
-                run = ""
-        if not best:
+        req = _alt_requirement(alt)
+        if not req:
             return None
-        found.append(best)
+        found.extend(x for x in req if x not in found)
     return found

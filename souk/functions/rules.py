@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from souk.functions.regex import required_literals, sql_quote, to_java, to_re2
+from souk.functions.regex import required_literals, split_alternatives, sql_quote, to_java, to_java_folded, to_re2
 
 
 class Cond:
@@ -63,19 +63,31 @@ class Search(Cond):
         self.dialect = dialect
 
     def spark(self, c, folded=None):
-        test = c.rlike(to_java(self.pattern, self.ignore_case, self.dialect))
-        literals = required_literals(self.pattern) if self.ignore_case and folded is not None else None
-        if not literals:
-            return test
-        gate = folded.contains(literals[0])
-        for lit in literals[1:]:
-            gate = gate | folded.contains(lit)
-        return gate & test
+        if not (self.ignore_case and folded is not None):
+            return c.rlike(to_java(self.pattern, self.ignore_case, self.dialect))
+        # existence only: each top-level alternative is its own gated search,
+        # so every piece starts with a plain literal (Boyer-Moore in Java)
+        out = None
+        for alt in split_alternatives(self.pattern):
+            piece = literal_gate(alt, folded, folded.rlike(to_java_folded(alt, self.dialect)))
+            out = piece if out is None else out | piece
+        return out
 
     def sql(self, c):
         return f"regexp_matches({c}, {sql_quote(to_re2(self.pattern, self.ignore_case, self.dialect))})"
 
 
+def literal_gate(pattern: str, folded: Column, test: Column) -> Column:
+    """``test`` guarded by a ``contains`` check of the pattern's required literals."""
+    literals = required_literals(pattern)
+    if not literals:
+        return test
+    gate = folded.contains(literals[0])
+    for lit in literals[1:]:
+        gate = gate | folded.contains(lit)
+    return gate & test
+
+
 class AnyOf(Cond):
     def __init__(self, parts: Sequence[Cond]):
         self.parts = list(parts)
@@ -171,11 +183,12 @@ def all_matches(c: Column, rules: Rules, sep: str = " - ", limit: int | None = N
 
     ``limit`` keeps the first k labels (a top-k of the reference's feature).
     """
-    hits = F.filter(F.array(*[F.when(cond.spark(c, folded), F.lit(label)) for label, cond in rules]),
-                    lambda x: x.isNotNull())
+    # concat_ws skips NULLs and stays in generated code (an array filter would
+    # not); the first k labels are the text before the k-th separator.
+    assert all(sep not in str(label) for label, _ in rules), "a label contains the separator"
+    joined = F.concat_ws(sep, *[F.when(cond.spark(c, folded), F.lit(label)) for label, cond in rules])
     if limit is not None:
-        hits = F.slice(hits, 1, limit)
-    joined = F.array_join(hits, sep)
+        joined = F.substring_index(joined, sep, limit)
     return F.when(joined != "", joined)
 
 

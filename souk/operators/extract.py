@@ -17,8 +17,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from souk.functions.regex import fold_lower, sql_quote, to_java, to_re2
-from souk.functions.rules import all_matches, all_matches_sql, first_match, first_match_sql, py_isearch
+from souk.functions.regex import fold_lower, sql_quote, to_java, to_java_folded, to_re2
+from souk.functions.rules import (all_matches, all_matches_sql, first_match, first_match_sql, literal_gate,
+                                  py_isearch)
 from souk.rulesets import extraction as X
 
 
@@ -96,14 +97,18 @@ def sectors(t: Text) -> Column:
     return all_matches(t.c, SECTOR_RULES, " - ", 2, t.folded)
 
 
-def _years(c: Column, pattern: str) -> tuple[Column, Column]:
-    java = to_java(pattern, ignore_case=True)
-    g1 = F.regexp_extract(c, java, 1)
+def _years(t: "Text", pattern: str) -> tuple[Column, Column]:
+    if t.folded is None:
+        src, java = t.c, to_java(pattern, ignore_case=True)
+    else:  # groups are digits, identical in the folded copy
+        src, java = t.folded, to_java_folded(pattern)
+    g1 = F.regexp_extract(src, java, 1)
     value = F.concat(g1, F.lit(" ans"))
     if re.compile(pattern).groups == 2:
-        g2 = F.regexp_extract(c, java, 2)
+        g2 = F.regexp_extract(src, java, 2)
         value = F.when(g2 != "", F.concat(g1, F.lit("-"), g2, F.lit(" ans"))).otherwise(value)
-    return c.rlike(java), value
+    hit = src.rlike(java)
+    return (hit if t.folded is None else literal_gate(pattern, t.folded, hit)), value
 
 
 def experience(t: Text, platform: str = "dreamjob") -> Column:
@@ -114,7 +119,7 @@ def experience(t: Text, platform: str = "dreamjob") -> Column:
     words = {"dreamjob": WORDS_DREAMJOB, "indeed": WORDS_INDEED, "linkedin": []}[platform]
     out = None
     for p in patterns:
-        hit, value = _years(t.c, p)
+        hit, value = _years(t, p)
         out = F.when(hit, value) if out is None else out.when(hit, value)
     for label, cond in words:
         out = out.when(cond.spark(t.c, t.folded), F.lit(label))
