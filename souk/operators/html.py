@@ -1,0 +1,152 @@
+"""Minimal HTML tree for executor-side page walking (standard library only).
+
+Only what the page extractors need: a tree from ``html.parser``, ``find`` /
+``find_all`` by tag, class, id and attributes, a descendant-combinator
+``select_one`` (``tag``, ``.class``, ``tag.class``, ``#id`` parts) and
+``get_text`` with the usual ``separator`` / ``strip`` semantics (script and
+style contents and comments are not text).
+"""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+NON_TEXT = {"script", "style", "template"}
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict | None = None, parent: "Node | None" = None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], parent
+
+    # -- attributes
+    def get(self, name: str, default=None):
+        return self.attrs.get(name, default)
+
+    def has_attr(self, name: str) -> bool:
+        return name in self.attrs
+
+    def classes(self) -> list[str]:
+        return (self.attrs.get("class") or "").split()
+
+    # -- navigation
+    def descendants(self):
+        stack = list(reversed(self.children))
+        while stack:
+            n = stack.pop()
+            if isinstance(n, Node):
+                yield n
+                stack.extend(reversed(n.children))
+
+    def find_all(self, tag: str | None = None, class_: str | None = None, id: str | None = None,
+                 attrs: dict | None = None) -> list["Node"]:
+        return [n for n in self.descendants() if _matches(n, tag, class_, id, attrs)]
+
+    def find(self, tag: str | None = None, class_: str | None = None, id: str | None = None,
+             attrs: dict | None = None) -> "Node | None":
+        for n in self.descendants():
+            if _matches(n, tag, class_, id, attrs):
+                return n
+        return None
+
+    def select_one(self, selector: str) -> "Node | None":
+        parts = [_compound(p) for p in selector.split()]
+        for n in self.descendants():
+            if _matches(n, *parts[-1]) and _ancestors_match(n, parts[:-1], self):
+                return n
+        return None
+
+    def decompose(self) -> None:
+        if self.parent is not None:
+            self.parent.children = [c for c in self.parent.children if c is not self]
+            self.parent = None
+
+    # -- text
+    def strings(self):
+        for c in self.children:
+            if isinstance(c, str):
+                yield c
+            elif c.tag not in NON_TEXT:
+                yield from c.strings()
+
+    def get_text(self, separator: str = "", strip: bool = False) -> str:
+        parts = list(self.strings())
+        if strip:
+            parts = [p.strip() for p in parts]
+            parts = [p for p in parts if p]
+        return separator.join(parts)
+
+
+def _compound(part: str):
+    tag, cls, ident = None, None, None
+    if "#" in part:
+        part, ident = part.split("#", 1)
+    if "." in part:
+        part, cls = part.split(".", 1)
+    tag = part or None
+    return tag, cls, ident, None
+
+
+def _matches(n: Node, tag, class_, id, attrs) -> bool:
+    if tag is not None and n.tag != tag:
+        return False
+    if class_ is not None and class_ not in n.classes():
+        return False
+    if id is not None and n.get("id") != id:
+        return False
+    for k, v in (attrs or {}).items():
+        if v is True:
+            if k not in n.attrs:
+                return False
+        elif callable(v):
+            if not v(n.get(k)):
+                return False
+        elif n.get(k) != v:
+            return False
+    return True
+
+
+def _ancestors_match(n: Node, parts, root: Node) -> bool:
+    node = n.parent
+    for part in reversed(parts):
+        while node is not None and node is not root and not _matches(node, *part):
+            node = node.parent
+        if node is None or node is root:
+            return False
+        node = node.parent
+    return True
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("[document]")
+        self.stack = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
+        self.stack[-1].children.append(node)
+        if tag not in VOID:
+            self.stack.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
+        self.stack[-1].children.append(node)
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        self.stack[-1].children.append(data)
+
+
+def parse(html: str) -> Node:
+    b = _Builder()
+    b.feed(html or "")
+    b.close()
+    return b.root

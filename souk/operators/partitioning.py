@@ -1,0 +1,21 @@
+"""Parallelism guard for CPU-heavy per-row stages.
+
+A source stored as one Parquet row group is a single input split, so the
+regex or HTML work that follows its scan would run in one task.
+``ensure_parallelism`` spreads such a source round-robin over the cluster's
+cores; when the scan already has at least that many splits — always the case
+at scale, where splits are ~128 MB each — the frame is returned unchanged and
+no exchange is added.  Only call it on source reads (plans without shuffles):
+their split count is known at planning time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n)

@@ -13,6 +13,7 @@ from souk.functions.regex import SPACE, sql_quote
 from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, url_without_query
 from souk.operators import extract as X
 from souk.operators.dedup import keep_first
+from souk.operators.partitioning import ensure_parallelism
 from souk.operators.quality import completeness_profile, completeness_profile_sql, grain_check
 from souk.plans import oracle
 from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, read_table
@@ -20,8 +21,13 @@ from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, rea
 _STRIP = f"^[{SPACE}]+|[{SPACE}]+$"
 
 
+def _documents(spark, sf):
+    """The documents table, spread over the cores before per-row text work."""
+    return ensure_parallelism(read_table(spark, sf, "documents"))
+
+
 def _texts(spark, sf):
-    return offer_texts(read_table(spark, sf, "documents"))
+    return offer_texts(_documents(spark, sf))
 
 
 def _py_strip_sql(c: str) -> str:
@@ -145,8 +151,28 @@ def q_fct_grain_check(spark, sf) -> DataFrame:
     return grain_check(star(spark, sf)[2], ["job_id"])
 
 
+def q_page_articles(spark, sf) -> DataFrame:
+    """X5 on the driver's captured web pages: cleaned article text per page."""
+    from souk.operators.pages import page_articles
+    return page_articles(ensure_parallelism(read_table(spark, sf, "pages")))
+
+
+def _bronze_from_pages(platform: str):
+    def q(spark, sf) -> DataFrame:
+        from souk.operators.pages import RECORD_BUILDERS
+        from souk.sources.pages import captured_pages
+        return RECORD_BUILDERS[platform](captured_pages(_documents(spark, sf), platform))
+    q.__doc__ = f"M16 {platform}: bronze records extracted from rendered list/detail pages."
+    return q
+
+
 def spark_queries() -> dict:
     return {
+        "page_articles": q_page_articles,
+        "bronze_rekrute_pages": _bronze_from_pages("rekrute"),
+        "bronze_dreamjob_pages": _bronze_from_pages("dreamjob"),
+        "bronze_indeed_pages": _bronze_from_pages("indeed"),
+        "bronze_linkedin_pages": _bronze_from_pages("linkedin"),
         "extract_dreamjob": q_extract_dreamjob,
         "extract_indeed": q_extract_indeed,
         "extract_linkedin": q_extract_linkedin,

@@ -64,8 +64,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def offers_from_documents(documents: DataFrame) -> DataFrame:
-    """All bronze columns (+ ``source``) for one offer per document."""
+def offers_from_documents(documents: DataFrame, keep_id: bool = False) -> DataFrame:
+    """All bronze columns (+ ``source``) for one offer per document
+    (``keep_id`` also keeps ``doc_id``)."""
     d = F.col("doc_id")
     platform = _pick(PLATFORM, d)
     k = F.when((d % 11 == 0) & (d >= 4), d - 4).otherwise(d)
@@ -78,6 +79,7 @@ def offers_from_documents(documents: DataFrame) -> DataFrame:
         .when(platform == "dreamjob", F.lit(POSTED["dreamjob"])) \
         .when(platform == "linkedin", F.lit(POSTED["linkedin"]))
     return documents.select(
+        *([d] if keep_id else []),
         _null_if(53, 9, _pick(TITLE, d), d).alias("job_title"),
         _null_if(17, 3, _pick(COMPANY, d), d).alias("company"),
         _null_if(19, 4, _pick(LOCATION, d), d).alias("location"),
