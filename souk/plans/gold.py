@@ -209,7 +209,14 @@ def quality_score(c: dict[str, Column] | None = None) -> Column:
     return F.round(F.lit(100.0) * total / 8.0).cast("int")
 
 
-def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+def collapse_to_key(dim: DataFrame, key: str, id_col: str) -> DataFrame:
+    """Grain guard: one row per natural key, the one with the smallest id."""
+    from souk.operators.dedup import keep_first
+    return keep_first(dim, [key], [F.col(id_col)])
+
+
+def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] | None = None,
+             grain_safe: bool = False) -> DataFrame:
     """One row per unified offer joined to its seven dimensions.
 
     Joins are LEFT joins on computed keys (the same rule lists as the
@@ -222,8 +229,15 @@ def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] |
     The quality score is computed inline: the reference's self-join on job_id
     equals it whenever job_id is unique and would emit every pair of a
     duplicated job_id (T2) — see ``grain_check``.
+
+    By default a city or contract label held by two dimension rows (T1)
+    duplicates the offer, as in the reference; ``grain_safe=True`` joins to
+    one row per label (smallest id) so the fact keeps one row per offer.
     """
-    dims = dims or build_dimensions(spark, jobs)
+    dims = dict(dims or build_dimensions(spark, jobs))
+    if grain_safe:
+        dims["dim_city"] = collapse_to_key(dims["dim_city"], "city_normalized", "city_id")
+        dims["dim_contract"] = collapse_to_key(dims["dim_contract"], "contract_normalized", "contract_id")
     j = jobs.select(
         "*",
         quality_score().alias("quality_score"),

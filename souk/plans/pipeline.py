@@ -46,6 +46,22 @@ def append_bronze(df: DataFrame, out_dir: str, platform: str) -> bool:
     return True
 
 
+def read_bronze(spark: SparkSession, out_dir: str, platform: str) -> DataFrame:
+    """Scan one raw table with its explicit schema (no inference)."""
+    from souk.sources.schemas import bronze_schema
+    schema = bronze_schema(platform).add("capture_date", "date")
+    return spark.read.schema(schema).parquet(layer_path(out_dir, "bronze", f"{platform}_raw"))
+
+
+def register_staging_views(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging models are views — lazy frames registered by name."""
+    views = {}
+    for platform, raw in bronze.items():
+        views[f"stg_{platform}"] = silver.stage(raw, platform)
+        views[f"stg_{platform}"].createOrReplaceTempView(f"stg_{platform}")
+    return views
+
+
 def write_table(df: DataFrame, out_dir: str, layer: str, table: str, sort_by: list[str] | None = None) -> str:
     """Full-refresh table sink.  ``sort_by`` orders rows inside each file
     (the reference's ``ORDER BY``) without a global sort."""
@@ -66,16 +82,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out_dir: str,
-              asof=None) -> dict[str, str]:
+              asof=None, grain_safe: bool = False) -> dict[str, str]:
     """Build silver and gold from bronze; returns table -> path.
 
     ``bronze`` is either ``{platform: raw table}`` or one combined raw frame
-    with a ``source`` column.
+    with a ``source`` column.  Dimension files come out in id order (the
+    numbering range-partitions on the order key); the bridge is sorted by
+    (job_id, skill_id) inside each file.
     """
     if isinstance(bronze, DataFrame):
         staged = silver.stage_all(bronze)
     else:
-        staged = silver.union_staged([silver.stage(df, p) for p, df in bronze.items()])
+        staged = silver.union_staged(list(register_staging_views(bronze).values()))
     paths = {"jobs_unified": write_table(silver.jobs_unified(staged), out_dir, "silver", "jobs_unified")}
     jobs = spark.read.parquet(paths["jobs_unified"])
     dims = gold.build_dimensions(spark, jobs, asof)
@@ -83,7 +101,8 @@ def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out
         paths[name] = write_table(dim.coalesce(1) if name in ("dim_source", "dim_skill", "dim_date") else dim,
                                   out_dir, "gold", name)
     dims = {name: spark.read.parquet(path) for name, path in paths.items() if name.startswith("dim_")}
-    paths["fct_jobs"] = write_table(gold.fct_jobs(spark, jobs, dims), out_dir, "gold", "fct_jobs")
+    paths["fct_jobs"] = write_table(gold.fct_jobs(spark, jobs, dims, grain_safe=grain_safe), out_dir, "gold",
+                                    "fct_jobs")
     fct = spark.read.parquet(paths["fct_jobs"])
     paths["bridge_job_skill"] = write_table(gold.bridge_job_skill(fct), out_dir, "gold", "bridge_job_skill",
                                             sort_by=["job_id", "skill_id"])
