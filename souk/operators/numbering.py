@@ -12,9 +12,12 @@ task.  ``global_row_number`` computes the same numbers distributively:
 4. number = offset + local position + 1.
 
 The order key must be total (append a unique tiebreak) so the numbering is
-deterministic.  The range exchange is shared by both branches (Spark reuses
-it), and a recomputed task reproduces the same rows since every step is a
-deterministic function of the input.
+deterministic.  Steps 2 and 3 must see the *same* partitioning, but range
+bounds are sampled from the input, whose row order after a shuffle is not
+fixed — two evaluations could split differently.  The tagged rows are
+therefore checkpointed once (reliable checkpoint in the session's shared
+``spark.checkpoint.dir``) and both steps read that copy; it also survives a
+lost executor without recomputation.
 
 ``small_row_number`` is for inputs whose size a rule set bounds (a handful
 of labels); there the plain window is cheaper than the extra stages.
@@ -27,16 +30,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)
     tagged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn("_part", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
+              .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
+              .checkpoint(eager=True))
     offsets = (tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(
                    F.sum("_cnt").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),

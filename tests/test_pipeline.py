@@ -93,3 +93,15 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     q2 = ingest_pages(spark, src, str(tmp_path / "wh"), "indeed", str(tmp_path / "ckpt"))  # nothing new
     q2.awaitTermination(300)
     assert spark.read.parquet(str(tmp_path / "wh" / "bronze" / "indeed_raw")).count() == got.count()
+
+
+def test_global_row_number_after_shuffle(spark):
+    """Input straight out of an aggregation (row order not fixed) — ids must
+    still equal the single-partition window's."""
+    base = spark.range(0, 20000).select((F.col("id") % 7000).alias("k"))
+    agg = base.groupBy(F.concat(F.lit("c-"), F.col("k").cast("string")).alias("company")).agg(
+        F.count(F.lit(1)).alias("n"))
+    order = [F.col("n").desc(), F.col("company")]
+    got = {r.company: r.rid for r in global_row_number(agg, order, "rid", partitions=6).collect()}
+    want = {r.company: r.rid for r in agg.withColumn("rid", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == want

@@ -15,7 +15,7 @@ def test_unified_has_one_exchange_with_partial_window_limit(spark):
 
 
 def test_dimension_scans_prune_text(spark):
-    p = plan(gold.dim_city(registry.unified(spark, SF_SMALL)))
+    p = plan(gold.dim_contract(registry.unified(spark, SF_SMALL)))
     assert "ReadSchema: struct<doc_id:bigint>" in p or "[doc_id#" in p
     assert "text:string" not in p
 
