@@ -26,7 +26,7 @@ from souk.functions.regex import to_java  # noqa: E402
 from souk.operators.numbering import global_row_number  # noqa: E402
 from souk.operators.skills import match_skills, skill_rows  # noqa: E402
 from souk.session import get_spark  # noqa: E402
-from souk.sources.offers import read_table  # noqa: E402
+from souk.sources.offers import offer_texts, read_table  # noqa: E402
 
 
 def timed(df) -> float:
@@ -39,7 +39,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     rep = int(sys.argv[2]) if len(sys.argv) > 2 else 1
     spark = get_spark("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
-    docs = read_table(spark, sf_dir, "documents")
+    docs = offer_texts(read_table(spark, sf_dir, "documents")).select("doc_id", F.col("description").alias("text"))
     docs = (docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(rep - 1))).alias("copy"))
             .select((F.col("doc_id") * rep + F.col("copy")).alias("doc_id"), "text")
             .repartition(spark.sparkContext.defaultParallelism).cache())
