@@ -221,7 +221,7 @@ FROM (SELECT *, split_part(url, '?', 1) AS cut, {mapped} AS m FROM t)"""
     CAST(floor(doc_id / 25) AS BIGINT) % 3 AS page, doc_id % 25 AS pos,
     'https://www.linkedin.com/jobs/view/offer-' || CAST(CAST(floor(doc_id / 2) AS BIGINT) AS VARCHAR) AS url
 FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_rank FROM documents)"""
-    first_seen = f"""SELECT doc_id, kw_rank, keyword, page, pos, url FROM (
+    first_seen = f"""SELECT doc_id, CAST(kw_rank AS INTEGER) AS kw_rank, keyword, page, pos, url FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY url ORDER BY kw_rank, page, pos) AS rn FROM ({cards})) WHERE rn = 1"""
     from souk.sources.offers import BRONZE_OFFERS_SQL
     return {

@@ -113,12 +113,13 @@ def oracle_queries() -> dict[str, str]:
         out[d] = oracle.with_ctes(full, f"SELECT * FROM {d}")
     out["fct_jobs"] = oracle.with_ctes(full, "SELECT * FROM fct_jobs")
     out["bridge_job_skill"] = oracle.with_ctes(full, "SELECT * FROM bridge_job_skill")
-    out["offers_by_region"] = oracle.with_ctes(full, """SELECT dc.region, SUM(f.offer_count) AS n_offers,
-    COUNT(DISTINCT f.city_id) AS n_cities, SUM(f.quality_score) AS sum_quality
+    out["offers_by_region"] = oracle.with_ctes(full, """SELECT dc.region, CAST(SUM(f.offer_count) AS BIGINT) AS n_offers,
+    COUNT(DISTINCT f.city_id) AS n_cities, CAST(SUM(f.quality_score) AS BIGINT) AS sum_quality
 FROM fct_jobs f LEFT JOIN dim_city dc ON f.city_id = dc.city_id GROUP BY dc.region""")
     out["offers_by_source"] = oracle.with_ctes(full, """SELECT s.*, p.n_offers, p.n_with_company, p.sum_quality
-FROM dim_source s LEFT JOIN (SELECT source_id, SUM(offer_count) AS n_offers, SUM(has_company) AS n_with_company,
-    SUM(quality_score) AS sum_quality FROM fct_jobs GROUP BY source_id) p ON s.source_id = p.source_id""")
+FROM dim_source s LEFT JOIN (SELECT source_id, CAST(SUM(offer_count) AS BIGINT) AS n_offers,
+    CAST(SUM(has_company) AS BIGINT) AS n_with_company, CAST(SUM(quality_score) AS BIGINT) AS sum_quality
+    FROM fct_jobs GROUP BY source_id) p ON s.source_id = p.source_id""")
     out["offers_by_day"] = oracle.with_ctes(full, """SELECT d.*, CAST(COALESCE(p.n_offers, 0) AS BIGINT) AS n_offers
 FROM dim_date d LEFT JOIN (SELECT scraped_date_id, SUM(offer_count) AS n_offers FROM fct_jobs
     GROUP BY scraped_date_id) p ON d.date_id = p.scraped_date_id""")
