@@ -12,7 +12,6 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from souk.functions.rules import first_match
 from souk.functions.text import pg_initcap, trimmed_split_part

@@ -22,7 +22,6 @@ from souk.sources.offers import KEYWORD, _pick, offers_from_documents
 
 CARDS_PER_PAGE = 20
 TELEWORK = ["Hybride", "Oui", "Non", ""]
-SECOND_SECTOR = ["Conseil", ""]
 PLATFORM_NO = {"rekrute": 1, "dreamjob": 2, "indeed": 3, "linkedin": 4}
 CRITERIA = [("Niveau hiérarchique", "experience"), ("Type d'emploi", "contract_type"), ("Fonction", "function"),
             ("Secteurs", "sector")]
@@ -39,10 +38,6 @@ def _s(c) -> Column:
     return esc(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
 
 
-def _tag(name: str, attrs: str, body: Column) -> Column:
-    return F.concat(F.lit(f"<{name}{attrs}>"), body, F.lit(f"</{name}>"))
-
-
 def _opt(cond: Column, html: Column) -> Column:
     return F.when(cond, html).otherwise(F.lit(""))
 

@@ -1,6 +1,4 @@
 """End-to-end pipeline invariants, sinks, streaming ingest and numbering."""
-import os
-
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -8,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from souk.operators.numbering import global_row_number
 from souk.plans import gold, pipeline, silver
-from souk.sources.offers import bronze_offers, bronze_table, read_table
+from souk.sources.offers import bronze_table, read_table
 
 
 @pytest.fixture(scope="module")

@@ -1,7 +1,6 @@
 """Physical-plan assertions for the scale-critical operators."""
 from conftest import SF_SMALL
 from souk.plans import gold, registry
-from souk.sources.offers import bronze_offers
 
 
 def plan(df):

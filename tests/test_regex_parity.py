@@ -2,10 +2,9 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from souk.functions.regex import fold_lower, required_literals
+from souk.functions.regex import required_literals
 from souk.operators import extract as X
 from souk.rulesets import extraction as D
 from souk.sources.offers import offer_texts, read_table
