@@ -12,6 +12,15 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+# Optional end tags (HTML parsing rules): opening one of the keys closes an
+# open element of the listed kinds, up to the nearest listed boundary.
+BLOCKS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
+          "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+IMPLIED_END = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+               "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}),
+               "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+               "option": ({"option"}, {"select", "datalist"})}
+IMPLIED_END.update({b: ({"p"}, {"div", "td", "th", "li", "article", "section", "body"}) for b in BLOCKS})
 NON_TEXT = {"script", "style", "template"}
 
 
@@ -125,13 +134,27 @@ class _Builder(HTMLParser):
         self.root = Node("[document]")
         self.stack = [self.root]
 
+    def _close_implied(self, tag):
+        closes, boundary = IMPLIED_END.get(tag, (None, None))
+        if not closes:
+            return
+        for i in range(len(self.stack) - 1, 0, -1):
+            t = self.stack[i].tag
+            if t in closes:
+                del self.stack[i:]
+                return
+            if t in boundary:
+                return
+
     def handle_starttag(self, tag, attrs):
+        self._close_implied(tag)
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
         self.stack[-1].children.append(node)
         if tag not in VOID:
             self.stack.append(node)
 
     def handle_startendtag(self, tag, attrs):
+        self._close_implied(tag)
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
         self.stack[-1].children.append(node)
 
