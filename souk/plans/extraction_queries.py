@@ -110,7 +110,8 @@ def q_extract_linkedin(spark, sf) -> DataFrame:
         "doc_id",
         cut.alias("url"),
         linkedin_job_id(cut).alias("job_id"),
-        F.coalesce(criteria_value(F.col("_mapped"), "experience_level"), years).alias("experience"),
+        F.coalesce(F.nullif(criteria_value(F.col("_mapped"), "experience_level"), F.lit("")), years)
+        .alias("experience"),
         criteria_value(F.col("_mapped"), "contract_type").alias("contract_type"),
         criteria_value(F.col("_mapped"), "function").alias("function"),
         criteria_value(F.col("_mapped"), "sector").alias("sector"),
@@ -212,7 +213,7 @@ FROM t"""
     def last(name):
         return f"(list_filter(m, lambda y: y.field = '{name}'))[-1].value"
     linkedin = f"""SELECT doc_id, cut AS url, {linkedin_job_id_sql('cut')} AS job_id,
-    COALESCE({last('experience_level')}, {X.experience_sql('description', 'linkedin')}) AS experience,
+    COALESCE(NULLIF({last('experience_level')}, ''), {X.experience_sql('description', 'linkedin')}) AS experience,
     {last('contract_type')} AS contract_type, {last('function')} AS "function", {last('sector')} AS sector,
     {X.education_sql('description', 'indeed')} AS education
 FROM (SELECT *, split_part(url, '?', 1) AS cut, {mapped} AS m FROM t)"""
@@ -223,8 +224,10 @@ FROM (SELECT *, split_part(url, '?', 1) AS cut, {mapped} AS m FROM t)"""
 FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_rank FROM documents)"""
     first_seen = f"""SELECT doc_id, CAST(kw_rank AS INTEGER) AS kw_rank, keyword, page, pos, url FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY url ORDER BY kw_rank, page, pos) AS rn FROM ({cards})) WHERE rn = 1"""
+    from souk.plans import page_oracle
     from souk.sources.offers import BRONZE_OFFERS_SQL
     return {
+        **page_oracle.oracle_queries(),
         "extract_dreamjob": oracle.with_ctes(_texts_cte(), dreamjob),
         "extract_indeed": oracle.with_ctes(_texts_cte(), indeed),
         "extract_linkedin": oracle.with_ctes(_texts_cte(), linkedin),

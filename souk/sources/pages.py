@@ -51,15 +51,16 @@ def _captured(page_no: Column) -> Column:
 
 
 def _rekrute_card(d: Column) -> Column:
+    seq = (d / 4).cast("bigint")  # position among the board's offers
     logo = (F.when(d % 5 == 0, F.lit(""))
             .when(d % 5 == 1, F.concat(F.lit('<img class="photo" alt=" " title="'), _s("company"), F.lit('">')))
             .otherwise(F.concat(F.lit('<img class="photo" alt="'), _s("company"), F.lit('">'))))
     title = F.concat(_s("job_title"), F.when(F.col("location").isNotNull(),
                                              F.concat(F.lit(" | "), _s("location"))).otherwise(F.lit("")))
-    mode = _pick(TELEWORK, d)
+    mode = _pick(TELEWORK, seq)
     items = F.concat(
         _opt(F.col("sector").isNotNull(), F.concat(F.lit("<li>Secteur d'activité : <a>"), _s("sector"), F.lit("</a>"),
-                                                  _opt(d % 2 == 0, F.lit(" - <a>Conseil</a>")), F.lit("</li>"))),
+                                                  _opt(seq % 2 == 0, F.lit(" - <a>Conseil</a>")), F.lit("</li>"))),
         _opt(F.col("function").isNotNull(), F.concat(F.lit("<li>Fonction : "), _s("function"), F.lit("</li>"))),
         _opt(F.col("experience").isNotNull(), F.concat(F.lit("<li>Expérience requise : <a>"), _s("experience"),
                                                       F.lit("</a></li>"))),
@@ -107,7 +108,8 @@ def _linkedin_card(d: Column) -> Column:
         F.lit('?refId=abc&amp;trackingId=x"></a><h3 class="base-search-card__title"> '), _s("job_title"),
         F.lit(' </h3><h4 class="base-search-card__subtitle">'), _s("company"),
         F.lit('</h4><span class="job-search-card__location">'), _s("location"), F.lit("</span>"),
-        F.when(d % 2 == 0, F.lit('<time class="job-search-card__listdate" datetime="2026-04-26"></time>'))
+        F.when((d / 4).cast("bigint") % 2 == 0,
+               F.lit('<time class="job-search-card__listdate" datetime="2026-04-26"></time>'))
          .otherwise(F.lit('<time class="job-search-card__listdate--new" datetime="2026-04-27"></time>')),
         F.lit("</div>"))
 
