@@ -186,6 +186,31 @@ FROM j"""
     return with_ctes(_offers("linkedin") + [("detail", detail), ("j", j)], final)
 
 
+# Character references decoded in text: (reference, character).  Legacy names
+# also decode without ';'.  '&' goes through a private-use sentinel so a
+# decoded ampersand never starts a second decoding ('&amp;quot;' -> '&quot;').
+_AMP = "chr(57344)"
+ENTITIES = [("&amp;", _AMP), ("&amp", _AMP), ("&lt;", "'<'"), ("&lt", "'<'"), ("&gt;", "'>'"), ("&gt", "'>'"),
+            ("&quot;", "'\"'"), ("&quot", "'\"'"), ("&#39;", "chr(39)"), ("&apos;", "chr(39)"),
+            ("&nbsp;", "chr(160)"), ("&nbsp", "chr(160)"), ("&copy;", "'©'"), ("&middot;", "'·'")]
+
+
+def page_articles_sql() -> str:
+    """X5 on pages whose content element is their single ``<article>``: inner
+    markup without comments and script/style/iframe/noscript blocks, every tag
+    a separator, entities decoded, then cleaned like the collectors' text."""
+    s = "regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1)"
+    s = f"regexp_replace({s}, '(?s)<!--.*?-->', ' ', 'g')"
+    for tag in ("script", "style", "iframe", "noscript"):
+        s = f"regexp_replace({s}, '(?s)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
+    s = f"regexp_replace({s}, '<[^>]*>', ' ', 'g')"
+    for ent, ch in ENTITIES:
+        s = f"replace({s}, '{ent}', {ch})"
+    s = f"replace({s}, {_AMP}, '&')"
+    return f"SELECT page_id, url, {clean(s)} AS text, CAST(NULL AS VARCHAR) AS error FROM pages"
+
+
 def oracle_queries() -> dict[str, str]:
     return {"bronze_rekrute_pages": rekrute_sql(), "bronze_dreamjob_pages": dreamjob_sql(),
-            "bronze_indeed_pages": indeed_sql(), "bronze_linkedin_pages": linkedin_sql()}
+            "bronze_indeed_pages": indeed_sql(), "bronze_linkedin_pages": linkedin_sql(),
+            "page_articles": page_articles_sql()}
