@@ -36,10 +36,13 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
+    """``partitions`` fixes the range partition count; by default AQE sizes it
+    from the data (the ids are read back from the checkpoint, so whatever
+    partitioning AQE settles on is the one both passes see)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
-    tagged = (df.repartitionByRange(n, *order)
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
