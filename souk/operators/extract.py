@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from souk.functions.regex import fold_lower, sql_quote, to_java, to_java_folded, to_re2
+from souk.functions.text import clean_text
 from souk.functions.rules import (all_matches, all_matches_sql, first_match, first_match_sql, literal_gate,
                                   py_isearch)
 from souk.rulesets import extraction as X
@@ -166,6 +167,36 @@ def sectors_sql(c: str) -> str:
     return all_matches_sql(c, SECTOR_RULES, " - ", 2)
 
 
+# ------------------------------------------------------- X6 LinkedIn criteria
+CRITERIA_FIELDS = [  # X6: ordered substring tests on the lower-cased header
+    ("experience_level", ("niveau", "seniority")),
+    ("contract_type", ("type", "employment")),
+    ("function", ("fonction", "function")),
+    ("sector", ("secteur", "industries", "industrie")),
+]
+
+
+def criteria_field(items) -> Column:
+    """Name the field each (header, value) pair fills; the first test that
+    matches the header wins, unmatched pairs are ignored."""
+    def field(x):
+        h = F.lower(x["h"])
+        out = None
+        for name, needles in CRITERIA_FIELDS:
+            test = h.contains(needles[0])
+            for n in needles[1:]:
+                test = test | h.contains(n)
+            out = F.when(test, F.lit(name)) if out is None else out.when(test, F.lit(name))
+        return F.struct(out.alias("field"), clean_text(x["v"]).alias("value"))
+    return F.transform(items, field)
+
+
+def criteria_value(mapped: Column, name: str) -> Column:
+    """Later pairs overwrite earlier ones: the last pair for the field wins."""
+    return F.try_element_at(F.filter(mapped, lambda m: m["field"] == name), F.lit(-1))["value"]
+
+
+
 # ---------------------------------------------------------------- X12 company
 _COMPANY_STRIP = "^[ \\-–—,.:]+|[ \\-–—,.:]+$"
 

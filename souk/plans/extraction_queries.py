@@ -71,37 +71,9 @@ def q_extract_indeed(spark, sf) -> DataFrame:
     )
 
 
-CRITERIA_FIELDS = [  # X6: ordered substring tests on the lower-cased header
-    ("experience_level", ("niveau", "seniority")),
-    ("contract_type", ("type", "employment")),
-    ("function", ("fonction", "function")),
-    ("sector", ("secteur", "industries", "industrie")),
-]
-
-
-def criteria_field(items):
-    """Name the field each (header, value) pair fills; the first test that
-    matches the header wins, unmatched pairs are ignored."""
-    def field(x):
-        h = F.lower(x["h"])
-        out = None
-        for name, needles in CRITERIA_FIELDS:
-            test = h.contains(needles[0])
-            for n in needles[1:]:
-                test = test | h.contains(n)
-            out = F.when(test, F.lit(name)) if out is None else out.when(test, F.lit(name))
-        return F.struct(out.alias("field"), clean_text(x["v"]).alias("value"))
-    return F.transform(items, field)
-
-
-def criteria_value(mapped, name: str):
-    """Later pairs overwrite earlier ones: the last pair for the field wins."""
-    return F.try_element_at(F.filter(mapped, lambda m: m["field"] == name), F.lit(-1))["value"]
-
-
 def q_extract_linkedin(spark, sf) -> DataFrame:
     """LinkedIn record fields: criteria mapping, native id, education, years."""
-    t = X.with_folded(_texts(spark, sf).select("*", criteria_field(F.col("criteria")).alias("_mapped")),
+    t = X.with_folded(_texts(spark, sf).select("*", X.criteria_field(F.col("criteria")).alias("_mapped")),
                       "description")
     desc = X.text("description")
     cut = url_without_query("url")
@@ -110,11 +82,11 @@ def q_extract_linkedin(spark, sf) -> DataFrame:
         "doc_id",
         cut.alias("url"),
         linkedin_job_id(cut).alias("job_id"),
-        F.coalesce(F.nullif(criteria_value(F.col("_mapped"), "experience_level"), F.lit("")), years)
+        F.coalesce(F.nullif(X.criteria_value(F.col("_mapped"), "experience_level"), F.lit("")), years)
         .alias("experience"),
-        criteria_value(F.col("_mapped"), "contract_type").alias("contract_type"),
-        criteria_value(F.col("_mapped"), "function").alias("function"),
-        criteria_value(F.col("_mapped"), "sector").alias("sector"),
+        X.criteria_value(F.col("_mapped"), "contract_type").alias("contract_type"),
+        X.criteria_value(F.col("_mapped"), "function").alias("function"),
+        X.criteria_value(F.col("_mapped"), "sector").alias("sector"),
         X.education(desc, "indeed").alias("education"),
     )
 
@@ -207,7 +179,7 @@ FROM (SELECT *, {combined} AS combined FROM t)"""
 FROM t"""
     field_case = "CASE " + " ".join(
         "WHEN " + " OR ".join(f"contains(lower(x.h), '{n}')" for n in needles) + f" THEN '{name}'"
-        for name, needles in CRITERIA_FIELDS) + " END"
+        for name, needles in X.CRITERIA_FIELDS) + " END"
     mapped = f"list_transform(criteria, lambda x: {{'field': {field_case}, 'value': {clean_text_sql('x.v')}}})"
 
     def last(name):

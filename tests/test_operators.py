@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from souk.operators.dedup import keep_first, latest_per_key
 from souk.operators.quality import completeness_profile, grain_check
-from souk.plans.extraction_queries import criteria_field, criteria_value
+from souk.operators.extract import criteria_field, criteria_value
 
 
 def test_criteria_mapping_last_pair_wins(spark):
