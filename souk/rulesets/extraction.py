@@ -125,13 +125,16 @@ DESCRIPTION_MAX_CHARS = 5000
 # Rekrute telework suffixes, tested in this order.
 TELEWORK_SUFFIXES = [("Hybride", "Hybride"), ("Oui", "Télétravail Oui"), ("Non", "Télétravail Non")]
 
-# Rekrute labelled list items (label text, field).
-REKRUTE_LABELS = [
-    ("Secteur d'activité :", "sector"),
-    ("Fonction :", "function"),
-    ("Expérience requise :", "experience"),
-    ("Niveau d'étude demandé :", "education"),
+# Rekrute labelled list items, tested in this order:
+# (field, substring that selects the item, label removed from its text).
+REKRUTE_FIELDS = [
+    ("sector", "Secteur d'activité", "Secteur d'activité :"),
+    ("function", "Fonction", "Fonction :"),
+    ("experience", "Expérience requise", "Expérience requise :"),
+    ("education", "Niveau d'étude", "Niveau d'étude demandé :"),
+    ("contract", "Type de contrat", None),
 ]
+REKRUTE_FUNCTION_EXCLUDED = "Fonctions"
 
 # Hosts prefixed to relative links.
 REKRUTE_HOST = "https://www.rekrute.com"
