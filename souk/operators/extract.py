@@ -168,12 +168,6 @@ def sectors_sql(c: str) -> str:
 
 
 # ------------------------------------------------------- X6 LinkedIn criteria
-CRITERIA_FIELDS = [  # X6: ordered substring tests on the lower-cased header
-    ("experience_level", ("niveau", "seniority")),
-    ("contract_type", ("type", "employment")),
-    ("function", ("fonction", "function")),
-    ("sector", ("secteur", "industries", "industrie")),
-]
 
 
 def criteria_field(items) -> Column:
@@ -182,7 +176,7 @@ def criteria_field(items) -> Column:
     def field(x):
         h = F.lower(x["h"])
         out = None
-        for name, needles in CRITERIA_FIELDS:
+        for name, needles in X.CRITERIA_FIELDS:
             test = h.contains(needles[0])
             for n in needles[1:]:
                 test = test | h.contains(n)

@@ -16,6 +16,7 @@ from souk.operators.dedup import keep_first
 from souk.operators.partitioning import ensure_parallelism
 from souk.operators.quality import completeness_profile, completeness_profile_sql, grain_check
 from souk.plans import oracle
+from souk.rulesets import extraction as D
 from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, read_table
 
 _STRIP = f"^[{SPACE}]+|[{SPACE}]+$"
@@ -179,7 +180,7 @@ FROM (SELECT *, {combined} AS combined FROM t)"""
 FROM t"""
     field_case = "CASE " + " ".join(
         "WHEN " + " OR ".join(f"contains(lower(x.h), '{n}')" for n in needles) + f" THEN '{name}'"
-        for name, needles in X.CRITERIA_FIELDS) + " END"
+        for name, needles in D.CRITERIA_FIELDS) + " END"
     mapped = f"list_transform(criteria, lambda x: {{'field': {field_case}, 'value': {clean_text_sql('x.v')}}})"
 
     def last(name):

@@ -122,6 +122,15 @@ LINKEDIN_ID = r"-(\d{8,})/?(?:\?|$)"
 # Stored description length of the Dreamjob, Indeed and LinkedIn collectors.
 DESCRIPTION_MAX_CHARS = 5000
 
+# LinkedIn criteria headers -> field; ordered substring tests on the
+# lower-cased header, first test that matches wins.
+CRITERIA_FIELDS = [
+    ("experience_level", ("niveau", "seniority")),
+    ("contract_type", ("type", "employment")),
+    ("function", ("fonction", "function")),
+    ("sector", ("secteur", "industries", "industrie")),
+]
+
 # Rekrute telework suffixes, tested in this order.
 TELEWORK_SUFFIXES = [("Hybride", "Hybride"), ("Oui", "Télétravail Oui"), ("Non", "Télétravail Non")]
 
