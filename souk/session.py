@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HTML pages reach ~100 KB: keep a Python worker's Arrow batch well under 1 GB
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # run-time (measured) broadcast of a dimension up to 64 MB, e.g. ~1M companies
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.ui.enabled": "false",
 }
 
