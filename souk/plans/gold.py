@@ -81,12 +81,12 @@ def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(C.PLATFORMS, schema)
 
 
-def dim_city(jobs: DataFrame) -> DataFrame:
+def dim_city(jobs: DataFrame, grain_safe: bool = False) -> DataFrame:
     """M7: one row per (normalised city, region) with its raw variants.
 
-    Grouped on the pair, so a label with two regions gives two rows (T1).
-    ``city_id`` orders by label, then region (tie-break of the reference's
-    ambiguous order).
+    Grouped on the pair, so a label with two regions gives two rows (T1);
+    ``grain_safe=True`` keeps one row per label (smallest id).  ``city_id``
+    orders by label, then region (tie-break of the reference's ambiguous order).
     """
     raw = jobs.filter(_not_blank("city")).select(F.col("city").alias("city_raw")).distinct()
     labelled = raw.select("city_raw", city_key("city_raw").alias("city_normalized"),
@@ -95,7 +95,8 @@ def dim_city(jobs: DataFrame) -> DataFrame:
         sorted_distinct_join("city_raw", " | ").alias("raw_variants"),
         F.count(F.lit(1)).alias("nb_raw_variants"))   # input is already distinct
     numbered = global_row_number(grouped, [F.col("city_normalized"), F.col("region")], "city_id")
-    return numbered.select("city_id", "city_normalized", "region", "raw_variants", "nb_raw_variants")
+    out = numbered.select("city_id", "city_normalized", "region", "raw_variants", "nb_raw_variants")
+    return collapse_to_key(out, "city_normalized", "city_id") if grain_safe else out
 
 
 def dim_company(jobs: DataFrame) -> DataFrame:
@@ -115,8 +116,9 @@ def dim_company(jobs: DataFrame) -> DataFrame:
         .alias("recruiter_category"))
 
 
-def dim_contract(jobs: DataFrame) -> DataFrame:
-    """M9: contract labels × duration category (at most 9 × 5 rows)."""
+def dim_contract(jobs: DataFrame, grain_safe: bool = False) -> DataFrame:
+    """M9: contract labels × duration category (at most 9 × 5 rows); with
+    ``grain_safe=True`` one row per label (smallest id)."""
     raw = (jobs.filter(_not_blank("contract_type"))
            .select(contract_main("contract_type").alias("contract_main")).distinct())
     grouped = raw.groupBy(contract_key(F.col("contract_main")).alias("contract_normalized"),
@@ -124,8 +126,9 @@ def dim_contract(jobs: DataFrame) -> DataFrame:
         sorted_distinct_join("contract_main", " | ").alias("raw_variants"),
         F.count(F.lit(1)).alias("nb_raw_variants"))
     numbered = small_row_number(grouped, [F.col("contract_normalized"), F.col("contract_category")], "contract_id")
-    return numbered.select("contract_id", "contract_normalized", "contract_category", "raw_variants",
-                           "nb_raw_variants")
+    out = numbered.select("contract_id", "contract_normalized", "contract_category", "raw_variants",
+                          "nb_raw_variants")
+    return collapse_to_key(out, "contract_normalized", "contract_id") if grain_safe else out
 
 
 def _levelled_dim(jobs: DataFrame, column: str, prefix: str, key_rules, key_default, level_rules,
@@ -272,12 +275,12 @@ def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] |
         "has_experience", "scraped_at")
 
 
-def build_dimensions(spark: SparkSession, jobs: DataFrame, asof=None) -> dict[str, DataFrame]:
+def build_dimensions(spark: SparkSession, jobs: DataFrame, asof=None, grain_safe: bool = False) -> dict[str, DataFrame]:
     return {
         "dim_source": dim_source(spark),
-        "dim_city": dim_city(jobs),
+        "dim_city": dim_city(jobs, grain_safe),
         "dim_company": dim_company(jobs),
-        "dim_contract": dim_contract(jobs),
+        "dim_contract": dim_contract(jobs, grain_safe),
         "dim_education": dim_education(jobs),
         "dim_experience": dim_experience(jobs),
         "dim_date": dim_date(spark, asof),

@@ -96,7 +96,7 @@ def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out
         staged = silver.union_staged(list(register_staging_views(bronze).values()))
     paths = {"jobs_unified": write_table(silver.jobs_unified(staged), out_dir, "silver", "jobs_unified")}
     jobs = spark.read.parquet(paths["jobs_unified"])
-    dims = gold.build_dimensions(spark, jobs, asof)
+    dims = gold.build_dimensions(spark, jobs, asof, grain_safe)
     for name, dim in dims.items():
         paths[name] = write_table(dim.coalesce(1) if name in ("dim_source", "dim_skill", "dim_date") else dim,
                                   out_dir, "gold", name)

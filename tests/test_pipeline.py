@@ -103,3 +103,11 @@ def test_global_row_number_after_shuffle(spark):
     got = {r.company: r.rid for r in global_row_number(agg, order, "rid", partitions=6).collect()}
     want = {r.company: r.rid for r in agg.withColumn("rid", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == want
+
+
+def test_grain_safe_dimensions(spark, built):
+    _, t, _ = built
+    jobs = t["jobs_unified"]
+    for dim, key in ((gold.dim_city(jobs, grain_safe=True), "city_normalized"),
+                     (gold.dim_contract(jobs, grain_safe=True), "contract_normalized")):
+        assert dim.groupBy(key).count().filter("count > 1").count() == 0
