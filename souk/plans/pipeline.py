@@ -10,6 +10,7 @@ and each dimension scans only the columns it needs.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +36,28 @@ def create_layers(spark: SparkSession, location: str | None = None) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{where}")
 
 
-def append_bronze(df: DataFrame, out_dir: str, platform: str) -> bool:
-    """S6 + X26: append extracted rows to a raw table, partitioned by capture
-    day; an empty batch writes nothing.  Returns whether a write happened."""
+def append_bronze(df: DataFrame, out_dir: str, platform: str, batch_id: str | int | None = None) -> bool:
+    """S6 + X26: append extracted rows to a raw table; an empty batch writes
+    nothing.  Returns whether a write happened.
+
+    Each load is its own ``batch_id=<id>`` directory (partitioned inside by
+    capture day) written in overwrite mode, so re-running a batch — a retried
+    task set or a replayed micro-batch — replaces its rows instead of
+    appending them twice.  Without an id, a unique run id is used.
+    """
     if df.isEmpty():
         return False
+    batch = batch_id if batch_id is not None else f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     (df.withColumn("capture_date", F.to_date("scraped_at"))
-     .write.mode("append").partitionBy("capture_date")
-     .parquet(layer_path(out_dir, "bronze", f"{platform}_raw")))
+     .write.mode("overwrite").partitionBy("capture_date")
+     .parquet(f"{layer_path(out_dir, 'bronze', f'{platform}_raw')}/batch_id={batch}"))
     return True
 
 
 def read_bronze(spark: SparkSession, out_dir: str, platform: str) -> DataFrame:
     """Scan one raw table with its explicit schema (no inference)."""
     from souk.sources.schemas import bronze_schema
-    schema = bronze_schema(platform).add("capture_date", "date")
+    schema = bronze_schema(platform).add("batch_id", "string").add("capture_date", "date")
     return spark.read.schema(schema).parquet(layer_path(out_dir, "bronze", f"{platform}_raw"))
 
 

@@ -5,7 +5,8 @@ captured pages are a file stream: every micro-batch runs the same record
 builder as the batch path and appends the records to the platform's raw
 table (empty batches write nothing, X26).  The checkpoint records which page
 files were consumed, so a restarted or retried run appends each page exactly
-once, and ``trigger(availableNow=True)`` processes what is there and stops —
+once — a batch replayed after a failure overwrites its own ``batch_id``
+directory — and ``trigger(availableNow=True)`` processes what is there and stops —
 a scheduled run, like the reference's manual DAG trigger.
 
 A capture batch must hold an offer's list page and its detail page together
@@ -34,7 +35,9 @@ def ingest_pages(spark: SparkSession, pages_dir: str, out_dir: str, platform: st
     pages = reader.parquet(pages_dir)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_bronze(RECORD_BUILDERS[platform](batch), out_dir, platform)
+        # the micro-batch id names the output directory: a replayed batch
+        # overwrites its own rows (exactly-once with the checkpoint)
+        append_bronze(RECORD_BUILDERS[platform](batch), out_dir, platform, batch_id=f"stream-{batch_id:08d}")
 
     return (pages.writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint)

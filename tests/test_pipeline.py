@@ -111,3 +111,13 @@ def test_grain_safe_dimensions(spark, built):
     for dim, key in ((gold.dim_city(jobs, grain_safe=True), "city_normalized"),
                      (gold.dim_contract(jobs, grain_safe=True), "contract_normalized")):
         assert dim.groupBy(key).count().filter("count > 1").count() == 0
+
+
+def test_bronze_batches_are_idempotent(spark, tmp_path):
+    raw = bronze_table(spark, SF_SMALL, "indeed")
+    n = raw.count()
+    assert pipeline.append_bronze(raw, str(tmp_path), "indeed", batch_id="b1")
+    assert pipeline.append_bronze(raw, str(tmp_path), "indeed", batch_id="b1")  # replay: replaced
+    assert pipeline.append_bronze(raw, str(tmp_path), "indeed")                # new run: appended
+    back = pipeline.read_bronze(spark, str(tmp_path), "indeed")
+    assert back.count() == 2 * n and back.select("batch_id").distinct().count() == 2
