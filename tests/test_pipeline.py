@@ -121,3 +121,15 @@ def test_bronze_batches_are_idempotent(spark, tmp_path):
     assert pipeline.append_bronze(raw, str(tmp_path), "indeed")                # new run: appended
     back = pipeline.read_bronze(spark, str(tmp_path), "indeed")
     assert back.count() == 2 * n and back.select("batch_id").distinct().count() == 2
+
+
+def test_cli_pages_to_gold(spark, tmp_path):
+    from souk.__main__ import main
+    from souk.sources.pages import captured_pages
+    docs = read_table(spark, SF_SMALL, "documents")
+    for p in ("rekrute", "dreamjob", "indeed", "linkedin"):
+        captured_pages(docs, p).write.parquet(str(tmp_path / f"pages-{p}"))
+        main(["extract", str(tmp_path / f"pages-{p}"), str(tmp_path / "wh"), p])
+    main(["build", str(tmp_path / "wh"), "--asof", "2026-04-26", "--grain-safe"])
+    unified = spark.read.parquet(str(tmp_path / "wh" / "silver" / "jobs_unified")).count()
+    assert spark.read.parquet(str(tmp_path / "wh" / "gold" / "fct_jobs")).count() == unified > 0
