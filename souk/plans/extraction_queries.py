@@ -122,7 +122,7 @@ def q_bronze_profile(spark, sf) -> DataFrame:
 def q_fct_grain_check(spark, sf) -> DataFrame:
     """T2 guard: job_ids held by more than one fact row."""
     from souk.plans.registry import star
-    return grain_check(star(spark, sf)[2], ["job_id"])
+    return grain_check(star(spark, sf, with_text=False)[2], ["job_id"])
 
 
 def q_page_articles(spark, sf) -> DataFrame:

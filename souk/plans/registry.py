@@ -24,9 +24,21 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.jobs_unified(silver.stage_all(bronze_offers(spark, sf_dir)))
 
 
-def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
-    """Silver materialised once (as the reference's table), gold built on it."""
-    jobs = pipeline.materialize(unified(spark, sf_dir), "jobs_unified")
+TEXT_COLUMNS = ("description", "summary")
+
+
+def star(spark: SparkSession, sf_dir: str, with_text: bool = True) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """Silver materialised once (as the reference's table), gold built on it.
+
+    Reports that never read the offer texts pass ``with_text=False``: the
+    materialised silver then carries keys and measures only
+    (``description_length`` is computed before the texts are dropped).
+    """
+    silver_df = unified(spark, sf_dir)
+    if not with_text:
+        silver_df = silver_df.select(*[F.lit(None).cast("string").alias(c) if c in TEXT_COLUMNS else c
+                                       for c in silver_df.columns])
+    jobs = pipeline.materialize(silver_df, "jobs_unified")
     dims = gold.build_dimensions(spark, jobs, ASOF)
     return jobs, dims, gold.fct_jobs(spark, jobs, dims)
 
@@ -49,7 +61,7 @@ def q_bridge_job_skill(spark, sf):
 
 def q_offers_by_region(spark, sf):
     """Flagship: offers, cities and summed quality per region (fact ⋈ dim_city)."""
-    _, dims, fct = star(spark, sf)
+    _, dims, fct = star(spark, sf, with_text=False)
     city = dims["dim_city"].select("city_id", "region")
     return (fct.join(city, "city_id", "left").groupBy("region")
             .agg(F.sum("offer_count").alias("n_offers"),
@@ -59,7 +71,7 @@ def q_offers_by_region(spark, sf):
 
 def q_offers_by_source(spark, sf):
     """Platform dimension joined to offer counts and completeness."""
-    _, dims, fct = star(spark, sf)
+    _, dims, fct = star(spark, sf, with_text=False)
     per = fct.groupBy("source_id").agg(F.sum("offer_count").alias("n_offers"),
                                        F.sum("has_company").alias("n_with_company"),
                                        F.sum("quality_score").alias("sum_quality"))
@@ -68,7 +80,7 @@ def q_offers_by_source(spark, sf):
 
 def q_offers_by_day(spark, sf):
     """Calendar dimension with the number of offers captured each day."""
-    _, dims, fct = star(spark, sf)
+    _, dims, fct = star(spark, sf, with_text=False)
     per = fct.groupBy(F.col("scraped_date_id").alias("date_id")).agg(F.sum("offer_count").alias("n_offers"))
     return (dims["dim_date"].join(per, "date_id", "left")
             .withColumn("n_offers", F.coalesce("n_offers", F.lit(0)).cast("bigint")))
