@@ -68,15 +68,30 @@ def staged_columns(df: DataFrame, src: Column) -> list[Column]:
     ]
 
 
+REQUIRED_RAW = ["job_title", "company", "location", "summary", "description", "sector", "function", "experience",
+                "education", "contract_type", "posted_date", "url", "scraped_at"]
+
+
+def check_raw(raw: DataFrame, platform: str) -> None:
+    """Input contract of a raw table: the common bronze columns must exist."""
+    missing = [c for c in REQUIRED_RAW if c not in raw.columns]
+    if missing:
+        raise ValueError(f"raw {platform} table lacks columns {missing}")
+
+
 def stage(raw: DataFrame, platform: str) -> DataFrame:
     """M1–M4: clean one platform's raw table (P1) and keep rows with a title
     and a url (P2)."""
+    check_raw(raw, platform)
     return (raw.filter(F.col("job_title").isNotNull() & F.col("url").isNotNull())
             .select(*staged_columns(raw, F.lit(platform))))
 
 
 def stage_all(raw: DataFrame) -> DataFrame:
     """Staging of a combined raw table whose ``source`` column names the platform."""
+    check_raw(raw, "combined")
+    if "source" not in raw.columns:
+        raise ValueError("combined raw table lacks the 'source' column")
     return (raw.filter(F.col("job_title").isNotNull() & F.col("url").isNotNull())
             .select(*staged_columns(raw, F.col("source"))))
 

@@ -133,3 +133,9 @@ def test_cli_pages_to_gold(spark, tmp_path):
     main(["build", str(tmp_path / "wh"), "--asof", "2026-04-26", "--grain-safe"])
     unified = spark.read.parquet(str(tmp_path / "wh" / "silver" / "jobs_unified")).count()
     assert spark.read.parquet(str(tmp_path / "wh" / "gold" / "fct_jobs")).count() == unified > 0
+
+
+def test_raw_table_contract(spark):
+    bad = spark.createDataFrame([("t", "u")], "job_title string, url string")
+    with pytest.raises(ValueError, match="lacks columns"):
+        silver.stage(bad, "rekrute")
