@@ -154,9 +154,10 @@ def sql_quote(text: str) -> str:
 # ---------------------------------------------------------------- prefilter
 # Characters that Java's case-insensitive (UNICODE_CASE) matching folds onto
 # an ASCII letter other than their own lower case: dotless i, long s, dotted
-# capital I, Kelvin sign.
-_FOLD_FROM = "\u0131\u017f\u0130\u212a"
-_FOLD_TO = "isik"
+# capital I, Kelvin sign — plus capital I itself, so the fold never depends on
+# the JVM's default locale (a Turkish locale lower-cases I to dotless i).
+_FOLD_FROM = "I\u0131\u017f\u0130\u212a"
+_FOLD_TO = "iisik"
 
 
 def fold_lower(c):
