@@ -32,9 +32,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark(app_name=f"souk-{args.cmd}")
     if args.cmd == "extract":
         from souk.operators.pages import RECORD_BUILDERS
-        wrote = pipeline.append_bronze(RECORD_BUILDERS[args.platform](spark.read.parquet(args.pages)), args.out,
-                                       args.platform)
-        print(json.dumps({"platform": args.platform, "written": wrote}))
+        from souk.operators.quality import completeness_profile
+        records = RECORD_BUILDERS[args.platform](spark.read.parquet(args.pages))
+        batch = f"run-{spark.sparkContext.applicationId}"
+        wrote = pipeline.append_bronze(records, args.out, args.platform, batch_id=batch)
+        profile = {}
+        if wrote:  # A8: the batch's completeness, read back from what was written
+            written = spark.read.parquet(f"{pipeline.layer_path(args.out, 'bronze', args.platform + '_raw')}"
+                                         f"/batch_id={batch}")
+            profile = completeness_profile(written).first().asDict()
+        print(json.dumps({"platform": args.platform, "written": wrote, "profile": profile}))
     elif args.cmd == "ingest":
         from souk.streaming.ingest import ingest_pages
         ingest_pages(spark, args.pages, args.out, args.platform, args.checkpoint).awaitTermination()
