@@ -46,7 +46,15 @@ def main(argv: list[str] | None = None) -> None:
         from souk.streaming.ingest import ingest_pages
         ingest_pages(spark, args.pages, args.out, args.platform, args.checkpoint).awaitTermination()
     else:
-        bronze = {p: pipeline.read_bronze(spark, args.out, p).drop("batch_id", "capture_date") for p in PLATFORMS}
+        from pyspark.errors import AnalysisException
+        bronze = {}
+        for p in PLATFORMS:
+            try:  # a platform without any captured batch has no raw table yet
+                bronze[p] = pipeline.read_bronze(spark, args.out, p).drop("batch_id", "capture_date")
+            except AnalysisException:
+                continue
+        if not bronze:
+            raise SystemExit(f"no raw tables under {args.out}/bronze")
         print(json.dumps(pipeline.build_all(spark, bronze, args.out, asof=args.asof, grain_safe=args.grain_safe)))
 
 

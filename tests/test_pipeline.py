@@ -139,3 +139,10 @@ def test_raw_table_contract(spark):
     bad = spark.createDataFrame([("t", "u")], "job_title string, url string")
     with pytest.raises(ValueError, match="lacks columns"):
         silver.stage(bad, "rekrute")
+
+
+def test_cli_build_with_one_platform(spark, tmp_path):
+    from souk.__main__ import main
+    pipeline.append_bronze(bronze_table(spark, SF_SMALL, "indeed"), str(tmp_path), "indeed")
+    main(["build", str(tmp_path)])
+    assert spark.read.parquet(str(tmp_path / "gold" / "fct_jobs")).count() > 0
