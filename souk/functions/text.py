@@ -46,11 +46,6 @@ def clean_text_sql(c: str) -> str:
             f"trim(regexp_replace({c}, {sql_quote('[' + SPACE + ']+')}, ' ', 'g')) END")
 
 
-def blank_to_null(c) -> Column:
-    c = col(c)
-    return F.when(F.trim(c) != "", c)
-
-
 def trimmed_split_part(c, delimiter: str) -> Column:
     """``TRIM(SPLIT_PART(c, delimiter, 1))``: no delimiter -> whole string, NULL -> NULL."""
     return F.trim(F.split_part(col(c), F.lit(delimiter), F.lit(1)))

@@ -32,9 +32,6 @@ FACT_COLUMNS = ["job_id", "source_id", "city_id", "company_id", "contract_id", "
                 "search_keyword", "description_length", "quality_score", "offer_count"] + FLAG_COLUMNS + [
                 "scraped_at"]
 
-# Captured pages fed to the HTML extractors.
-PAGES_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType(), True),
-    T.StructField("url", S, True),
-    T.StructField("html", S, True),
-])
+# Captured pages fed to the HTML extractors (the driver's `pages` has the first three).
+CAPTURED_PAGES_DDL = ("page_id bigint, url string, html string, platform string, page_kind string, "
+                      "search_keyword string, keyword_rank int, page_no int, captured_at timestamp_ntz")

@@ -20,16 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from souk.operators.pages import RECORD_BUILDERS
 from souk.plans.pipeline import append_bronze
-
-PAGE_STREAM_SCHEMA = ("page_id bigint, url string, html string, platform string, page_kind string, "
-                      "search_keyword string, keyword_rank int, page_no int, captured_at timestamp_ntz")
+from souk.sources.schemas import CAPTURED_PAGES_DDL
 
 
 def ingest_pages(spark: SparkSession, pages_dir: str, out_dir: str, platform: str, checkpoint: str,
                  max_files_per_trigger: int | None = None):
     """Start (and return) a stream: captured pages under ``pages_dir`` ->
     ``<out_dir>/bronze/<platform>_raw``."""
-    reader = spark.readStream.schema(PAGE_STREAM_SCHEMA)
+    reader = spark.readStream.schema(CAPTURED_PAGES_DDL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.parquet(pages_dir)

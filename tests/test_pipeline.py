@@ -146,3 +146,13 @@ def test_cli_build_with_one_platform(spark, tmp_path):
     pipeline.append_bronze(bronze_table(spark, SF_SMALL, "indeed"), str(tmp_path), "indeed")
     main(["build", str(tmp_path)])
     assert spark.read.parquet(str(tmp_path / "gold" / "fct_jobs")).count() > 0
+
+
+def test_layer_column_contracts(spark, built):
+    from souk.sources.schemas import FACT_COLUMNS, UNIFIED_COLUMNS, CAPTURED_PAGES_DDL
+    from souk.sources.pages import captured_pages
+    _, t, _ = built
+    assert t["jobs_unified"].columns == UNIFIED_COLUMNS
+    assert t["fct_jobs"].columns == FACT_COLUMNS
+    pages = captured_pages(read_table(spark, SF_SMALL, "documents"), "indeed")
+    assert pages.schema.simpleString() == spark.createDataFrame([], CAPTURED_PAGES_DDL).schema.simpleString()
