@@ -86,6 +86,16 @@ def q_offers_by_day(spark, sf):
             .withColumn("n_offers", F.coalesce("n_offers", F.lit(0)).cast("bigint")))
 
 
+def q_offers_by_city_month(spark, sf):
+    """Offers per normalised city and capture month (fact ⋈ dim_city ⋈ dim_date)."""
+    _, dims, fct = star(spark, sf, with_text=False)
+    city = dims["dim_city"].select("city_id", "city_normalized")
+    month = F.broadcast(dims["dim_date"].select(F.col("date_id").alias("scraped_date_id"), "year_month"))
+    return (fct.join(city, "city_id", "left").join(month, "scraped_date_id", "left")
+            .groupBy("city_normalized", "year_month")
+            .agg(F.sum("offer_count").alias("n_offers"), F.countDistinct("company_id").alias("n_companies")))
+
+
 def q_skill_demand(spark, sf):
     """Skill dictionary with the number of bridge rows per skill."""
     _, dims, fct = star(spark, sf)
@@ -106,6 +116,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["offers_by_region"] = q_offers_by_region
     out["offers_by_source"] = q_offers_by_source
     out["offers_by_day"] = q_offers_by_day
+    out["offers_by_city_month"] = q_offers_by_city_month
     out["skill_demand"] = q_skill_demand
     from souk.plans import extraction_queries
     out.update(extraction_queries.spark_queries())
@@ -135,6 +146,10 @@ FROM dim_source s LEFT JOIN (SELECT source_id, CAST(SUM(offer_count) AS BIGINT)
     out["offers_by_day"] = oracle.with_ctes(full, """SELECT d.*, CAST(COALESCE(p.n_offers, 0) AS BIGINT) AS n_offers
 FROM dim_date d LEFT JOIN (SELECT scraped_date_id, SUM(offer_count) AS n_offers FROM fct_jobs
     GROUP BY scraped_date_id) p ON d.date_id = p.scraped_date_id""")
+    out["offers_by_city_month"] = oracle.with_ctes(full, """SELECT dc.city_normalized, dd.year_month,
+    CAST(SUM(f.offer_count) AS BIGINT) AS n_offers, COUNT(DISTINCT f.company_id) AS n_companies
+FROM fct_jobs f LEFT JOIN dim_city dc ON f.city_id = dc.city_id LEFT JOIN dim_date dd ON f.scraped_date_id = dd.date_id
+GROUP BY dc.city_normalized, dd.year_month""")
     out["skill_demand"] = oracle.with_ctes(full, """SELECT s.*, CAST(COALESCE(p.n, 0) AS BIGINT) AS n_offers
 FROM dim_skill s LEFT JOIN (SELECT skill_id, COUNT(*) AS n FROM bridge_job_skill GROUP BY skill_id) p
     ON s.skill_id = p.skill_id""")

@@ -13,7 +13,7 @@ def test_entry_runs_with_stable_schema(spark):
 
 def test_every_query_has_oracle_sql_that_binds():
     qs, sqls = E.queries(), E.oracle_sql()
-    assert set(qs) == set(sqls) and len(qs) == 27
+    assert set(qs) == set(sqls) and len(qs) == 28
     con = duckdb.connect()
     for t in ("documents", "pages"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
