@@ -61,6 +61,7 @@ def rekrute_sql() -> str:
     r2 = """SELECT *, concat_ws(' ', 'Type de contrat :', NULLIF(ct, ''),
         CASE WHEN mode <> '' THEN 'Télétravail : ' || mode END) AS ct_txt FROM r"""
     bar = "title_raw <> '' AND contains(title_raw, '|')"
+    function_text = pystrip("'Fonction : ' || \"function\"")
     final = f"""SELECT
     CASE WHEN {bar} THEN {pystrip("split_part(title_raw, '|', 1)")} ELSE title_raw END AS job_title,
     CASE WHEN doc_id % 5 <> 0 THEN NULLIF({pystrip("COALESCE(company, '')")}, '') END AS company,
@@ -69,7 +70,7 @@ def rekrute_sql() -> str:
     {pystrip('description')} AS description,
     CASE WHEN sector IS NOT NULL THEN {pystrip('sector')} || CASE WHEN seq % 2 = 0 THEN ' - Conseil' ELSE '' END
         END AS sector,
-    CASE WHEN "function" IS NOT NULL THEN regexp_replace(replace({pystrip("'Fonction : ' || \"function\"")},
+    CASE WHEN "function" IS NOT NULL THEN regexp_replace(replace({function_text},
         'Fonction :', ''), {label_strip}, '', 'g') END AS "function",
     CASE WHEN experience IS NOT NULL THEN {pystrip('experience')} END AS experience,
     CASE WHEN education IS NOT NULL THEN {pystrip('education')} END AS education,
@@ -105,7 +106,8 @@ def dreamjob_sql() -> str:
         COALESCE({clean(pystrip('description'))}, '') AS full_text,
         CASE WHEN company IS NOT NULL THEN {_alt_company("trim(company) || ' Emploi Recrutement'")} END AS alt_company
     FROM o"""
-    j2 = f"SELECT *, {pystrip("excerpt || ' ' || full_text")} AS combined FROM j"
+    combined = pystrip("excerpt || ' ' || full_text")
+    j2 = f"SELECT *, {combined} AS combined FROM j"
     final = f"""SELECT
     title AS job_title,
     COALESCE(alt_company, {X.company_from_title_sql('title')}) AS company,
