@@ -4,7 +4,6 @@ underscores, punctuation and Unicode whitespace."""
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from souk.functions.regex import to_java
 from souk.operators import extract as X
