@@ -57,3 +57,8 @@ def test_truncate_and_url(spark):
     assert [len(g) for g in got] == [5000, 0, 0]
     got = run(spark, ["/offre/1.html", "https://a.b/c"], T.absolute_url)
     assert got == ["https://www.rekrute.com/offre/1.html", "https://a.b/c"]
+
+
+def test_clean_text_unicode_whitespace(spark):
+    got = run(spark, ["a  b c", " x　", "\u0085y\x1c"], T.clean_text)
+    assert got == ["a b c", "x", "y"]  # as Python's str.split()/strip() whitespace
