@@ -264,6 +264,8 @@ def _alt_requirement(alt: str) -> list[str] | None:
             inner = text[1:-1]
             if inner.startswith("?:"):
                 inner = inner[2:]
+            elif inner.startswith("?"):  # look-arounds and flags require nothing
+                continue
             sub = required_literals(inner)
             if sub:
                 options.append(sub)

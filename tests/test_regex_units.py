@@ -34,3 +34,8 @@ def test_parallelism_guard(spark):
     spread = ensure_parallelism(docs, 6)
     assert spread.rdd.getNumPartitions() >= 6
     assert ensure_parallelism(spread, 2) is spread  # enough splits: unchanged, no exchange added
+
+
+def test_lookaround_groups_require_nothing():
+    assert required_literals(r"(?!foo)bar") == ["bar"]
+    assert required_literals(r"(?<=x)(?:ab|cd)") == ["ab", "cd"]
