@@ -71,6 +71,23 @@ def text(name: str) -> Text:
     return Text(F.col(name), F.col(f"__folded_{name}"))
 
 
+def folded(name: str) -> Column:
+    return F.col(f"__folded_{name}")
+
+
+def with_folded_joins(df, joins: dict[str, tuple[str, ...]], strip: bool = False):
+    """Add ``name`` = parts joined by one space (falsy parts skipped, as
+    ``joined_text``) together with its folded copy built from the parts'
+    folded copies — no extra pass over the text.  Lower-casing works per
+    character except Greek final sigma, whose context a space separator
+    isolates, so folding the join equals joining the folds."""
+    cols = []
+    for name, parts in joins.items():
+        cols.append(joined_text(*parts).alias(name))
+        cols.append(F.concat_ws(" ", *[F.when(folded(p) != "", folded(p)) for p in parts]).alias(f"__folded_{name}"))
+    return df.select("*", *cols)
+
+
 def city(t: Text) -> Column:
     """First gazetteer city named as a whole word."""
     return first_match(t.c, CITY_RULES, None, t.folded)

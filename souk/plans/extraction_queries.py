@@ -6,7 +6,7 @@ bronze offers), so every query scans whole texts of the given table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.regex import SPACE, sql_quote
@@ -39,11 +39,14 @@ def _py_strip_sql(c: str) -> str:
 def q_extract_dreamjob(spark, sf) -> DataFrame:
     """Dreamjob record fields from title, excerpt and whole description."""
     t = _texts(spark, sf)
-    combined = F.regexp_replace(F.concat(F.coalesce("excerpt", F.lit("")), F.lit(" "),
-                                         F.coalesce("description", F.lit(""))), _STRIP, "")
-    t = t.select("doc_id", "title", "excerpt", "description", "headline", combined.alias("combined"))
-    t = X.with_folded(t.select("*", X.joined_text("title", "combined").alias("title_text")),
-                      "excerpt", "description", "combined", "title_text")
+    t = X.with_folded(t.select("doc_id", "title", "excerpt", "description", "headline"),
+                      "title", "excerpt", "description")
+
+    def spaced(a: Column, b: Column) -> Column:  # f"{excerpt} {description}".strip()
+        return F.regexp_replace(F.concat(F.coalesce(a, F.lit("")), F.lit(" "), F.coalesce(b, F.lit(""))), _STRIP, "")
+    t = t.select("*", spaced(F.col("excerpt"), F.col("description")).alias("combined"),
+                 spaced(X.folded("excerpt"), X.folded("description")).alias("__folded_combined"))
+    t = X.with_folded_joins(t, {"title_text": ("title", "combined")})
     comb = X.text("combined")
     return t.select(
         "doc_id",
@@ -58,9 +61,8 @@ def q_extract_dreamjob(spark, sf) -> DataFrame:
 
 def q_extract_indeed(spark, sf) -> DataFrame:
     """Indeed record fields; contract falls back to the card metadata."""
-    t = _texts(spark, sf)
-    t = X.with_folded(t.select("*", X.joined_text("title", "description").alias("title_text")),
-                      "description", "title_text")
+    t = X.with_folded(_texts(spark, sf), "title", "description")
+    t = X.with_folded_joins(t, {"title_text": ("title", "description")})
     desc = X.text("description")
     return t.select(
         "doc_id",
