@@ -38,3 +38,16 @@ def test_profile_and_grain(spark):
     assert got["q"].n_company == 0
     dup = spark.createDataFrame([("j1",), ("j1",), ("j2",)], "job_id string")
     assert [tuple(r) for r in grain_check(dup, ["job_id"]).collect()] == [("j1", 2)]
+
+
+def test_dedup_with_a_hot_key_matches_brute_force(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else f"u{rnd.randint(0, 400)}", rnd.randint(0, 50), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "url string, rank int, pos int").repartition(6)
+    got = {r.url: (r.rank, r.pos) for r in keep_first(df, ["url"], [F.col("rank"), F.col("pos")]).collect()}
+    want = {}
+    for url, rank, pos in rows:
+        if url not in want or (rank, pos) < want[url]:
+            want[url] = (rank, pos)
+    assert got == want and got["hot"] == min((r, p) for u, r, p in rows if u == "hot")
