@@ -18,15 +18,21 @@ PLATFORMS = ("rekrute", "dreamjob", "indeed", "linkedin")
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="souk")
+    parser = argparse.ArgumentParser(prog="souk", description="Job-offer pages to a star schema, on Spark.")
     sub = parser.add_subparsers(dest="cmd", required=True)
-    ex = sub.add_parser("extract")
-    ex.add_argument("pages"), ex.add_argument("out"), ex.add_argument("platform", choices=PLATFORMS)
-    ing = sub.add_parser("ingest")
-    ing.add_argument("pages"), ing.add_argument("out"), ing.add_argument("platform", choices=PLATFORMS)
-    ing.add_argument("checkpoint")
-    bd = sub.add_parser("build")
-    bd.add_argument("out"), bd.add_argument("--asof"), bd.add_argument("--grain-safe", action="store_true")
+    ex = sub.add_parser("extract", help="captured pages -> one bronze batch of one platform")
+    ex.add_argument("pages", help="Parquet of captured pages (page_id, url, html, platform, page_kind, ...)")
+    ex.add_argument("out", help="warehouse root (bronze/, silver/, gold/ below it)")
+    ex.add_argument("platform", choices=PLATFORMS)
+    ing = sub.add_parser("ingest", help="the same as an exactly-once file stream (availableNow)")
+    ing.add_argument("pages", help="folder receiving captured-page Parquet files")
+    ing.add_argument("out", help="warehouse root")
+    ing.add_argument("platform", choices=PLATFORMS)
+    ing.add_argument("checkpoint", help="streaming checkpoint folder (shared storage)")
+    bd = sub.add_parser("build", help="bronze -> silver and gold tables (full refresh)")
+    bd.add_argument("out", help="warehouse root holding bronze/<platform>_raw")
+    bd.add_argument("--asof", help="reference day of the calendar's relative flags (default: today)")
+    bd.add_argument("--grain-safe", action="store_true", help="one dimension row per city/contract label")
     args = parser.parse_args(argv)
 
     spark = get_spark(app_name=f"souk-{args.cmd}")
