@@ -1,0 +1,12 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs(spark, rows):
+    """Documents from (doc_id, text) or (doc_id, text, source)."""
+    return spark.createDataFrame([(r[0], r[1], None, r[2] if len(r) > 2 else "s", None) for r in rows], DOC)
