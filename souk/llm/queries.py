@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import suffix_dedup, window_dedup
+from souk.llm import host_rules, mixing, secret_ledger, suffix_dedup, window_dedup
 from souk.llm.common import documents
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.by_position(mixing.assign(documents(spark, sf_dir)))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(suffix_dedup.remove_repeats(documents(spark, sf_dir)))
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(documents(spark, sf_dir))
+
+
 def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.report(window_dedup.remove_repeats(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op5_window_dedup)}
-SQL: dict[str, str] = {}
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.report(secret_ledger.findings(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op4_host_rules, op5_window_dedup, op7_secret_ledger)}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL}
