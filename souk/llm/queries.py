@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import host_rules, mixing, secret_ledger, suffix_dedup, window_dedup
+from souk.llm import fm_decontam, host_rules, mixing, secret_ledger, simhash_pivots, suffix_dedup, window_dedup
 from souk.llm.common import documents
 
 
@@ -28,5 +28,14 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(secret_ledger.findings(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op4_host_rules, op5_window_dedup, op7_secret_ledger)}
-SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL}
+def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pivots.report(simhash_pivots.groups(documents(spark, sf_dir)))
+
+
+def op10_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return fm_decontam.report(fm_decontam.contamination(documents(spark, sf_dir), items))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op4_host_rules, op5_window_dedup, op7_secret_ledger, op9_simhash_pivots, op10_fm_decontam)}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL, "op10_fm_decontam": fm_decontam.SQL}
