@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import fm_decontam, host_rules, mixing, secret_ledger, simhash_pivots, suffix_dedup, window_dedup
+from souk.llm import (
+    byte_cnn, fm_decontam, host_rules, lm_scoring, mixing, secret_ledger, simhash_pivots, suffix_dedup, toxicity, window_dedup,
+)
 from souk.llm.common import documents
 
 
@@ -16,6 +18,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(suffix_dedup.remove_repeats(documents(spark, sf_dir)))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lm_scoring.score(docs, lm_scoring.training_rows(docs))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
 
@@ -24,10 +31,20 @@ def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.report(window_dedup.remove_repeats(documents(spark, sf_dir)))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.report(toxicity.score(docs, toxicity.train(docs, labels, keep=toxicity.training_rows(labels))))
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(secret_ledger.findings(documents(spark, sf_dir)))
 
 
+def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return byte_cnn.report(byte_cnn.score(docs, byte_cnn.train(docs, labels, keep=byte_cnn.training_rows(labels))))
+
+
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivots.report(simhash_pivots.groups(documents(spark, sf_dir)))
 
@@ -37,5 +54,6 @@ def op10_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.report(fm_decontam.contamination(documents(spark, sf_dir), items))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op4_host_rules, op5_window_dedup, op7_secret_ledger, op9_simhash_pivots, op10_fm_decontam)}
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_suffix_dedup, op3_lm_scoring, op4_host_rules, op5_window_dedup, op6_toxicity, op7_secret_ledger, op8_byte_cnn, op9_simhash_pivots, op10_fm_decontam)}
 SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL, "op10_fm_decontam": fm_decontam.SQL}
