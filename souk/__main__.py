@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     ex.add_argument("pages", help="Parquet of captured pages (page_id, url, html, platform, page_kind, ...)")
     ex.add_argument("out", help="warehouse root (bronze/, silver/, gold/ below it)")
     ex.add_argument("platform", choices=PLATFORMS)
+    ex.add_argument("--max-chars", type=int, help="cut stored descriptions (default: whole)")
     ing = sub.add_parser("ingest", help="the same as an exactly-once file stream (availableNow)")
     ing.add_argument("pages", help="folder receiving captured-page Parquet files")
     ing.add_argument("out", help="warehouse root")
@@ -33,15 +34,14 @@ def main(argv: list[str] | None = None) -> None:
     bd.add_argument("out", help="warehouse root holding bronze/<platform>_raw")
     bd.add_argument("--asof", help="reference day of the calendar's relative flags (default: today)")
     bd.add_argument("--grain-safe", action="store_true", help="one dimension row per city/contract label")
+    bd.add_argument("--register", action="store_true", help="name the tables silver.<table> and gold.<table>")
     args = parser.parse_args(argv)
 
     spark = get_spark(app_name=f"souk-{args.cmd}")
     if args.cmd == "extract":
-        from souk.operators.pages import RECORD_BUILDERS
         from souk.operators.quality import completeness_profile
-        records = RECORD_BUILDERS[args.platform](spark.read.parquet(args.pages))
         batch = f"run-{spark.sparkContext.applicationId}"
-        wrote = pipeline.append_bronze(records, args.out, args.platform, batch_id=batch)
+        wrote = pipeline.load_pages(spark.read.parquet(args.pages), args.out, args.platform, batch, args.max_chars)
         profile = {}
         if wrote:  # A8: the batch's completeness, read back from what was written
             written = spark.read.parquet(f"{pipeline.layer_path(args.out, 'bronze', args.platform + '_raw')}"
@@ -52,16 +52,12 @@ def main(argv: list[str] | None = None) -> None:
         from souk.streaming.ingest import ingest_pages
         ingest_pages(spark, args.pages, args.out, args.platform, args.checkpoint).awaitTermination()
     else:
-        from pyspark.errors import AnalysisException
-        bronze = {}
-        for p in PLATFORMS:
-            try:  # a platform without any captured batch has no raw table yet
-                bronze[p] = pipeline.read_bronze(spark, args.out, p).drop("batch_id", "capture_date")
-            except AnalysisException:
-                continue
+        # a platform without any captured batch has no raw table yet; one that can't be read is an error
+        bronze = {p: pipeline.read_bronze(spark, args.out, p).drop("batch_id", "capture_date")
+                  for p in PLATFORMS if pipeline.path_exists(spark, pipeline.layer_path(args.out, "bronze", f"{p}_raw"))}
         if not bronze:
             raise SystemExit(f"no raw tables under {args.out}/bronze")
-        print(json.dumps(pipeline.build_all(spark, bronze, args.out, asof=args.asof, grain_safe=args.grain_safe)))
+        print(json.dumps(pipeline.build_all(spark, bronze, args.out, asof=args.asof, grain_safe=args.grain_safe, register=args.register)))
 
 
 if __name__ == "__main__":

@@ -51,14 +51,14 @@ def trimmed_split_part(c, delimiter: str) -> Column:
     return F.trim(F.split_part(col(c), F.lit(delimiter), F.lit(1)))
 
 
-def truncate_description(c, max_chars: int = X.DESCRIPTION_MAX_CHARS) -> Column:
-    """Stored description = first ``max_chars`` characters, NULL/'' -> ''.
+def truncate_description(c, max_chars: int | None = None) -> Column:
+    """Stored description, NULL/'' -> ''; whole unless ``max_chars`` is given.
 
-    This is the collectors' storage rule; extraction rules always read the
-    whole text before it is applied.
+    The collectors store the first ``X.DESCRIPTION_MAX_CHARS`` characters; a
+    caller that wants that passes it.  Extraction rules read the whole text.
     """
-    c = col(c)
-    return F.when(c.isNull() | (c == ""), F.lit("")).otherwise(F.substring(c, 1, max_chars))
+    whole = F.coalesce(col(c), F.lit(""))
+    return whole if max_chars is None else F.substring(whole, 1, max_chars)
 
 
 def absolute_url(c, host: str = X.REKRUTE_HOST) -> Column:

@@ -104,15 +104,15 @@ def education(t: Text, platform: str = "dreamjob") -> Column:
     return first_match(t.c, rules, None, t.folded)
 
 
-def functions(t: Text, platform: str = "dreamjob") -> Column:
-    """The first three job functions found, joined ' - '."""
+def functions(t: Text, platform: str = "dreamjob", k: int | None = None) -> Column:
+    """The job functions found (the first ``k`` if given), joined ' - '."""
     rules = FUNCTION_DREAMJOB_RULES if platform == "dreamjob" else FUNCTION_INDEED_RULES
-    return all_matches(t.c, rules, " - ", 3, t.folded)
+    return all_matches(t.c, rules, " - ", k, t.folded)
 
 
-def sectors(t: Text) -> Column:
-    """The first two sectors found, joined ' - '."""
-    return all_matches(t.c, SECTOR_RULES, " - ", 2, t.folded)
+def sectors(t: Text, k: int | None = None) -> Column:
+    """The sectors found (the first ``k`` if given), joined ' - '."""
+    return all_matches(t.c, SECTOR_RULES, " - ", k, t.folded)
 
 
 def _years(t: "Text", pattern: str) -> tuple[Column, Column]:
@@ -175,13 +175,13 @@ def education_sql(c: str, platform: str = "dreamjob") -> str:
     return first_match_sql(c, EDUCATION_DREAMJOB_RULES if platform == "dreamjob" else EDUCATION_INDEED_RULES)
 
 
-def functions_sql(c: str, platform: str = "dreamjob") -> str:
+def functions_sql(c: str, platform: str = "dreamjob", k: int | None = None) -> str:
     return all_matches_sql(c, FUNCTION_DREAMJOB_RULES if platform == "dreamjob" else FUNCTION_INDEED_RULES,
-                           " - ", 3)
+                           " - ", k)
 
 
-def sectors_sql(c: str) -> str:
-    return all_matches_sql(c, SECTOR_RULES, " - ", 2)
+def sectors_sql(c: str, k: int | None = None) -> str:
+    return all_matches_sql(c, SECTOR_RULES, " - ", k)
 
 
 # ------------------------------------------------------- X6 LinkedIn criteria
@@ -212,15 +212,16 @@ def criteria_value(mapped: Column, name: str) -> Column:
 _COMPANY_STRIP = "^[ \\-–—,.:]+|[ \\-–—,.:]+$"
 
 
-def company_from_title(title) -> Column:
-    """The first pattern whose captured name (stripped of `` -–—,.:``)
-    is 3–59 characters long; NULL otherwise."""
+def company_from_title(title, shortest: int = X.COMPANY_SHORTEST, longest: int | None = X.COMPANY_LONGEST) -> Column:
+    """The first pattern whose captured name (stripped of `` -–—,.:``) has
+    ``shortest`` to ``longest`` characters (None: any more); NULL otherwise."""
     t = F.col(title) if isinstance(title, str) else title
     out = None
     for p in X.COMPANY_FROM_TITLE:
         java = to_java(p, ignore_case=True)
         name = F.regexp_replace(F.regexp_extract(t, java, 1), _COMPANY_STRIP, "")
-        ok = t.rlike(java) & (F.length(name) > 2) & (F.length(name) < 60)
+        ok = t.rlike(java) & (F.length(name) >= shortest)
+        ok = ok if longest is None else ok & (F.length(name) <= longest)
         out = F.when(ok, name) if out is None else out.when(ok, name)
     return out
 
@@ -230,5 +231,5 @@ def company_from_title_sql(c: str) -> str:
     for p in X.COMPANY_FROM_TITLE:
         re2 = sql_quote(to_re2(p, ignore_case=True))
         name = f"regexp_replace(regexp_extract({c}, {re2}, 1), {sql_quote(_COMPANY_STRIP)}, '', 'g')"
-        arms.append(f"WHEN regexp_matches({c}, {re2}) AND length({name}) > 2 AND length({name}) < 60 THEN {name}")
+        arms.append(f"WHEN regexp_matches({c}, {re2}) AND length({name}) BETWEEN {X.COMPANY_SHORTEST} AND {X.COMPANY_LONGEST} THEN {name}")
     return "CASE " + " ".join(arms) + " END"

@@ -13,18 +13,16 @@ from souk.functions.regex import SPACE, sql_quote
 from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, url_without_query
 from souk.operators import extract as X
 from souk.operators.dedup import keep_first
-from souk.operators.partitioning import ensure_parallelism
 from souk.operators.quality import completeness_profile, completeness_profile_sql, grain_check
 from souk.plans import oracle
 from souk.rulesets import extraction as D
-from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, read_table
+from souk.sources.offers import bronze_offers, offer_texts, offer_texts_sql, read_table, source_rows
 
 _STRIP = f"^[{SPACE}]+|[{SPACE}]+$"
 
 
 def _documents(spark, sf):
-    """The documents table, spread over the cores before per-row text work."""
-    return ensure_parallelism(read_table(spark, sf, "documents"))
+    return read_table(spark, sf, "documents")
 
 
 def _texts(spark, sf):
@@ -55,7 +53,7 @@ def q_extract_dreamjob(spark, sf) -> DataFrame:
         X.contracts(comb).alias("contract_type"),
         X.education(comb, "dreamjob").alias("education"),
         X.experience(comb, "dreamjob").alias("experience"),
-        X.functions(X.text("title_text"), "dreamjob").alias("function"),
+        X.functions(X.text("title_text"), "dreamjob", D.FUNCTION_LABELS).alias("function"),
     )
 
 
@@ -69,8 +67,8 @@ def q_extract_indeed(spark, sf) -> DataFrame:
         F.coalesce(X.contracts(desc, english=True), clean_text("card_meta")).alias("contract_type"),
         X.education(desc, "indeed").alias("education"),
         X.experience(desc, "indeed").alias("experience"),
-        X.functions(X.text("title_text"), "indeed").alias("function"),
-        X.sectors(desc).alias("sector"),
+        X.functions(X.text("title_text"), "indeed", D.FUNCTION_LABELS).alias("function"),
+        X.sectors(desc, D.SECTOR_LABELS).alias("sector"),
     )
 
 
@@ -123,27 +121,65 @@ def q_bronze_profile(spark, sf) -> DataFrame:
 
 def q_fct_grain_check(spark, sf) -> DataFrame:
     """T2 guard: job_ids held by more than one fact row."""
-    from souk.plans.registry import star
-    return grain_check(star(spark, sf, with_text=False)[2], ["job_id"])
+    from souk.plans import gold, registry
+    jobs = registry.narrow(spark, sf)
+    return grain_check(gold.fact_ids(jobs, registry.dimensions(spark, jobs, "dim_city", "dim_contract")), ["job_id"])
 
 
 def q_page_articles(spark, sf) -> DataFrame:
     """X5 on the driver's captured web pages: cleaned article text per page."""
     from souk.operators.pages import page_articles
-    return page_articles(ensure_parallelism(read_table(spark, sf, "pages")))
+    return page_articles(read_table(spark, sf, "pages"))
 
 
 def _bronze_from_pages(platform: str):
     def q(spark, sf) -> DataFrame:
         from souk.operators.pages import RECORD_BUILDERS
         from souk.sources.pages import captured_pages
-        return RECORD_BUILDERS[platform](captured_pages(_documents(spark, sf), platform))
+        return RECORD_BUILDERS[platform](captured_pages(source_rows(spark, sf), platform))
     q.__doc__ = f"M16 {platform}: bronze records extracted from rendered list/detail pages."
     return q
 
 
+RUN_TWO_DAYS = 7
+
+
+def two_runs(spark, sf, platform: str = "indeed") -> DataFrame:
+    """The pages of a run, and the same pages captured again a week later."""
+    from souk.sources.pages import captured_pages
+    first = captured_pages(source_rows(spark, sf), platform)
+    again = first.withColumns({"run_id": F.lit("run-2"), "page_id": F.col("page_id") + 1,
+                               "captured_at": F.col("captured_at") + F.expr(f"INTERVAL {RUN_TWO_DAYS} DAYS")})
+    return first.unionByName(again)
+
+
+def q_bronze_indeed_runs(spark, sf) -> DataFrame:
+    """X21, X22, X25 over two runs: every run has its own record of an offer."""
+    from souk.operators.pages import RECORD_BUILDERS
+    return RECORD_BUILDERS["indeed"](two_runs(spark, sf))
+
+
+def q_silver_of_runs(spark, sf) -> DataFrame:
+    """W1 over two runs: silver keeps the newest capture of each offer."""
+    from souk.plans import silver
+    out = silver.jobs_unified(silver.stage(q_bronze_indeed_runs(spark, sf), "indeed"))
+    return out.select("job_id", "url", "scraped_at", "description_length")
+
+
+def q_page_errors(spark, sf) -> DataFrame:
+    """Pages that were captured without content, as the error table has them."""
+    from souk.operators.pages import page_errors, walked
+    from souk.sources.pages import captured_pages
+    pages = captured_pages(source_rows(spark, sf), "indeed")
+    lost = F.when(F.pmod("page_id", F.lit(5)) != 2, F.col("html"))
+    return page_errors(walked(pages.withColumn("html", lost), "indeed")).drop("captured_at")
+
+
 def spark_queries() -> dict:
     return {
+        "bronze_indeed_runs": q_bronze_indeed_runs,
+        "silver_of_runs": q_silver_of_runs,
+        "page_errors": q_page_errors,
         "page_articles": q_page_articles,
         "bronze_rekrute_pages": _bronze_from_pages("rekrute"),
         "bronze_dreamjob_pages": _bronze_from_pages("dreamjob"),
@@ -171,14 +207,14 @@ def oracle_queries() -> dict:
     {X.contracts_sql('combined')} AS contract_type,
     {X.education_sql('combined', 'dreamjob')} AS education,
     {X.experience_sql('combined', 'dreamjob')} AS experience,
-    {X.functions_sql(X.joined_text_sql('title', 'combined'), 'dreamjob')} AS "function"
+    {X.functions_sql(X.joined_text_sql('title', 'combined'), 'dreamjob', D.FUNCTION_LABELS)} AS "function"
 FROM (SELECT *, {combined} AS combined FROM t)"""
-    indeed = f"""SELECT doc_id,
+    indeed_texts = f"""SELECT doc_id,
     COALESCE({X.contracts_sql('description', True)}, {clean_text_sql('card_meta')}) AS contract_type,
     {X.education_sql('description', 'indeed')} AS education,
     {X.experience_sql('description', 'indeed')} AS experience,
-    {X.functions_sql(X.joined_text_sql('title', 'description'), 'indeed')} AS "function",
-    {X.sectors_sql('description')} AS sector
+    {X.functions_sql(X.joined_text_sql('title', 'description'), 'indeed', D.FUNCTION_LABELS)} AS "function",
+    {X.sectors_sql('description', D.SECTOR_LABELS)} AS sector
 FROM t"""
     field_case = "CASE " + " ".join(
         "WHEN " + " OR ".join(f"contains(lower(x.h), '{n}')" for n in needles) + f" THEN '{name}'"
@@ -201,14 +237,20 @@ FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_ran
     SELECT *, ROW_NUMBER() OVER (PARTITION BY url ORDER BY kw_rank, page, pos) AS rn FROM ({cards})) WHERE rn = 1"""
     from souk.plans import page_oracle
     from souk.sources.offers import BRONZE_OFFERS_SQL
+    indeed = page_oracle.oracle_queries()["bronze_indeed_pages"]
+    again = f"SELECT * FROM ({indeed}) UNION ALL SELECT * REPLACE (scraped_at + INTERVAL {RUN_TWO_DAYS} DAY AS scraped_at) FROM ({indeed})"
     return {
         **page_oracle.oracle_queries(),
+        "bronze_indeed_runs": again,
+        "silver_of_runs": f"""SELECT md5(url) AS job_id, url, max(scraped_at) AS scraped_at,
+    CAST(max(length(trim(description))) AS INTEGER) AS description_length FROM ({again}) WHERE job_title IS NOT NULL GROUP BY url""",
+        "page_errors": page_oracle.page_errors_sql(),
         "extract_dreamjob": oracle.with_ctes(_texts_cte(), dreamjob),
-        "extract_indeed": oracle.with_ctes(_texts_cte(), indeed),
+        "extract_indeed": oracle.with_ctes(_texts_cte(), indeed_texts),
         "extract_linkedin": oracle.with_ctes(_texts_cte(), linkedin),
         "first_seen_cards": first_seen,
         "bronze_profile": oracle.with_ctes([("bronze", BRONZE_OFFERS_SQL)], completeness_profile_sql("bronze", "source")),
-        "fct_grain_check": oracle.with_ctes(oracle.full_ctes(oracle.ASOF),
+        "fct_grain_check": oracle.with_ctes(oracle.full_ctes(),
                                             "SELECT job_id, COUNT(*) AS n_rows FROM fct_jobs GROUP BY job_id "
                                             "HAVING COUNT(*) > 1"),
     }

@@ -22,10 +22,17 @@ from souk.rulesets import warehouse as R
 
 
 def sorted_distinct_join(c: Column | str, sep: str) -> Column:
-    """A4: ``STRING_AGG(DISTINCT c, sep ORDER BY c)`` (binary order)."""
+    """A4: ``STRING_AGG(DISTINCT c, sep ORDER BY c)`` (binary order); only for few values a group."""
     return F.array_join(F.array_sort(F.collect_set(c)), sep)
 
 
+def _joined(column: str, wanted: bool) -> list[Column]:
+    """The label's raw values as one string, where a caller asks for it: labels
+    that take unknown free text have as many of them as the data holds, so the
+    default is a row for each (``variants``)."""
+    return [sorted_distinct_join(column, " | ").alias("raw_variants")] if wanted else []
+
+
 def _thresholds(value: Column, steps, default: str) -> Column:
     """First ``value >= bound`` step wins."""
     out = None
@@ -81,21 +88,22 @@ def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(C.PLATFORMS, schema)
 
 
-def dim_city(jobs: DataFrame, grain_safe: bool = False) -> DataFrame:
-    """M7: one row per (normalised city, region) with its raw variants.
+def city_labels(jobs: DataFrame) -> DataFrame:
+    """(city_raw, city_normalized, region) of each city that occurs."""
+    raw = jobs.filter(_not_blank("city")).select(F.col("city").alias("city_raw")).distinct()
+    return raw.select("city_raw", city_key("city_raw").alias("city_normalized"), region_of("city_raw").alias("region"))
+
+
+def dim_city(jobs: DataFrame, grain_safe: bool = False, joined_variants: bool = False) -> DataFrame:
+    """M7: one row per (normalised city, region) and how many raw values it has.
 
     Grouped on the pair, so a label with two regions gives two rows (T1);
     ``grain_safe=True`` keeps one row per label (smallest id).  ``city_id``
     orders by label, then region (tie-break of the reference's ambiguous order).
     """
-    raw = jobs.filter(_not_blank("city")).select(F.col("city").alias("city_raw")).distinct()
-    labelled = raw.select("city_raw", city_key("city_raw").alias("city_normalized"),
-                          region_of("city_raw").alias("region"))
-    grouped = labelled.groupBy("city_normalized", "region").agg(
-        sorted_distinct_join("city_raw", " | ").alias("raw_variants"),
-        F.count(F.lit(1)).alias("nb_raw_variants"))   # input is already distinct
-    numbered = global_row_number(grouped, [F.col("city_normalized"), F.col("region")], "city_id")
-    out = numbered.select("city_id", "city_normalized", "region", "raw_variants", "nb_raw_variants")
+    grouped = city_labels(jobs).groupBy("city_normalized", "region").agg(
+        F.count(F.lit(1)).alias("nb_raw_variants"), *_joined("city_raw", joined_variants))   # input is already distinct
+    out = global_row_number(grouped, [F.col("city_normalized"), F.col("region")], "city_id")
     return collapse_to_key(out, "city_normalized", "city_id") if grain_safe else out
 
 
@@ -116,53 +124,71 @@ def dim_company(jobs: DataFrame) -> DataFrame:
         .alias("recruiter_category"))
 
 
-def dim_contract(jobs: DataFrame, grain_safe: bool = False) -> DataFrame:
+def contract_labels(jobs: DataFrame) -> DataFrame:
+    """(contract_main, contract_normalized, contract_category) of each contract that occurs."""
+    raw = jobs.filter(_not_blank("contract_type")).select(contract_main("contract_type").alias("contract_main")).distinct()
+    main = F.col("contract_main")
+    return raw.select(main, contract_key(main).alias("contract_normalized"), contract_category(main).alias("contract_category"))
+
+
+def dim_contract(jobs: DataFrame, grain_safe: bool = False, joined_variants: bool = False) -> DataFrame:
     """M9: contract labels × duration category (at most 9 × 5 rows); with
     ``grain_safe=True`` one row per label (smallest id)."""
-    raw = (jobs.filter(_not_blank("contract_type"))
-           .select(contract_main("contract_type").alias("contract_main")).distinct())
-    grouped = raw.groupBy(contract_key(F.col("contract_main")).alias("contract_normalized"),
-                          contract_category(F.col("contract_main")).alias("contract_category")).agg(
-        sorted_distinct_join("contract_main", " | ").alias("raw_variants"),
-        F.count(F.lit(1)).alias("nb_raw_variants"))
-    numbered = small_row_number(grouped, [F.col("contract_normalized"), F.col("contract_category")], "contract_id")
-    out = numbered.select("contract_id", "contract_normalized", "contract_category", "raw_variants",
-                          "nb_raw_variants")
+    grouped = contract_labels(jobs).groupBy("contract_normalized", "contract_category").agg(
+        F.count(F.lit(1)).alias("nb_raw_variants"), *_joined("contract_main", joined_variants))
+    out = small_row_number(grouped, [F.col("contract_normalized"), F.col("contract_category")], "contract_id")
     return collapse_to_key(out, "contract_normalized", "contract_id") if grain_safe else out
 
 
-def _levelled_dim(jobs: DataFrame, column: str, prefix: str, key_rules, key_default, level_rules,
-                  level_default, category_steps, category_default) -> DataFrame:
-    raw = jobs.filter(_not_blank(column)).select(F.col(column).alias(f"{prefix}_raw")).distinct()
-    r = F.col(f"{prefix}_raw")
-    grouped = raw.groupBy(first_match(r, key_rules, key_default).alias(f"{prefix}_normalized")).agg(
-        F.min(first_match(r, level_rules, level_default)).alias(f"{prefix}_level_order"),
-        sorted_distinct_join(f"{prefix}_raw", " | ").alias("raw_variants"),
-        F.count(F.lit(1)).alias("nb_raw_variants"))
-    numbered = small_row_number(grouped, [F.col(f"{prefix}_level_order"), F.col(f"{prefix}_normalized")],
-                                f"{prefix}_id", dense=True)
-    return numbered.select(
-        f"{prefix}_id", f"{prefix}_normalized", f"{prefix}_level_order",
-        _thresholds(F.col(f"{prefix}_level_order"), category_steps, category_default).alias(f"{prefix}_category"),
-        "raw_variants", "nb_raw_variants")
+def level_labels(jobs: DataFrame, name: str) -> DataFrame:
+    """(<name>_raw, <name>_normalized, level) of each education or experience that occurs."""
+    raw = jobs.filter(_not_blank(name)).select(F.col(name).alias(f"{name}_raw")).distinct()
+    r = F.col(f"{name}_raw")
+    rules, default, levels, top = {
+        "education": (R.EDUCATION_DIM_RULES, R.EDUCATION_DEFAULT, R.EDUCATION_LEVEL_RULES, R.EDUCATION_LEVEL_DEFAULT),
+        "experience": (R.EXPERIENCE_DIM_RULES, R.EXPERIENCE_DEFAULT, R.EXPERIENCE_LEVEL_RULES, R.EXPERIENCE_LEVEL_DEFAULT)}[name]
+    return raw.select(r, first_match(r, rules, default).alias(f"{name}_normalized"), first_match(r, levels, top).alias("level"))
+
 
+def _levelled_dim(jobs: DataFrame, name: str, steps, default: str, joined_variants: bool) -> DataFrame:
+    level = F.col(f"{name}_level_order")
+    grouped = level_labels(jobs, name).groupBy(f"{name}_normalized").agg(
+        F.min("level").alias(f"{name}_level_order"), F.count(F.lit(1)).alias("nb_raw_variants"), *_joined(f"{name}_raw", joined_variants))
+    numbered = small_row_number(grouped, [level, F.col(f"{name}_normalized")], f"{name}_id", dense=True)
+    return numbered.withColumn(f"{name}_category", _thresholds(level, steps, default))
 
-def dim_education(jobs: DataFrame) -> DataFrame:
+
+def dim_education(jobs: DataFrame, joined_variants: bool = False) -> DataFrame:
     """At most six labels; level = MIN over the label's raw values."""
-    return _levelled_dim(jobs, "education", "education", R.EDUCATION_DIM_RULES, R.EDUCATION_DEFAULT,
-                         R.EDUCATION_LEVEL_RULES, R.EDUCATION_LEVEL_DEFAULT, R.EDUCATION_CATEGORY_BY_LEVEL,
-                         R.EDUCATION_CATEGORY_DEFAULT)
+    return _levelled_dim(jobs, "education", R.EDUCATION_CATEGORY_BY_LEVEL, R.EDUCATION_CATEGORY_DEFAULT, joined_variants)
 
 
-def dim_experience(jobs: DataFrame) -> DataFrame:
+def dim_experience(jobs: DataFrame, joined_variants: bool = False) -> DataFrame:
     """At most five labels; level = MIN over raw values."""
-    return _levelled_dim(jobs, "experience", "experience", R.EXPERIENCE_DIM_RULES, R.EXPERIENCE_DEFAULT,
-                         R.EXPERIENCE_LEVEL_RULES, R.EXPERIENCE_LEVEL_DEFAULT, R.EXPERIENCE_CATEGORY_BY_LEVEL,
-                         R.EXPERIENCE_CATEGORY_DEFAULT)
+    return _levelled_dim(jobs, "experience", R.EXPERIENCE_CATEGORY_BY_LEVEL, R.EXPERIENCE_CATEGORY_DEFAULT, joined_variants)
+
 
+#: Labels of each attribute: how to get them, their raw value and what identifies the dimension's row.
+VARIANTS = {
+    "city": (city_labels, "city_raw", ["city_normalized", "region"]),
+    "contract": (contract_labels, "contract_main", ["contract_normalized", "contract_category"]),
+    "education": (lambda jobs: level_labels(jobs, "education"), "education_raw", ["education_normalized"]),
+    "experience": (lambda jobs: level_labels(jobs, "experience"), "experience_raw", ["experience_normalized"]),
+}
 
-def dim_date(spark: SparkSession, asof: _dt.date | str | None = None) -> DataFrame:
-    """Calendar 2024-01-01 … 2026-12-31 with French labels.
+
+def variants(jobs: DataFrame, name: str, dim: DataFrame | None = None) -> DataFrame:
+    """A4 as a long table: a row for each raw value, with its label (and the
+    id, if the dimension is given)."""
+    labels, raw, keys = VARIANTS[name]
+    out = labels(jobs).select(*keys, F.col(raw).alias("raw_value"))
+    return out if dim is None else out.join(dim.select(*keys, f"{name}_id"), keys)
+
+
+def dim_date(spark: SparkSession, asof: _dt.date | str | None = None, jobs: DataFrame | None = None,
+             start: str = C.CALENDAR_START, end: str = C.CALENDAR_END) -> DataFrame:
+    """Calendar ``start`` … ``end`` with French labels; ``jobs`` widens it
+    to the days of its captures, so that no offer is outside.
 
     ``asof`` is the reference day of the relative flags (default: today);
     the flags have no upper bound, so future days are TRUE as in the reference.
@@ -170,9 +196,10 @@ def dim_date(spark: SparkSession, asof: _dt.date | str | None = None) -> DataFra
     today = F.current_date() if asof is None else F.lit(str(asof)).cast("date")
     d = F.col("full_date")
     dow = F.dayofweek(d) - 1  # 0 = Sunday
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(C.CALENDAR_START).cast("date"),
-                                                      F.lit(C.CALENDAR_END).cast("date"),
-                                                      F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    low, high = F.lit(start).cast("date"), F.lit(end).cast("date")
+    span = spark.range(1).select(low.alias("low"), high.alias("high")) if jobs is None else jobs.agg(
+        F.least(F.min(F.to_date("scraped_at")), low).alias("low"), F.greatest(F.max(F.to_date("scraped_at")), high).alias("high"))
+    days = span.select(F.explode(F.sequence("low", "high", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     return days.select(
         F.date_format(d, "yyyyMMdd").cast("int").alias("date_id"),
         d,
@@ -217,60 +244,75 @@ def collapse_to_key(dim: DataFrame, key: str, id_col: str) -> DataFrame:
     return keep_first(dim, [key], [F.col(id_col)])
 
 
-def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] | None = None,
-             grain_safe: bool = False) -> DataFrame:
-    """One row per unified offer joined to its seven dimensions.
+TEXTS = ("job_title", "summary", "description", "url", "posted_date_raw", "search_keyword")
 
-    Joins are LEFT joins on computed keys (the same rule lists as the
-    dimensions, fact copies for education/experience — T3).  Dimensions whose
-    size a rule set bounds (source, contract, education, experience, date) are
-    broadcast; city and company are left to AQE, which broadcasts them at run
-    time when their measured size is under the threshold and otherwise keeps a
-    sort-merge join (with skew splitting for a dominant company).
+
+def without_texts(jobs: DataFrame) -> DataFrame:
+    """The unified offers but for what only the fact's text columns need (url stays: it identifies an offer)."""
+    return jobs.drop("job_title", "summary", "description", "posted_date_raw", "search_keyword")
+
+
+def _spread(key: Column) -> Column:
+    """A join key without NULLs: each NULL becomes a value of its own that no dimension has, so they meet in no one task."""
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.col("url")))
+
+
+def fact_ids(jobs: DataFrame, dims: dict[str, DataFrame], grain_safe: bool = False) -> DataFrame:
+    """The fact without its texts: url, ids and measures of each offer.
+
+    LEFT joins on computed keys (the same rule lists as the dimensions, fact
+    copies for education/experience — T3), for those dimensions that ``dims``
+    has.  Dimensions whose size a rule set bounds (source, contract,
+    education, experience) are broadcast; AQE broadcasts city, company and
+    calendar when their measured size is under the threshold.
 
     The quality score is computed inline: the reference's self-join on job_id
     equals it whenever job_id is unique and would emit every pair of a
     duplicated job_id (T2) — see ``grain_check``.
 
-    By default a city or contract label held by two dimension rows (T1)
-    duplicates the offer, as in the reference; ``grain_safe=True`` joins to
-    one row per label (smallest id) so the fact keeps one row per offer.
+    A city or contract label held by two dimension rows (T1) duplicates the
+    offer, as in the reference; ``grain_safe=True`` joins to one row per label
+    (smallest id) so there is one row per offer.
     """
-    dims = dict(dims or build_dimensions(spark, jobs))
+    dims = dict(dims)
     if grain_safe:
-        dims["dim_city"] = collapse_to_key(dims["dim_city"], "city_normalized", "city_id")
-        dims["dim_contract"] = collapse_to_key(dims["dim_contract"], "contract_normalized", "contract_id")
-    j = jobs.select(
-        "*",
-        quality_score().alias("quality_score"),
-        city_key("city").alias("_city_key"),
-        contract_key(contract_main("contract_type")).alias("_contract_key"),
-        education_key(F.col("education"), "fact").alias("_education_key"),
-        experience_key(F.col("experience"), "fact").alias("_experience_key"),
-        F.to_date("scraped_at").alias("_date"),
-    )
-    src = F.broadcast(dims["dim_source"].select("source_key", "source_id"))
-    city = dims["dim_city"].select(F.col("city_normalized").alias("_city_key"), "city_id")
-    company = dims["dim_company"].select(F.col("company").alias("_company"), "company_id")
-    contract = F.broadcast(dims["dim_contract"].select(F.col("contract_normalized").alias("_contract_key"),
-                                                       "contract_id"))
-    education = F.broadcast(dims["dim_education"].select(F.col("education_normalized").alias("_education_key"),
-                                                         "education_id"))
-    experience = F.broadcast(dims["dim_experience"].select(
-        F.col("experience_normalized").alias("_experience_key"), "experience_id"))
-    dates = F.broadcast(dims["dim_date"].select(F.col("full_date").alias("_date"),
-                                                F.col("date_id").alias("scraped_date_id")))
-    out = (j.join(src, j["source"] == src["source_key"], "left")
-           .join(city, "_city_key", "left")
-           .join(company, j["company"] == company["_company"], "left")
-           .join(contract, "_contract_key", "left")
-           .join(education, "_education_key", "left")
-           .join(experience, "_experience_key", "left")
-           .join(dates, "_date", "left"))
-    return out.select(
+        for name, key in (("city", "city_normalized"), ("contract", "contract_normalized")):
+            if f"dim_{name}" in dims:
+                dims[f"dim_{name}"] = collapse_to_key(dims[f"dim_{name}"], key, f"{name}_id")
+    keys = {
+        "dim_source": ("source_key", "source_id", F.col("source"), True),
+        "dim_city": ("city_normalized", "city_id", _spread(city_key("city")), False),
+        "dim_company": ("company", "company_id", _spread(F.col("company")), False),
+        "dim_contract": ("contract_normalized", "contract_id", contract_key(contract_main("contract_type")), True),
+        "dim_education": ("education_normalized", "education_id", education_key(F.col("education"), "fact"), True),
+        "dim_experience": ("experience_normalized", "experience_id", experience_key(F.col("experience"), "fact"), True),
+        "dim_date": ("full_date", "date_id", F.to_date("scraped_at"), False),
+    }
+    keys = {k: v for k, v in keys.items() if k in dims}
+    out = without_texts(jobs).withColumns({f"_k_{name}": key for name, (_, _, key, _) in keys.items()} | {"quality_score": quality_score()})
+    for name, (natural, number, _, bounded) in keys.items():
+        dim = dims[name].select(F.col(natural).alias(f"_n_{name}"), F.col(number).alias("scraped_date_id" if name == "dim_date" else number))
+        out = out.join(F.broadcast(dim) if bounded else dim, F.col(f"_k_{name}") == F.col(f"_n_{name}"), "left").drop(f"_k_{name}", f"_n_{name}")
+    return out.withColumn("offer_count", F.lit(1))
+
+
+def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] | None = None,
+             grain_safe: bool = False, narrow: DataFrame | None = None) -> DataFrame:
+    """One row per unified offer with the ids of its seven dimensions.
+
+    Ids are resolved on rows without texts (``narrow``: the same offers, e.g.
+    a written copy; ``jobs`` itself by default) and meet the texts in one join
+    by url.  Offers that come out of the de-duplication are already dealt by
+    url, so their texts aren't shuffled again.
+    """
+    narrow = jobs if narrow is None else narrow
+    dims = dims or build_dimensions(spark, narrow)
+    ids = fact_ids(narrow, dims, grain_safe).withColumnRenamed("url", "_url")
+    texts = jobs.select(*TEXTS)
+    return texts.join(ids, texts["url"] == ids["_url"]).select(
         "job_id", "source_id", "city_id", "company_id", "contract_id", "education_id", "experience_id",
         "scraped_date_id", "job_title", "summary", "description", "url", "posted_date_raw", "search_keyword",
-        "description_length", "quality_score", F.lit(1).alias("offer_count"),
+        "description_length", "quality_score", "offer_count",
         "has_company", "has_city", "has_function", "has_contract", "has_sector", "has_education",
         "has_experience", "scraped_at")
 
@@ -283,20 +325,27 @@ def build_dimensions(spark: SparkSession, jobs: DataFrame, asof=None, grain_safe
         "dim_contract": dim_contract(jobs, grain_safe),
         "dim_education": dim_education(jobs),
         "dim_experience": dim_experience(jobs),
-        "dim_date": dim_date(spark, asof),
+        "dim_date": dim_date(spark, asof, jobs),
         "dim_skill": dim_skill(spark),
     }
 
 
 # ---------------------------------------------------------------------- bridge
-def bridge_job_skill(fct: DataFrame, intended: bool = False) -> DataFrame:
-    """(offer, skill) pairs whose pattern matches description + title.
+def offer_skills(jobs: DataFrame, intended: bool = False) -> DataFrame:
+    """(url, job_id, skill) of each unified offer and skill whose pattern matches description + title.
 
     Instead of the reference's offers × skills nested-loop join, the 42
-    patterns are unrolled into one projection per offer (O10): no join, no
-    shuffle, each regex compiled once per task.
+    patterns are unrolled into one projection per offer (O10): one pass over
+    the texts, below all joins, each regex compiled once per task.
     """
-    text = F.concat(F.coalesce(F.col("description"), F.lit("")), F.lit(" "),
-                    F.coalesce(F.col("job_title"), F.lit("")))
-    return match_skills(fct.select("job_id", text.alias("_text")), "_text", intended).select(
-        "job_id", "skill_id", "skill_name", "skill_category")
+    text = F.concat(F.coalesce(F.col("description"), F.lit("")), F.lit(" "), F.coalesce(F.col("job_title"), F.lit("")))
+    return match_skills(jobs.select("url", "job_id", text.alias("_text")), "_text", intended).drop("_text")
+
+
+def bridge_job_skill(jobs: DataFrame, ids: DataFrame, intended: bool = False) -> DataFrame:
+    """(fact row, skill) pairs.  Skills are matched on the unified offers
+    and meet the fact's rows (``fact_ids`` or the fact) by url, so an offer
+    that the fact holds twice (T1) has its skills twice, as in the reference."""
+    rows = ids.select(F.col("url").alias("_url"))
+    hits = offer_skills(jobs, intended)
+    return hits.join(rows, hits["url"] == rows["_url"]).select("job_id", "skill_id", "skill_name", "skill_category")

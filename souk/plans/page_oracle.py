@@ -30,8 +30,8 @@ def clean(c: str) -> str:
     return clean_text_sql(c)
 
 
-def _truncate(c: str) -> str:
-    return f"CASE WHEN {c} IS NULL OR {c} = '' THEN '' ELSE substring({c}, 1, {D.DESCRIPTION_MAX_CHARS}) END"
+def _stored(c: str) -> str:
+    return f"COALESCE({c}, '')"
 
 
 def _captured(page_no: str) -> str:
@@ -113,9 +113,9 @@ def dreamjob_sql() -> str:
     COALESCE(alt_company, {X.company_from_title_sql('title')}) AS company,
     COALESCE({X.city_sql('excerpt')}, {X.city_sql('full_text')}) AS location,
     excerpt AS summary,
-    {_truncate('full_text')} AS description,
+    {_stored('full_text')} AS description,
     CAST(NULL AS VARCHAR) AS sector,
-    {X.functions_sql(X.joined_text_sql('title', 'combined'), 'dreamjob')} AS "function",
+    {X.functions_sql(X.joined_text_sql('title', 'combined'), 'dreamjob', D.FUNCTION_LABELS)} AS "function",
     {X.experience_sql('combined', 'dreamjob')} AS experience,
     {X.education_sql('combined', 'dreamjob')} AS education,
     {X.contracts_sql('combined')} AS contract_type,
@@ -138,9 +138,9 @@ def indeed_sql() -> str:
     {clean("COALESCE(company, '')")} AS company,
     {clean("COALESCE(location, '')")} AS location,
     CAST(NULL AS VARCHAR) AS summary,
-    {_truncate('desc_text')} AS description,
-    {X.sectors_sql('desc_text')} AS sector,
-    {X.functions_sql(X.joined_text_sql('title', 'desc_text'), 'indeed')} AS "function",
+    {_stored('desc_text')} AS description,
+    {X.sectors_sql('desc_text', D.SECTOR_LABELS)} AS sector,
+    {X.functions_sql(X.joined_text_sql('title', 'desc_text'), 'indeed', D.FUNCTION_LABELS)} AS "function",
     {X.experience_sql('desc_text', 'indeed')} AS experience,
     {X.education_sql('desc_text', 'indeed')} AS education,
     COALESCE({X.contracts_sql('desc_text', True)},
@@ -171,7 +171,7 @@ def linkedin_sql() -> str:
     {clean("COALESCE(company, '')")} AS company,
     {clean("COALESCE(location, '')")} AS location,
     CAST(NULL AS VARCHAR) AS summary,
-    {_truncate('desc_text')} AS description,
+    {_stored('desc_text')} AS description,
     crit_sec AS sector,
     crit_fn AS "function",
     COALESCE(NULLIF(crit_exp, ''), {X.experience_sql('desc_text', 'linkedin')}) AS experience,
@@ -212,6 +212,18 @@ def page_articles_sql() -> str:
     return f"SELECT page_id, url, {clean(s)} AS text, CAST(NULL AS VARCHAR) AS error FROM pages"
 
 
+def page_errors_sql() -> str:
+    """Indeed pages without content: list pages of 20 offers for each of up to three keywords, and a detail page an offer."""
+    base = "CAST(3 * 1000000000000000 + {kind} * 100000000000000 + {a} * 1000000000 + {b} AS BIGINT)"
+    lists = base.format(kind=1, a="k", b="p")
+    details = base.format(kind=2, a="doc_id", b="0")
+    return f"""WITH o AS (SELECT doc_id FROM documents WHERE doc_id % 4 = 2),
+cards AS (SELECT DISTINCT unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS k, CAST(floor(floor(doc_id / 4) / 20) AS BIGINT) AS p FROM o),
+pages AS (SELECT {lists} AS page_id, 'https://indeed.example/search?kw=' || k || '&p=' || p AS url, 'list' AS page_kind FROM cards
+    UNION ALL SELECT {details}, 'https://ma.indeed.com/viewjob?jk=jk' || doc_id, 'detail' FROM o)
+SELECT page_id, url, page_kind, 'run-1' AS run_id, CAST(-1 AS INTEGER) AS pos, 'ValueError: no html captured' AS error FROM pages WHERE page_id % 5 = 2"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {"bronze_rekrute_pages": rekrute_sql(), "bronze_dreamjob_pages": dreamjob_sql(),
             "bronze_indeed_pages": indeed_sql(), "bronze_linkedin_pages": linkedin_sql(),

@@ -20,13 +20,17 @@ from souk.plans import gold, silver
 from souk.session import checkpoint_dir
 
 LAYERS = ("bronze", "silver", "gold")
+FILES_A_DAY = 8  # files of one capture day in one batch, at most
 
 
-def layer_path(out_dir: str, layer: str, table: str) -> str:
-    """A layer maps to its own folder, used verbatim."""
-    if layer not in LAYERS:
-        raise ValueError(f"unknown layer {layer!r}")
-    return f"{out_dir.rstrip('/')}/{layer}/{table}"
+def schema_name(custom: str | None, target: str = "public") -> str:
+    """A model's own layer name is used verbatim; without one, the target's."""
+    return target if custom is None or not custom.strip() else custom.strip()
+
+
+def layer_path(out_dir: str, layer: str | None, table: str, target: str = "public") -> str:
+    """Where a layer's table is: the layer's name is its folder."""
+    return f"{out_dir.rstrip('/')}/{schema_name(layer, target)}/{table}"
 
 
 def create_layers(spark: SparkSession, location: str | None = None) -> None:
@@ -36,24 +40,68 @@ def create_layers(spark: SparkSession, location: str | None = None) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{where}")
 
 
-def append_bronze(df: DataFrame, out_dir: str, platform: str, batch_id: str | int | None = None) -> bool:
-    """S6 + X26: append extracted rows to a raw table; an empty batch writes
-    nothing.  Returns whether a write happened.
+def register_table(spark: SparkSession, layer: str, table: str, path: str) -> None:
+    """``<layer>.<table>`` names the files under path (an external table, replaced if there)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+    spark.catalog.createTable(f"{layer}.{table}", path=path, source="parquet")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove files that this library wrote, on whatever storage they are."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _has_partitions(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return any(f.isDirectory() for f in found)
+
+
+def append_bronze(df: DataFrame, out_dir: str, platform: str, batch_id: str | int | None = None, table: str | None = None) -> bool:
+    """S6 + X26: append extracted rows to a raw table; an empty batch leaves
+    nothing.  Returns whether rows were written.
 
     Each load is its own ``batch_id=<id>`` directory (partitioned inside by
     capture day) written in overwrite mode, so re-running a batch — a retried
     task set or a replayed micro-batch — replaces its rows instead of
-    appending them twice.  Without an id, a unique run id is used.
+    appending them twice.  Without an id, a unique run id is used.  The rows
+    are extracted once: whether there were any shows in what was written.
     """
-    if df.isEmpty():
-        return False
     batch = batch_id if batch_id is not None else f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    (df.withColumn("capture_date", F.to_date("scraped_at"))
-     .write.mode("overwrite").partitionBy("capture_date")
-     .parquet(f"{layer_path(out_dir, 'bronze', f'{platform}_raw')}/batch_id={batch}"))
+    path = f"{layer_path(out_dir, 'bronze', table or f'{platform}_raw')}/batch_id={batch}"
+    time = "scraped_at" if "scraped_at" in df.columns else "captured_at"
+    day = df.withColumn("capture_date", F.to_date(time))
+    day.repartition("capture_date", F.pmod(F.hash(*df.columns[:2]), F.lit(FILES_A_DAY))).write.mode("overwrite").partitionBy("capture_date").parquet(path)
+    if not _has_partitions(df.sparkSession, path):
+        delete_path(df.sparkSession, path)
+        return False
     return True
 
 
+def load_pages(pages: DataFrame, out_dir: str, platform: str, batch_id: str | int | None = None, max_chars: int | None = None) -> bool:
+    """Captured pages -> the platform's raw table, and what could not be read
+    -> ``bronze/<platform>_errors`` (X24).  Pages are walked once: both are
+    made from a copy of the walk's rows, which goes when they are written."""
+    from souk.operators.pages import RECORD_BUILDERS, page_errors, walked
+    raw, copies = {}, []
+    for kind, rows in walked(pages, platform).items():
+        raw[kind], path = written_copy(rows, f"walk-{platform}-{kind}")
+        copies.append(path)
+    try:
+        append_bronze(page_errors(raw), out_dir, platform, batch_id, table=f"{platform}_errors")
+        return append_bronze(RECORD_BUILDERS[platform](None, raw, max_chars=max_chars), out_dir, platform, batch_id)
+    finally:
+        for path in copies:
+            delete_path(pages.sparkSession, path)
+
+
 def read_bronze(spark: SparkSession, out_dir: str, platform: str) -> DataFrame:
     """Scan one raw table with its explicit schema (no inference)."""
     from souk.sources.schemas import bronze_schema
@@ -80,23 +128,31 @@ def write_table(df: DataFrame, out_dir: str, layer: str, table: str, sort_by: li
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the session's shared checkpoint folder and
-    read it back (lineage cut that keeps column pruning)."""
+def written_copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A Parquet copy of df under the session's shared checkpoint folder, and
+    where it is: the caller deletes it when it is done."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared checkpoint folder; Spark
+    removes the files when nothing refers to them any more."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out_dir: str,
-              asof=None, grain_safe: bool = False) -> dict[str, str]:
+              asof=None, grain_safe: bool = False, register: bool = False) -> dict[str, str]:
     """Build silver and gold from bronze; returns table -> path.
 
     ``bronze`` is either ``{platform: raw table}`` or one combined raw frame
     with a ``source`` column.  Dimension files come out in id order (the
     numbering range-partitions on the order key); the bridge is sorted by
-    (job_id, skill_id) inside each file.
+    (job_id, skill_id) inside each file.  ``register`` also names the tables
+    ``silver.…`` and ``gold.…`` (S9).
     """
     if isinstance(bronze, DataFrame):
         staged = silver.stage_all(bronze)
@@ -104,14 +160,21 @@ def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out
         staged = silver.union_staged(list(register_staging_views(bronze).values()))
     paths = {"jobs_unified": write_table(silver.jobs_unified(staged), out_dir, "silver", "jobs_unified")}
     jobs = spark.read.parquet(paths["jobs_unified"])
-    dims = gold.build_dimensions(spark, jobs, asof, grain_safe)
+    narrow = gold.without_texts(jobs)
+    dims = gold.build_dimensions(spark, narrow, asof, grain_safe)
     for name, dim in dims.items():
         paths[name] = write_table(dim.coalesce(1) if name in ("dim_source", "dim_skill", "dim_date") else dim,
                                   out_dir, "gold", name)
     dims = {name: spark.read.parquet(path) for name, path in paths.items() if name.startswith("dim_")}
+    for name in gold.VARIANTS:
+        dim = dims[f"dim_{name}"]
+        paths[f"{name}_variants"] = write_table(gold.variants(narrow, name, None if grain_safe else dim), out_dir, "gold", f"{name}_variants")
     paths["fct_jobs"] = write_table(gold.fct_jobs(spark, jobs, dims, grain_safe=grain_safe), out_dir, "gold",
                                     "fct_jobs")
-    fct = spark.read.parquet(paths["fct_jobs"])
-    paths["bridge_job_skill"] = write_table(gold.bridge_job_skill(fct), out_dir, "gold", "bridge_job_skill",
+    fct = spark.read.parquet(paths["fct_jobs"]).select("url")
+    paths["bridge_job_skill"] = write_table(gold.bridge_job_skill(jobs, fct), out_dir, "gold", "bridge_job_skill",
                                             sort_by=["job_id", "skill_id"])
+    if register:
+        for table, path in paths.items():
+            register_table(spark, "silver" if table == "jobs_unified" else "gold", table, path)
     return paths

@@ -1,9 +1,9 @@
 """Registered queries: Spark callables and their DuckDB oracle SQL.
 
-Every query reads the driver's tables (offers are derived from ``documents``,
-pages from ``pages``) so its work grows with them.  Constant relations (the
-platforms, the skill dictionary, the calendar) are registered only joined to
-offer data.
+Every query reads the driver's tables (offers are derived from ``documents``
+and their buyers, pages from ``documents`` or ``pages``) so its work grows
+with them.  Constant relations (the platforms, the skill dictionary, the
+calendar) are registered only joined to offer data.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from souk.plans import gold, oracle, pipeline, silver
 from souk.sources.offers import bronze_offers, bronze_table
 
 ASOF = oracle.ASOF
+DIMENSIONS = ("dim_city", "dim_company", "dim_contract", "dim_education", "dim_experience")
 
 
 # ------------------------------------------------------------- Spark builders
@@ -24,23 +25,30 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.jobs_unified(silver.stage_all(bronze_offers(spark, sf_dir)))
 
 
-TEXT_COLUMNS = ("description", "summary")
+def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified offers without their texts, computed once: what dimensions, ids and reports read."""
+    return pipeline.materialize(gold.without_texts(unified(spark, sf_dir)))
 
 
-def star(spark: SparkSession, sf_dir: str, with_text: bool = True) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
-    """Silver materialised once (as the reference's table), gold built on it.
+def dimensions(spark: SparkSession, jobs: DataFrame, *names: str) -> dict[str, DataFrame]:
+    """Only the dimensions that a query needs."""
+    make = {"dim_source": lambda: gold.dim_source(spark), "dim_date": lambda: gold.dim_date(spark, ASOF, jobs),
+            "dim_skill": lambda: gold.dim_skill(spark), **{d: lambda d=d: getattr(gold, d)(jobs) for d in DIMENSIONS}}
+    return {n: make[n]() for n in names}
 
-    Reports that never read the offer texts pass ``with_text=False``: the
-    materialised silver then carries keys and measures only
-    (``description_length`` is computed before the texts are dropped).
-    """
-    silver_df = unified(spark, sf_dir)
-    if not with_text:
-        silver_df = silver_df.select(*[F.lit(None).cast("string").alias(c) if c in TEXT_COLUMNS else c
-                                       for c in silver_df.columns])
-    jobs = pipeline.materialize(silver_df, "jobs_unified")
-    dims = gold.build_dimensions(spark, jobs, ASOF)
-    return jobs, dims, gold.fct_jobs(spark, jobs, dims)
+
+def star(spark: SparkSession, sf_dir: str, grain_safe: bool = False) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """(narrow offers, all dimensions of the fact, the fact)."""
+    jobs = narrow(spark, sf_dir)
+    dims = dimensions(spark, jobs, "dim_source", "dim_date", *DIMENSIONS)
+    return jobs, dims, gold.fct_jobs(spark, unified(spark, sf_dir), dims, grain_safe, jobs)
+
+
+def report(spark: SparkSession, sf_dir: str, *names: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """One row per offer (grain-safe, no texts) with the ids of the named dimensions."""
+    jobs = narrow(spark, sf_dir)
+    dims = dimensions(spark, jobs, *names)
+    return gold.fact_ids(jobs, dims, grain_safe=True), dims
 
 
 def _stg(platform: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -48,22 +56,32 @@ def _stg(platform: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _dim(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: getattr(gold, name)(unified(spark, sf))
+    return lambda spark, sf: getattr(gold, name)(gold.without_texts(unified(spark, sf)))
+
+
+def _variants(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: gold.variants(gold.without_texts(unified(spark, sf)), name)
 
 
 def q_fct_jobs(spark, sf):
     return star(spark, sf)[2]
 
 
+def q_fct_jobs_safe(spark, sf):
+    """The fact with one row per offer: labels that two dimension rows hold count once."""
+    return star(spark, sf, grain_safe=True)[2]
+
+
 def q_bridge_job_skill(spark, sf):
-    return gold.bridge_job_skill(star(spark, sf)[2])
+    jobs = narrow(spark, sf)
+    ids = gold.fact_ids(jobs, dimensions(spark, jobs, "dim_city", "dim_contract"))
+    return gold.bridge_job_skill(unified(spark, sf), ids)
 
 
 def q_offers_by_region(spark, sf):
     """Flagship: offers, cities and summed quality per region (fact ⋈ dim_city)."""
-    _, dims, fct = star(spark, sf, with_text=False)
-    city = dims["dim_city"].select("city_id", "region")
-    return (fct.join(city, "city_id", "left").groupBy("region")
+    fct, dims = report(spark, sf, "dim_city")
+    return (fct.join(dims["dim_city"].select("city_id", "region"), "city_id", "left").groupBy("region")
             .agg(F.sum("offer_count").alias("n_offers"),
                  F.countDistinct("city_id").alias("n_cities"),
                  F.sum("quality_score").alias("sum_quality")))
@@ -71,7 +89,7 @@ def q_offers_by_region(spark, sf):
 
 def q_offers_by_source(spark, sf):
     """Platform dimension joined to offer counts and completeness."""
-    _, dims, fct = star(spark, sf, with_text=False)
+    fct, dims = report(spark, sf, "dim_source")
     per = fct.groupBy("source_id").agg(F.sum("offer_count").alias("n_offers"),
                                        F.sum("has_company").alias("n_with_company"),
                                        F.sum("quality_score").alias("sum_quality"))
@@ -79,45 +97,83 @@ def q_offers_by_source(spark, sf):
 
 
 def q_offers_by_day(spark, sf):
-    """Calendar dimension with the number of offers captured each day."""
-    _, dims, fct = star(spark, sf, with_text=False)
-    per = fct.groupBy(F.col("scraped_date_id").alias("date_id")).agg(F.sum("offer_count").alias("n_offers"))
-    return (dims["dim_date"].join(per, "date_id", "left")
+    """Calendar with the number of offers captured each day; offers without a
+    capture time are a row without a day, so the sum is all offers."""
+    fct, dims = report(spark, sf, "dim_date")
+    per = fct.groupBy(F.col("scraped_date_id").alias("id")).agg(F.sum("offer_count").alias("n_offers"))
+    return (dims["dim_date"].join(per, F.col("date_id") == F.col("id"), "full").drop("id")
             .withColumn("n_offers", F.coalesce("n_offers", F.lit(0)).cast("bigint")))
 
 
 def q_offers_by_city_month(spark, sf):
     """Offers per normalised city and capture month (fact ⋈ dim_city ⋈ dim_date)."""
-    _, dims, fct = star(spark, sf, with_text=False)
+    fct, dims = report(spark, sf, "dim_city", "dim_company", "dim_date")
     city = dims["dim_city"].select("city_id", "city_normalized")
-    month = F.broadcast(dims["dim_date"].select(F.col("date_id").alias("scraped_date_id"), "year_month"))
+    month = dims["dim_date"].select(F.col("date_id").alias("scraped_date_id"), "year_month")
     return (fct.join(city, "city_id", "left").join(month, "scraped_date_id", "left")
             .groupBy("city_normalized", "year_month")
             .agg(F.sum("offer_count").alias("n_offers"), F.countDistinct("company_id").alias("n_companies")))
 
 
 def q_skill_demand(spark, sf):
-    """Skill dictionary with the number of bridge rows per skill."""
-    _, dims, fct = star(spark, sf)
-    per = gold.bridge_job_skill(fct).groupBy("skill_id").agg(F.count(F.lit(1)).alias("n_offers"))
-    return (dims["dim_skill"].join(per, "skill_id", "left")
+    """Skill dictionary with the number of offers per skill."""
+    per = gold.offer_skills(unified(spark, sf)).groupBy("skill_id").agg(F.count(F.lit(1)).alias("n_offers"))
+    return (gold.dim_skill(spark).join(per, "skill_id", "left")
             .withColumn("n_offers", F.coalesce("n_offers", F.lit(0)).cast("bigint")))
 
 
+# -------------------------------------------------- sinks: written and read again
+def _folder(spark: SparkSession) -> str:
+    import uuid
+    from souk.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}"
+
+
+def q_bronze_appended(spark, sf):
+    """Two loads of a raw table, one of them again, and an empty one; rows per load as read back."""
+    raw, out = bronze_table(spark, sf, "linkedin"), _folder(spark)
+    early = F.col("scraped_at") < F.lit("2025-01-01").cast("timestamp_ntz")
+    for batch, rows in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("b", raw.filter(~early)), ("c", raw.filter("false"))):
+        pipeline.append_bronze(rows, out, "linkedin", batch_id=batch)
+    return pipeline.read_bronze(spark, out, "linkedin").groupBy("batch_id", "capture_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_staging_views(spark, sf):
+    """The four staging views, read by name."""
+    pipeline.register_staging_views({p: bronze_table(spark, sf, p) for p in oracle.PLATFORMS})
+    out = None
+    for p in oracle.PLATFORMS:
+        view = spark.table(f"stg_{p}").groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("job_id").alias("n_jobs"))
+        out = view if out is None else out.unionByName(view)
+    return out
+
+
+def q_warehouse_tables(spark, sf):
+    """The whole build, written, refreshed, registered and read by table name."""
+    out = _folder(spark)
+    bronze = bronze_offers(spark, sf)
+    paths = pipeline.build_all(spark, bronze, out, asof=ASOF, register=True)
+    total = None
+    for table in sorted(paths):
+        layer = pipeline.schema_name("silver" if table == "jobs_unified" else None, "gold")
+        n = spark.table(f"{layer}.{table}").select(F.lit(f"{layer}.{table}").alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        total = n if total is None else total.unionByName(n)
+    return total
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for p in oracle.PLATFORMS:
         out[f"stg_{p}"] = _stg(p)
     out["jobs_unified"] = unified
-    for d in ("dim_city", "dim_company", "dim_contract", "dim_education", "dim_experience"):
+    for d in DIMENSIONS:
         out[d] = _dim(d)
-    out["fct_jobs"] = q_fct_jobs
-    out["bridge_job_skill"] = q_bridge_job_skill
-    out["offers_by_region"] = q_offers_by_region
-    out["offers_by_source"] = q_offers_by_source
-    out["offers_by_day"] = q_offers_by_day
-    out["offers_by_city_month"] = q_offers_by_city_month
-    out["skill_demand"] = q_skill_demand
+    for v in gold.VARIANTS:
+        out[f"{v}_variants"] = _variants(v)
+    out |= {"fct_jobs": q_fct_jobs, "fct_jobs_safe": q_fct_jobs_safe, "bridge_job_skill": q_bridge_job_skill,
+            "offers_by_region": q_offers_by_region, "offers_by_source": q_offers_by_source, "offers_by_day": q_offers_by_day,
+            "offers_by_city_month": q_offers_by_city_month, "skill_demand": q_skill_demand,
+            "bronze_appended": q_bronze_appended, "staging_views": q_staging_views, "warehouse_tables": q_warehouse_tables}
     from souk.plans import extraction_queries
     out.update(extraction_queries.spark_queries())
     return out
@@ -125,34 +181,37 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # ---------------------------------------------------------------- oracle SQL
 def oracle_queries() -> dict[str, str]:
-    silver_ctes = oracle.silver_ctes()
-    full = oracle.full_ctes(ASOF)
-    out = {}
-    for p in oracle.PLATFORMS:
-        out[f"stg_{p}"] = oracle.with_ctes(silver_ctes[:1] + [c for c in silver_ctes if c[0] == f"stg_{p}"],
-                                           f"SELECT * FROM stg_{p}")
+    silver_ctes, full = oracle.silver_ctes(), oracle.full_ctes(ASOF)
+
+    def of(final: str) -> str:
+        return oracle.with_ctes(full, final)
+
+    out = {f"stg_{p}": oracle.with_ctes(silver_ctes[:2], f"SELECT * FROM staged WHERE source = '{p}'") for p in oracle.PLATFORMS}
     out["jobs_unified"] = oracle.with_ctes(silver_ctes, "SELECT * FROM jobs_unified")
-    for d in ("dim_city", "dim_company", "dim_contract", "dim_education", "dim_experience"):
-        out[d] = oracle.with_ctes(full, f"SELECT * FROM {d}")
-    out["fct_jobs"] = oracle.with_ctes(full, "SELECT * FROM fct_jobs")
-    out["bridge_job_skill"] = oracle.with_ctes(full, "SELECT * FROM bridge_job_skill")
-    out["offers_by_region"] = oracle.with_ctes(full, """SELECT dc.region, CAST(SUM(f.offer_count) AS BIGINT) AS n_offers,
-    COUNT(DISTINCT f.city_id) AS n_cities, CAST(SUM(f.quality_score) AS BIGINT) AS sum_quality
-FROM fct_jobs f LEFT JOIN dim_city dc ON f.city_id = dc.city_id GROUP BY dc.region""")
-    out["offers_by_source"] = oracle.with_ctes(full, """SELECT s.*, p.n_offers, p.n_with_company, p.sum_quality
-FROM dim_source s LEFT JOIN (SELECT source_id, CAST(SUM(offer_count) AS BIGINT) AS n_offers,
-    CAST(SUM(has_company) AS BIGINT) AS n_with_company, CAST(SUM(quality_score) AS BIGINT) AS sum_quality
-    FROM fct_jobs GROUP BY source_id) p ON s.source_id = p.source_id""")
-    out["offers_by_day"] = oracle.with_ctes(full, """SELECT d.*, CAST(COALESCE(p.n_offers, 0) AS BIGINT) AS n_offers
-FROM dim_date d LEFT JOIN (SELECT scraped_date_id, SUM(offer_count) AS n_offers FROM fct_jobs
-    GROUP BY scraped_date_id) p ON d.date_id = p.scraped_date_id""")
-    out["offers_by_city_month"] = oracle.with_ctes(full, """SELECT dc.city_normalized, dd.year_month,
-    CAST(SUM(f.offer_count) AS BIGINT) AS n_offers, COUNT(DISTINCT f.company_id) AS n_companies
-FROM fct_jobs f LEFT JOIN dim_city dc ON f.city_id = dc.city_id LEFT JOIN dim_date dd ON f.scraped_date_id = dd.date_id
-GROUP BY dc.city_normalized, dd.year_month""")
-    out["skill_demand"] = oracle.with_ctes(full, """SELECT s.*, CAST(COALESCE(p.n, 0) AS BIGINT) AS n_offers
-FROM dim_skill s LEFT JOIN (SELECT skill_id, COUNT(*) AS n FROM bridge_job_skill GROUP BY skill_id) p
-    ON s.skill_id = p.skill_id""")
+    for d in (*DIMENSIONS, "fct_jobs", "bridge_job_skill"):
+        out[d] = of(f"SELECT * FROM {d}")
+    kinds = {"city": ", kind AS region", "contract": ", kind AS contract_category", "education": "", "experience": ""}
+    for v, kind in kinds.items():
+        out[f"{v}_variants"] = of(f"SELECT DISTINCT label AS {v}_normalized{kind}, txt AS raw_value FROM {v}_labels WHERE listed")
+    out["fct_jobs_safe"] = of("SELECT * FROM safe_fact")
+    out["offers_by_region"] = of("""SELECT region, CAST(sum(offer_count) AS BIGINT) AS n_offers, count(DISTINCT city_id) AS n_cities,
+    CAST(sum(quality_score) AS BIGINT) AS sum_quality FROM safe_fact LEFT JOIN dim_city USING (city_id) GROUP BY region""")
+    out["offers_by_source"] = of("""SELECT * FROM dim_source LEFT JOIN (SELECT source_id, CAST(sum(offer_count) AS BIGINT) AS n_offers,
+    CAST(sum(has_company) AS BIGINT) AS n_with_company, CAST(sum(quality_score) AS BIGINT) AS sum_quality FROM safe_fact GROUP BY source_id) USING (source_id)""")
+    out["offers_by_day"] = of("""SELECT d.*, CAST(coalesce(n, 0) AS BIGINT) AS n_offers FROM dim_date d FULL JOIN
+    (SELECT scraped_date_id, count(*) AS n FROM safe_fact GROUP BY scraped_date_id) ON date_id = scraped_date_id""")
+    out["offers_by_city_month"] = of("""SELECT city_normalized, year_month, CAST(sum(offer_count) AS BIGINT) AS n_offers, count(DISTINCT company_id) AS n_companies
+    FROM safe_fact LEFT JOIN dim_city USING (city_id) LEFT JOIN dim_date ON date_id = scraped_date_id GROUP BY city_normalized, year_month""")
+    out["skill_demand"] = of("""SELECT s.*, CAST(coalesce(n, 0) AS BIGINT) AS n_offers FROM dim_skill s
+    LEFT JOIN (SELECT skill_id, count(*) AS n FROM hits GROUP BY skill_id) USING (skill_id)""")
+    out["bronze_appended"] = oracle.with_ctes(silver_ctes[:1], """SELECT CASE WHEN scraped_at < TIMESTAMP '2025-01-01' THEN 'a' ELSE 'b' END AS batch_id,
+    CAST(scraped_at AS DATE) AS capture_date, count(*) AS n_rows FROM bronze WHERE source = 'linkedin' AND scraped_at IS NOT NULL GROUP BY ALL""")
+    out["staging_views"] = oracle.with_ctes(silver_ctes[:2], "SELECT source, count(*) AS n_rows, count(DISTINCT job_id) AS n_jobs FROM staged GROUP BY source")
+    tables = ["dim_source", "dim_date", "dim_skill", *DIMENSIONS, "fct_jobs", "bridge_job_skill"]
+    counts = ["SELECT 'silver.jobs_unified' AS table_name, count(*) AS n_rows FROM jobs_unified"]
+    counts += [f"SELECT 'gold.{t}', count(*) FROM {t}" for t in tables]
+    counts += [f"SELECT 'gold.{v}_variants', count(DISTINCT txt) FROM {v}_labels WHERE listed" for v in gold.VARIANTS]
+    out["warehouse_tables"] = of(" UNION ALL ".join(counts))
     from souk.plans import extraction_queries
     out.update(extraction_queries.oracle_queries())
     return out

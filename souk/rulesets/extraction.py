@@ -108,7 +108,13 @@ SECTORS = [
 # X11: words removed from an image alt before it is taken as a company name.
 ALT_NOISE = r"\b(Emploi|Recrutement|Maroc|Morocco)\b"
 
-# Company from a title, ordered; accepted only if 2 < length < 60.
+# Labels the collectors keep.
+FUNCTION_LABELS = 3
+SECTOR_LABELS = 2
+
+# Company from a title, ordered, and the lengths the collectors accept.
+COMPANY_SHORTEST = 3
+COMPANY_LONGEST = 59
 COMPANY_FROM_TITLE = [
     r"^(.+?)\s+(?:lance|recrute|recherche|ouvre|renforce)\b",
     r"\bchez\s+([A-ZÉÀÈ][\w\s&\-\.]+?)(?:\s+en|\s+pour|\s*$|,|\.|:)",

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.columnarReaderBatchSize": "1024",
     # run-time (measured) broadcast of a dimension up to 64 MB, e.g. ~1M companies
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -48,8 +50,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only where that is
+    unset and the master is local, a private folder is made; on a cluster the
+    other machines could not see it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -57,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="souk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -4,7 +4,10 @@ No given table holds job offers, so one offer per document is derived with
 the deterministic formula of FIXTURES.md §4: categorical fields are picked
 from fixed lists by ``doc_id`` (``pick(L)`` = element ``doc_id % len(L)``),
 and the description is a rule-triggering sentence followed by the document's
-**whole** text.  The same formula is rendered for Spark (``bronze_offers``)
+**whole** text.  So that dimensions grow with the data, half of the places and
+a third of the companies come from the customer of the order whose key is the
+``doc_id``, another third of the companies are one dominant name, and the
+capture time is that order's date, moved to our years.  The same formula is rendered for Spark (``bronze_offers``)
 and for DuckDB (``BRONZE_OFFERS_SQL``) so the oracle sees identical input.
 
 The combined frame carries every bronze column plus ``source``; the four
@@ -48,7 +51,8 @@ SENTENCE = ["Profil Python, SQL et Apache Spark.", "Maîtrise de Power BI / Powe
             "Unix, Docker, GitLab", "a_SQL_b Hadoop2", "dbt Airflow Kafka", "Natural Language"]
 KEYWORD = [" data engineer ", "data analyst", "power bi"]
 POSTED = {"rekrute": "du 26/04/2026 au 26/05/2026", "dreamjob": "26/04/2026", "linkedin": "2026-04-26"}
-SCRAPE_START = "2026-04-26 00:00:00"
+DOMINANT = "CIMR"
+YEARS_ON = 27  # from the orders' years to the captures'
 OUT_OF_CALENDAR = "2027-02-01 08:00:00"
 
 
@@ -64,25 +68,43 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BUYER = ["c_custkey", "c_name", "n_name", "o_orderdate"]
+
+
+def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with the buyer of the order that has the document's number."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    documents = read_table(spark, sf_dir, "documents")
+    return documents.join(buyers.select("o_orderkey", *BUYER), F.col("doc_id") == F.col("o_orderkey"), "left").drop("o_orderkey")
+
+
 def offers_from_documents(documents: DataFrame, keep_id: bool = False) -> DataFrame:
-    """All bronze columns (+ ``source``) for one offer per document
-    (``keep_id`` also keeps ``doc_id``)."""
+    """All bronze columns (+ ``source``) for one offer per document, of
+    ``source_rows`` (plain documents have no buyers); ``keep_id`` also keeps
+    ``doc_id``."""
+    if "c_name" not in documents.columns:
+        documents = documents.select("*", *[F.lit(None).cast("timestamp_ntz" if c == "o_orderdate" else "string").alias(c) for c in BUYER])
     d = F.col("doc_id")
+    company = F.when(d % 3 == 0, _pick(COMPANY, d)).when(d % 3 == 1, F.lit(DOMINANT)).otherwise(F.col("c_name"))
+    location = F.when(d % 2 == 0, _pick(LOCATION, d)).otherwise(F.concat(F.lit("Douar "), F.col("c_custkey").cast("string"), F.lit(", "), F.col("n_name")))
     platform = _pick(PLATFORM, d)
     k = F.when((d % 11 == 0) & (d >= 4), d - 4).otherwise(d)
     url = F.concat(F.lit("https://"), platform, F.lit(".example/offre-"), k.cast("string"))
     native = (F.lit(3900000000) + d - F.when(d % 44 == 7, 4).otherwise(0)).cast("string")
     scraped = (F.when(d % 97 == 5, F.lit(None).cast("timestamp_ntz"))
                .when(d % 101 == 0, F.lit(OUT_OF_CALENDAR).cast("timestamp_ntz"))
-               .otherwise(F.timestamp_add("MINUTE", 37 * d, F.lit(SCRAPE_START).cast("timestamp_ntz"))))
+               .otherwise(F.timestamp_add("MINUTE", d % 1440, F.timestamp_add("YEAR", F.lit(YEARS_ON), F.col("o_orderdate").cast("timestamp_ntz")))))
     posted = F.when(platform == "rekrute", F.lit(POSTED["rekrute"])) \
         .when(platform == "dreamjob", F.lit(POSTED["dreamjob"])) \
         .when(platform == "linkedin", F.lit(POSTED["linkedin"]))
     return documents.select(
         *([d] if keep_id else []),
         _null_if(53, 9, _pick(TITLE, d), d).alias("job_title"),
-        _null_if(17, 3, _pick(COMPANY, d), d).alias("company"),
-        _null_if(19, 4, _pick(LOCATION, d), d).alias("location"),
+        _null_if(17, 3, company, d).alias("company"),
+        _null_if(19, 4, location, d).alias("location"),
         F.when(d % 3 != 0, F.concat(F.lit(" "), F.col("lang"), F.lit(" · "), F.col("source"), F.lit(" ")))
          .alias("summary"),
         F.concat(_pick(SENTENCE, d), F.lit(" "), F.col("text")).alias("description"),
@@ -102,7 +124,7 @@ def offers_from_documents(documents: DataFrame, keep_id: bool = False) -> DataFr
 
 def bronze_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined bronze rows of the four platforms."""
-    return offers_from_documents(read_table(spark, sf_dir, "documents"))
+    return offers_from_documents(source_rows(spark, sf_dir))
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, platform: str) -> DataFrame:
@@ -127,13 +149,15 @@ def _bronze_sql() -> str:
     native = "CAST(3900000000 + doc_id - CASE WHEN doc_id % 44 = 7 THEN 4 ELSE 0 END AS VARCHAR)"
     scraped = (f"CASE WHEN doc_id % 97 = 5 THEN NULL "
                f"WHEN doc_id % 101 = 0 THEN TIMESTAMP '{OUT_OF_CALENDAR}' "
-               f"ELSE TIMESTAMP '{SCRAPE_START}' + to_minutes(CAST(37 * doc_id AS BIGINT)) END")
+               f"ELSE o_orderdate + INTERVAL {YEARS_ON} YEAR + to_minutes(CAST(doc_id % 1440 AS BIGINT)) END")
+    company = f"CASE doc_id % 3 WHEN 0 THEN {_pick_sql(COMPANY)} WHEN 1 THEN {sql_quote(DOMINANT)} ELSE c_name END"
+    location = f"CASE WHEN doc_id % 2 = 0 THEN {_pick_sql(LOCATION)} ELSE 'Douar ' || c_custkey || ', ' || n_name END"
     posted = ("CASE " + " ".join(f"WHEN {platform} = {sql_quote(p)} THEN {sql_quote(v)}" for p, v in POSTED.items())
               + " END")
     return f"""SELECT doc_id,
     {_null_if_sql(53, 9, _pick_sql(TITLE))} AS job_title,
-    {_null_if_sql(17, 3, _pick_sql(COMPANY))} AS company,
-    {_null_if_sql(19, 4, _pick_sql(LOCATION))} AS location,
+    {_null_if_sql(17, 3, company)} AS company,
+    {_null_if_sql(19, 4, location)} AS location,
     CASE WHEN doc_id % 3 <> 0 THEN ' ' || lang || ' · ' || source || ' ' END AS summary,
     {_pick_sql(SENTENCE)} || ' ' || text AS description,
     {_null_if_sql(8, 6, "'Tech/IT'")} AS sector,
@@ -147,7 +171,7 @@ def _bronze_sql() -> str:
     {platform} AS source,
     CASE WHEN {platform} IN ('indeed', 'linkedin') THEN {_pick_sql(KEYWORD)} END AS search_keyword,
     {scraped} AS scraped_at
-FROM documents"""
+FROM documents LEFT JOIN (orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) ON o_orderkey = doc_id"""
 
 
 BRONZE_OFFERS_SQL = _bronze_sql()

@@ -8,7 +8,7 @@ structure as the collectors read it.  Pure column expressions; the only
 grouping is the bounded 20-card page.
 
 Schema: ``page_id, url, html, platform, page_kind, search_keyword,
-keyword_rank, page_no, captured_at`` (``keyword_rank``/``page_no`` give the
+keyword_rank, page_no, captured_at, run_id`` (``keyword_rank``/``page_no`` give the
 order in which a collector meets the cards).
 """
 
@@ -147,7 +147,7 @@ def list_pages(offers: DataFrame, platform: str) -> DataFrame:
         F.lit(platform).alias("platform"), F.lit("list").alias("page_kind"),
         (kw if platform in ("indeed", "linkedin") else F.lit(None).cast("string")).alias("search_keyword"),
         F.col("keyword_rank").cast("int").alias("keyword_rank"), F.col("page_no").cast("int").alias("page_no"),
-        _captured(F.col("page_no")).alias("captured_at"))
+        _captured(F.col("page_no")).alias("captured_at"), F.lit("run-1").alias("run_id"))
 
 
 def detail_pages(offers: DataFrame, platform: str) -> DataFrame:
@@ -175,7 +175,8 @@ def detail_pages(offers: DataFrame, platform: str) -> DataFrame:
         _page_id(platform, 2, d).alias("page_id"), url.alias("url"), html.alias("html"),
         F.lit(platform).alias("platform"), F.lit("detail").alias("page_kind"),
         F.lit(None).cast("string").alias("search_keyword"), F.lit(None).cast("int").alias("keyword_rank"),
-        F.lit(None).cast("int").alias("page_no"), _captured(F.lit(0)).alias("captured_at"))
+        F.lit(None).cast("int").alias("page_no"), _captured(F.lit(0)).alias("captured_at"),
+        F.lit("run-1").alias("run_id"))
 
 
 def board_offers(documents: DataFrame, platform: str) -> DataFrame:

@@ -34,4 +34,4 @@ FACT_COLUMNS = ["job_id", "source_id", "city_id", "company_id", "contract_id", "
 
 # Captured pages fed to the HTML extractors (the driver's `pages` has the first three).
 CAPTURED_PAGES_DDL = ("page_id bigint, url string, html string, platform string, page_kind string, "
-                      "search_keyword string, keyword_rank int, page_no int, captured_at timestamp_ntz")
+                      "search_keyword string, keyword_rank int, page_no int, captured_at timestamp_ntz, run_id string")

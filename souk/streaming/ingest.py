@@ -9,33 +9,28 @@ once — a batch replayed after a failure overwrites its own ``batch_id``
 directory — and ``trigger(availableNow=True)`` processes what is there and stops —
 a scheduled run, like the reference's manual DAG trigger.
 
-A capture batch must hold an offer's list page and its detail page together
-(the collectors fetch both in one run); the list ⟕ detail join happens inside
-the micro-batch.
+A run reads all pages that are there (there is no limit on files a
+micro-batch): an offer's list page and detail page must arrive together, as
+the collectors fetch both in one run.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.operators.pages import RECORD_BUILDERS
-from souk.plans.pipeline import append_bronze
+from souk.plans.pipeline import load_pages
 from souk.sources.schemas import CAPTURED_PAGES_DDL
 
 
-def ingest_pages(spark: SparkSession, pages_dir: str, out_dir: str, platform: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None):
+def ingest_pages(spark: SparkSession, pages_dir: str, out_dir: str, platform: str, checkpoint: str):
     """Start (and return) a stream: captured pages under ``pages_dir`` ->
     ``<out_dir>/bronze/<platform>_raw``."""
-    reader = spark.readStream.schema(CAPTURED_PAGES_DDL)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.parquet(pages_dir)
+    pages = spark.readStream.schema(CAPTURED_PAGES_DDL).parquet(pages_dir)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch id names the output directory: a replayed batch
         # overwrites its own rows (exactly-once with the checkpoint)
-        append_bronze(RECORD_BUILDERS[platform](batch), out_dir, platform, batch_id=f"stream-{batch_id:08d}")
+        load_pages(batch, out_dir, platform, batch_id=f"stream-{batch_id:08d}")
 
     return (pages.writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint)

@@ -2,6 +2,7 @@
 import duckdb
 
 import __spark_entry__ as E
+from souk.plans import registry
 from conftest import SF_SMALL
 
 
@@ -13,9 +14,10 @@ def test_entry_runs_with_stable_schema(spark):
 
 def test_every_query_has_oracle_sql_that_binds():
     qs, sqls = E.queries(), E.oracle_sql()
-    assert set(qs) == set(sqls) and len(qs) == 28
+    own = registry.spark_queries()
+    assert set(own) <= set(qs) and set(own) == set(registry.oracle_queries()) and set(sqls) <= set(qs) and len(own) == 39
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "orders", "customer", "nation", "benchmark", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for key, sql in sqls.items():
         assert con.sql(sql).columns, key  # parses and binds

@@ -19,7 +19,11 @@ def built(spark, tmp_path_factory):
 
 def test_tables_and_fixed_sizes(built):
     _, t, _ = built
-    assert t["dim_source"].count() == 4 and t["dim_skill"].count() == 42 and t["dim_date"].count() == 1096
+    assert t["dim_source"].count() == 4 and t["dim_skill"].count() == 42
+    # the calendar has the fixed range at least, and every day with a capture
+    days = t["jobs_unified"].select(F.to_date("scraped_at").alias("full_date")).dropna().distinct()
+    assert t["dim_date"].count() > 1096 and days.join(t["dim_date"], "full_date", "left_anti").count() == 0
+    assert t["fct_jobs"].filter("scraped_date_id IS NULL AND scraped_at IS NOT NULL").count() == 0
     assert t["dim_skill"].select("skill_category").distinct().count() == 11
 
 
@@ -52,6 +56,53 @@ def test_grain_safe_fact_has_one_row_per_offer(spark, built):
     assert gold.fct_jobs(spark, jobs, dims).count() >= jobs.count()  # T1 fan-out by default
 
 
+def test_written_copies_go_when_a_load_ends(spark, tmp_path):
+    import os
+    from souk.session import checkpoint_dir
+    from souk.sources.pages import captured_pages
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    pages = captured_pages(read_table(spark, SF_SMALL, "documents"), "indeed")
+    broken = pages.withColumn("html", F.when(F.col("page_id") % 5 != 2, F.col("html")))
+    assert pipeline.load_pages(broken, str(tmp_path), "indeed", "b")
+    assert set(os.listdir(folder)) == before
+    lost = spark.read.parquet(str(tmp_path / "bronze" / "indeed_errors"))
+    assert lost.count() == broken.filter("html IS NULL").count() > 0
+    assert not pipeline.load_pages(pages.filter("false"), str(tmp_path / "none"), "indeed", "b")
+    assert not os.path.exists(tmp_path / "none" / "bronze" / "indeed_raw" / "batch_id=b")
+
+
+def test_no_private_checkpoint_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+    from souk.session import checkpoint_dir
+
+    def session(master, folder=None):
+        made = []
+        sc = N(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append,
+               getConf=lambda: N(get=lambda k, d=None: folder))
+        return N(sparkContext=sc, conf=N(get=lambda k, d=None: folder))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session("yarn"))
+    assert checkpoint_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert "souk-ckpt-" in checkpoint_dir(session("local[2]"))
+
+
+def test_named_tables(spark, tmp_path):
+    bronze = {"indeed": bronze_table(spark, SF_SMALL, "indeed")}
+    paths = pipeline.build_all(spark, bronze, str(tmp_path), register=True)
+    assert spark.table("gold.fct_jobs").count() == spark.read.parquet(paths["fct_jobs"]).count() > 0
+    assert spark.table("silver.jobs_unified").count() > 0
+    assert sum(r["nb_raw_variants"] for r in spark.table("gold.dim_city").collect()) == spark.table("gold.city_variants").count()
+
+
+def test_stored_text_is_whole_unless_asked(spark):
+    from souk.operators.pages import indeed_records
+    from souk.sources.pages import captured_pages
+    pages = captured_pages(read_table(spark, SF_SMALL, "documents"), "indeed")
+    longest = lambda df: df.agg(F.max(F.length("description"))).first()[0]
+    assert longest(indeed_records(pages)) > 5000 and longest(indeed_records(pages, max_chars=5000)) == 5000
+
+
 def test_schema_read_and_views(spark, built, tmp_path):
     raw = bronze_table(spark, SF_SMALL, "linkedin")
     assert pipeline.append_bronze(raw, str(tmp_path), "linkedin")
@@ -65,8 +116,8 @@ def test_layer_namespaces(spark, tmp_path):
     pipeline.create_layers(spark, str(tmp_path))
     names = {d.name for d in spark.catalog.listDatabases()}
     assert {"bronze", "silver", "gold"} <= names
-    with pytest.raises(ValueError):
-        pipeline.layer_path("/x", "platinum", "t")
+    assert pipeline.layer_path("/x", "platinum", "t") == "/x/platinum/t"  # a model's own name, verbatim
+    assert pipeline.layer_path("/x", None, "t", target="dev") == "/x/dev/t"  # else the target's
 
 
 def test_global_row_number_matches_window(spark):

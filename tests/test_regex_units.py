@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from souk.functions.regex import fold_lower, required_literals, to_java, to_java_folded, to_re2
-from souk.operators.partitioning import ensure_parallelism
 from souk.sources.offers import read_table
 
 
@@ -29,13 +28,6 @@ def test_fold_is_locale_free(spark):
     assert df.select(fold_lower(F.col("t"))).first()[0] == "interim i s k i"
 
 
-def test_parallelism_guard(spark):
-    docs = read_table(spark, SF_SMALL, "documents")
-    spread = ensure_parallelism(docs, 6)
-    assert spread.rdd.getNumPartitions() >= 6
-    assert ensure_parallelism(spread, 2) is spread  # enough splits: unchanged, no exchange added
-
-
 def test_lookaround_groups_require_nothing():
     assert required_literals(r"(?!foo)bar") == ["bar"]
     assert required_literals(r"(?<=x)(?:ab|cd)") == ["ab", "cd"]

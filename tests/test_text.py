@@ -54,6 +54,8 @@ def test_company_from_alt(spark):
 
 def test_truncate_and_url(spark):
     got = run(spark, ["x" * 6000, None, ""], T.truncate_description)
+    assert [len(g) for g in got] == [6000, 0, 0]  # whole, unless a caller asks for a cut
+    got = run(spark, ["x" * 6000, None, ""], lambda c: T.truncate_description(c, 5000))
     assert [len(g) for g in got] == [5000, 0, 0]
     got = run(spark, ["/offre/1.html", "https://a.b/c"], T.absolute_url)
     assert got == ["https://www.rekrute.com/offre/1.html", "https://a.b/c"]
