@@ -119,8 +119,10 @@ def judge(docs: DataFrame, limit: float = LIMIT, **columns) -> DataFrame:
 SQL = r"""
 with t as (select row_number() over () rid, doc_id, source, coalesce(text, '') text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w,
     [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] ls from documents),
-p as (select rid, unnest(range(1, greatest(len(w) - 6, 1))) i, w from t where len(w) >= 8),
-g as (select rid, i, count(*) over (partition by rid, array_to_string(w[i:i+7], ' ')) c from p),
+p as (select rid, unnest(w) x, unnest(range(len(w))) i from t),
+l8 as (select rid, i, concat_ws(' ', x, lead(x, 1) over o, lead(x, 2) over o, lead(x, 3) over o, lead(x, 4) over o, lead(x, 5) over o, lead(x, 6) over o, lead(x, 7) over o) g,
+    lead(x, 7) over o last from p window o as (partition by rid order by i)),
+g as (select rid, i, count(*) over (partition by rid, g) c from l8 where last is not null),
 cov as (select rid, count(distinct i + k) n from g, (select unnest(range(0, 8)) k) where c > 1 group by rid),
 m as (select t.rid, doc_id, source, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars,
     cast(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as bigint) n_symbols, cast(len(ls) - len(list_distinct(ls)) as bigint) n_dup_lines,
