@@ -88,17 +88,16 @@ def host_verdicts(m: DataFrame, limit: float = LIMIT) -> DataFrame:
     """host, n, rejected and the shrunk rate of each rule."""
     rules = failures(m)
     hosts = m.groupBy("host").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c.cast("long")).alias(k) for k, c in rules.items()])
-    total = hosts.agg(F.sum("n").alias("all"), *[(F.sum(k) / F.sum("n")).alias(f"{k}_mean") for k in rules])
-    # second pass over the host rows for the spread around the mean
-    spread = hosts.crossJoin(F.broadcast(total)).agg(
-        F.first("all").alias("all"), *[F.first(f"{k}_mean").alias(f"{k}_mean") for k in rules],
-        *[(F.sum(F.col("n") * F.pow(F.col(k) / F.col("n") - F.col(f"{k}_mean"), 2)) / F.sum("n")).alias(f"{k}_var") for k in rules])
-    out = hosts.crossJoin(F.broadcast(spread))
+    # a few totals over the hosts' rows, as numbers: no host's row meets another's
+    total = hosts.agg(F.sum("n").alias("n"), *[(F.sum(k) / F.sum("n")).alias(k) for k in rules]).first()
+    mean = {k: total[k] or 0.0 for k in rules}
+    spread = hosts.agg(*[(F.sum(F.col("n") * F.pow(F.col(k) / F.col("n") - F.lit(mean[k]), 2)) / F.sum("n")).alias(k) for k in rules]).first()
+    out = hosts
     for k in rules:
-        mean, var = F.col(f"{k}_mean"), F.col(f"{k}_var")
+        everyone, var = float(total["n"] or 0), spread[k] or 0.0
         # moments of a beta distribution; hosts that don't differ give the strongest prior, all documents
-        weight = F.when(var > 0, F.greatest(F.least(mean * (1 - mean) / var - 1, F.col("all").cast("double")), F.lit(1.0))).otherwise(F.col("all").cast("double"))
-        out = out.withColumn(f"{k}_rate", (F.col(k) + mean * weight) / (F.col("n") + weight))
+        weight = max(min(mean[k] * (1 - mean[k]) / var - 1, everyone), 1.0) if var > 0 else everyone
+        out = out.withColumn(f"{k}_rate", (F.col(k) + F.lit(mean[k] * weight)) / (F.col("n") + F.lit(weight)))
     bad = None
     for k in rules:
         bad = F.col(f"{k}_rate") > limit if bad is None else bad | (F.col(f"{k}_rate") > limit)
