@@ -3,6 +3,13 @@
 Each stage takes what the one before kept and returns the columns of
 documents; the last returns the mixed corpus in training order, a row for each
 copy that is taken, with epoch and position.
+
+Defined results: rows with null texts or ids go through every stage like any
+other (quality scores a null text as an empty one; of rows without an id one
+for each fingerprint stays; null texts stay null); repeated rows become one at
+the near copies; empty tables give empty tables; further columns are carried,
+also where their names are those of an operator's own columns, but for epoch
+and position, which the mixture sets; n_chars follows the text.
 """
 
 from __future__ import annotations

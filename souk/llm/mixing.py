@@ -10,10 +10,11 @@ Inverting the schedule's integral at that demand gives the copy's training
 position; documents are range-sorted by it.  DataFrame functions only.
 
 The running sums need no large group: sums for 4096 hash ranges of a source
-first, then running sums inside one range.
+first, then running sums inside one range.  Only the sources themselves, a
+narrow row each, meet in one task, to share what is over.
 
 Defined results: a null text has size 0; null is a source like any other and
-comes last; a null id is ordered as the empty text; a document of size 0, or
+comes last; rows without an id are ordered by their texts; a document of size 0, or
 of a source without words, is never taken; equal rows are separate documents;
 an empty table gives no rows; other columns are ignored or carried whole.
 """
@@ -82,7 +83,7 @@ def targets(sizes: DataFrame, schedules=SCHEDULES, epochs: int = EPOCHS) -> Data
 def assign(docs: DataFrame, schedules=SCHEDULES, epochs: int = EPOCHS, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source", carry: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, taken, positions of each document; with carry also row, its whole input."""
-    digest = F.md5(F.coalesce(docs[id_col].cast("string"), F.lit("")))
+    digest = F.md5(F.coalesce(docs[id_col].cast("string"), docs[text_col], F.lit("")))
     base = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), words(docs[text_col]).alias("size"), digest.alias("digest"),
                        F.substring(digest, 1, 3).alias("range"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []))
     sums = base.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
@@ -121,7 +122,7 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
 
 
 SQL = r"""
-with d as (select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) digest,
+with d as (select doc_id, source, md5(coalesce(cast(doc_id as varchar), text, '')) digest,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) size from documents),
 s as (select source, cast(sum(size) as bigint) source_size from d group by source),
 w as (select *, (row_number() over (order by source nulls last) - 1) % 3 which, cast(source_size * 3 as double) most from s),
