@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +41,11 @@ MULTI, COVERED, REQUEST, HEAVY = 1, 2, 4, 8
 HEAVY_CONTENTS = 32
 SEGMENT = 1 << 19
 
-BLOB = "part int, ids binary, ths binary, doc binary, lo binary, cnt binary, flag binary, bucket binary, content binary"
-FOUND = "doc_id long, th int, kind int, lo int, cnt int, bucket long"
+BLOB = "part int, docs binary, places binary, bucket binary, content binary"
+#: found: first window << 16 | number of windows << 8 | kind (0: covered)
+FOUND = "doc_id long, th int, found long"
+#: Bytes of text whose records are combined and sent together.
+FLUSH = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -107,32 +111,46 @@ def runs_of(task: Task, raw: np.ndarray, offs: np.ndarray):
             yield row[lo] + i, lo + at - first[row[lo]], cnt, bucket, whole, windows, lo
 
 
-def _six(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+def _low_bytes(x: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _unsix(raw: bytes) -> np.ndarray:
-    a = np.zeros((len(raw) // 6, 8), np.uint8)
-    a[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+def _from_bytes(raw: bytes, width: int) -> np.ndarray:
+    a = np.zeros((len(raw) // width, 8), np.uint8)
+    a[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
     return a.view("<u8").ravel()
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Integer columns, byte by byte (like bytes together), compressed."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, c.dtype.itemsize).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    kinds = [np.dtype(k) for k in kinds]
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    n, at, out = len(data) // sum(k.itemsize for k in kinds), 0, []
+    for k in kinds:
+        out.append(np.ascontiguousarray(data[at:at + n * k.itemsize].reshape(k.itemsize, n).T).view(k).ravel())
+        at += n * k.itemsize
+    return out
+
+
 def _blobs(parts: int, part, ids, ths, row, lo, cnt, flag, bucket, content, per=None) -> pa.RecordBatch:
     """One row for each part with all its records; ``per`` contents belong to a record if given."""
-    order = np.argsort(part, kind="stable")
+    order = np.argsort(part * (np.int64(1) << 44) + row * (np.int64(1) << 22) + np.minimum(lo, (1 << 22) - 1), kind="stable")
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     ends = np.cumsum(per) if per is not None else None
     rows = []
     for k in np.flatnonzero(np.diff(bounds)):
         o = order[bounds[k]:bounds[k + 1]]
         used, local = np.unique(row[o], return_inverse=True)
-        if per is None:
-            body = _six(content[o])
-        else:
-            body = _six(content[np.repeat(ends[o] - per[o], per[o]) + _within(per[o])])
-        rows.append((int(k), ids[used].tobytes(), ths[used].tobytes(), local.astype("<u4").tobytes(), lo[o].astype("<u4").tobytes(),
-                     cnt[o].astype(np.uint8).tobytes(), flag[o].astype(np.uint8).tobytes(), _six(bucket[o]).tobytes(), body.tobytes()))
-    cols = list(zip(*rows)) if rows else [()] * 9
+        body = content[o] if per is None else content[np.repeat(ends[o] - per[o], per[o]) + _within(per[o])]
+        rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used]),
+                     _pack(local.astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
+                     _low_bytes(bucket[o] // np.uint64(parts), 5), _low_bytes(body, 6)))
+    cols = list(zip(*rows)) if rows else [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                       names=[x.split()[0] for x in BLOB.split(", ")])
 
@@ -146,25 +164,29 @@ def _within(counts: np.ndarray) -> np.ndarray:
 def _read(table: pa.Table):
     """All records of one part, with window identifiers where a record has several."""
     out = {k: [] for k in ("id", "th", "lo", "cnt", "flag", "bucket", "content")}
-    for r in table.select(["ids", "ths", "doc", "lo", "cnt", "flag", "bucket", "content"]).to_batches():
-        for ids, ths, doc, lo, cnt, flag, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
-            at = np.frombuffer(doc, "<u4")
-            out["id"].append(np.frombuffer(ids, "<i8")[at])
-            out["th"].append(np.frombuffer(ths, "<i4")[at])
-            out["lo"].append(np.frombuffer(lo, "<u4"))
-            out["cnt"].append(np.frombuffer(cnt, np.uint8))
-            out["flag"].append(np.frombuffer(flag, np.uint8))
-            out["bucket"].append(_unsix(bucket))
-            out["content"].append(_unsix(content))
+    for r in table.select(["docs", "places", "bucket", "content"]).to_batches():
+        for docs, places, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
+            ids, ths = _unpack(docs, "<i8", "<i4")
+            at, lo, cnt, flag = _unpack(places, "<u4", "<u4", "u1", "u1")
+            for k, v in (("id", np.cumsum(ids)[at]), ("th", ths[at]), ("lo", lo), ("cnt", cnt), ("flag", flag),
+                         ("bucket", _from_bytes(bucket, 5)), ("content", _from_bytes(content, 6))):
+                out[k].append(v)
     return {k: np.concatenate(v) for k, v in out.items()}
 
 
 def _found(kind, rec, mask) -> pa.RecordBatch:
-    ids = rec["id"][mask]
-    kind = np.broadcast_to(np.asarray(kind), mask.shape)[mask] if np.ndim(kind) else np.full(len(ids), kind)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(rec["th"][mask], pa.int32()), pa.array(kind, pa.int32()), pa.array(rec["lo"][mask].astype(np.int32)),
-         pa.array(rec["cnt"][mask].astype(np.int32)), pa.array(rec["bucket"][mask].astype(np.int64))], names=["doc_id", "th", "kind", "lo", "cnt", "bucket"])
+    code = (rec["lo"].astype(np.int64) << 16 | rec["cnt"].astype(np.int64) << 8 | kind)[mask]
+    return pa.RecordBatch.from_arrays([pa.array(rec["id"][mask], pa.int64()), pa.array(rec["th"][mask], pa.int32()), pa.array(code, pa.int64())],
+                                      names=["doc_id", "th", "found"])
+
+
+def covered(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of each row's first interval and the total, first windows, numbers of windows) that are covered."""
+    offsets, codes = found.offsets.to_numpy(), found.flatten().to_numpy(zero_copy_only=False)
+    keep = (codes & 255) == 0
+    upto = np.concatenate([[0], np.cumsum(keep)])
+    codes = codes[keep]
+    return upto[offsets - offsets[0]], codes >> 16, (codes >> 8) & 255
 
 
 def _combine(first_stays, bucket, content, ident):
@@ -189,39 +211,43 @@ def _combine(first_stays, bucket, content, ident):
     return tuple(out)
 
 
+def _inputs(batch):
+    raw, offs = K.column_bytes(batch.column(2))
+    ids = batch.column(0).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8")
+    return raw, offs, ids, batch.column(1).to_numpy(zero_copy_only=False).astype("<i4")
+
+
 def _map_runs(task: Task, parts: int):
+    def send(ids, ths, row, lo, cnt, bucket, content):
+        content = content & np.uint64((1 << 48) - 1)
+        cov, send, several = _combine(task.first_stays, bucket, content, ids[row])
+        flag = np.where(several, MULTI, 0).astype(np.uint8)
+        # grams with many contents: their runs go straight to the second step
+        _, inv, contents = np.unique(bucket[send], return_inverse=True, return_counts=True)
+        heavy = np.zeros(len(row), bool)
+        heavy[np.flatnonzero(send)] = contents[inv] > HEAVY_CONTENTS
+        part = (bucket % np.uint64(parts)).astype(np.int64)
+        spread = (K.mix(content) % np.uint64(parts)).astype(np.int64)
+        pick, code, where = [np.flatnonzero(send & ~heavy)], [flag[send & ~heavy]], [part[send & ~heavy]]
+        for mask, extra in ((cov, COVERED), (heavy, REQUEST | HEAVY)):
+            pick.append(np.flatnonzero(mask))
+            code.append(flag[mask] | np.uint8(extra))
+            where.append(spread[mask])
+        marks = np.flatnonzero(heavy)
+        marks = marks[np.unique(bucket[marks], return_index=True)[1]]
+        pick.append(marks)
+        code.append(np.full(len(marks), HEAVY, np.uint8))
+        where.append(part[marks])
+        o, code, where = map(np.concatenate, (pick, code, where))
+        return _blobs(parts, where, ids, ths, row[o], lo[o], cnt[o], code, bucket[o], content[o])
+
     def run(batches):
-        for at, batch in enumerate(batches):
-            raw, offs = K.column_bytes(batch.column(2))
-            ids = batch.column(0).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8")
-            ths = batch.column(1).to_numpy(zero_copy_only=False).astype("<i4")
-            got = [x[:5] for x in runs_of(task, raw, offs)]
-            if not got:
-                continue
-            row, lo, cnt, bucket, content = map(np.concatenate, zip(*got))
-            if not len(row):
-                continue
-            content &= np.uint64((1 << 48) - 1)
-            cov, send, several = _combine(task.first_stays, bucket, content, ids[row])
-            flag = np.where(several, MULTI, 0).astype(np.uint8)
-            # grams with many contents: their runs go straight to the second step
-            _, inv, contents = np.unique(bucket[send], return_inverse=True, return_counts=True)
-            heavy = np.zeros(len(row), bool)
-            heavy[np.flatnonzero(send)] = contents[inv] > HEAVY_CONTENTS
-            part = (bucket % np.uint64(parts)).astype(np.int64)
-            spread = (K.mix(content) % np.uint64(parts)).astype(np.int64)
-            pick, code, where = [np.flatnonzero(send & ~heavy)], [flag[send & ~heavy]], [part[send & ~heavy]]
-            for mask, extra in ((cov, COVERED), (heavy, REQUEST | HEAVY)):
-                pick.append(np.flatnonzero(mask))
-                code.append(flag[mask] | np.uint8(extra))
-                where.append(spread[mask])
-            marks = np.flatnonzero(heavy)
-            marks = marks[np.unique(bucket[marks], return_index=True)[1]]
-            pick.append(marks)
-            code.append(np.full(len(marks), HEAVY, np.uint8))
-            where.append(part[marks])
-            o, code, where = map(np.concatenate, (pick, code, where))
-            yield _blobs(parts, where, ids, ths, row[o], lo[o], cnt[o], code, bucket[o], content[o])
+        for batch in batches:
+            raw, offs, ids, ths = _inputs(batch)
+            for i, j in K.segments(offs, FLUSH):
+                got = [x[:5] for x in runs_of(task, raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])]
+                if sum(len(x[0]) for x in got):
+                    yield send(ids[i:j], ths[i:j], *map(np.concatenate, zip(*got)))
     return run
 
 
@@ -256,63 +282,57 @@ def _reduce_runs(task: Task):
 
 def _map_windows(task: Task, parts: int):
     """Texts with their open runs -> the identifiers of those runs' windows."""
+    def opened(raw, offs, key, kind):
+        for row, first, cnt, b, _, windows, at in runs_of(task, raw, offs):
+            mine = row * (1 << 40) + first
+            j = np.minimum(np.searchsorted(key, mine), len(key) - 1)
+            hit = np.flatnonzero(key[j] == mine)
+            if len(hit):
+                c = cnt[hit]
+                ws = windows[np.repeat(at[hit], c) + _within(c)] & np.uint64((1 << 48) - 1)
+                yield row[hit], first[hit], c, b[hit], kind[j[hit]], ws
+
+    def send(ids, ths, row, first, cnt, b, k, ws):
+        flag = np.where(k > 2, MULTI, 0).astype(np.uint8)
+        heavy = (k == 2) | (k == 4)
+        ends = np.cumsum(cnt)
+        light, hv = np.flatnonzero(~heavy), np.flatnonzero(heavy)
+        if len(light):
+            n = cnt[light]
+            yield _blobs(parts, (b[light] % np.uint64(parts)).astype(np.int64), ids, ths, row[light], first[light], n,
+                         flag[light], b[light], ws[np.repeat(ends[light] - n, n) + _within(n)], n)
+        if len(hv):
+            n = cnt[hv]
+            w = ws[np.repeat(ends[hv] - n, n) + _within(n)]
+            r, f, bb, fl = np.repeat(row[hv], n), np.repeat(first[hv], n) + _within(n), np.repeat(b[hv], n), np.repeat(flag[hv], n)
+            cov, go, several = _combine(task.first_stays, bb, w, ids[r])
+            fl = fl | np.where(several, MULTI, 0).astype(np.uint8)
+            o = np.concatenate([np.flatnonzero(go), np.flatnonzero(cov)])
+            code = np.concatenate([fl[go], fl[cov] | np.uint8(COVERED)])
+            salt = K.pair(bb, w)
+            where = np.concatenate([salt[go], K.mix(salt[cov] + r[cov].astype(np.uint64))]) % np.uint64(parts)
+            one = np.ones(len(o), np.int64)
+            yield _blobs(parts, where.astype(np.int64), ids, ths, r[o], f[o], one, code, bb[o], w[o], one)
+
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             keep = np.flatnonzero(np.asarray(batch.column(3).is_valid()))
             if not len(keep):
                 continue
             batch = batch.take(pa.array(keep))
-            raw, offs = K.column_bytes(batch.column(2))
-            ids = batch.column(0).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8")
-            ths = batch.column(1).to_numpy(zero_copy_only=False).astype("<i4")
-            found = batch.column(3)
-            fo = found.offsets.to_numpy()
-            s = found.flatten()
-            kind, lo, bucket = (s.field(k).to_numpy(zero_copy_only=False) for k in ("kind", "lo", "bucket"))
-            want_row = np.repeat(np.arange(len(ids)), np.diff(fo))
-            sel = kind[:] > 0
-            if not sel.any():
-                continue
-            key = want_row[sel] * (1 << 40) + lo[sel]
-            order = np.argsort(key, kind="stable")
-            key, wkind = key[order], kind[sel][order]
-            out = []
-            for row, first, cnt, b, _, windows, at in runs_of(task, raw, offs):
-                mine = row * (1 << 40) + first
-                j = np.minimum(np.searchsorted(key, mine), len(key) - 1)
-                hit = np.flatnonzero(key[j] == mine)
-                if len(hit):
-                    c = cnt[hit]
-                    ws = windows[np.repeat(at[hit], c) + _within(c)]
-                    out.append((row[hit], first[hit], c, b[hit], wkind[j[hit]], ws))
-            if not out:
-                continue
-            row, first, cnt, b, k, ws = map(np.concatenate, zip(*out))
-            ws &= np.uint64((1 << 48) - 1)
-            flag = np.where(k > 2, MULTI, 0).astype(np.uint8)
-            heavy = (k == 2) | (k == 4)
-            light = np.flatnonzero(~heavy)
-            if len(light):
-                ends = np.cumsum(cnt)
-                pickw = np.repeat(ends[light] - cnt[light], cnt[light]) + _within(cnt[light])
-                yield _blobs(parts, (b[light] % np.uint64(parts)).astype(np.int64), ids, ths, row[light], first[light], cnt[light],
-                             flag[light], b[light], ws[pickw], cnt[light])
-            hv = np.flatnonzero(heavy)
-            if len(hv):
-                ends = np.cumsum(cnt)
-                n = cnt[hv]
-                w = ws[np.repeat(ends[hv] - n, n) + _within(n)]
-                r, f, bb, fl = np.repeat(row[hv], n), np.repeat(first[hv], n) + _within(n), np.repeat(b[hv], n), np.repeat(flag[hv], n)
-                cov, send, several = _combine(task.first_stays, bb, w, ids[r])
-                fl = fl | np.where(several, MULTI, 0).astype(np.uint8)
-                o = np.concatenate([np.flatnonzero(send), np.flatnonzero(cov)])
-                code = np.concatenate([fl[send], fl[cov] | np.uint8(COVERED)])
-                salt = K.pair(bb, w)
-                where = np.concatenate([salt[send], K.mix(salt[cov] + r[cov].astype(np.uint64))]) % np.uint64(parts)
-                yield _blobs(parts, where.astype(np.int64), ids, ths, r[o], f[o], np.ones(len(o), np.int64), code, bb[o], w[o],
-                             np.ones(len(o), np.int64))
+            raw, offs, ids, ths = _inputs(batch)
+            fo, codes = batch.column(3).offsets.to_numpy(), batch.column(3).flatten().to_numpy(zero_copy_only=False)
+            fo = fo - fo[0]
+            for i, j in K.segments(offs, FLUSH):
+                mine = codes[fo[i]:fo[j]]
+                row = np.repeat(np.arange(j - i), np.diff(fo[i:j + 1]))
+                ask = (mine & 255) > 0
+                key = row[ask] * (1 << 40) + (mine[ask] >> 16)
+                if len(key):
+                    order = np.argsort(key, kind="stable")
+                    got = list(opened(raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i], key[order], (mine[ask] & 255)[order]))
+                    if got:
+                        yield from send(ids[i:j], ths[i:j], *map(np.concatenate, zip(*got)))
     return run
 
 
@@ -342,7 +362,7 @@ def _reduce_windows(task: Task):
 
 
 def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
-    """doc_id, text, runs (array of lo, cnt: covered window starts) of each row of docs(doc_id, text).
+    """doc_id, text, found (codes, see ``covered``) of each row of docs(doc_id, text).
 
     Rows that share a doc_id are told apart by their text; null ids stay.
     """
@@ -351,20 +371,19 @@ def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
 
     def by_document(found):
-        found = found.select(F.when(F.col("doc_id") != int(NULL_ID), F.col("doc_id")).alias("i"), F.col("th").alias("h"), "kind", "lo", "cnt", "bucket")
-        return found.groupBy("i", "h").agg(F.collect_list(F.struct("kind", "lo", "cnt", "bucket")).alias("found"))
+        found = found.select(F.when(F.col("doc_id") != int(NULL_ID), F.col("doc_id")).alias("i"), F.col("th").alias("h"), "found")
+        return found.groupBy("i", "h").agg(F.collect_list("found").alias("found"))
 
     def attach(left, right, name):
         r = right.select("i", "h", F.col("found").alias(name))
         return left.join(r, left.doc_id.eqNullSafe(r.i) & (left.th == r.h), "left").drop("i", "h")
 
+    # the texts are shuffled once: both joins read the same exchange
     sent = base.mapInArrow(_map_runs(task, parts), BLOB)
     runs = by_document(sent.groupBy("part").applyInArrow(_reduce_runs(task), FOUND))
     opened = attach(base, runs, "found")
     windows = opened.select("doc_id", "th", "text", "found").mapInArrow(_map_windows(task, parts), BLOB)
     rest = by_document(windows.groupBy("part").applyInArrow(_reduce_windows(task), FOUND))
     both = attach(attach(base, runs, "found"), rest, "more")
-    none = F.array().cast("array<struct<kind:int,lo:int,cnt:int,bucket:bigint>>")
-    all_found = F.concat(F.coalesce("found", none), F.coalesce("more", none))
-    covered = F.filter(all_found, lambda x: x["kind"] == 0)
-    return both.select("doc_id", "text", F.transform(covered, lambda x: F.struct(x["lo"].alias("lo"), x["cnt"].alias("cnt"))).alias("runs"))
+    none = F.array().cast("array<bigint>")
+    return both.select("doc_id", "text", F.concat(F.coalesce("found", none), F.coalesce("more", none)).alias("found"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import kernel as K
 from souk.llm.common import pick
-from souk.llm.runs import Task, covered_windows
+from souk.llm.runs import Task, covered, covered_windows
 
 GRAM = 20
 
@@ -74,13 +74,11 @@ def _cut(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         raw, offs = K.column_bytes(batch.column(1))
-        runs = batch.column(2)
-        ro, flat = runs.offsets.to_numpy(), runs.flatten()
-        lo, cnt = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("lo", "cnt"))
+        ro, lo, cnt = covered(batch.column(2))
         starts, ends, sizes, kept = [], [], [], []
         for r in range(batch.num_rows):
             text = raw[offs[r]:offs[r + 1]]
-            a, b = lo[ro[r] - ro[0]:ro[r + 1] - ro[0]], cnt[ro[r] - ro[0]:ro[r + 1] - ro[0]]
+            a, b = lo[ro[r]:ro[r + 1]], cnt[ro[r]:ro[r + 1]]
             s, e = K.merged(a, a + b + (length - 1))
             starts.append(s)
             ends.append(e)
