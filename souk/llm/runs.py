@@ -39,13 +39,13 @@ NULL_ID = np.iinfo(np.int64).max
 MULTI, COVERED, REQUEST, HEAVY = 1, 2, 4, 8
 #: Different contents of one gram in one batch beyond which the gram is heavy.
 HEAVY_CONTENTS = 32
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
 
 BLOB = "part int, docs binary, places binary, bucket binary, content binary"
 #: found: first window << 16 | number of windows << 8 | kind (0: covered)
 FOUND = "doc_id long, th int, found long"
 #: Bytes of text whose records are combined and sent together.
-FLUSH = 8 << 20
+FLUSH = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,10 @@ class Task:
     #: True: covered if a smaller doc_id has it; False: if it occurs anywhere else
     first_stays: bool
 
+    def __post_init__(self):
+        if not 0 <= self.window - self.gram < 255:
+            raise ValueError("a window has at least one gram and at most 255")
+
 
 def judge(first_stays: bool, bucket, content, ident, multi):
     """(covered, needs closer comparison, stands for its content), for records of one range of buckets."""
@@ -213,7 +217,7 @@ def _combine(first_stays, bucket, content, ident):
 
 def _inputs(batch):
     raw, offs = K.column_bytes(batch.column(2))
-    ids = batch.column(0).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8")
+    ids = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8")
     return raw, offs, ids, batch.column(1).to_numpy(zero_copy_only=False).astype("<i4")
 
 
@@ -227,7 +231,8 @@ def _map_runs(task: Task, parts: int):
         heavy = np.zeros(len(row), bool)
         heavy[np.flatnonzero(send)] = contents[inv] > HEAVY_CONTENTS
         part = (bucket % np.uint64(parts)).astype(np.int64)
-        spread = (K.mix(content) % np.uint64(parts)).astype(np.int64)
+        # what needs no comparison may go anywhere: copies of one content spread over all parts
+        spread = (K.mix(content + row.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
         pick, code, where = [np.flatnonzero(send & ~heavy)], [flag[send & ~heavy]], [part[send & ~heavy]]
         for mask, extra in ((cov, COVERED), (heavy, REQUEST | HEAVY)):
             pick.append(np.flatnonzero(mask))
@@ -368,21 +373,22 @@ def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = partitions(spark)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    # joins are on keys that are never null: such equality keeps the grouping's own partitioning
+    base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"), doc_id.alias("doc_id"))
 
     def by_document(found):
-        found = found.select(F.when(F.col("doc_id") != int(NULL_ID), F.col("doc_id")).alias("i"), F.col("th").alias("h"), "found")
-        return found.groupBy("i", "h").agg(F.collect_list("found").alias("found"))
+        return found.groupBy(F.col("doc_id").alias("i"), F.col("th").alias("h")).agg(F.collect_list("found").alias("found"))
 
     def attach(left, right, name):
         r = right.select("i", "h", F.col("found").alias(name))
-        return left.join(r, left.doc_id.eqNullSafe(r.i) & (left.th == r.h), "left").drop("i", "h")
+        return left.join(r, (left.key == r.i) & (left.th == r.h), "left").drop("i", "h")
 
     # the texts are shuffled once: both joins read the same exchange
-    sent = base.mapInArrow(_map_runs(task, parts), BLOB)
+    sent = base.select("key", "th", "text").mapInArrow(_map_runs(task, parts), BLOB)
     runs = by_document(sent.groupBy("part").applyInArrow(_reduce_runs(task), FOUND))
     opened = attach(base, runs, "found")
-    windows = opened.select("doc_id", "th", "text", "found").mapInArrow(_map_windows(task, parts), BLOB)
+    windows = opened.select("key", "th", "text", "found", "doc_id").mapInArrow(_map_windows(task, parts), BLOB)
     rest = by_document(windows.groupBy("part").applyInArrow(_reduce_windows(task), FOUND))
     both = attach(attach(base, runs, "found"), rest, "more")
     none = F.array().cast("array<bigint>")
