@@ -43,7 +43,8 @@ U = np.uint64
 END = U(0x5851F42D4C957F2D)
 PAIR_BITS = 40
 PAIR_MASK = U((1 << PAIR_BITS) - 1)
-BITS_PER_ENTRY, PROBES = 16, 11
+#: Bits of the filter for each entry, and bits that an entry sets in its word.
+BITS_PER_ENTRY, PROBES = 24, 5
 BROADCAST_BYTES = 256 << 20
 FLUSH = 16 << 20
 
@@ -121,38 +122,37 @@ def _count(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                                              names=[x.split()[0] for x in COUNTS.split(", ")])
 
 
-def _spots(keys: np.ndarray, level: int, n_bits, start, k: int) -> np.ndarray:
+def _places(keys: np.ndarray, level: int, n_words) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the filter, and the bits in it, of each pair's entry at a level."""
     x = K.pair(keys, np.full(len(keys), level, U))
-    return start + (x + U(k) * (K.mix(x) | U(1))) % n_bits
+    y, mask = K.mix(x + U(1)), np.zeros(len(keys), U)
+    for p in range(PROBES):
+        mask |= U(1) << (y >> U(6 * p) & U(63))
+    return (x % n_words).astype(np.int64), mask
 
 
-def build_filter(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bytes of the filter for pairs with their levels (>= 1), and its number of bits."""
-    n_bits = max(64, (int(levels.sum()) * BITS_PER_ENTRY + 7) // 8 * 8)
-    bits = np.zeros(n_bits, bool)
+def build_filter(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The filter's 64-bit words, for pairs with their levels (>= 1): an entry sets PROBES bits of one word."""
+    words = np.zeros(max(1, int(levels.sum()) * BITS_PER_ENTRY // 64), U)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        k = keys[levels >= level]
-        for p in range(PROBES):
-            bits[_spots(k, level, U(n_bits), U(0), p).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little"), n_bits
+        at, mask = _places(keys[levels >= level], level, U(len(words)))
+        np.bitwise_or.at(words, at, mask)
+    return words
 
 
-def probe(data: np.ndarray, keys: np.ndarray, n_bits, start) -> np.ndarray:
+def probe(words: np.ndarray, keys: np.ndarray, n_words, start) -> np.ndarray:
     """Level of each pair: levels are probed upwards until one is missing."""
     out, live, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-    n_bits, start = np.broadcast_to(n_bits, keys.shape), np.broadcast_to(start, keys.shape)
+    n_words, start = np.broadcast_to(n_words, keys.shape), np.broadcast_to(start, keys.shape)
     while len(live):
-        for p in range(PROBES):
-            at = _spots(keys[live], level, n_bits[live], start[live], p)
-            live = live[(data[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8) & 1).astype(bool)]
-            if not len(live):
-                break
+        at, mask = _places(keys[live], level, n_words[live])
+        live = live[words[start[live] + at] & mask == mask]
         out[live] = level
         level += 1
     return out
 
 
-MODEL = "part int, n long, v long, ids binary, counts binary, sums binary, filter binary, n_bits long"
+MODEL = "part int, n long, v long, ids binary, counts binary, sums binary, filter binary, n_words long"
 
 
 def _model(table: pa.Table) -> pa.Table:
@@ -174,10 +174,10 @@ def _model(table: pa.Table) -> pa.Table:
     key, level = key[level > 0], level[level > 0]
     head = (key >> U(PAIR_BITS)).astype(np.int64)
     sums = np.bincount(head, np.left_shift(1, level), minlength=len(u)).astype(np.int64)
-    data, n_bits = build_filter(K.pair(u[head], key & PAIR_MASK), level)
+    words = build_filter(K.pair(u[head], key & PAIR_MASK), level)
     return pa.table({"part": pa.array([rows[0]["part"]], pa.int32()), "n": [int(counts.sum())], "v": [len(u)], "ids": pa.array([u.tobytes()], pa.binary()),
                      "counts": pa.array([_zip(counts)], pa.binary()), "sums": pa.array([_zip(sums)], pa.binary()),
-                     "filter": pa.array([data.tobytes()], pa.binary()), "n_bits": [n_bits]})
+                     "filter": pa.array([words.tobytes()], pa.binary()), "n_words": [len(words)]})
 
 
 def train(docs: DataFrame, is_training: Column | None = None, text_col: str = "text") -> DataFrame:
@@ -208,11 +208,11 @@ def _ask(parts: int, with_pairs: bool, table: pa.Table) -> pa.Table:
 
 def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
     known = model.to_pylist()
-    ids, counts, sums, data, n_bits = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), None, 0
+    ids, counts, sums, words = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), None
     if known:
         m = known[0]
         ids, counts, sums = np.frombuffer(m["ids"], "<u8").astype(U), _unzip(m["counts"]), _unzip(m["sums"])
-        data, n_bits = np.frombuffer(m["filter"], np.uint8), m["n_bits"]
+        words = np.frombuffer(m["filter"], "<u8")
     out = []
     for r in asked.to_pylist():
         u = np.frombuffer(r["ids"], "<u8").astype(U)
@@ -222,8 +222,8 @@ def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
         c[hit], s[hit] = counts[at[hit]], sums[at[hit]]
         pairs = _unfive(r["pairs"])
         level = np.zeros(len(pairs), np.int64)
-        if len(pairs) and data is not None:
-            level = probe(data, K.pair(np.repeat(u, _unzip(r["n_pairs"])), pairs), U(n_bits), U(0))
+        if len(pairs) and words is not None:
+            level = probe(words, K.pair(np.repeat(u, _unzip(r["n_pairs"])), pairs), U(len(words)), 0)
         out.append((r["slot"], r["part"], _zip(c), _zip(s), _zip(level)))
     cols = list(zip(*out)) if out else [()] * 5
     return pa.table({"slot": pa.array(cols[0], pa.int32()), "part": pa.array(cols[1], pa.int32()),
@@ -246,12 +246,12 @@ def _score(parts: int, n: int, v: int, shared, table: pa.Table, answers: pa.Tabl
         _, inv, _ = voc.pairs()
         level = np.concatenate([_unzip(r["levels"]) for r in got])[inv]
     else:
-        data, n_bits, start = shared.value
+        words, n_words, start = shared.value
         part = (heads % U(parts)).astype(np.int64)
         keys = K.pair(heads, K.pair(heads, voc.ids[voc.index]) & PAIR_MASK)
         level = np.zeros(len(keys), np.int64)
         there = np.flatnonzero(sh > 0)  # other contexts have no pair in the filter
-        level[there] = probe(data, keys[there], n_bits[part[there]], start[part[there]])
+        level[there] = probe(words, keys[there], n_words[part[there]], start[part[there]])
     q = np.minimum(np.where(level > 0, np.exp2(level), 0.0), sh)
     p = (q + np.maximum(ch - sh + 1, 1) * p1) / (ch + 1)
     at = first[:-1]
@@ -268,19 +268,19 @@ def score(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST
                      F.coalesce(F.sum(F.octet_length("filter").cast("long")), F.lit(0)).alias("b")).first()
     shared = None
     if size["b"] <= broadcast_bytes:
-        n_bits, start, data, at = np.zeros(parts, U), np.zeros(parts, U), [np.zeros(1, np.uint8)], 8
-        for r in model.select("part", "n_bits", "filter").toLocalIterator():
-            n_bits[r["part"]], start[r["part"]] = r["n_bits"], at
-            data.append(np.frombuffer(r["filter"], np.uint8))
-            at += r["n_bits"]
-        shared = spark.sparkContext.broadcast((np.concatenate(data), n_bits, start))
+        n_words, start, data, at = np.ones(parts, U), np.zeros(parts, np.int64), [np.zeros(1, U)], 1
+        for r in model.select("part", "n_words", "filter").toLocalIterator():
+            n_words[r["part"]], start[r["part"]] = r["n_words"], at
+            data.append(np.frombuffer(r["filter"], "<u8"))
+            at += r["n_words"]
+        shared = spark.sparkContext.broadcast((np.concatenate(data), n_words, start))
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.withColumn("__held", ~is_training)
     d = pick(d, doc_id=id_col, text=text_col, held_out="__held")
     d = d.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(2 * parts)).cast("int").alias("slot"))
     ask = partial(_ask, parts, shared is None)
     asked = d.groupBy("slot").applyInArrow(lambda t: ask(t), ASK)
-    facts = model.select("part", "ids", "counts", "sums", *(["filter"] if shared is None else [F.lit(b"").alias("filter")]), "n_bits")
+    facts = model.select("part", "ids", "counts", "sums", *(["filter"] if shared is None else [F.lit(b"").alias("filter")]))
     answers = asked.groupBy("part").cogroup(facts.groupBy("part")).applyInArrow(_answer, ANSWER)
     run = partial(_score, parts, size["n"], size["v"], shared)
     out = d.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(lambda a, b: run(a, b), f"doc_id {kind}, held_out boolean, {SCORES}")
