@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm.common import cut
+
 SPANS = "array<struct<start:int,end:int>>"
 ENTRIES = f"array<struct<rule:string,version:int,spans:{SPANS}>>"
 
@@ -72,13 +74,18 @@ def find(text: Column, rule: Rule) -> Column:
     return _let(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda m: F.when(F.size(m) == 0, none).otherwise(locate(m)))
 
 
+#: A blob with over a HOT_PARTS-th of all paths is hot: there are fewer than HOT_PARTS of them.
+HOT_PARTS = 1000
+
+
 def address(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=RULES, text_col: str = "text") -> DataFrame:
-    """blob, entries: an entry for each rule, taken from the ledger (blob, rule, version, spans) or scanned now."""
-    blobs = docs.select(address(docs[text_col]).alias("blob"), F.coalesce(docs[text_col], F.lit("")).alias("text")).dropDuplicates(["blob"])
+    """blob, paths (how many rows have it), entries: an entry for each rule, taken from the ledger (blob, rule, version, spans) or scanned now."""
+    blobs = docs.select(address(docs[text_col]).alias("blob"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("paths"))
     if ledger is not None:
         known = ledger.groupBy("blob").agg(F.collect_list(F.struct("rule", "version", "spans")).alias("known"))
         blobs = blobs.join(known, "blob", "left")
@@ -89,7 +96,25 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=RULES, text_col
             old = F.coalesce(_known(r), F.array().cast(ENTRIES))
             spans = F.when(F.size(old) > 0, F.get(old, F.lit(0))["spans"]).otherwise(spans)
         entries.append(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), spans.cast(SPANS).alias("spans")))
-    return blobs.select("blob", F.array(*entries).cast(ENTRIES).alias("entries"))
+    return blobs.select("blob", "paths", F.array(*entries).cast(ENTRIES).alias("entries"))
+
+
+def join_back(rows: DataFrame, blob: str, found: DataFrame, name: str) -> DataFrame:
+    """rows with column ``name`` of found (blob, paths, name) added by content address; found is a written table.
+
+    The few hot blobs' findings are broadcast (fewer than HOT_PARTS rows), the
+    rows that got theirs are spread out by all their columns, and the others
+    meet the rest of the findings by blob, where no blob has many paths.
+    """
+    total = found.agg(F.coalesce(F.sum("paths"), F.lit(0)).alias("n")).first()["n"]
+    hot = found.where(F.col("paths") * HOT_PARTS > total).where(F.col("paths") > 1)
+    cold = found.where((F.col("paths") * HOT_PARTS <= total) | (F.col("paths") <= 1))
+    hot = hot.select(F.col("blob").alias("__hot"), F.col(name).alias("__of_hot"))
+    cold = cold.select(F.col("blob").alias("__cold"), F.col(name).alias("__of_cold"))
+    d = rows.join(F.broadcast(hot), rows[blob] == hot["__hot"], "left")
+    d = d.withColumn("__key", F.when(F.col("__hot").isNull(), F.col(blob)).otherwise(F.concat(F.lit("-"), F.xxhash64(*rows.columns).cast("string"))))
+    d = d.join(cold, d["__key"] == cold["__cold"], "left")
+    return d.select(*rows.columns, F.coalesce("__of_hot", "__of_cold").alias(name))
 
 
 def as_ledger(scanned: DataFrame) -> DataFrame:
@@ -100,7 +125,7 @@ def as_ledger(scanned: DataFrame) -> DataFrame:
 def findings(docs: DataFrame, ledger: DataFrame | None = None, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, blob, entries of every row."""
     paths = docs.select(docs[id_col].alias("doc_id"), address(docs[text_col]).alias("blob"))
-    return paths.join(scan(docs, ledger, rules, text_col), "blob", "left").select("doc_id", "blob", "entries")
+    return join_back(paths, "blob", cut(scan(docs, ledger, rules, text_col)), "entries")
 
 
 def _of(rule: Rule) -> Column:
@@ -130,9 +155,10 @@ def report(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]", rules=RULES, text_col: str = "text") -> DataFrame:
     """docs with every found span replaced by ``mark``; overlapping spans become one.  A null text stays null."""
-    found = scan(docs, rules=rules, text_col=text_col).select(
-        F.col("blob").alias("__blob"), F.flatten(F.transform("entries", lambda e: e["spans"])).alias("__spans")).where(F.size("__spans") > 0)
-    text = docs[text_col]
+    found = scan(docs, rules=rules, text_col=text_col).select("blob", "paths", F.flatten(F.transform("entries", lambda e: e["spans"])).alias("__spans"))
+    found = cut(found.where(F.size("__spans") > 0))
+    d = join_back(docs.withColumn("__blob", address(docs[text_col])), "__blob", found, "__spans")
+    text = d[text_col]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a, s):
@@ -141,10 +167,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", rules=RULES, text_col: str =
         longer = F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))
         return F.when((s["start"] >= a["at"]) | (a["at"] == 0), fresh).otherwise(longer)
 
-    d = docs.withColumn("__key", address(text))
-    d = d.join(found, d["__key"] == found["__blob"], "left")
     new = F.aggregate(F.sort_array("__spans"), start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return d.withColumn(text_col, F.when(F.col("__spans").isNull() | text.isNull(), text).otherwise(new)).drop("__key", "__blob", "__spans")
+    return d.withColumn(text_col, F.when(F.col("__spans").isNull() | text.isNull(), text).otherwise(new)).drop("__blob", "__spans")
 
 
 _P = {"assign": BASE[0].pattern.replace("'", "''"), "access": BASE[1].pattern, "hex": BASE[2].pattern, "pem": MORE[0].pattern}

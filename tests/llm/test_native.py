@@ -128,6 +128,18 @@ def test_ledger_scans_only_what_is_new(spark):
     assert got[4]["hex"] == [(0, 16)] and got[5]["access"] == [(0, 21)]
 
 
+def test_hot_blobs_meet_their_findings(spark, monkeypatch):
+    monkeypatch.setattr(secret_ledger, "HOT_PARTS", 4)
+    rows = [(k, SECRETS[0] if k % 2 else f"{k} deadbeefdeadbeef", "s") for k in range(60)] + [(100, None, "s"), (None, SECRETS[0], "s"), (1, SECRETS[0], "s")]
+    d = table(spark, rows)
+    got = secret_ledger.report(secret_ledger.findings(d)).toPandas()
+    want = by_sql("op7_secret_ledger", rows)
+    cols = sorted(got.columns)
+    assert plain(got[cols].itertuples(index=False)) == plain(want[cols].itertuples(index=False))
+    assert sorted(str(r["text"]) for r in secret_ledger.redact(d, "#").collect()) == sorted(
+        str(None if t is None else "#" if "pass" in t else t.split()[0] + " #") for _, t, _ in rows)
+
+
 def test_redaction(spark):
     rows = [(k, t, "s") for k, t in enumerate(SECRETS)]
     got = {r["doc_id"]: r["text"] for r in secret_ledger.redact(table(spark, rows), "#").collect()}
