@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from souk.plans.pipeline import build_all  # noqa: E402
 from souk.session import get_spark  # noqa: E402
-from souk.sources.offers import bronze_offers, offers_from_documents  # noqa: E402
+from souk.sources.offers import offers_from_documents  # noqa: E402
 
 
 def main() -> None:
@@ -38,7 +38,7 @@ def main() -> None:
     n_docs = spark.read.parquet(os.path.join(copy, "documents.parquet")).count()
     out = os.path.join(scratch, f"out-x{rep}-{int(time.time())}")
     t0 = time.perf_counter()
-    bronze = bronze_offers(spark, copy)
+    bronze = offers_from_documents(spark.read.parquet(os.path.join(copy, "documents.parquet")))
     if skew:
         bronze = (offers_from_documents(spark.read.parquet(os.path.join(copy, "documents.parquet")), keep_id=True)
                   .withColumn("url", F.when(F.col("doc_id") % 3 == 0, F.lit("https://rekrute.example/offre-hot"))
