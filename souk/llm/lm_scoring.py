@@ -1,10 +1,10 @@
 """Language-model scoring with a log-frequency Bloom filter of n-gram counts.
 
 Method: the training text's word pairs are counted over the whole corpus; a
-pair with count c enters a Bloom filter once for each level 1..floor(log2 c),
-so a count is found again, quantised, by probing one level after another
-until a probe fails (a pair seen once has level 0 and needs no entry).  The
-filter is broadcast to the workers and the probability of a word w after h is
+pair with count c enters a Bloom filter once for each level
+1..1 + floor(log2 c), so a count is found again, quantised to 2**(level - 1),
+by probing one level after another until a probe fails (a pair seen once has
+level 1).  The filter is broadcast to the workers and the probability of a word w after h is
 
     (q(h,w) + (c(h) - s(h) + 1) * p1(w)) / (c(h) + 1)
 
@@ -170,10 +170,9 @@ def _model(table: pa.Table) -> pa.Table:
     new[1:] = key[1:] != key[:-1]
     n = np.add.reduceat(n, np.flatnonzero(new)) if len(key) else n
     key = key[new]
-    level = np.frexp(n.astype(float))[1].astype(np.int64) - 1  # floor(log2)
-    key, level = key[level > 0], level[level > 0]
+    level = np.frexp(n.astype(float))[1].astype(np.int64)  # 1 + floor(log2)
     head = (key >> U(PAIR_BITS)).astype(np.int64)
-    sums = np.bincount(head, np.left_shift(1, level), minlength=len(u)).astype(np.int64)
+    sums = np.bincount(head, np.left_shift(1, level - 1), minlength=len(u)).astype(np.int64)
     words = build_filter(K.pair(u[head], key & PAIR_MASK), level)
     return pa.table({"part": pa.array([rows[0]["part"]], pa.int32()), "n": [int(counts.sum())], "v": [len(u)], "ids": pa.array([u.tobytes()], pa.binary()),
                      "counts": pa.array([_zip(counts)], pa.binary()), "sums": pa.array([_zip(sums)], pa.binary()),
@@ -252,7 +251,7 @@ def _score(parts: int, n: int, v: int, shared, table: pa.Table, answers: pa.Tabl
         level = np.zeros(len(keys), np.int64)
         there = np.flatnonzero(sh > 0)  # other contexts have no pair in the filter
         level[there] = probe(words, keys[there], n_words[part[there]], start[part[there]])
-    q = np.minimum(np.where(level > 0, np.exp2(level), 0.0), sh)
+    q = np.minimum(np.where(level > 0, np.exp2(level - 1), 0.0), sh)
     p = (q + np.maximum(ch - sh + 1, 1) * p1) / (ch + 1)
     at = first[:-1]
     return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "n_tokens": np.diff(first),

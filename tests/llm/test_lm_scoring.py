@@ -83,3 +83,31 @@ def test_query(spark):
     same(got, brute(rows), 0.005)
     held = [x for x in got if x["held_out"]]
     assert sum(x["score"] for x in held) > sum(x["base_score"] for x in held)
+
+
+def brute_whole(rows):
+    """Exact counts, every pair's quantised to 2 ** floor(log2 c): pairs seen once too."""
+    docs = [(i, zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2, (t or "").encode().lower().split() + [None]) for i, t in rows]
+    c, pairs, s = Counter(), Counter(), Counter()
+    for _, held, w in docs:
+        if not held:
+            c.update(w)
+            pairs.update(zip([None] + w[:-1], w))
+    n, v = sum(c.values()), len(c)
+    q = {k: 2 ** int(math.log2(x)) for k, x in pairs.items()}
+    for (h, _), x in q.items():
+        s[h] += x
+    p1 = lambda x: (c[x] + 1) / (n + v + 1)
+    p = lambda h, x: (q.get((h, x), 0) + (c[h] - s[h] + 1) * p1(x)) / (c[h] + 1)
+    return [(i, held, len(w), sum(c[x] > 0 for x in w), n, sum(math.log10(p1(x)) for x in w),
+             sum(math.log10(p(h, x)) for h, x in zip([None] + w[:-1], w))) for i, held, w in docs]
+
+
+@pytest.mark.parametrize("limit", [L.BROADCAST_BYTES, 0])
+def test_pairs_seen_once_count(spark, limit):
+    df = spark.createDataFrame(fixture(), "doc_id long, text string").repartition(3)
+    same(L.score(df, L.training_rows(df), broadcast_bytes=limit).collect(), brute_whole(fixture()), 0.005)
+    rows = [(1, "a b"), (3, "c d"), (4, "a b"), (5, "a d")]  # a b once in training, a d never
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in L.score(df, df.doc_id < 4, broadcast_bytes=limit).collect()}
+    assert got[4] > got[5] + 0.1
