@@ -132,7 +132,8 @@ def _folder(spark: SparkSession) -> str:
 def q_bronze_appended(spark, sf):
     """Two loads of a raw table, one of them again, and an empty one; rows per load as read back."""
     raw, out = bronze_table(spark, sf, "linkedin"), _folder(spark)
-    early = F.col("scraped_at") < F.lit("2025-01-01").cast("timestamp_ntz")
+    # rows without a capture time go into the second load
+    early = F.coalesce(F.col("scraped_at") < F.lit("2025-01-01").cast("timestamp_ntz"), F.lit(False))
     for batch, rows in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("b", raw.filter(~early)), ("c", raw.filter("false"))):
         pipeline.append_bronze(rows, out, "linkedin", batch_id=batch)
     return pipeline.read_bronze(spark, out, "linkedin").groupBy("batch_id", "capture_date").agg(F.count(F.lit(1)).alias("n_rows"))

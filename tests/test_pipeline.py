@@ -207,3 +207,12 @@ def test_layer_column_contracts(spark, built):
     assert t["fct_jobs"].columns == FACT_COLUMNS
     pages = captured_pages(read_table(spark, SF_SMALL, "documents"), "indeed")
     assert pages.schema.simpleString() == spark.createDataFrame([], CAPTURED_PAGES_DDL).schema.simpleString()
+
+
+def test_rows_without_a_capture_time_are_appended(spark):
+    from souk.plans.registry import q_bronze_appended
+    raw = bronze_table(spark, SF_SMALL, "linkedin")
+    rows = q_bronze_appended(spark, SF_SMALL).collect()
+    none = raw.where("scraped_at is null").count()
+    assert none and {r["batch_id"]: r["n_rows"] for r in rows if r["capture_date"] is None} == {"b": none}
+    assert sum(r["n_rows"] for r in rows) == raw.count()
