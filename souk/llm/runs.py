@@ -369,7 +369,8 @@ def _reduce_windows(task: Task):
 def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     """doc_id, text, found (codes, see ``covered``) of each row of docs(doc_id, text).
 
-    Rows that share a doc_id are told apart by their text; null ids stay.
+    Rows that share a doc_id are told apart by their text; equal rows share what
+    is found, each code once.  Null ids stay.
     """
     spark = docs.sparkSession
     parts = partitions(spark)
@@ -378,7 +379,7 @@ def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"), doc_id.alias("doc_id"))
 
     def by_document(found):
-        return found.groupBy(F.col("doc_id").alias("i"), F.col("th").alias("h")).agg(F.collect_list("found").alias("found"))
+        return found.groupBy(F.col("doc_id").alias("i"), F.col("th").alias("h")).agg(F.collect_set("found").alias("found"))
 
     def attach(left, right, name):
         r = right.select("i", "h", F.col("found").alias(name))

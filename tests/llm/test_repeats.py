@@ -112,3 +112,15 @@ def test_long_texts_cross_segments(spark, monkeypatch):
         assert (row == 0).all()
         starts += [x for a, c in zip(lo.tolist(), cnt.tolist()) for x in range(a, a + c)]
     assert starts == list(range(len(raw) - 49))
+
+
+@pytest.mark.parametrize("task", [suffix_dedup.task(50), window_dedup.task(35)])
+def test_equal_rows_do_not_multiply_what_is_found(spark, task):
+    from pyspark.sql import functions as F
+    r = random.Random(4)
+    text = " ".join(f"w{r.randrange(10 ** 6)}" for _ in range(200))
+    most = []
+    for copies in (3, 60):
+        docs = spark.createDataFrame([(None, text)] * copies + [(1, text)], "doc_id long, text string").repartition(3)
+        most.append(runs.covered_windows(docs, task).agg(F.max(F.size("found"))).first()[0])
+    assert most[1] <= 2 * most[0]
