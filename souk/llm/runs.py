@@ -43,7 +43,7 @@ SEGMENT = 1 << 18
 
 BLOB = "part int, docs binary, places binary, bucket binary, content binary"
 #: found: first window << 16 | number of windows << 8 | kind (0: covered)
-FOUND = "doc_id long, th int, found long"
+FOUND = "doc_id long, th long, size int, found long"
 #: Bytes of text whose records are combined and sent together.
 FLUSH = 4 << 20
 
@@ -141,7 +141,7 @@ def _unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _blobs(parts: int, part, ids, ths, row, lo, cnt, flag, bucket, content, per=None) -> pa.RecordBatch:
+def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, content, per=None) -> pa.RecordBatch:
     """One row for each part with all its records; ``per`` contents belong to a record if given."""
     order = np.argsort(part * (np.int64(1) << 44) + row * (np.int64(1) << 22) + np.minimum(lo, (1 << 22) - 1), kind="stable")
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
@@ -151,7 +151,7 @@ def _blobs(parts: int, part, ids, ths, row, lo, cnt, flag, bucket, content, per=
         o = order[bounds[k]:bounds[k + 1]]
         used, local = np.unique(row[o], return_inverse=True)
         body = content[o] if per is None else content[np.repeat(ends[o] - per[o], per[o]) + _within(per[o])]
-        rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used]),
+        rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used], sizes[used]),
                      _pack(local.astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
                      _low_bytes(bucket[o] // np.uint64(parts), 5), _low_bytes(body, 6)))
     cols = list(zip(*rows)) if rows else [()] * 5
@@ -167,12 +167,12 @@ def _within(counts: np.ndarray) -> np.ndarray:
 
 def _read(table: pa.Table):
     """All records of one part, with window identifiers where a record has several."""
-    out = {k: [] for k in ("id", "th", "lo", "cnt", "flag", "bucket", "content")}
+    out = {k: [] for k in ("id", "th", "size", "lo", "cnt", "flag", "bucket", "content")}
     for r in table.select(["docs", "places", "bucket", "content"]).to_batches():
         for docs, places, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
-            ids, ths = _unpack(docs, "<i8", "<i4")
+            ids, ths, sizes = _unpack(docs, "<i8", "<i8", "<i4")
             at, lo, cnt, flag = _unpack(places, "<u4", "<u4", "u1", "u1")
-            for k, v in (("id", np.cumsum(ids)[at]), ("th", ths[at]), ("lo", lo), ("cnt", cnt), ("flag", flag),
+            for k, v in (("id", np.cumsum(ids)[at]), ("th", ths[at]), ("size", sizes[at]), ("lo", lo), ("cnt", cnt), ("flag", flag),
                          ("bucket", _from_bytes(bucket, 5)), ("content", _from_bytes(content, 6))):
                 out[k].append(v)
     return {k: np.concatenate(v) for k, v in out.items()}
@@ -180,8 +180,8 @@ def _read(table: pa.Table):
 
 def _found(kind, rec, mask) -> pa.RecordBatch:
     code = (rec["lo"].astype(np.int64) << 16 | rec["cnt"].astype(np.int64) << 8 | kind)[mask]
-    return pa.RecordBatch.from_arrays([pa.array(rec["id"][mask], pa.int64()), pa.array(rec["th"][mask], pa.int32()), pa.array(code, pa.int64())],
-                                      names=["doc_id", "th", "found"])
+    return pa.RecordBatch.from_arrays([pa.array(rec["id"][mask], pa.int64()), pa.array(rec["th"][mask], pa.int64()),
+                                       pa.array(rec["size"][mask], pa.int32()), pa.array(code, pa.int64())], names=["doc_id", "th", "size", "found"])
 
 
 def covered(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,11 +218,11 @@ def _combine(first_stays, bucket, content, ident):
 def _inputs(batch):
     raw, offs = K.column_bytes(batch.column(2))
     ids = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8")
-    return raw, offs, ids, batch.column(1).to_numpy(zero_copy_only=False).astype("<i4")
+    return raw, offs, ids, batch.column(1).to_numpy(zero_copy_only=False).astype("<i8"), np.diff(offs).astype("<i4")
 
 
 def _map_runs(task: Task, parts: int):
-    def send(ids, ths, row, lo, cnt, bucket, content):
+    def send(ids, ths, sizes, row, lo, cnt, bucket, content):
         content = content & np.uint64((1 << 48) - 1)
         cov, send, several = _combine(task.first_stays, bucket, content, ids[row])
         flag = np.where(several, MULTI, 0).astype(np.uint8)
@@ -244,15 +244,15 @@ def _map_runs(task: Task, parts: int):
         code.append(np.full(len(marks), HEAVY, np.uint8))
         where.append(part[marks])
         o, code, where = map(np.concatenate, (pick, code, where))
-        return _blobs(parts, where, ids, ths, row[o], lo[o], cnt[o], code, bucket[o], content[o])
+        return _blobs(parts, where, ids, ths, sizes, row[o], lo[o], cnt[o], code, bucket[o], content[o])
 
     def run(batches):
         for batch in batches:
-            raw, offs, ids, ths = _inputs(batch)
+            raw, offs, ids, ths, sizes = _inputs(batch)
             for i, j in K.segments(offs, FLUSH):
                 got = [x[:5] for x in runs_of(task, raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])]
                 if sum(len(x[0]) for x in got):
-                    yield send(ids[i:j], ths[i:j], *map(np.concatenate, zip(*got)))
+                    yield send(ids[i:j], ths[i:j], sizes[i:j], *map(np.concatenate, zip(*got)))
     return run
 
 
@@ -297,14 +297,14 @@ def _map_windows(task: Task, parts: int):
                 ws = windows[np.repeat(at[hit], c) + _within(c)] & np.uint64((1 << 48) - 1)
                 yield row[hit], first[hit], c, b[hit], kind[j[hit]], ws
 
-    def send(ids, ths, row, first, cnt, b, k, ws):
+    def send(ids, ths, sizes, row, first, cnt, b, k, ws):
         flag = np.where(k > 2, MULTI, 0).astype(np.uint8)
         heavy = (k == 2) | (k == 4)
         ends = np.cumsum(cnt)
         light, hv = np.flatnonzero(~heavy), np.flatnonzero(heavy)
         if len(light):
             n = cnt[light]
-            yield _blobs(parts, (b[light] % np.uint64(parts)).astype(np.int64), ids, ths, row[light], first[light], n,
+            yield _blobs(parts, (b[light] % np.uint64(parts)).astype(np.int64), ids, ths, sizes, row[light], first[light], n,
                          flag[light], b[light], ws[np.repeat(ends[light] - n, n) + _within(n)], n)
         if len(hv):
             n = cnt[hv]
@@ -317,7 +317,7 @@ def _map_windows(task: Task, parts: int):
             salt = K.pair(bb, w)
             where = np.concatenate([salt[go], K.mix(salt[cov] + r[cov].astype(np.uint64))]) % np.uint64(parts)
             one = np.ones(len(o), np.int64)
-            yield _blobs(parts, where.astype(np.int64), ids, ths, r[o], f[o], one, code, bb[o], w[o], one)
+            yield _blobs(parts, where.astype(np.int64), ids, ths, sizes, r[o], f[o], one, code, bb[o], w[o], one)
 
     def run(batches):
         for batch in batches:
@@ -325,7 +325,7 @@ def _map_windows(task: Task, parts: int):
             if not len(keep):
                 continue
             batch = batch.take(pa.array(keep))
-            raw, offs, ids, ths = _inputs(batch)
+            raw, offs, ids, ths, sizes = _inputs(batch)
             fo, codes = batch.column(3).offsets.to_numpy(), batch.column(3).flatten().to_numpy(zero_copy_only=False)
             fo = fo - fo[0]
             for i, j in K.segments(offs, FLUSH):
@@ -337,7 +337,7 @@ def _map_windows(task: Task, parts: int):
                     order = np.argsort(key, kind="stable")
                     got = list(opened(raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i], key[order], (mine[ask] & 255)[order]))
                     if got:
-                        yield from send(ids[i:j], ths[i:j], *map(np.concatenate, zip(*got)))
+                        yield from send(ids[i:j], ths[i:j], sizes[i:j], *map(np.concatenate, zip(*got)))
     return run
 
 
@@ -345,7 +345,7 @@ def _reduce_windows(task: Task):
     def run(table: pa.Table) -> pa.Table:
         rec = _read(table)
         n = rec["cnt"].astype(np.int64)
-        each = {k: np.repeat(rec[k], n) for k in ("id", "th", "flag", "bucket")}
+        each = {k: np.repeat(rec[k], n) for k in ("id", "th", "size", "flag", "bucket")}
         each["lo"] = np.repeat(rec["lo"].astype(np.int64), n) + _within(n)
         each["cnt"] = np.ones(len(each["lo"]), np.int64)
         covered = (each["flag"] & COVERED) != 0
@@ -369,21 +369,22 @@ def _reduce_windows(task: Task):
 def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     """doc_id, text, found (codes, see ``covered``) of each row of docs(doc_id, text).
 
-    Rows that share a doc_id are told apart by their text; equal rows share what
-    is found, each code once.  Null ids stay.
+    Rows that share a doc_id are told apart by their text (64-bit hash and size
+    in bytes); equal rows share what is found, each code once.  Null ids stay.
     """
     spark = docs.sparkSession
     parts = partitions(spark)
     doc_id = F.col("doc_id").cast("long")
     # joins are on keys that are never null: such equality keeps the grouping's own partitioning
-    base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"), doc_id.alias("doc_id"))
+    base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.xxhash64("text").alias("th"),
+                       F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), F.coalesce("text", F.lit("")).alias("text"), doc_id.alias("doc_id"))
 
     def by_document(found):
-        return found.groupBy(F.col("doc_id").alias("i"), F.col("th").alias("h")).agg(F.collect_set("found").alias("found"))
+        return found.groupBy(F.col("doc_id").alias("i"), F.col("th").alias("h"), F.col("size").alias("s")).agg(F.collect_set("found").alias("found"))
 
     def attach(left, right, name):
-        r = right.select("i", "h", F.col("found").alias(name))
-        return left.join(r, (left.key == r.i) & (left.th == r.h), "left").drop("i", "h")
+        r = right.select("i", "h", "s", F.col("found").alias(name))
+        return left.join(r, (left.key == r.i) & (left.th == r.h) & (left["size"] == r.s), "left").drop("i", "h", "s")
 
     # the texts are shuffled once: both joins read the same exchange
     sent = base.select("key", "th", "text").mapInArrow(_map_runs(task, parts), BLOB)

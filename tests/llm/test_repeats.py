@@ -114,6 +114,24 @@ def test_long_texts_cross_segments(spark, monkeypatch):
     assert starts == list(range(len(raw) - 49))
 
 
+def colliding(spark):
+    """Two texts of different sizes with one 32-bit hash, and no repeated window."""
+    from pyspark.sql import functions as F
+    words = F.regexp_replace(F.sha2(F.col("id").cast("string"), 512), "(..)", "$1 ")
+    pool = spark.range(400000).select(words.substr(F.lit(1), (F.lit(130) + F.col("id") % 50).cast("int")).alias("text"))
+    pool = pool.select("text", F.hash("text").alias("h"))
+    pairs = pool.groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1 and length(texts[0]) != length(texts[1])")
+    return sorted(pairs.orderBy("h").first()["texts"], key=len)
+
+
+def test_rows_of_one_id_whose_texts_hash_alike(spark):
+    short, long = colliding(spark)
+    rows = [(None, short), (None, long), (1, long), (2, long)]
+    a, b = both(spark, rows)
+    assert a == brute_bytes(rows, 50)
+    assert b == brute_words(rows, 35)
+
+
 @pytest.mark.parametrize("task", [suffix_dedup.task(50), window_dedup.task(35)])
 def test_equal_rows_do_not_multiply_what_is_found(spark, task):
     from pyspark.sql import functions as F
