@@ -188,14 +188,14 @@ def link(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
 
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blocks: int = BLOCKS, **columns) -> DataFrame:
-    """doc_id, th, fp, component_id of each row."""
+    """doc_id, th, fp, component_id, root (least fingerprint of the component) of each row."""
     fps = fingerprints(docs, shingle, **columns)
     roots = link(fps, bits, blocks).select(F.col("fp").alias("node"), "root")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(names.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return fps.join(named, fps.fp == named.f).select("doc_id", "th", "fp", "component_id")
+    named = nodes.join(names.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id", "root")
+    return fps.join(named, fps.fp == named.f).select("doc_id", "th", "fp", "component_id", "root")
 
 
 def report(grouped: DataFrame) -> DataFrame:
@@ -205,13 +205,11 @@ def report(grouped: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without near copies: of each group the row with the least id stays (then the least text hash, one of equal rows).
 
-    Rows with a null id stay only where a group has no other, one for each fingerprint.
+    A row with a null id stays only where a group has no other.
     """
     g = groups(docs, id_col=id_col, text_col=text_col, **options)
-    named = g.where(g.doc_id.eqNullSafe(g.component_id))
-    one = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("th").alias("th"))
-    rest = named.where("doc_id is null").groupBy("doc_id", "fp").agg(F.min("th").alias("th")).select("doc_id", "th").distinct()
-    kept = one.union(rest).select(F.col("doc_id").alias("keep_id"), F.col("th").alias("keep_th"))
+    least = g.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least"))
+    kept = least.select(F.col("least.doc_id").alias("keep_id"), F.col("least.th").alias("keep_th"))
     d = docs.withColumn("__th", F.xxhash64(docs[text_col]))
     d = d.join(kept, d[id_col].eqNullSafe(kept.keep_id) & (d["__th"] == kept.keep_th)).drop("keep_id", "keep_th")
     return d.dropDuplicates([id_col, "__th"]).drop("__th").select(*docs.columns)

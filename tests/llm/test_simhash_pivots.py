@@ -109,3 +109,17 @@ def test_empty(spark):
 def test_query(spark):
     rows = [tuple(x) for x in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert got(op9_simhash_pivots(spark, SF)) == brute(rows)
+
+
+def test_one_row_of_each_group_stays(spark):
+    r = random.Random(11)
+    say = lambda: " ".join(f"v{r.randrange(10 ** 6)}" for _ in range(300))
+    one, other, third, base = say(), say(), say(), say()
+    near = base + " more"
+    assert 0 < (brute_fp(base) ^ brute_fp(near)).bit_count() <= 3
+    # an id with three unrelated texts; a group that has no ids
+    rows = [(5, one), (5, other), (5, third), (6, one), (7, other), (None, third), (None, base), (None, near), (None, base)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(x) for x in S.keep_one(df).collect()]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([(5, one), (5, other), (5, third)])
+    assert len(kept) == 4 and [x[1] in (base, near) for x in kept if x[0] is None] == [True]
