@@ -46,8 +46,16 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 0, 16),  # runs of 16 or more: what is left of [0-9a-f]+
 )
+_HEAD, _B, _NL = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "[A-Za-z0-9+/]", r"(?:\n|\\n)"
+#: From the header through the END line, whatever is between but another such mark.
+_BLOCK = _HEAD + r"[^-]*(?:-[^-]+){0,30}-----END [A-Z ]*PRIVATE KEY-----"
+#: Without an END line: the header, its fields, the lines that are base64 as a whole, and then
+#: base64 words of 40 or more letters.  Counts are bounded: Java's matcher recurses for each repetition.
+_OPEN = (_HEAD + r"(?:[ \t\r\n\\]*n?(?:Proc-Type|DEK-Info):[^\n\\]*){0,2}"
+         + rf"(?:[ \t\r]*{_NL}(?:[ \t\r]*{_NL})?(?:[ \t]*{_B}+=*[ \t\r]*(?:{_NL}|\z)){{1,500}})?"
+         + rf"(?:[ \t\r\n\\]*{_B}{{40,}}=*){{0,25}}" * 4)
 #: Added to the base rules by this operator: blocks of key material.
-MORE = (Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),)
+MORE = (Rule("pem", 2, f"{_BLOCK}|{_OPEN}", 0, 1),)
 RULES = BASE + MORE
 
 

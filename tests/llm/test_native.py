@@ -159,3 +159,24 @@ def test_redaction(spark):
 def test_merging_of_spans(spark):
     df = spark.createDataFrame([([(5, 9), (0, 2), (2, 4), (6, 7)],), ([],)], "s array<struct<start:int,end:int>>")
     assert [[tuple(x) for x in r[0]] for r in df.select(fm_decontam._merged(df.s)).collect()] == [[(0, 4), (5, 9)], []]
+
+
+def test_key_blocks_go_as_a_whole(spark):
+    import base64
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    raw = base64.b64encode(bytes(range(256)) * 5).decode()
+    lines = [raw[k:k + 64] for k in range(0, len(raw), 64)]
+    body, fields = "\n".join(lines), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0F1E2D3C4B5A6978\n\n"
+    texts = {f"a {head}\n{body}\n{end}\nthe rest": "a #\nthe rest", f"a {head}\n{fields}{body}\n{end} b": "a # b", f"a {head} {' '.join(lines)} {end} b": "a # b",
+             f"a {head}\r\n{body.replace(chr(10), chr(13) + chr(10))}\r\n{end} b": "a # b", f'k="{head}\\n{body.replace(chr(10), chr(92) + "n")}\\n{end}\\n"': 'k="#\\n"',
+             f"a {head}\n{body}\nthe rest is no key": "a #the rest is no key", f"a {head}\n{fields}{body}\nthe rest": "a #the rest", f"a {head}\n{body}": "a #",
+             f"a {head} is a header line": "a # is a header line", f"{head}\n{body}\n{end}\n b \n{head}\n{body}\n{end} c": "#\n b \n# c",
+             f"{head}\n{body}\nno end\n{head}\n{body}\n{end} c": "#no end\n# c", f"a {head}\n" + f"{lines[0]}\n" * 400 + "x y": "a #x y"}
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["text"] for r in secret_ledger.redact(table(spark, rows), "#").collect()}
+    assert [got[k] for k, _, _ in rows] == list(texts.values())
+    found = secret_ledger.report(secret_ledger.findings(table(spark, rows))).toPandas()
+    want = by_sql("op7_secret_ledger", rows)
+    cols = sorted(found.columns)
+    assert plain(found[cols].itertuples(index=False)) == plain(want[cols].itertuples(index=False))
+    assert secret_ledger.MORE[0].version == 2
