@@ -5,8 +5,8 @@ documents; the last returns the mixed corpus in training order, a row for each
 copy that is taken, with epoch and position.
 
 Defined results: rows with null texts or ids go through every stage like any
-other (quality scores a null text as an empty one; of rows without an id one
-for each fingerprint stays; null texts stay null); repeated rows become one at
+other (quality scores a null text as an empty one; a row without an id stays
+only where its group has no other; null texts stay null); repeated rows become one at
 the near copies; empty tables give empty tables; further columns are carried,
 also where their names are those of an operator's own columns, but for epoch
 and position, which the mixture sets; n_chars follows the text.
@@ -14,11 +14,14 @@ and position, which the mixture sets; n_chars follows the text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import byte_cnn, fm_decontam, mixing, secret_ledger, simhash_pivots
 from souk.llm.common import documents
+from souk.session import checkpoint_dir
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -58,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage returns is written, and the next reads it from there."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

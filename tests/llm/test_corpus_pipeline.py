@@ -67,3 +67,16 @@ def test_odd_rows(spark, rows):
     assert set(docs.columns) <= set(got.columns)
     # targets: 2 words of source s, weight by its place; no copy beyond three
     assert all(r["text"] == "a b" for r in got.collect())
+
+
+def test_run_reads_what_a_stage_has_written(spark):
+    out = []
+    stage = lambda name, f: lambda spark, d, sf: out.append((name, d.inputFiles())) or f(spark, d, sf)
+    old, P.STAGES[:] = P.STAGES[:], [(n, stage(n, f)) for n, f in P.STAGES]
+    try:
+        P.run(spark, SF)
+    finally:
+        P.STAGES[:] = old
+    names = [n for n, _ in old]
+    for (_, files), before in zip(out[1:], names):
+        assert files and {f.split("/")[-2] for f in files} == {before}
