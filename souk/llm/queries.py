@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.llm import (
-    byte_cnn, fm_decontam, host_rules, lm_scoring, mixing, secret_ledger, simhash_pivots, suffix_dedup, toxicity, window_dedup,
+    ball_tree, bin_completion, byte_cnn, fm_decontam, host_rules, lm_scoring, mixing, secret_ledger, simhash_pivots, suffix_dedup, token_align, toxicity,
+    window_dedup,
 )
 from souk.llm.common import documents
 
@@ -54,6 +55,21 @@ def op10_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.report(fm_decontam.contamination(documents(spark, sf_dir), items))
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bin_completion.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_align.align(documents(spark, sf_dir), (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op2_suffix_dedup, op3_lm_scoring, op4_host_rules, op5_window_dedup, op6_toxicity, op7_secret_ledger, op8_byte_cnn, op9_simhash_pivots, op10_fm_decontam)}
-SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL, "op10_fm_decontam": fm_decontam.SQL}
+    op1_mixing, op2_suffix_dedup, op3_lm_scoring, op4_host_rules, op5_window_dedup, op6_toxicity, op7_secret_ledger, op8_byte_cnn, op9_simhash_pivots, op10_fm_decontam,
+    op11_ball_tree, op12_bin_completion, op13_token_align)}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op7_secret_ledger": secret_ledger.SQL, "op10_fm_decontam": fm_decontam.SQL, "op11_ball_tree": ball_tree.SQL}
