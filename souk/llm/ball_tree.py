@@ -312,11 +312,18 @@ def _search(block, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
 
 
 # ------------------------------------------------------------------ Spark
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, offs = K.column_bytes(batch.column(0))
+        n = np.concatenate([np.diff(K.word_bounds(K.LOWER[raw[offs[a]:offs[b]]], offs[a:b + 1] - offs[a], K.NOT_ALNUM)[2]) for a, b in K.segments(offs, PIECE)] or [np.zeros(0, np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array([int((n > 0).sum())]), pa.array([int(n.sum())])], names=["docs", "terms"])
+
+
 def totals(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     """Documents with a term, and terms with repeats, of all rows."""
-    n = F.coalesce(F.regexp_count(docs[text_col], F.lit(TERM)), F.lit(0)).cast("long")
-    got = docs.select(n.alias("n")).where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
-    return int(got[0]), int(got[1] or 0)
+    counted = pick(docs, text=text_col).where("text IS NOT NULL").mapInArrow(_totals, "docs long, terms long")
+    got = counted.agg(F.sum("docs"), F.sum("terms")).first()
+    return int(got[0] or 0), int(got[1] or 0)
 
 
 def index(docs: DataFrame, size: tuple[int, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
