@@ -26,6 +26,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -49,27 +50,133 @@ PIECE = 8 << 20
 
 
 # ------------------------------------------------------------------ tokens
+#: Classes of bytes: letters together (beyond ASCII: those of U+00C0 to U+017F), each digit by itself, other signs together.
+KIND = np.full(256, 3, np.uint8)
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+KIND[[*range(0x30, 0x3A)]] = 2
+#: Words with one of these bytes, or with other characters beyond ASCII, are left to the tokenizer whole.
+WHOLE = np.zeros(256, bool)
+WHOLE[[ord("'"), ord("<"), *range(0x00, 0x09), *range(0x0E, 0x20), 0x7F]] = True
+#: The byte-level alphabet's characters for the bytes that aren't themselves in it, from U+0100 on in the order of the bytes.
+SHIFTED = {chr(b): chr(0x100 + k) for k, b in enumerate([*range(0x00, 0x21), *range(0x7F, 0xA1), 0xAD]) if b >= 0x80}
+#: Words in one call of the tokenizer, and words whose ids a Python worker keeps (then it starts anew).
+CALL, KEPT = 4096, 1 << 19
+
+
+def _byte_level(text: str) -> str:
+    text = text.encode().decode("latin-1")
+    for a, b in SHIFTED.items():
+        text = text.replace(a, b)
+    return text
+
+
+class WordPieces:
+    """A word-level BPE file (lower case, word ends, white space dropped)."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.whole = Tokenizer.from_file(path)
+        # words of letters, in lower case, need neither normalizing nor splitting: the same model on words between blanks
+        self.bare = Tokenizer(self.whole.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[k for token, k in vocab.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each word's ids begin in them, how many they are) of words of letters."""
+        if len(self.known) > KEPT:
+            self.forget()
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        calls = [" ".join(new[i:i + CALL]).lower() for i in range(0, len(new), CALL)]
+        ids = [np.array(self.bare.encode(c if c.isascii() else _byte_level(c), add_special_tokens=False).ids, np.uint32) for c in calls]
+        flat = np.concatenate([np.zeros(0, np.uint32), *ids])
+        self.flat = np.concatenate([self.flat, flat])
+        self.size = np.concatenate([self.size, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)])
+        at = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        return self.flat, (np.cumsum(self.size) - self.size)[at], self.size[at]
+
+    def others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(words), CALL):
+            coded = [x.ids for x in self.whole.encode_batch_fast(words[i:i + CALL], add_special_tokens=False)]
+            size.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+            ids.append(np.fromiter((k for x in coded for k in x), np.uint32, int(size[-1].sum())))
+        return np.concatenate(ids), np.concatenate(size)
+
+
 @lru_cache(maxsize=4)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+def _tokenizer(path: str) -> WordPieces:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
+    return WordPieces(path)
 
 
-def token_ids(raw: np.ndarray, offs: np.ndarray, path: str, end: int = END) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all rows with an end id after each, first id of each row and the total).
+def _strange(raw: np.ndarray) -> np.ndarray:
+    """Bytes that leave their word whole: those of WHOLE, and of characters beyond ASCII but for the letters of U+00C0 to U+017F.
 
-    The tokenizer drops white space, so no token crosses it: each distinct
-    stretch between ASCII blanks is encoded once.
+    Those are letters, are their own normal form and have one lower-case
+    character each, all but U+00D7, U+00F7 and U+0130.
+    """
+    out = WHOLE[raw]
+    at = np.flatnonzero(raw >= 0x80)
+    if len(at):
+        lead = at[(raw[at] >= 0xC3) & (raw[at] <= 0xC5)]
+        two = raw[np.minimum(lead + 1, len(raw) - 1)]
+        odd = ((raw[lead] == 0xC3) & ((two == 0x97) | (two == 0xB7))) | ((raw[lead] == 0xC4) & (two == 0xB0))
+        fine = np.zeros(len(raw) + 1, bool)
+        fine[lead[~odd]] = True
+        fine[lead[~odd] + 1] = True
+        out[at] = ~fine[at]
+    return out
+
+
+def _units(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches that are encoded by themselves, first stretch of each row, and which are letters only.
+
+    The tokenizer drops white space, so no token crosses it.  A word without
+    strange bytes is cut further, as the tokenizer's own pattern cuts it:
+    letters, single digits, other signs.
     """
-    starts, stops, first = K.word_bounds(raw, offs, K.BLANK)
-    ends = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(stops - starts, out=ends[1:])
-    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw[~K.BLANK[raw]])]).dictionary_encode()
-    coded = [x.ids for x in _tokenizer(path).encode_batch(words.dictionary.to_pylist(), add_special_tokens=False)]
-    size = np.fromiter(map(len, coded), np.int64, len(coded))
-    flat = np.fromiter((x for ids in coded for x in ids), np.uint32, int(size.sum()))
-    at = np.cumsum(size) - size
-    code = words.indices.to_numpy(zero_copy_only=False)
+    starts, stops, _ = K.word_bounds(raw, offs, K.BLANK)
+    if not len(starts):
+        return starts, stops, np.zeros(len(offs), np.int64), np.zeros(0, bool)
+    whole = np.logical_or.reduceat(_strange(raw), starts)
+    kind = KIND[raw]
+    edge = np.ones(len(raw), bool)
+    edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    edge &= ~K.BLANK[raw]
+    edge[:starts[0]] = False
+    edge[starts[0]:] &= ~np.repeat(whole, np.diff(starts, append=len(raw)))
+    edge[starts] = True
+    begin = np.flatnonzero(edge)
+    word = np.searchsorted(starts, begin, "right") - 1
+    end = np.minimum(np.append(begin[1:], len(raw)), stops[word])
+    return begin, end, np.searchsorted(begin, offs), (kind[begin] == 1) & ~whole[word]
+
+
+def token_ids(raw: np.ndarray, offs: np.ndarray, path: str, end: int = END) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all rows with an end id after each, first id of each row and the total); each distinct stretch is encoded once."""
+    begin, stop, first, letters = _units(raw, offs)
+    at = np.concatenate([[0], np.cumsum(stop - begin)])
+    units = pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(at), pa.py_buffer(raw[~K.BLANK[raw]])]).dictionary_encode()
+    code = units.indices.to_numpy(zero_copy_only=False)
+    plain = np.zeros(len(units.dictionary), bool)
+    plain[code] = letters
+    coder = _tokenizer(path)
+    order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+    words = units.dictionary.take(pa.array(order)).to_pylist()
+    n = int(plain.sum())
+    (one, at_one, size_one), (two, size_two) = coder.letters(words[:n]), coder.others(words[n:])
+    flat = np.concatenate([one, two])
+    at, size = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    at[order] = np.concatenate([at_one, len(one) + np.cumsum(size_two) - size_two])
+    size[order] = np.concatenate([size_one, size_two])
     size, at = size[code], at[code]
     before = np.concatenate([[0], np.cumsum(size)])
     ids = flat[np.arange(before[-1]) + np.repeat(at - before[:-1], size)]

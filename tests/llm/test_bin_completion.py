@@ -12,7 +12,7 @@ from souk.llm import kernel as K
 from souk.llm.queries import op12_bin_completion
 
 PATH, SF = P.path("word_bpe_49k.json"), "/root/testdata/sf0.001"
-ODD = ["", "a b　c  d", "<|endoftext|> x<|startoftext|>y", "é ́x ΑΣ ΟΔΟΣ. İ", "don't\tit's\x0b\x0c'll \x1cA\x85B", "x" * 5000, "日本語 テキスト 12345", "ÅÅ Å ﬁ", " \n ", "tail "]
+ODD = ["", "a b　c  d", "<|endoftext|> x<|startoftext|>y", "é ́x ΑΣ ΟΔΟΣ. İ", "don't\tit's\x0b\x0c'll \x1cA\x85B", "x" * 5000, "日本語 テキスト 12345", "ÅÅ Å ﬁ", " \n ", "tail ", "Abc12,34-De f(x)=<|startoftext|> A1's don'T x_y__z...", "H̱ ẖ \x00a\x7fb", "<a> b<c 9 10 a.b'll"]
 
 
 def encode(texts):
@@ -85,6 +85,14 @@ def test_token_ids_are_those_of_whole_texts():
     assert [ids[a:b].tolist() for a, b in zip(ptr, ptr[1:])] == encode(ODD)
 
 
+def test_token_ids_of_random_texts():
+    r = random.Random(6)
+    signs = "aAzZ09éÉñÿŸſİ×÷ıŉ \t\n.,'<|>_-$é日\u0301\u00a0\x1c😀s"
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(0, 60))) for _ in range(3000)]
+    ids, ptr = B.token_ids(*K.column_bytes(pa.array(texts)), PATH)
+    assert [ids[a:b].tolist() for a, b in zip(ptr, ptr[1:])] == encode(texts)
+
+
 def check(rows, out, capacity=B.CAPACITY):
     """Every row is there in its pieces, whole, and every sequence is gapless and not too long; returns its sequences."""
     want = Counter()
