@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,11 @@ from souk.llm import kernel as K
 from souk.llm.common import cut, pick
 
 #: Bytes of text in a slot (or one longer document).
-PIECE = 8 << 20
+PIECE = 3 << 20
+#: Stretches in one call of a tokenizer.
+CALL = 4096
+#: The byte-level tokenizer's own pattern for words.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fewer lists than this are walked one by one instead of together.
 TOGETHER = 16
 
@@ -56,23 +62,59 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum())), size
+
+
 class ByteLevel:
-    """Ids and token bytes of a byte-level BPE file."""
+    """Ids and token bytes of a byte-level BPE file.
+
+    Stretches of plain ASCII go through tiktoken, with the file's own entries
+    as ranks, where every entry is one merge and numbered in the merges' order
+    (the two then merge alike, and tiktoken takes a tenth of the time);
+    others, whose letters depend on a library's Unicode tables, through tokenizers.
+    """
 
     def __init__(self, path: str):
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         alphabet = _byte_alphabet()
         with open(path, encoding="utf-8") as f:
-            added = {x["content"] for x in json.load(f)["added_tokens"]}
+            file = json.load(f)
+        added = {x["content"] for x in file["added_tokens"]}
         self.bytes = [b""] * self.tokenizer.get_vocab_size()
         for token, k in self.tokenizer.get_vocab().items():
             self.bytes[k] = token.encode() if token in added else bytes(alphabet[c] for c in token)
+        self.length = np.array([len(x) for x in self.bytes], np.int64)
+        vocab = file["model"]["vocab"]
+        merged = ["".join(x if isinstance(x, list) else x.split(" ")) for x in file["model"]["merges"]]
+        ordered = [vocab[x] for x in merged] == list(range(256, 256 + len(merged)))
+        ranks = {self.bytes[k]: k for token, k in vocab.items() if token not in added}
+        self.quick = Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ordered else None
         self.splits = True  # words take one space before them and no white space after them
 
-    def encode(self, stretches: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch(stretches, add_special_tokens=False)]
+    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each stretch)."""
+        plain = np.array([self.quick is not None and x.isascii() and not x[-1:].isspace() for x in stretches], bool)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        words, rest = [stretches[k] for k in order[:plain.sum()].tolist()], [stretches[k] for k in order[plain.sum():].tolist()]
+        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(0, len(words), CALL):  # a space after text always begins a token: joined, they are cut alike
+            ids.append(np.array(self.quick.encode_ordinary("".join(words[i:i + CALL])), np.int64))
+            stops = np.cumsum([len(x) for x in words[i:i + CALL]])
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.length[ids[-1]]), stops) + 1, prepend=0))
+        for i in range(0, len(rest), CALL):
+            more, size = _flat([x.ids for x in self.tokenizer.encode_batch_fast(rest[i:i + CALL], add_special_tokens=False)])
+            ids.append(more)
+            sizes.append(size)
+        flat, run = np.concatenate(ids), np.concatenate(sizes)
+        size, begin = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        size[order], begin[order] = run, np.cumsum(run) - run
+        return flat[np.arange(len(flat)) + np.repeat(begin - (np.cumsum(size) - size), size)], size
 
 
 class Pieces:
@@ -86,9 +128,9 @@ class Pieces:
         self.space = self.model.piece_to_id("▁")
         self.splits = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def encode(self, stretches: list[str]) -> list[list[int]]:
+    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.model.encode([x[1:] for x in stretches], num_threads=1)
-        return [ids if x != " " else [self.space] for x, ids in zip(stretches, found)]
+        return _flat([ids if x != " " else [self.space] for x, ids in zip(stretches, found)])
 
 
 @lru_cache(maxsize=4)
@@ -170,24 +212,30 @@ def gallop(ends: np.ndarray, short: np.ndarray, short_end: np.ndarray, long: np.
     return out
 
 
+def _same(stretches: list[bytes], ids: np.ndarray, size: np.ndarray, table: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids, size, and whether each stretch is its tokens' bytes."""
+    parts, last = [table[k] for k in ids.tolist()], np.cumsum(size).tolist()
+    return ids, size, np.fromiter((b"".join(parts[j - k:j]) == s for s, j, k in zip(stretches, last, size.tolist())), bool, len(stretches))
+
+
+def _without(ids: np.ndarray, size: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return ids[~np.repeat(bad, size)], np.where(bad, 0, size)
+
+
 class Aligned:
     """Stretches' tokens, groups and links: all arrays go by stretch through the pointers beside them."""
 
     def __init__(self, stretches: list[bytes], a: ByteLevel, b: Pieces):
-        text = [x.decode() for x in stretches]
-        ids_a, ids_b = a.encode(text), b.encode(text)
-        self.good = np.array([b"".join([a.bytes[i] for i in x]) == s and b"".join([b.bytes[i] for i in y]) == s
-                              for s, x, y in zip(stretches, ids_a, ids_b)], bool)
-        for k in np.flatnonzero(~self.good).tolist():
-            ids_a[k] = ids_b[k] = []
-        self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
-        flat = np.fromiter((i for side in (ids_a, ids_b) for ids in side for i in ids), np.int64)
-        middle = int(self.n_a.sum())
-        sizes = np.array([[len(x) for x in side.bytes] + [0] * max(0, len(other.bytes) - len(side.bytes)) for side, other in ((a, b), (b, a))], np.int64)
+        text, n = [x.decode() for x in stretches], len(stretches)
+        coded = [_same(stretches, *side.encode(text), side.bytes) for side in (a, b)]
+        self.good = coded[0][2] & coded[1][2]
+        coded = [_without(ids, size, ~self.good) for ids, size, _ in coded]
+        self.n_a, self.n_b = coded[0][1], coded[1][1]
+        flat, middle = np.concatenate([coded[0][0], coded[1][0]]), len(coded[0][0])
+        lengths = [np.fromiter(map(len, side.bytes), np.int64, len(side.bytes))[ids] for side, (ids, _) in zip((a, b), coded)]
         first = np.concatenate([[0], np.cumsum(np.concatenate([self.n_a, self.n_b]))])
-        run = np.cumsum(np.concatenate([sizes[0][flat[:middle]], sizes[1][flat[middle:]]]))
+        run = np.cumsum(np.concatenate(lengths))
         ends = run - np.repeat(np.concatenate([[0], run])[first[:-1]], np.diff(first))
-        n = len(stretches)
         lists = np.stack([first[:-1].reshape(2, n), first[1:].reshape(2, n)])  # [begin or end, a or b, stretch]
         drives = (self.n_a > self.n_b).astype(int)  # 0: a is the shorter, or equal
         rows = np.arange(n)
@@ -210,18 +258,21 @@ class Aligned:
         self.pair = (flat[np.where(swap, right, left)] << 32) | flat[np.where(swap, left, right)]
         hits = np.flatnonzero(match)
         self.n_groups = np.bincount(own[hits], minlength=n)
-        # common ends slice the groups
-        stop_s, stop_l = (at[hits] + 1).tolist(), (rank[hits] + 1).tolist()
-        names, k = list(map(str, flat.tolist())), 0
-        self.groups: list[bytes] = []
-        for s, l, turned, groups in zip(short.tolist(), long.tolist(), drives.tolist(), self.n_groups.tolist()):
-            parts = []
-            for k in range(k, k + groups):
-                x, y = ",".join(names[s:stop_s[k]]), ",".join(names[l:stop_l[k]])
-                parts.append(f"{y}|{x}" if turned else f"{x}|{y}")
-                s, l = stop_s[k], stop_l[k]
-            k += bool(groups)
-            self.groups.append(";".join(parts).encode())
+        common = np.zeros(len(flat), bool)
+        common[at[hits]] = common[rank[hits]] = True
+        self.groups = self.texts(flat, common, middle)
+
+    def texts(self, flat: np.ndarray, common: np.ndarray, middle: int) -> list[bytes]:
+        """Groups of each stretch: common ends slice both sides' ids, in turn."""
+        group = np.concatenate([np.cumsum(common[:middle]), np.cumsum(common[middle:])]) - common
+        side = np.arange(len(flat)) >= middle
+        order = np.argsort(2 * group + side, kind="stable")
+        most = int(flat.max(initial=0)) + 1
+        table = [f"{k}{sign}" for sign in ",|;" for k in range(most)]
+        sign = np.where(common, np.where(side, 2, 1), 0)
+        parts = [table[k] for k in (flat + most * sign)[order].tolist()]
+        last = np.cumsum(self.n_a + self.n_b).tolist()
+        return ["".join(parts[i:j])[:-1].encode() for i, j in zip([0, *last], last)]
 
 
 # ------------------------------------------------------------------ slots

@@ -105,6 +105,16 @@ def test_gallop_is_a_lower_bound(monkeypatch, together):
     assert out.tolist() == want
 
 
+def test_quick_path_equals_the_file_s_own():
+    a = T.ByteLevel(PATHS[0])
+    assert a.quick
+    r = random.Random(8)
+    signs = "abcdeghilmnorstuvABEST0123456789 .,'-_()/\\\n\t\x1c\x1f\x7f\x00"
+    words = [" " + "".join(r.choice(signs) for _ in range(r.randrange(0, 40))) for _ in range(20000)]
+    ids, size = a.encode(words)
+    assert a.quick and ids.tolist() == [k for x in a.tokenizer.encode_batch(words, add_special_tokens=False) for k in x.ids]
+
+
 def test_empty_table_and_string_ids(spark):
     assert T.align(spark.createDataFrame([], "doc_id long, text string"), PATHS).count() == 0
     df = spark.createDataFrame([("k1", "one two"), ("k2", None)], "doc_id string, text string")
