@@ -162,9 +162,16 @@ _FOLD_TO = "iisik"
 
 def fold_lower(c):
     """Lower-cased text in which every character a case-insensitive regex could
-    match to an ASCII letter *is* that letter — the haystack for prefilters."""
+    match to an ASCII letter *is* that letter — the haystack for prefilters.
+
+    Only a text that holds one of the rare characters (or any, where the JVM's
+    locale does not lower-case I to i) is translated character by character.
+    """
     from pyspark.sql import functions as F
-    return F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO))
+    rare = F.lower(F.lit("I")) != F.lit("i")
+    for ch in _FOLD_FROM[1:]:
+        rare = rare | c.contains(ch)
+    return F.lower(F.when(rare, F.translate(c, _FOLD_FROM, _FOLD_TO)).otherwise(c))
 
 
 def _split_top(pattern: str, sep: str = "|") -> list[str]:
@@ -288,3 +295,110 @@ def required_literals(pattern: str) -> list[str] | None:
             return None
         found.extend(x for x in req if x not in found)
     return found
+
+
+# ---------------------------------------------------------------- whole words
+NON_WORD = rf"[^{WORD}]+"
+_EDGE = "\x00"  # a word boundary in a pattern's spelled-out text
+_SPELLINGS = 64
+
+
+def _class_members(body: str) -> list[str] | None:
+    """Single characters of a bracket class of plain characters; None for others."""
+    if body.startswith("^") or "\\" in body or "-" in body[1:-1]:
+        return None
+    return list(body.lower())
+
+
+def _spell(pattern: str, dialect: str) -> list[str] | None:
+    """Every text that the (finite) pattern stands for, white space as one
+    space and boundaries as ``_EDGE``; None where it stands for too many."""
+    whole: list[str] = []
+    for alt in _split_top(pattern):
+        texts, i = [""], 0
+        while i < len(alt):
+            ch = alt[i]
+            if ch == "\\":
+                code = alt[i + 1:i + 2]
+                i += 2
+                if code == "s":
+                    options = [" "]
+                elif code in "mM" or (code == "b" and dialect == "py"):
+                    options = [_EDGE]
+                elif code == "b":
+                    options = ["\x08"]
+                elif code.isalnum():
+                    return None
+                else:
+                    options = [code]
+            elif ch == "[":
+                j = alt.index("]", i + 2)
+                options = _class_members(alt[i + 1:j])
+                i = j + 1
+            elif ch == "(":
+                depth, j = 0, i
+                while True:
+                    if alt[j] == "\\":
+                        j += 2
+                        continue
+                    depth += (alt[j] == "(") - (alt[j] == ")")
+                    if depth == 0:
+                        break
+                    j += 1
+                inner = alt[i + 1:j]
+                if inner.startswith("?") and not inner.startswith("?:"):
+                    return None
+                options = _spell(inner.removeprefix("?:"), dialect)
+                i = j + 1
+            elif ch in "?*+{.^$":
+                return None
+            else:
+                options, i = [ch.lower()], i + 1
+            if options is None:
+                return None
+            quantifier = alt[i:i + 1]
+            if quantifier == "?":
+                options, i = ["", *options], i + 1
+            elif quantifier and quantifier in "*+" and options == [" "]:
+                options, i = (["", " "] if quantifier == "*" else [" "]), i + 1
+            elif quantifier and quantifier in "*+{":
+                return None
+            texts = [a + b for a in texts for b in options]
+            if len(texts) > _SPELLINGS:
+                return None
+        whole += texts
+    return whole if len(whole) <= _SPELLINGS else None
+
+
+def whole_words(alternative: str, dialect: str = "py") -> tuple[list[str], list[list[str]]] | None:
+    """What words a folded text must hold for ``alternative`` to match.
+
+    ``(alone, together)``: each word of ``alone`` is a match by itself; a
+    match that is none of those holds all the words of one list of
+    ``together`` (and still has to be tested).  None where the pattern's words
+    aren't known, or one of its texts has no word that is whole.
+    """
+    texts = _spell(alternative, dialect)
+    if not texts:
+        return None
+    alone, together = [], []
+    for text in texts:
+        words, run, whole = [], "", False
+        for ch in text + " ":
+            if ch.isalnum() or ch == "_":
+                run += ch
+                continue
+            if run and whole:
+                # the run ends here: by a boundary or another character, unless the pattern just stops
+                words.append(run)
+            whole, run = True, ""
+        if not text.endswith(_EDGE) and words and (text[-1].isalnum() or text[-1] == "_"):
+            words.pop()  # the last word may go on in the text
+        if not words:
+            return None
+        if text == f"{_EDGE}{words[0]}{_EDGE}":
+            alone.append(words[0])
+        else:
+            together.append(words)
+    together = [w for w in together if not set(w) & set(alone)]
+    return sorted(set(alone)), sorted(set(map(tuple, together)))

@@ -6,6 +6,8 @@ Each helper returns a ``Column``; helpers used by oracle queries also have a
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,15 @@ def pg_initcap_sql(c: str) -> str:
             f"lambda w: upper(w[1]) || w[2:]), '')")
 
 
+#: What Python's str.strip() removes: the white space of SPACE, character by character.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85" + "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c)[0] == "Z")
+
+
+def py_strip(c) -> Column:
+    """``str.strip()``: looks at the ends only, however long the text."""
+    return F.btrim(col(c), F.lit(BLANKS))
+
+
 def clean_text(c) -> Column:
     """Collector ``clean_text``: falsy -> NULL, whitespace runs -> one space, stripped."""
     c = col(c)
@@ -76,16 +87,11 @@ def split_title_location(title) -> tuple[Column, Column]:
     t = col(title)
     has_bar = t.contains("|")
     pieces = F.split(t, r"\|")
-    new_title = F.when(has_bar, _py_strip(F.element_at(pieces, 1))).otherwise(t)
-    location = F.when(has_bar, _py_strip(F.element_at(pieces, -1)))
+    new_title = F.when(has_bar, py_strip(F.element_at(pieces, 1))).otherwise(t)
+    location = F.when(has_bar, py_strip(F.element_at(pieces, -1)))
     return new_title, location
 
 
-def _py_strip(c: Column) -> Column:
-    """Python ``str.strip()`` (all Unicode whitespace at both ends)."""
-    return F.regexp_replace(c, F.lit(f"^[{SPACE}]+|[{SPACE}]+$"), "")
-
-
 def telework_contract(contract, li_text) -> Column:
     """Append the Rekrute telework mode to the contract label."""
     ct = col(contract)

@@ -6,8 +6,10 @@ text.  Here every dictionary is a rule list (``rules.first_match`` /
 Catalyst expressions, evaluated in the scan's stage with no Python worker.
 Each extractor has a ``*_sql`` twin for the DuckDB oracle.
 
-Texts are searched whole; case-insensitive patterns check a required literal
-on a once-lower-cased copy (``fold_lower``) before the regex runs.
+Texts are searched whole, and once for all dictionaries: ``with_folded`` cuts
+a lower-cased copy (``fold_lower``) into words and keeps those that any
+dictionary asks for.  A pattern that is a set of whole words is answered from
+them; others run their regex only where the words they need are there.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from souk.functions.regex import fold_lower, sql_quote, to_java, to_java_folded, to_re2
 from souk.functions.text import clean_text
-from souk.functions.rules import (all_matches, all_matches_sql, first_match, first_match_sql, literal_gate,
-                                  py_isearch)
+from souk.functions.rules import (all_matches, all_matches_sql, dictionary, first_match, first_match_sql, found_words,
+                                  literal_gate, py_isearch)
 from souk.rulesets import extraction as X
 
 
@@ -39,6 +41,8 @@ FUNCTION_INDEED_RULES = [(m, py_isearch(_word(m))) for m in X.FUNCTIONS_INDEED]
 SECTOR_RULES = [(label, py_isearch(p)) for label, p in X.SECTORS]
 WORDS_DREAMJOB = [(label, py_isearch(p)) for label, p in X.EXPERIENCE_WORDS_DREAMJOB]
 WORDS_INDEED = [(label, py_isearch(p)) for label, p in X.EXPERIENCE_WORDS_INDEED]
+WANTED = dictionary(CITY_RULES, CONTRACT_FR_RULES, CONTRACT_FR_EN_RULES, EDUCATION_DREAMJOB_RULES, EDUCATION_INDEED_RULES,
+                    FUNCTION_DREAMJOB_RULES, FUNCTION_INDEED_RULES, SECTOR_RULES, WORDS_DREAMJOB, WORDS_INDEED)
 
 
 def joined_text(*parts) -> Column:
@@ -52,29 +56,44 @@ def joined_text_sql(*parts: str) -> str:
 
 
 class Text:
-    """A text column and its folded copy, shared by all rules of one row."""
+    """A text column, its folded copy and the dictionaries' words in it, shared by all rules of one row."""
 
-    def __init__(self, c: Column, folded: Column | None = None):
+    def __init__(self, c: Column, folded: Column | None = None, words: Column | None = None):
         self.c = c
         self.folded = folded
+        self.words = words
 
 
-def with_folded(df, *names: str):
+def with_folded(df, *names: str, words: bool = True):
     """Add ``fold_lower`` copies of text columns as real columns, so one row's
     rules share a single lower-cased copy (inlined, it would be recomputed by
-    every rule inside the interpreted array filter)."""
-    return df.select("*", *[fold_lower(F.col(n)).alias(f"__folded_{n}") for n in names])
+    every rule inside the interpreted array filter), and the words found in each.
 
+    ``words=False`` leaves that pass out, for callers of one or two short
+    dictionaries: it costs about as much as thirty literals' prefilters."""
+    df = df.select("*", *[fold_lower(F.col(n)).alias(f"__folded_{n}") for n in names])
+    if not words:
+        return df
+    return df.select("*", *[found_words(folded(n), WANTED).alias(f"__words_{n}") for n in names])
 
-def text(name: str) -> Text:
+
+def text(name: str, words: bool = True) -> Text:
     """The ``Text`` of a column prepared by ``with_folded``."""
-    return Text(F.col(name), F.col(f"__folded_{name}"))
+    return Text(F.col(name), F.col(f"__folded_{name}"), F.col(f"__words_{name}") if words else None)
 
 
 def folded(name: str) -> Column:
     return F.col(f"__folded_{name}")
 
 
+def joined_words(*parts: str) -> Column:
+    """The words found in texts that are joined with a space or other white space between them."""
+    out = F.array().cast("array<string>")
+    for p in parts:
+        out = F.array_union(out, F.coalesce(F.col(f"__words_{p}"), F.array().cast("array<string>")))
+    return out
+
+
 def with_folded_joins(df, joins: dict[str, tuple[str, ...]], strip: bool = False):
     """Add ``name`` = parts joined by one space (falsy parts skipped, as
     ``joined_text``) together with its folded copy built from the parts'
@@ -85,34 +104,35 @@ def with_folded_joins(df, joins: dict[str, tuple[str, ...]], strip: bool = False
     for name, parts in joins.items():
         cols.append(joined_text(*parts).alias(name))
         cols.append(F.concat_ws(" ", *[F.when(folded(p) != "", folded(p)) for p in parts]).alias(f"__folded_{name}"))
+        cols.append(joined_words(*parts).alias(f"__words_{name}"))
     return df.select("*", *cols)
 
 
 def city(t: Text) -> Column:
     """First gazetteer city named as a whole word."""
-    return first_match(t.c, CITY_RULES, None, t.folded)
+    return first_match(t.c, CITY_RULES, None, t.folded, t.words)
 
 
 def contracts(t: Text, english: bool = False) -> Column:
     """Every contract label found, in dictionary order, joined ' - '."""
-    return all_matches(t.c, CONTRACT_FR_EN_RULES if english else CONTRACT_FR_RULES, " - ", None, t.folded)
+    return all_matches(t.c, CONTRACT_FR_EN_RULES if english else CONTRACT_FR_RULES, " - ", None, t.folded, t.words)
 
 
 def education(t: Text, platform: str = "dreamjob") -> Column:
     """First education level found (Dreamjob vs Indeed/LinkedIn order)."""
     rules = EDUCATION_DREAMJOB_RULES if platform == "dreamjob" else EDUCATION_INDEED_RULES
-    return first_match(t.c, rules, None, t.folded)
+    return first_match(t.c, rules, None, t.folded, t.words)
 
 
 def functions(t: Text, platform: str = "dreamjob", k: int | None = None) -> Column:
     """The job functions found (the first ``k`` if given), joined ' - '."""
     rules = FUNCTION_DREAMJOB_RULES if platform == "dreamjob" else FUNCTION_INDEED_RULES
-    return all_matches(t.c, rules, " - ", k, t.folded)
+    return all_matches(t.c, rules, " - ", k, t.folded, t.words)
 
 
 def sectors(t: Text, k: int | None = None) -> Column:
     """The sectors found (the first ``k`` if given), joined ' - '."""
-    return all_matches(t.c, SECTOR_RULES, " - ", k, t.folded)
+    return all_matches(t.c, SECTOR_RULES, " - ", k, t.folded, t.words)
 
 
 def _years(t: "Text", pattern: str) -> tuple[Column, Column]:
@@ -140,7 +160,7 @@ def experience(t: Text, platform: str = "dreamjob") -> Column:
         hit, value = _years(t, p)
         out = F.when(hit, value) if out is None else out.when(hit, value)
     for label, cond in words:
-        out = out.when(cond.spark(t.c, t.folded), F.lit(label))
+        out = out.when(cond.spark(t.c, t.folded, t.words), F.lit(label))
     return out
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.regex import fold_lower
-from souk.functions.rules import pg_iregex
+from souk.functions.rules import dictionary, found_words, pg_iregex
 from souk.rulesets.catalog import SKILLS
 
 
@@ -39,17 +39,20 @@ def match_skills(df: DataFrame, text_col: str, intended: bool = False) -> DataFr
     """Add (skill_id, skill_name, skill_category) rows for every skill found in
     ``text_col``; offers without a skill produce no row.
 
-    The text is lower-cased once per row; each pattern first checks a literal
-    every match must contain, so the regex only runs on candidate texts.
+    The text is lower-cased and cut into words once per row; a pattern that is
+    a set of whole words is answered from them, others run their regex only
+    where the words they need are there.
     """
     keep = [c for c in df.columns]
-    text, folded = F.col(text_col), F.col("_folded")
+    text, folded, words = F.col(text_col), F.col("_folded"), F.col("_words")
+    skills = skill_rows(intended)
     hits = F.array(*[
-        F.when(cond.spark(text, folded),
+        F.when(cond.spark(text, folded, words),
                F.struct(F.lit(i).cast("bigint").alias("skill_id"), F.lit(name).alias("skill_name"),
                         F.lit(cat).alias("skill_category")))
-        for i, name, _, cat, cond in skill_rows(intended)])
+        for i, name, _, cat, cond in skills])
     found = (df.select(*keep, fold_lower(text).alias("_folded"))
+             .select("*", found_words(folded, dictionary([(name, cond) for _, name, _, _, cond in skills])).alias("_words"))
              .select(*keep, F.filter(hits, lambda h: h.isNotNull()).alias("_hits")))
     # explode_outer + null filter: a plain explode makes Catalyst infer a
     # ``size(_hits) > 0`` filter below the projection, evaluating every pattern twice.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.regex import SPACE, sql_quote
-from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, url_without_query
+from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, py_strip, url_without_query
 from souk.operators import extract as X
 from souk.operators.dedup import keep_first
 from souk.operators.quality import completeness_profile, completeness_profile_sql, grain_check
@@ -41,9 +41,10 @@ def q_extract_dreamjob(spark, sf) -> DataFrame:
                       "title", "excerpt", "description")
 
     def spaced(a: Column, b: Column) -> Column:  # f"{excerpt} {description}".strip()
-        return F.regexp_replace(F.concat(F.coalesce(a, F.lit("")), F.lit(" "), F.coalesce(b, F.lit(""))), _STRIP, "")
+        return py_strip(F.concat(F.coalesce(a, F.lit("")), F.lit(" "), F.coalesce(b, F.lit(""))))
     t = t.select("*", spaced(F.col("excerpt"), F.col("description")).alias("combined"),
-                 spaced(X.folded("excerpt"), X.folded("description")).alias("__folded_combined"))
+                 spaced(X.folded("excerpt"), X.folded("description")).alias("__folded_combined"),
+                 X.joined_words("excerpt", "description").alias("__words_combined"))
     t = X.with_folded_joins(t, {"title_text": ("title", "combined")})
     comb = X.text("combined")
     return t.select(
@@ -75,8 +76,8 @@ def q_extract_indeed(spark, sf) -> DataFrame:
 def q_extract_linkedin(spark, sf) -> DataFrame:
     """LinkedIn record fields: criteria mapping, native id, education, years."""
     t = X.with_folded(_texts(spark, sf).select("*", X.criteria_field(F.col("criteria")).alias("_mapped")),
-                      "description")
-    desc = X.text("description")
+                      "description", words=False)
+    desc = X.text("description", words=False)
     cut = url_without_query("url")
     years = X.experience(desc, "linkedin")
     return t.select(

@@ -44,14 +44,16 @@ def test_random_strings_match_python(spark):
         cond = X.py_isearch(p)
         cols.append(cond.spark(t.c, t.folded).alias(f"g{len(cols)}"))          # gated, folded path
         cols.append(t.c.rlike(to_java(p, ignore_case=True)).alias(f"p{len(cols)}"))  # plain (?iu) path
+        cols.append(cond.spark(t.c, t.folded, t.words).alias(f"w{len(cols)}"))       # from the text's words
     got = df.select("i", *cols).orderBy("i").collect()
     keys = list(named.items())
     for r in got:
         text = rows[r.i]
         for j, (k, p) in enumerate(keys):
             want = re.search(p, text, flags=re.IGNORECASE) is not None
-            assert r[1 + 2 * j] == want, (k, text, "gated")
-            assert r[2 + 2 * j] == want, (k, text, "plain")
+            assert r[1 + 3 * j] == want, (k, text, "gated")
+            assert r[2 + 3 * j] == want, (k, text, "plain")
+            assert r[3 + 3 * j] == want, (k, text, "words")
     exp = {p: X.experience(t, p) for p in ("dreamjob", "indeed", "linkedin")}
     got = df.select("i", *[c.alias(k) for k, c in exp.items()]).orderBy("i").collect()
 
