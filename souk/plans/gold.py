@@ -317,19 +317,24 @@ def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] |
         "has_experience", "scraped_at")
 
 
-def build_dimensions(spark: SparkSession, jobs: DataFrame, asof=None, grain_safe: bool = False) -> dict[str, DataFrame]:
+def dimension_makers(spark: SparkSession, jobs: DataFrame, asof=None, grain_safe: bool = False) -> dict:
+    """A function for each dimension: some number their rows in a first job, so building one is work of its own."""
     return {
-        "dim_source": dim_source(spark),
-        "dim_city": dim_city(jobs, grain_safe),
-        "dim_company": dim_company(jobs),
-        "dim_contract": dim_contract(jobs, grain_safe),
-        "dim_education": dim_education(jobs),
-        "dim_experience": dim_experience(jobs),
-        "dim_date": dim_date(spark, asof, jobs),
-        "dim_skill": dim_skill(spark),
+        "dim_source": lambda: dim_source(spark),
+        "dim_city": lambda: dim_city(jobs, grain_safe),
+        "dim_company": lambda: dim_company(jobs),
+        "dim_contract": lambda: dim_contract(jobs, grain_safe),
+        "dim_education": lambda: dim_education(jobs),
+        "dim_experience": lambda: dim_experience(jobs),
+        "dim_date": lambda: dim_date(spark, asof, jobs),
+        "dim_skill": lambda: dim_skill(spark),
     }
 
 
+def build_dimensions(spark: SparkSession, jobs: DataFrame, asof=None, grain_safe: bool = False) -> dict[str, DataFrame]:
+    return {name: make() for name, make in dimension_makers(spark, jobs, asof, grain_safe).items()}
+
+
 # ---------------------------------------------------------------------- bridge
 def offer_skills(jobs: DataFrame, intended: bool = False) -> DataFrame:
     """(url, job_id, skill) of each unified offer and skill whose pattern matches description + title.

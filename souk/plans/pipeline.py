@@ -2,25 +2,31 @@
 
 ``build_all`` follows the reference's run order: bronze -> silver
 (``jobs_unified`` materialised once) -> dimensions -> fact -> bridge.  Every
-table is written as Parquet under ``<out>/<layer>/<table>`` (full refresh);
-the silver table is read back before the gold builds, which cuts the lineage
-there: a lost executor recomputes from the written table, not from bronze,
-and each dimension scans only the columns it needs.
+table of a build is written as Parquet under ``<out>/<layer>/<table>/<version>``;
+when all are there, each table's pointer moves to the new version, so a build
+that fails leaves every table as it was and can be taken up again.  The silver
+table is read back before the gold builds, which cuts the lineage there: a lost
+executor recomputes from the written table, not from bronze, and each dimension
+scans only the columns it needs.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from souk.plans import gold, silver
 from souk.session import checkpoint_dir
 
 LAYERS = ("bronze", "silver", "gold")
-FILES_A_DAY = 8  # files of one capture day in one batch, at most
+POINTER = "_current"  # names a table's version; Spark's readers pass files with an underscore by
+TOGETHER = 4  # tables of one build that are written at the same time
 
 
 def schema_name(custom: str | None, target: str = "public") -> str:
@@ -41,27 +47,89 @@ def create_layers(spark: SparkSession, location: str | None = None) -> None:
 
 
 def register_table(spark: SparkSession, layer: str, table: str, path: str) -> None:
-    """``<layer>.<table>`` names the files under path (an external table, replaced if there)."""
+    """``<layer>.<table>`` names the files under path: an external table,
+    moved to the path where it is there with the same columns."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-    spark.catalog.createTable(f"{layer}.{table}", path=path, source="parquet")
+    name = f"{layer}.{table}"
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == spark.read.parquet(path).schema.simpleString():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
+def _storage(spark: SparkSession, path: str):
+    """(file system, path) of any storage that Spark writes."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _storage(spark, path)
+    return fs.exists(p)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove files that this library wrote, on whatever storage they are."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _storage(spark, path)
+    fs.delete(p, True)
 
 
 def _has_partitions(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
-    return any(f.isDirectory() for f in found)
+    fs, p = _storage(spark, path)
+    return any(f.isDirectory() for f in fs.listStatus(p))
+
+
+# ---------------------------------------------------------------- versions
+def new_version() -> str:
+    return f"v{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def current_version(spark: SparkSession, out_dir: str, layer: str, table: str) -> str | None:
+    """The version that a table's pointer names; None without one."""
+    fs, p = _storage(spark, f"{layer_path(out_dir, layer, table)}/{POINTER}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, out_dir: str, layer: str, table: str, version: str) -> None:
+    """Readers get this version from now on: the pointer is written beside
+    and renamed over the old one.  The version before it stays for readers that
+    have begun; older ones and those of failed builds go."""
+    folder = layer_path(out_dir, layer, table)
+    before = current_version(spark, out_dir, layer, table)
+    fs, beside = _storage(spark, f"{folder}/{POINTER}-{version}")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    overwrite = sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    files = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(beside), fs.makeQualified(hadoop.Path(f"{folder}/{POINTER}")), overwrite)
+    for f in fs.listStatus(hadoop.Path(folder)):
+        if f.isDirectory() and f.getPath().getName() not in (version, before):
+            fs.delete(f.getPath(), True)
+
+
+def table_path(spark: SparkSession, out_dir: str, layer: str, table: str) -> str:
+    """Where the published version of a table is."""
+    version = current_version(spark, out_dir, layer, table)
+    if version is None:
+        raise FileNotFoundError(f"no published version of {layer}.{table} under {out_dir}")
+    return f"{layer_path(out_dir, layer, table)}/{version}"
+
+
+def read_table(spark: SparkSession, out_dir: str, layer: str, table: str) -> DataFrame:
+    return spark.read.parquet(table_path(spark, out_dir, layer, table))
 
 
 def append_bronze(df: DataFrame, out_dir: str, platform: str, batch_id: str | int | None = None, table: str | None = None) -> bool:
@@ -73,12 +141,16 @@ def append_bronze(df: DataFrame, out_dir: str, platform: str, batch_id: str | in
     task set or a replayed micro-batch — replaces its rows instead of
     appending them twice.  Without an id, a unique run id is used.  The rows
     are extracted once: whether there were any shows in what was written.
+
+    Files are sized by what was measured: REBALANCE puts small days together in
+    one task and splits a day beyond
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over as many as it needs.
     """
     batch = batch_id if batch_id is not None else f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     path = f"{layer_path(out_dir, 'bronze', table or f'{platform}_raw')}/batch_id={batch}"
     time = "scraped_at" if "scraped_at" in df.columns else "captured_at"
     day = df.withColumn("capture_date", F.to_date(time))
-    day.repartition("capture_date", F.pmod(F.hash(*df.columns[:2]), F.lit(FILES_A_DAY))).write.mode("overwrite").partitionBy("capture_date").parquet(path)
+    day.hint("rebalance", "capture_date").write.mode("overwrite").partitionBy("capture_date").parquet(path)
     if not _has_partitions(df.sparkSession, path):
         delete_path(df.sparkSession, path)
         return False
@@ -118,16 +190,40 @@ def register_staging_views(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]
     return views
 
 
-def write_table(df: DataFrame, out_dir: str, layer: str, table: str, sort_by: list[str] | None = None) -> str:
-    """Full-refresh table sink.  ``sort_by`` orders rows inside each file
-    (the reference's ``ORDER BY``) without a global sort."""
-    path = layer_path(out_dir, layer, table)
+def write_table(df: DataFrame, out_dir: str, layer: str, table: str, sort_by: list[str] | None = None, version: str | None = None) -> str:
+    """Full-refresh table sink: a version of its own, published at once
+    unless the caller names the version (and publishes when all is there).
+    ``sort_by`` orders all rows (the reference's ``ORDER BY``, O1): files hold
+    ranges of it, in the order of their names."""
+    path = f"{layer_path(out_dir, layer, table)}/{version or (own := new_version())}"
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     df.write.mode("overwrite").parquet(path)
+    if version is None:
+        publish(df.sparkSession, out_dir, layer, table, own)
     return path
 
 
+def order_violations(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """O1 read back: (n_rows, n_violations), files taken in the order of their
+    names.  Compared are neighbouring rows of a file and, of a row for each
+    file, its first with the last of the file before."""
+    from pyspark.sql import Window
+    at = F.input_file_name()
+    rows = spark.read.parquet(path).select(at.alias("file"), F.struct(*keys).alias("key"), F.monotonically_increasing_id().alias("row"))
+    # a large file is read in blocks: a row's place in its file is its scan order, blocks of one file are joined like files
+    rows = rows.withColumn("block", F.shiftright("row", 33))
+    within = Window.partitionBy("file", "block").orderBy("row")
+    marked = rows.withColumn("before", F.lag("key").over(within))
+    blocks = marked.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("before") > F.col("key")).cast("long")).alias("inside"),
+        F.min_by("key", "row").alias("first"), F.max_by("key", "row").alias("last"))
+    # a row for each block of a file: few
+    across = Window.orderBy("file", "first")
+    edges = blocks.withColumn("cut", (F.lag("last").over(across) > F.col("first")).cast("long"))
+    return edges.agg(F.sum("n").alias("n_rows"), (F.coalesce(F.sum("inside"), F.lit(0)) + F.coalesce(F.sum("cut"), F.lit(0))).cast("long").alias("n_violations"))
+
+
 def written_copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A Parquet copy of df under the session's shared checkpoint folder, and
     where it is: the caller deletes it when it is done."""
@@ -144,37 +240,58 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out_dir: str,
-              asof=None, grain_safe: bool = False, register: bool = False) -> dict[str, str]:
+def _together(spark: SparkSession, jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
+    """Tables that don't need one another, some at a time; the first error is raised when those begun have ended."""
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+    return {name: future.result() for name, future in begun.items()}
+
+
+def build_all(spark: SparkSession, bronze: dict[str, DataFrame] | DataFrame, out_dir: str, asof=None, grain_safe: bool = False,
+              register: bool = False, version: str | None = None, prefix: str = "") -> dict[str, str]:
     """Build silver and gold from bronze; returns table -> path.
 
     ``bronze`` is either ``{platform: raw table}`` or one combined raw frame
     with a ``source`` column.  Dimension files come out in id order (the
     numbering range-partitions on the order key); the bridge is sorted by
-    (job_id, skill_id) inside each file.  ``register`` also names the tables
-    ``silver.…`` and ``gold.…`` (S9).
+    (job_id, skill_id).  Dimensions are written side by side, then the fact,
+    then the bridge.  Nothing is published before all tables are written; a
+    build that failed is taken up by its ``version``: tables that it has
+    finished (Spark's ``_SUCCESS`` is there) are not built again.
+    ``register`` also names the tables ``silver.…`` and ``gold.…`` (S9), with
+    ``prefix`` before the layer.
     """
-    if isinstance(bronze, DataFrame):
-        staged = silver.stage_all(bronze)
-    else:
-        staged = silver.union_staged(list(register_staging_views(bronze).values()))
-    paths = {"jobs_unified": write_table(silver.jobs_unified(staged), out_dir, "silver", "jobs_unified")}
+    version = version or new_version()
+    layer = lambda table: "silver" if table == "jobs_unified" else "gold"
+    paths: dict[str, str] = {}
+
+    def job(table: str, make: Callable[[], DataFrame], sort_by: list[str] | None = None) -> Callable[[], str]:
+        path = f"{layer_path(out_dir, layer(table), table)}/{version}"
+        done = path_exists(spark, f"{path}/_SUCCESS")
+        return lambda: path if done else write_table(make(), out_dir, layer(table), table, sort_by, version)
+
+    def unified() -> DataFrame:
+        if isinstance(bronze, DataFrame):
+            staged = silver.stage_all(bronze)
+        else:
+            staged = silver.union_staged(list(register_staging_views(bronze).values()))
+        return silver.jobs_unified(staged)
+
+    paths["jobs_unified"] = job("jobs_unified", unified)()
     jobs = spark.read.parquet(paths["jobs_unified"])
     narrow = gold.without_texts(jobs)
-    dims = gold.build_dimensions(spark, narrow, asof, grain_safe)
-    for name, dim in dims.items():
-        paths[name] = write_table(dim.coalesce(1) if name in ("dim_source", "dim_skill", "dim_date") else dim,
-                                  out_dir, "gold", name)
+    makers = gold.dimension_makers(spark, narrow, asof, grain_safe)
+    small = ("dim_source", "dim_skill", "dim_date")
+    paths |= _together(spark, {n: job(n, (lambda m=m: m().coalesce(1)) if n in small else m) for n, m in makers.items()})
     dims = {name: spark.read.parquet(path) for name, path in paths.items() if name.startswith("dim_")}
-    for name in gold.VARIANTS:
-        dim = dims[f"dim_{name}"]
-        paths[f"{name}_variants"] = write_table(gold.variants(narrow, name, None if grain_safe else dim), out_dir, "gold", f"{name}_variants")
-    paths["fct_jobs"] = write_table(gold.fct_jobs(spark, jobs, dims, grain_safe=grain_safe), out_dir, "gold",
-                                    "fct_jobs")
+    last = {f"{n}_variants": job(f"{n}_variants", lambda n=n: gold.variants(narrow, n, None if grain_safe else dims[f"dim_{n}"])) for n in gold.VARIANTS}
+    last["fct_jobs"] = job("fct_jobs", lambda: gold.fct_jobs(spark, jobs, dims, grain_safe=grain_safe))
+    paths |= _together(spark, last)
     fct = spark.read.parquet(paths["fct_jobs"]).select("url")
-    paths["bridge_job_skill"] = write_table(gold.bridge_job_skill(jobs, fct), out_dir, "gold", "bridge_job_skill",
-                                            sort_by=["job_id", "skill_id"])
+    paths["bridge_job_skill"] = job("bridge_job_skill", lambda: gold.bridge_job_skill(jobs, fct), ["job_id", "skill_id"])()
+    for table in paths:
+        publish(spark, out_dir, layer(table), table, version)
     if register:
         for table, path in paths.items():
-            register_table(spark, "silver" if table == "jobs_unified" else "gold", table, path)
+            register_table(spark, f"{prefix}{layer(table)}", table, path)
     return paths

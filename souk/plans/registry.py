@@ -123,6 +123,9 @@ def q_skill_demand(spark, sf):
 
 
 # -------------------------------------------------- sinks: written and read again
+OWN = "souk_query_"  # layers that queries register: never those of a warehouse
+
+
 def _folder(spark: SparkSession) -> str:
     import uuid
     from souk.session import checkpoint_dir
@@ -131,11 +134,13 @@ def _folder(spark: SparkSession) -> str:
 
 def q_bronze_appended(spark, sf):
     """Two loads of a raw table, one of them again, and an empty one; rows per load as read back."""
-    raw, out = bronze_table(spark, sf, "linkedin"), _folder(spark)
+    out = _folder(spark)
+    raw, copy = pipeline.written_copy(bronze_table(spark, sf, "linkedin"), "captured")
     # rows without a capture time go into the second load
     early = F.coalesce(F.col("scraped_at") < F.lit("2025-01-01").cast("timestamp_ntz"), F.lit(False))
     for batch, rows in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("b", raw.filter(~early)), ("c", raw.filter("false"))):
         pipeline.append_bronze(rows, out, "linkedin", batch_id=batch)
+    pipeline.delete_path(spark, copy)
     return pipeline.read_bronze(spark, out, "linkedin").groupBy("batch_id", "capture_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -153,11 +158,11 @@ def q_warehouse_tables(spark, sf):
     """The whole build, written, refreshed, registered and read by table name."""
     out = _folder(spark)
     bronze = bronze_offers(spark, sf)
-    paths = pipeline.build_all(spark, bronze, out, asof=ASOF, register=True)
+    paths = pipeline.build_all(spark, bronze, out, asof=ASOF, register=True, prefix=OWN)
     total = None
     for table in sorted(paths):
         layer = pipeline.schema_name("silver" if table == "jobs_unified" else None, "gold")
-        n = spark.table(f"{layer}.{table}").select(F.lit(f"{layer}.{table}").alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        n = spark.table(f"{OWN}{layer}.{table}").select(F.lit(f"{layer}.{table}").alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
         total = n if total is None else total.unionByName(n)
     return total
 
@@ -206,7 +211,7 @@ def oracle_queries() -> dict[str, str]:
     out["skill_demand"] = of("""SELECT s.*, CAST(coalesce(n, 0) AS BIGINT) AS n_offers FROM dim_skill s
     LEFT JOIN (SELECT skill_id, count(*) AS n FROM hits GROUP BY skill_id) USING (skill_id)""")
     out["bronze_appended"] = oracle.with_ctes(silver_ctes[:1], """SELECT CASE WHEN scraped_at < TIMESTAMP '2025-01-01' THEN 'a' ELSE 'b' END AS batch_id,
-    CAST(scraped_at AS DATE) AS capture_date, count(*) AS n_rows FROM bronze WHERE source = 'linkedin' AND scraped_at IS NOT NULL GROUP BY ALL""")
+    CAST(scraped_at AS DATE) AS capture_date, count(*) AS n_rows FROM bronze WHERE source = 'linkedin' GROUP BY ALL""")
     out["staging_views"] = oracle.with_ctes(silver_ctes[:2], "SELECT source, count(*) AS n_rows, count(DISTINCT job_id) AS n_jobs FROM staged GROUP BY source")
     tables = ["dim_source", "dim_date", "dim_skill", *DIMENSIONS, "fct_jobs", "bridge_job_skill"]
     counts = ["SELECT 'silver.jobs_unified' AS table_name, count(*) AS n_rows FROM jobs_unified"]

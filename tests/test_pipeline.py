@@ -182,8 +182,8 @@ def test_cli_pages_to_gold(spark, tmp_path):
         captured_pages(docs, p).write.parquet(str(tmp_path / f"pages-{p}"))
         main(["extract", str(tmp_path / f"pages-{p}"), str(tmp_path / "wh"), p])
     main(["build", str(tmp_path / "wh"), "--asof", "2026-04-26", "--grain-safe"])
-    unified = spark.read.parquet(str(tmp_path / "wh" / "silver" / "jobs_unified")).count()
-    assert spark.read.parquet(str(tmp_path / "wh" / "gold" / "fct_jobs")).count() == unified > 0
+    unified = pipeline.read_table(spark, str(tmp_path / "wh"), "silver", "jobs_unified").count()
+    assert pipeline.read_table(spark, str(tmp_path / "wh"), "gold", "fct_jobs").count() == unified > 0
 
 
 def test_raw_table_contract(spark):
@@ -196,7 +196,7 @@ def test_cli_build_with_one_platform(spark, tmp_path):
     from souk.__main__ import main
     pipeline.append_bronze(bronze_table(spark, SF_SMALL, "indeed"), str(tmp_path), "indeed")
     main(["build", str(tmp_path)])
-    assert spark.read.parquet(str(tmp_path / "gold" / "fct_jobs")).count() > 0
+    assert pipeline.read_table(spark, str(tmp_path), "gold", "fct_jobs").count() > 0
 
 
 def test_layer_column_contracts(spark, built):
@@ -216,3 +216,64 @@ def test_rows_without_a_capture_time_are_appended(spark):
     none = raw.where("scraped_at is null").count()
     assert none and {r["batch_id"]: r["n_rows"] for r in rows if r["capture_date"] is None} == {"b": none}
     assert sum(r["n_rows"] for r in rows) == raw.count()
+
+
+def test_failed_build_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    bronze, out = {"indeed": bronze_table(spark, SF_SMALL, "indeed")}, str(tmp_path)
+    pipeline.build_all(spark, bronze, out, asof="2026-04-26", register=True, prefix="kept_", grain_safe=True)
+    n = pipeline.read_table(spark, out, "gold", "fct_jobs").count()
+    fewer = {"indeed": bronze["indeed"].limit(5)}
+    with monkeypatch.context() as m:
+        m.setattr(gold, "dim_contract", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            pipeline.build_all(spark, fewer, out, asof="2026-04-26", register=True, version="v2", prefix="kept_", grain_safe=True)
+    # nothing of the failed build shows, by path or by name
+    assert pipeline.read_table(spark, out, "gold", "fct_jobs").count() == n == spark.table("kept_gold.fct_jobs").count()
+    assert pipeline.read_table(spark, out, "silver", "jobs_unified").count() == n
+    assert pipeline.path_exists(spark, f"{out}/gold/dim_city/v2/_SUCCESS")
+
+    # taken up again: what it had finished isn't built again
+    def never(*a, **k):
+        raise AssertionError("built again")
+    with monkeypatch.context() as m:
+        m.setattr(gold, "dim_city", never)
+        m.setattr(silver, "jobs_unified", never)
+        paths = pipeline.build_all(spark, fewer, out, asof="2026-04-26", register=True, version="v2", prefix="kept_", grain_safe=True)
+    assert 0 < pipeline.read_table(spark, out, "gold", "fct_jobs").count() == spark.table("kept_gold.fct_jobs").count() <= 5 < n
+    assert paths["dim_city"].endswith("/v2") and pipeline.current_version(spark, out, "gold", "dim_city") == "v2"
+
+
+def test_old_versions_go(spark, tmp_path):
+    import os
+    for n in (3, 2, 1):
+        pipeline.write_table(spark.range(n), str(tmp_path), "gold", "t")
+    assert pipeline.read_table(spark, str(tmp_path), "gold", "t").count() == 1
+    assert len([f for f in os.listdir(tmp_path / "gold" / "t") if f.startswith("v")]) == 2  # the last two
+    with pytest.raises(FileNotFoundError):
+        pipeline.read_table(spark, str(tmp_path), "gold", "none")
+
+
+def test_a_day_with_most_rows_is_split(spark, tmp_path):
+    import glob
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    rows = spark.range(0, 40000, numPartitions=40).select(  # a day splits at the map tasks
+        F.concat(F.lit("u"), "id").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("job_title"),
+        F.when(F.col("id") % 10 > 0, F.lit("2026-01-01")).otherwise(F.concat(F.lit("2026-02-0"), ((F.col("id") / 10).cast("int") % 9 + 1).cast("string"))).cast("timestamp_ntz").alias("scraped_at"))
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        pipeline.append_bronze(rows, str(tmp_path), "indeed", batch_id="b")
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = glob.glob(str(tmp_path / "bronze/indeed_raw/batch_id=b/capture_date=2026-01-01/*.parquet"))
+    assert len(files) > 8
+    assert spark.read.parquet(str(tmp_path / "bronze/indeed_raw")).count() == 40000
+
+
+def test_written_order(spark, tmp_path):
+    rows = spark.range(0, 5000).select((F.col("id") * 7919 % 997).alias("a"), (F.col("id") % 13).alias("b"))
+    path = pipeline.write_table(rows, str(tmp_path), "gold", "t", sort_by=["a", "b"])
+    assert tuple(pipeline.order_violations(spark, path, ["a", "b"]).first()) == (5000, 0)
+    assert pipeline.order_violations(spark, path, ["b", "a"]).first()["n_violations"] > 0
+    mixed = pipeline.write_table(rows, str(tmp_path), "gold", "u")
+    assert pipeline.order_violations(spark, mixed, ["a", "b"]).first()["n_violations"] > 0
