@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.regex import SPACE, sql_quote
+from souk.functions.regex import NON_WORD, SPACE, sql_quote
 from souk.functions.text import clean_text, clean_text_sql, linkedin_job_id, linkedin_job_id_sql, py_strip, url_without_query
 from souk.operators import extract as X
 from souk.operators.dedup import keep_first
@@ -167,6 +167,26 @@ def q_silver_of_runs(spark, sf) -> DataFrame:
     return out.select("job_id", "url", "scraped_at", "description_length")
 
 
+def opening_phrases(documents: DataFrame) -> DataFrame:
+    """A dictionary that grows with the data: the first one, two or three words of every document."""
+    words = F.split("text", " ")
+    return documents.select(F.array_join(F.slice(words, 1, F.pmod("doc_id", F.lit(3)).cast("int") + 1), " ").alias("phrase")).where("phrase != ''")
+
+
+def q_phrase_mentions(spark, sf) -> DataFrame:
+    """O10 with thousands of entries: which documents hold which of all documents' opening phrases."""
+    from souk.operators.phrases import match_phrases
+    docs = _documents(spark, sf)
+    return match_phrases(docs, "doc_id", "text", opening_phrases(docs), "phrase")
+
+
+def q_bronze_dreamjob_stored(spark, sf) -> DataFrame:
+    """Dreamjob records as its collector stores them, the description cut at 5 000 characters (rules read whole texts)."""
+    from souk.operators.pages import dreamjob_records
+    from souk.sources.pages import captured_pages
+    return dreamjob_records(captured_pages(source_rows(spark, sf), "dreamjob"), max_chars=D.DESCRIPTION_MAX_CHARS)
+
+
 def q_page_errors(spark, sf) -> DataFrame:
     """Pages that were captured without content, as the error table has them."""
     from souk.operators.pages import page_errors, walked
@@ -181,6 +201,8 @@ def spark_queries() -> dict:
         "bronze_indeed_runs": q_bronze_indeed_runs,
         "silver_of_runs": q_silver_of_runs,
         "page_errors": q_page_errors,
+        "phrase_mentions": q_phrase_mentions,
+        "bronze_dreamjob_stored": q_bronze_dreamjob_stored,
         "page_articles": q_page_articles,
         "bronze_rekrute_pages": _bronze_from_pages("rekrute"),
         "bronze_dreamjob_pages": _bronze_from_pages("dreamjob"),
@@ -238,6 +260,13 @@ FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_ran
     SELECT *, ROW_NUMBER() OVER (PARTITION BY url ORDER BY kw_rank, page, pos) AS rn FROM ({cards})) WHERE rn = 1"""
     from souk.plans import page_oracle
     from souk.sources.offers import BRONZE_OFFERS_SQL
+
+    def spelled(c):
+        return f"' ' || array_to_string(list_filter(regexp_split_to_array(lower({c}), {sql_quote(NON_WORD)}), lambda x: x <> ''), ' ') || ' '"
+    phrases = f"""WITH d AS (SELECT doc_id, {spelled('text')} AS t FROM documents WHERE text IS NOT NULL),
+p AS (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:1 + doc_id % 3], ' ') AS phrase FROM documents),
+s AS (SELECT phrase, {spelled('phrase')} AS needle FROM p WHERE phrase <> '')
+SELECT doc_id, phrase FROM d JOIN s ON contains(t, needle) WHERE trim(needle) <> ''"""
     indeed = page_oracle.oracle_queries()["bronze_indeed_pages"]
     again = f"SELECT * FROM ({indeed}) UNION ALL SELECT * REPLACE (scraped_at + INTERVAL {RUN_TWO_DAYS} DAY AS scraped_at) FROM ({indeed})"
     return {
@@ -246,6 +275,8 @@ FROM (SELECT doc_id, unnest(range(0, CAST(doc_id % 3 AS INTEGER) + 1)) AS kw_ran
         "silver_of_runs": f"""SELECT md5(url) AS job_id, url, max(scraped_at) AS scraped_at,
     CAST(max(length(trim(description))) AS INTEGER) AS description_length FROM ({again}) WHERE job_title IS NOT NULL GROUP BY url""",
         "page_errors": page_oracle.page_errors_sql(),
+        "phrase_mentions": phrases,
+        "bronze_dreamjob_stored": f"SELECT * REPLACE (left(description, {D.DESCRIPTION_MAX_CHARS}) AS description) FROM ({page_oracle.oracle_queries()['bronze_dreamjob_pages']})",
         "extract_dreamjob": oracle.with_ctes(_texts_cte(), dreamjob),
         "extract_indeed": oracle.with_ctes(_texts_cte(), indeed_texts),
         "extract_linkedin": oracle.with_ctes(_texts_cte(), linkedin),

@@ -296,10 +296,38 @@ def fact_ids(jobs: DataFrame, dims: dict[str, DataFrame], grain_safe: bool = Fal
     return out.withColumn("offer_count", F.lit(1))
 
 
+#: A job_id with more than one part in so many of all offers is hot; there are fewer of them than this.
+HOT_PARTS = 64
+
+
+def score_pairs(ids: DataFrame, jobs: DataFrame) -> DataFrame:
+    """J8 as written: rows of the fact ⟕ the offers' scores on job_id.
+
+    A job_id that n offers share gives each of its rows n scores (T2).  Its
+    rows are dealt by url over as many parts as its share of the offers asks
+    for (at most ``HOT_PARTS``), and its scores go to each part; hot ids are
+    fewer than ``HOT_PARTS`` whatever the data, so they are broadcast.
+    """
+    scores = jobs.select(F.col("job_id").alias("_id"), quality_score().alias("_score")).where("_id IS NOT NULL")
+    total = jobs.count()
+    held = scores.groupBy("_id").count().where(F.col("count") * HOT_PARTS > total)
+    hot = F.broadcast(held.select(F.col("_id").alias("_hot"), F.ceil(F.col("count") * HOT_PARTS / F.lit(max(1, total))).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = (ids.join(hot, F.col("job_id") == F.col("_hot"), "left")
+            .withColumn("_part", F.pmod(F.xxhash64("url"), parts).cast("int")).drop("_hot", "_parts"))
+    right = (scores.join(hot, F.col("_id") == F.col("_hot"), "left")
+             .select("_id", "_score", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_at")))
+    joined = left.join(right, (F.col("job_id") == F.col("_id")) & (F.col("_part") == F.col("_at")), "left")
+    return joined.withColumn("quality_score", F.col("_score")).drop("_id", "_score", "_at", "_part")
+
+
 def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] | None = None,
-             grain_safe: bool = False, narrow: DataFrame | None = None) -> DataFrame:
+             grain_safe: bool = False, narrow: DataFrame | None = None, faithful: bool = False) -> DataFrame:
     """One row per unified offer with the ids of its seven dimensions.
 
+    ``faithful=True`` takes the score from the reference's self-join on job_id,
+    with its n² rows of a job_id that n offers share (``score_pairs``).
+
     Ids are resolved on rows without texts (``narrow``: the same offers, e.g.
     a written copy; ``jobs`` itself by default) and meet the texts in one join
     by url.  Offers that come out of the de-duplication are already dealt by
@@ -307,7 +335,8 @@ def fct_jobs(spark: SparkSession, jobs: DataFrame, dims: dict[str, DataFrame] |
     """
     narrow = jobs if narrow is None else narrow
     dims = dims or build_dimensions(spark, narrow)
-    ids = fact_ids(narrow, dims, grain_safe).withColumnRenamed("url", "_url")
+    ids = fact_ids(narrow, dims, grain_safe)
+    ids = (score_pairs(ids, narrow) if faithful else ids).withColumnRenamed("url", "_url")
     texts = jobs.select(*TEXTS)
     return texts.join(ids, texts["url"] == ids["_url"]).select(
         "job_id", "source_id", "city_id", "company_id", "contract_id", "education_id", "experience_id",

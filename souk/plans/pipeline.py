@@ -174,11 +174,49 @@ def load_pages(pages: DataFrame, out_dir: str, platform: str, batch_id: str | in
             delete_path(pages.sparkSession, path)
 
 
-def read_bronze(spark: SparkSession, out_dir: str, platform: str) -> DataFrame:
-    """Scan one raw table with its explicit schema (no inference)."""
+def read_bronze(spark: SparkSession, out_dir: str, platform: str, since=None, until=None) -> DataFrame:
+    """Scan one raw table with its explicit schema (no inference); with
+    ``since`` / ``until`` (days, the second not included) only their folders."""
     from souk.sources.schemas import bronze_schema
     schema = bronze_schema(platform).add("batch_id", "string").add("capture_date", "date")
-    return spark.read.schema(schema).parquet(layer_path(out_dir, "bronze", f"{platform}_raw"))
+    raw = spark.read.schema(schema).parquet(layer_path(out_dir, "bronze", f"{platform}_raw"))
+    if since is not None:
+        raw = raw.where(F.col("capture_date") >= F.lit(since).cast("date"))
+    return raw if until is None else raw.where(F.col("capture_date") < F.lit(until).cast("date"))
+
+
+def captured_on(raw: DataFrame, days: DataFrame) -> DataFrame:
+    """S1 through the calendar: raw rows captured on the days of a ``dim_date``
+    selection, with its columns.  Days are unique, so it is a filter: Spark
+    runs the selection first and scans only its days' folders (dynamic pruning)."""
+    return raw.join(F.broadcast(days), raw["capture_date"] == days["full_date"]).drop("full_date")
+
+
+MERGE_PARTS = 64  # folders of the merged table: a load rewrites those that its urls fall into
+
+
+def merge_unified(spark: SparkSession, staged: DataFrame, out_dir: str, table: str = "jobs_merged", parts: int = MERGE_PARTS) -> DataFrame:
+    """M5 over loads: the latest capture of each url, kept up to date load by load.
+
+    Rows live in ``url_part=<hash of url>`` folders.  A load is de-duplicated
+    with what its own folders hold and only those are written again (dynamic
+    partition overwrite); the files of all others stay as they are.  The merged
+    rows are written beside first, so a failure before the swap changes nothing.
+    """
+    path = layer_path(out_dir, "silver", table)
+    part = F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int")
+    batch, beside = written_copy(staged.withColumn("url_part", part), "merge-batch")
+    both = batch
+    touched = [r[0] for r in batch.select("url_part").distinct().collect()]  # at most ``parts``
+    if path_exists(spark, path):
+        there = spark.read.parquet(path).where(F.col("url_part").isin(touched)).select(*batch.columns)
+        both = batch.unionByName(there)
+    merged, copy = written_copy(silver.jobs_unified(both.drop("url_part")).withColumn("url_part", part), "merge-rows")
+    (merged.hint("rebalance", "url_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("url_part").parquet(path))
+    for done in (beside, copy):
+        delete_path(spark, done)
+    return spark.read.parquet(path).drop("url_part")
 
 
 def register_staging_views(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -206,22 +244,20 @@ def write_table(df: DataFrame, out_dir: str, layer: str, table: str, sort_by: li
 
 def order_violations(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """O1 read back: (n_rows, n_violations), files taken in the order of their
-    names.  Compared are neighbouring rows of a file and, of a row for each
-    file, its first with the last of the file before."""
+    names.  Compared are neighbouring rows of a block that Spark reads, and its
+    first row with the last of the block before."""
     from pyspark.sql import Window
-    at = F.input_file_name()
-    rows = spark.read.parquet(path).select(at.alias("file"), F.struct(*keys).alias("key"), F.monotonically_increasing_id().alias("row"))
-    # a large file is read in blocks: a row's place in its file is its scan order, blocks of one file are joined like files
-    rows = rows.withColumn("block", F.shiftright("row", 33))
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.struct(*keys).alias("key"), F.monotonically_increasing_id().alias("row"))
     within = Window.partitionBy("file", "block").orderBy("row")
-    marked = rows.withColumn("before", F.lag("key").over(within))
-    blocks = marked.groupBy("file", "block").agg(
+    blocks = rows.withColumn("before", F.lag("key").over(within)).groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("n"), F.sum((F.col("before") > F.col("key")).cast("long")).alias("inside"),
         F.min_by("key", "row").alias("first"), F.max_by("key", "row").alias("last"))
     # a row for each block of a file: few
-    across = Window.orderBy("file", "first")
-    edges = blocks.withColumn("cut", (F.lag("last").over(across) > F.col("first")).cast("long"))
-    return edges.agg(F.sum("n").alias("n_rows"), (F.coalesce(F.sum("inside"), F.lit(0)) + F.coalesce(F.sum("cut"), F.lit(0))).cast("long").alias("n_violations"))
+    edges = blocks.withColumn("cut", (F.lag("last").over(Window.orderBy("file", "block")) > F.col("first")).cast("long"))
+    wrong = F.coalesce(F.sum("inside"), F.lit(0)) + F.coalesce(F.sum("cut"), F.lit(0))
+    return edges.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), wrong.cast("long").alias("n_violations"))
 
 
 def written_copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -72,6 +72,30 @@ def q_fct_jobs_safe(spark, sf):
     return star(spark, sf, grain_safe=True)[2]
 
 
+def q_fct_jobs_pairs(spark, sf):
+    """The fact with the scores of the reference's self-join on job_id."""
+    jobs = narrow(spark, sf)
+    dims = dimensions(spark, jobs, "dim_source", "dim_date", *DIMENSIONS)
+    return gold.fct_jobs(spark, unified(spark, sf), dims, narrow=jobs, faithful=True)
+
+
+def q_raw_variants(spark, sf):
+    """A4: the four dimensions' labels, each with its raw values as one ordered string."""
+    jobs = narrow(spark, sf)
+    out = None
+    for name, kind in (("city", F.col("region")), ("contract", F.col("contract_category")), ("education", F.lit(None).cast("string")), ("experience", F.lit(None).cast("string"))):
+        dim = getattr(gold, f"dim_{name}")(jobs, joined_variants=True).select(
+            F.lit(name).alias("dimension"), F.col(f"{name}_id").alias("id"), F.col(f"{name}_normalized").alias("label"), kind.alias("kind"), "raw_variants", "nb_raw_variants")
+        out = dim if out is None else out.unionByName(dim)
+    return out
+
+
+def q_bridge_written_order(spark, sf):
+    """O1: the bridge as written, read back: its rows, and those out of (job_id, skill_id) order within or across files."""
+    path = pipeline.write_table(q_bridge_job_skill(spark, sf), _folder(spark), "gold", "bridge_job_skill", sort_by=["job_id", "skill_id"])
+    return pipeline.order_violations(spark, path, ["job_id", "skill_id"])
+
+
 def q_bridge_job_skill(spark, sf):
     jobs = narrow(spark, sf)
     ids = gold.fact_ids(jobs, dimensions(spark, jobs, "dim_city", "dim_contract"))
@@ -144,6 +168,31 @@ def q_bronze_appended(spark, sf):
     return pipeline.read_bronze(spark, out, "linkedin").groupBy("batch_id", "capture_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+QUARTER_SINCE, QUARTER_UNTIL = "2025-01-01", "2026-01-01"
+
+
+def captured_by_quarter(spark: SparkSession, out: str) -> DataFrame:
+    """Raw LinkedIn rows of a year's first and third quarters, by quarter: the year prunes by value, the quarters through the calendar."""
+    raw = pipeline.read_bronze(spark, out, "linkedin", QUARTER_SINCE, QUARTER_UNTIL)
+    days = gold.dim_date(spark, ASOF).where(F.col("quarter").isin(1, 3)).select("full_date", "year_quarter")
+    return pipeline.captured_on(raw, days).groupBy("year_quarter").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("url").alias("n_urls"))
+
+
+def q_captured_by_quarter(spark, sf):
+    """A windowed scan of an appended raw table."""
+    out = _folder(spark)
+    pipeline.append_bronze(bronze_table(spark, sf, "linkedin"), out, "linkedin", batch_id="a")
+    return captured_by_quarter(spark, out)
+
+
+def q_silver_merged(spark, sf):
+    """M5, W1 over loads: the unified offers, merged load by load (the second has captures before and after the first's)."""
+    out, staged = _folder(spark), silver.stage_all(bronze_offers(spark, sf))
+    first = F.pmod(F.xxhash64("job_title", "scraped_at"), F.lit(2)) == 0
+    pipeline.merge_unified(spark, staged.where(first), out)
+    return pipeline.merge_unified(spark, staged.where(~first), out).select("url", "source", "job_id", "scraped_at", "description_length")
+
+
 def q_staging_views(spark, sf):
     """The four staging views, read by name."""
     pipeline.register_staging_views({p: bronze_table(spark, sf, p) for p in oracle.PLATFORMS})
@@ -176,7 +225,8 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[d] = _dim(d)
     for v in gold.VARIANTS:
         out[f"{v}_variants"] = _variants(v)
-    out |= {"fct_jobs": q_fct_jobs, "fct_jobs_safe": q_fct_jobs_safe, "bridge_job_skill": q_bridge_job_skill,
+    out |= {"fct_jobs": q_fct_jobs, "fct_jobs_safe": q_fct_jobs_safe, "fct_jobs_pairs": q_fct_jobs_pairs, "raw_variants": q_raw_variants,
+            "bridge_written_order": q_bridge_written_order, "captured_by_quarter": q_captured_by_quarter, "silver_merged": q_silver_merged, "bridge_job_skill": q_bridge_job_skill,
             "offers_by_region": q_offers_by_region, "offers_by_source": q_offers_by_source, "offers_by_day": q_offers_by_day,
             "offers_by_city_month": q_offers_by_city_month, "skill_demand": q_skill_demand,
             "bronze_appended": q_bronze_appended, "staging_views": q_staging_views, "warehouse_tables": q_warehouse_tables}
@@ -200,6 +250,13 @@ def oracle_queries() -> dict[str, str]:
     for v, kind in kinds.items():
         out[f"{v}_variants"] = of(f"SELECT DISTINCT label AS {v}_normalized{kind}, txt AS raw_value FROM {v}_labels WHERE listed")
     out["fct_jobs_safe"] = of("SELECT * FROM safe_fact")
+    out["fct_jobs_pairs"] = of("SELECT f.* REPLACE (o.quality_score AS quality_score) FROM fct_jobs f LEFT JOIN scored o ON f.job_id = o.job_id")
+    out["raw_variants"] = of(" UNION ALL ".join(
+        f"SELECT '{v}' AS dimension, CAST({v}_id AS BIGINT) AS id, {v}_normalized AS label, {'d.' + kind.split()[-1] if kind else 'CAST(NULL AS VARCHAR)'} AS kind, "
+        f"string_agg(DISTINCT txt, ' | ' ORDER BY txt) AS raw_variants, count(DISTINCT txt) AS nb_raw_variants "
+        f"FROM {v}_labels l JOIN dim_{v} d ON l.label = {v}_normalized{' AND l.kind = d.' + kind.split()[-1] if kind else ''} WHERE listed GROUP BY ALL"
+        for v, kind in kinds.items()))
+    out["bridge_written_order"] = of("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_violations FROM bridge_job_skill")
     out["offers_by_region"] = of("""SELECT region, CAST(sum(offer_count) AS BIGINT) AS n_offers, count(DISTINCT city_id) AS n_cities,
     CAST(sum(quality_score) AS BIGINT) AS sum_quality FROM safe_fact LEFT JOIN dim_city USING (city_id) GROUP BY region""")
     out["offers_by_source"] = of("""SELECT * FROM dim_source LEFT JOIN (SELECT source_id, CAST(sum(offer_count) AS BIGINT) AS n_offers,
@@ -212,6 +269,10 @@ def oracle_queries() -> dict[str, str]:
     LEFT JOIN (SELECT skill_id, count(*) AS n FROM hits GROUP BY skill_id) USING (skill_id)""")
     out["bronze_appended"] = oracle.with_ctes(silver_ctes[:1], """SELECT CASE WHEN scraped_at < TIMESTAMP '2025-01-01' THEN 'a' ELSE 'b' END AS batch_id,
     CAST(scraped_at AS DATE) AS capture_date, count(*) AS n_rows FROM bronze WHERE source = 'linkedin' GROUP BY ALL""")
+    out["captured_by_quarter"] = oracle.with_ctes(silver_ctes[:1], f"""SELECT year(scraped_at) || '-Q' || quarter(scraped_at) AS year_quarter, count(*) AS n_rows,
+    count(DISTINCT url) AS n_urls FROM bronze WHERE source = 'linkedin' AND scraped_at >= TIMESTAMP '{QUARTER_SINCE}' AND scraped_at < TIMESTAMP '{QUARTER_UNTIL}'
+    AND quarter(scraped_at) IN (1, 3) GROUP BY ALL""")
+    out["silver_merged"] = oracle.with_ctes(silver_ctes, "SELECT url, source, job_id, scraped_at, description_length FROM jobs_unified")
     out["staging_views"] = oracle.with_ctes(silver_ctes[:2], "SELECT source, count(*) AS n_rows, count(DISTINCT job_id) AS n_jobs FROM staged GROUP BY source")
     tables = ["dim_source", "dim_date", "dim_skill", *DIMENSIONS, "fct_jobs", "bridge_job_skill"]
     counts = ["SELECT 'silver.jobs_unified' AS table_name, count(*) AS n_rows FROM jobs_unified"]

@@ -277,3 +277,56 @@ def test_written_order(spark, tmp_path):
     assert pipeline.order_violations(spark, path, ["b", "a"]).first()["n_violations"] > 0
     mixed = pipeline.write_table(rows, str(tmp_path), "gold", "u")
     assert pipeline.order_violations(spark, mixed, ["a", "b"]).first()["n_violations"] > 0
+
+
+def test_scores_of_shared_ids_meet_in_pairs(spark):
+    flags = ["has_company", "has_city", "has_function", "has_contract", "has_sector", "has_education", "has_experience"]
+    jobs = spark.range(0, 900).select(
+        F.concat(F.lit("u"), "id").alias("url"), F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit("two"))
+        .when(F.col("id") == 2, F.lit(None)).otherwise(F.concat(F.lit("j"), "id")).alias("job_id"),
+        *[(F.col("id") % (k + 2) == 0).cast("int").alias(f) for k, f in enumerate(flags)], F.col("id").cast("int").alias("description_length"))
+    jobs = jobs.repartition(4).cache()
+    scores = jobs.select("job_id", gold.quality_score().alias("s"))
+    got = gold.score_pairs(jobs, jobs).select("url", "job_id", "quality_score")
+    want = jobs.join(scores, "job_id", "left").select("url", "job_id", F.col("s").alias("quality_score"))
+    assert got.count() == want.count() > 300 * 300
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # rows of the hot id come out of several tasks
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = gold.score_pairs(jobs, jobs).where("job_id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 1
+
+
+def test_windowed_scan_prunes_folders(spark, tmp_path):
+    from souk.plans.registry import captured_by_quarter
+    pipeline.append_bronze(bronze_table(spark, SF_SMALL, "linkedin"), str(tmp_path), "linkedin", batch_id="a")
+    df = captured_by_quarter(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "2025-01-01" in filters and "dynamicpruning" in plan
+    assert {r.year_quarter for r in df.collect()} <= {"2025-Q1", "2025-Q3"}
+
+
+def test_merged_loads_equal_one_build(spark, tmp_path):
+    import os
+    staged = silver.stage(bronze_table(spark, SF_SMALL, "indeed"), "indeed")
+    first, second = staged.where("length(job_title) % 2 = 0"), staged.where("length(job_title) % 2 = 1")
+    newer = first.orderBy("url").limit(3).withColumn("scraped_at", F.expr("timestamp_ntz'2030-01-01 00:00:00'"))
+    older = first.orderBy("url").limit(3).withColumn("scraped_at", F.expr("timestamp_ntz'1990-01-01 00:00:00'"))
+    out = str(tmp_path)
+
+    def files():
+        top = tmp_path / "silver" / "jobs_merged"
+        return {p.name: sorted((f, os.stat(p / f).st_mtime_ns) for f in os.listdir(p)) for p in top.iterdir() if p.is_dir()}
+    pipeline.merge_unified(spark, first, out, parts=16)
+    pipeline.merge_unified(spark, second.unionByName(older), out, parts=16)
+    before = files()
+    merged = pipeline.merge_unified(spark, newer, out, parts=16)
+    whole = silver.jobs_unified(staged.unionByName(older).unionByName(newer))
+    assert merged.count() == whole.count() and merged.exceptAll(whole.select(*merged.columns)).count() == 0
+    touched = {f"url_part={r[0]}" for r in newer.select(F.pmod(F.xxhash64("url"), F.lit(16))).distinct().collect()}
+    after = files()
+    assert {k for k in after if after[k] != before.get(k)} <= touched and len(touched) < len(after)
