@@ -5,30 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_folder(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the folder in spark.checkpoint.dir.
+from souk.session import checkpoint_dir
 
-    A folder of our own is made only where that is unset and the master is
-    local; elsewhere executors could not see it.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    folder = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-        folder = tempfile.mkdtemp(prefix="souk-ckpt-")
-    sc.setCheckpointDir(folder)
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder once; later uses read it, also after an executor is lost."""
-    shared_folder(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
@@ -37,6 +21,12 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ranges(docs: DataFrame, text_col: str, size: int) -> int:
+    """Hash ranges for an operator that holds one in a task: of about ``size`` bytes of text, whatever the session's shuffle partitions."""
+    total = docs.agg(F.sum(F.octet_length(docs[text_col]).cast("long"))).first()[0] or 0
+    return max(partitions(docs.sparkSession), -(-total // size))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm import kernel as K
-from souk.llm.common import partitions
+from souk.llm.common import ranges
 
 NULL_ID = np.iinfo(np.int64).max
 MULTI, COVERED, REQUEST, HEAVY = 1, 2, 4, 8
@@ -44,8 +44,8 @@ SEGMENT = 1 << 18
 BLOB = "part int, docs binary, places binary, bucket binary, content binary"
 #: found: first window << 16 | number of windows << 8 | kind (0: covered)
 FOUND = "doc_id long, th long, size int, found long"
-#: Bytes of text whose records are combined and sent together.
-FLUSH = 4 << 20
+#: Bytes of text whose records are combined and sent together, and whose records meet in one task (about).
+FLUSH, RANGE = 4 << 20, 8 << 20
 
 
 @dataclass(frozen=True)
@@ -147,13 +147,15 @@ def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, conten
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     ends = np.cumsum(per) if per is not None else None
     rows = []
+    met = (flag & (COVERED | REQUEST)) == 0  # only these are compared: the others need neither gram nor content
     for k in np.flatnonzero(np.diff(bounds)):
         o = order[bounds[k]:bounds[k + 1]]
         used, local = np.unique(row[o], return_inverse=True)
-        body = content[o] if per is None else content[np.repeat(ends[o] - per[o], per[o]) + _within(per[o])]
+        m = o[met[o]]
+        body = content[m] if per is None else content[np.repeat(ends[m] - per[m], per[m]) + _within(per[m])]
         rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used], sizes[used]),
                      _pack(local.astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
-                     _low_bytes(bucket[o] // np.uint64(parts), 5), _low_bytes(body, 6)))
+                     _low_bytes(bucket[m] // np.uint64(parts), 5), _low_bytes(body, 6)))
     cols = list(zip(*rows)) if rows else [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                       names=[x.split()[0] for x in BLOB.split(", ")])
@@ -165,15 +167,22 @@ def _within(counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def _read(table: pa.Table):
-    """All records of one part, with window identifiers where a record has several."""
+def _read(table: pa.Table, windows: bool):
+    """All records of one part; a content for each record, or for each of its windows (0 where none was sent)."""
     out = {k: [] for k in ("id", "th", "size", "lo", "cnt", "flag", "bucket", "content")}
     for r in table.select(["docs", "places", "bucket", "content"]).to_batches():
         for docs, places, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
             ids, ths, sizes = _unpack(docs, "<i8", "<i8", "<i4")
             at, lo, cnt, flag = _unpack(places, "<u4", "<u4", "u1", "u1")
+            met = (flag & (COVERED | REQUEST)) == 0
+            grams = np.zeros(len(flag), np.uint64)
+            grams[met] = _from_bytes(bucket, 5)
+            if windows:
+                met = np.repeat(met, cnt)
+            whole = np.zeros(len(met), np.uint64)
+            whole[met] = _from_bytes(content, 6)
             for k, v in (("id", np.cumsum(ids)[at]), ("th", ths[at]), ("size", sizes[at]), ("lo", lo), ("cnt", cnt), ("flag", flag),
-                         ("bucket", _from_bytes(bucket, 5)), ("content", _from_bytes(content, 6))):
+                         ("bucket", grams), ("content", whole)):
                 out[k].append(v)
     return {k: np.concatenate(v) for k, v in out.items()}
 
@@ -258,7 +267,7 @@ def _map_runs(task: Task, parts: int):
 
 def _reduce_runs(task: Task):
     def run(table: pa.Table) -> pa.Table:
-        rec = _read(table)
+        rec = _read(table, False)
         flag = rec["flag"]
         passed = (flag & (COVERED | REQUEST)) != 0
         mark = ~passed & ((flag & HEAVY) != 0)
@@ -343,7 +352,7 @@ def _map_windows(task: Task, parts: int):
 
 def _reduce_windows(task: Task):
     def run(table: pa.Table) -> pa.Table:
-        rec = _read(table)
+        rec = _read(table, True)
         n = rec["cnt"].astype(np.int64)
         each = {k: np.repeat(rec[k], n) for k in ("id", "th", "size", "flag", "bucket")}
         each["lo"] = np.repeat(rec["lo"].astype(np.int64), n) + _within(n)
@@ -372,8 +381,7 @@ def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     Rows that share a doc_id are told apart by their text (64-bit hash and size
     in bytes); equal rows share what is found, each code once.  Null ids stay.
     """
-    spark = docs.sparkSession
-    parts = partitions(spark)
+    parts = ranges(docs, "text", RANGE)
     doc_id = F.col("doc_id").cast("long")
     # joins are on keys that are never null: such equality keeps the grouping's own partitioning
     base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.xxhash64("text").alias("th"),
