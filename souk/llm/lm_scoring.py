@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm import kernel as K
-from souk.llm.common import crc_mod, cut, partitions, pick
+from souk.llm.common import crc_mod, cut, partitions, pick, ranges
 
 U = np.uint64
 END = U(0x5851F42D4C957F2D)
@@ -47,6 +47,8 @@ PAIR_MASK = U((1 << PAIR_BITS) - 1)
 BITS_PER_ENTRY, PROBES = 24, 5
 BROADCAST_BYTES = 256 << 20
 FLUSH = 16 << 20
+#: Bytes of text that are scored in one task, about.
+SLOT = 128 << 20
 
 
 def _zip(a: np.ndarray) -> bytes:
@@ -267,16 +269,19 @@ def score(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST
                      F.coalesce(F.sum(F.octet_length("filter").cast("long")), F.lit(0)).alias("b")).first()
     shared = None
     if size["b"] <= broadcast_bytes:
-        n_words, start, data, at = np.ones(parts, U), np.zeros(parts, np.int64), [np.zeros(1, U)], 1
+        # one array, filled shard by shard: the driver holds the filter once
+        n_words, start, at = np.ones(parts, U), np.zeros(parts, np.int64), 1
+        words = np.zeros(1 + size["b"] // 8, U)
         for r in model.select("part", "n_words", "filter").toLocalIterator():
             n_words[r["part"]], start[r["part"]] = r["n_words"], at
-            data.append(np.frombuffer(r["filter"], "<u8"))
+            words[at:at + r["n_words"]] = np.frombuffer(r["filter"], "<u8")
             at += r["n_words"]
-        shared = spark.sparkContext.broadcast((np.concatenate(data), n_words, start))
+        shared = spark.sparkContext.broadcast((words, n_words, start))
+    slots = max(2 * parts, ranges(docs, text_col, SLOT))
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.withColumn("__held", ~is_training)
     d = pick(d, doc_id=id_col, text=text_col, held_out="__held")
-    d = d.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(2 * parts)).cast("int").alias("slot"))
+    d = d.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)).cast("int").alias("slot"))
     ask = partial(_ask, parts, shared is None)
     asked = d.groupBy("slot").applyInArrow(lambda t: ask(t), ASK)
     facts = model.select("part", "ids", "counts", "sums", *(["filter"] if shared is None else [F.lit(b"").alias("filter")]))
