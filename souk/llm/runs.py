@@ -44,8 +44,10 @@ SEGMENT = 1 << 18
 BLOB = "part int, docs binary, places binary, bucket binary, content binary"
 #: found: first window << 16 | number of windows << 8 | kind (0: covered)
 FOUND = "doc_id long, th long, size int, found long"
+#: Bytes that tell grams of one range apart; two grams that share them only have their windows compared closer.
+GRAM_BYTES = 4
 #: Bytes of text whose records are combined and sent together, and whose records meet in one task (about).
-FLUSH, RANGE = 4 << 20, 8 << 20
+FLUSH, RANGE = 4 << 20, 12 << 20
 
 
 @dataclass(frozen=True)
@@ -154,8 +156,8 @@ def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, conten
         m = o[met[o]]
         body = content[m] if per is None else content[np.repeat(ends[m] - per[m], per[m]) + _within(per[m])]
         rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used], sizes[used]),
-                     _pack(local.astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
-                     _low_bytes(bucket[m] // np.uint64(parts), 5), _low_bytes(body, 6)))
+                     _pack(np.diff(local, prepend=0).astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
+                     _low_bytes(bucket[m] // np.uint64(parts), GRAM_BYTES), _low_bytes(body, 6)))
     cols = list(zip(*rows)) if rows else [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                       names=[x.split()[0] for x in BLOB.split(", ")])
@@ -174,9 +176,10 @@ def _read(table: pa.Table, windows: bool):
         for docs, places, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
             ids, ths, sizes = _unpack(docs, "<i8", "<i8", "<i4")
             at, lo, cnt, flag = _unpack(places, "<u4", "<u4", "u1", "u1")
+            at = np.cumsum(at)
             met = (flag & (COVERED | REQUEST)) == 0
             grams = np.zeros(len(flag), np.uint64)
-            grams[met] = _from_bytes(bucket, 5)
+            grams[met] = _from_bytes(bucket, GRAM_BYTES)
             if windows:
                 met = np.repeat(met, cnt)
             whole = np.zeros(len(met), np.uint64)
@@ -378,13 +381,13 @@ def _reduce_windows(task: Task):
 def covered_windows(docs: DataFrame, task: Task) -> DataFrame:
     """doc_id, text, found (codes, see ``covered``) of each row of docs(doc_id, text).
 
-    Rows that share a doc_id are told apart by their text (64-bit hash and size
-    in bytes); equal rows share what is found, each code once.  Null ids stay.
+    Rows that share a doc_id are told apart by their text (48 bits of its hash
+    and its size in bytes); equal rows share what is found, each code once.  Null ids stay.
     """
     parts = ranges(docs, "text", RANGE)
     doc_id = F.col("doc_id").cast("long")
     # joins are on keys that are never null: such equality keeps the grouping's own partitioning
-    base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.xxhash64("text").alias("th"),
+    base = docs.select(F.coalesce(doc_id, F.lit(int(NULL_ID))).alias("key"), F.xxhash64("text").bitwiseAND(F.lit((1 << 48) - 1)).alias("th"),
                        F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), F.coalesce("text", F.lit("")).alias("text"), doc_id.alias("doc_id"))
 
     def by_document(found):
