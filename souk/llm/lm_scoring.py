@@ -277,7 +277,7 @@ def score(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST
             words[at:at + r["n_words"]] = np.frombuffer(r["filter"], "<u8")
             at += r["n_words"]
         shared = spark.sparkContext.broadcast((words, n_words, start))
-    slots = max(2 * parts, ranges(docs, text_col, SLOT))
+    slots = max(3 * parts, ranges(docs, text_col, SLOT))
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.withColumn("__held", ~is_training)
     d = pick(d, doc_id=id_col, text=text_col, held_out="__held")
