@@ -34,6 +34,8 @@ class Rule:
     #: the group whose length counts (0: the whole match), and its least length
     group: int = 0
     least: int = 1
+    #: for blocks: the pattern finds opening and closing marks, and this what an opening mark without a closing one takes with it
+    tail: str | None = None
 
 
 def _either_case(word: str) -> str:
@@ -46,16 +48,18 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 0, 16),  # runs of 16 or more: what is left of [0-9a-f]+
 )
-_HEAD, _B, _NL = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "[A-Za-z0-9+/]", r"(?:\n|\\n)"
-#: From the header through the END line, whatever is between but another such mark.
-_BLOCK = _HEAD + r"[^-]*(?:-[^-]+){0,30}-----END [A-Z ]*PRIVATE KEY-----"
-#: Without an END line: the header, its fields, the lines that are base64 as a whole, and then
-#: base64 words of 40 or more letters.  Counts are bounded: Java's matcher recurses for each repetition.
-_OPEN = (_HEAD + r"(?:[ \t\r\n\\]*n?(?:Proc-Type|DEK-Info):[^\n\\]*){0,2}"
-         + rf"(?:[ \t\r]*{_NL}(?:[ \t\r]*{_NL})?(?:[ \t]*{_B}+=*[ \t\r]*(?:{_NL}|\z)){{1,500}})?"
-         + rf"(?:[ \t\r\n\\]*{_B}{{40,}}=*){{0,25}}" * 4)
+#: A block goes from an opening mark through the next mark, if that is a closing one.
+_OPENS, _CLOSES = "-----BEGIN", "-----END"
+_MARK = f"(?:{_OPENS}|{_CLOSES}) [A-Z ]*PRIVATE KEY-----"
+#: Else the key is what follows up to the next mark: its fields, base64 with blanks between up to the last word of
+#: 40 or more letters, and then the lines that are base64 as a whole.  Only character classes repeat: no count bounds
+#: them and a matcher doesn't recurse.
+_B, _NL = "A-Za-z0-9+/", r"(?:\n|\\n)"
+_FIELDS = r"(?:[ \t\r\n\\]*n?(?:Proc-Type|DEK-Info):[^\n\\]*){0,2}"
+_LINES = rf"[{_B}=\t\r\n]*[{_B}=][ \t\r]*(?:\n|\z)"
+_TAIL = rf"^{_FIELDS}(?:[{_B}=\\ \t\r\n]*[{_B}]{{40,}}=*(?:[ \t\r]*{_NL})?(?:{_LINES})?|[ \t\r]*{_NL}{_LINES})?"
 #: Added to the base rules by this operator: blocks of key material.
-MORE = (Rule("pem", 2, f"{_BLOCK}|{_OPEN}", 0, 1),)
+MORE = (Rule("pem", 3, _MARK, tail=_TAIL),)
 RULES = BASE + MORE
 
 
@@ -63,8 +67,24 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _blocks(text: Column, rule: Rule) -> Column:
+    """Spans of the blocks between a rule's marks."""
+    def block(marks, m, i):
+        after = F.get(marks, i + 1)
+        closed = F.substring(text, after["start"] + 1, len(_CLOSES)) == _CLOSES
+        rest = F.substring(text, m["end"] + 1, F.coalesce(after["start"], F.length(text)) - m["end"])
+        end = F.when(F.coalesce(closed, F.lit(False)), after["end"]).otherwise(m["end"] + F.length(F.regexp_extract(rest, rule.tail, 0)))
+        opens = F.substring(text, m["start"] + 1, len(_OPENS)) == _OPENS
+        return F.struct(m["start"].alias("start"), F.when(opens, end).alias("end"))
+
+    whole = _let(find(text, Rule(rule.name, rule.version, rule.pattern)), lambda marks: F.transform(marks, lambda m, i: block(marks, m, i)))
+    return F.filter(whole, lambda b: b["end"].isNotNull()).cast(SPANS)
+
+
 def find(text: Column, rule: Rule) -> Column:
     """Spans of the rule's matches in text, in order."""
+    if rule.tail:
+        return _blocks(text, rule)
     none = F.array().cast(SPANS)
 
     def locate(m):
@@ -179,7 +199,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", rules=RULES, text_col: str =
     return d.withColumn(text_col, F.when(F.col("__spans").isNull() | text.isNull(), text).otherwise(new)).drop("__blob", "__spans")
 
 
-_P = {"assign": BASE[0].pattern.replace("'", "''"), "access": BASE[1].pattern, "hex": BASE[2].pattern, "pem": MORE[0].pattern}
+_P = {"assign": BASE[0].pattern.replace("'", "''"), "access": BASE[1].pattern, "hex": BASE[2].pattern}
 
 
 def _sql_kind(k: int, name: str, group: int, least: int) -> str:
@@ -190,9 +210,16 @@ def _sql_kind(k: int, name: str, group: int, least: int) -> str:
 
 SQL = f"""
 with t as (select row_number() over () rid, doc_id, coalesce(text, '') as text from documents),
-m as ({" union all ".join(_sql_kind(k, n, g, x) for k, (n, g, x) in enumerate((("assign", 2, 12), ("access", 0, 18), ("hex", 0, 16), ("pem", 0, 1))))}),
+m as ({" union all ".join(_sql_kind(k, n, g, x) for k, (n, g, x) in enumerate((("assign", 2, 12), ("access", 0, 18), ("hex", 0, 16))))}),
+mark as (select rid, text, unnest(list_zip(regexp_extract_all(text, '{_MARK}'), string_split_regex(text, '{_MARK}')[1:len(regexp_extract_all(text, '{_MARK}'))])) z,
+    unnest(range(1, len(regexp_extract_all(text, '{_MARK}')) + 1)) i from t),
+placed as (select rid, text, z[1] mark, cast(sum(length(z[1]) + length(z[2])) over (partition by rid order by i rows unbounded preceding) as bigint) en from mark),
+follow as (select *, lead(mark) over w nm, lead(en) over w ne from placed window w as (partition by rid order by en)),
+pem as (select rid, 3 k, 'pem' kind, en - length(mark) st, case when nm like '{_CLOSES}%' then ne
+    else en + length(regexp_extract(substr(text, en + 1, coalesce(ne - length(nm), length(text)) - en), '{_TAIL}')) end en from follow where mark like '{_OPENS}%'),
 p as (select *, sum(length(z[1]) + length(z[3])) over (partition by rid, k order by i rows unbounded preceding) as e from m),
-s as (select rid, k, kind, cast(e - length(z[1]) as bigint) st, cast(e as bigint) en from p where length(z[2]) >= least),
+s as (select rid, k, kind, cast(e - length(z[1]) as bigint) st, cast(e as bigint) en from p where length(z[2]) >= least
+    union all select rid, k, kind, st, en from pem),
 a as (select rid, count(*) filter (k = 0) n0, count(*) filter (k = 1) n1, count(*) filter (k = 2) n2,
     string_agg(kind || ':' || st || ':' || en, ',' order by st, k) filter (k < 3) b, string_agg(kind || ':' || st || ':' || en, ',' order by st, k) al from s group by rid)
 select doc_id, coalesce(n0, 0) n_assign, coalesce(n1, 0) n_access, coalesce(n2, 0) n_hex, sha256(coalesce(b, '')) base_sha256, coalesce(al, '') spans
