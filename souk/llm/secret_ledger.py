@@ -110,21 +110,39 @@ def address(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def _entry(rule: Rule, spans: Column) -> Column:
+    return F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.version).alias("version"), spans.cast(SPANS).alias("spans"))
+
+
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=RULES, text_col: str = "text") -> DataFrame:
-    """blob, paths (how many rows have it), entries: an entry for each rule, taken from the ledger (blob, rule, version, spans) or scanned now."""
-    blobs = docs.select(address(docs[text_col]).alias("blob"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("paths"))
-    if ledger is not None:
-        known = ledger.groupBy("blob").agg(F.collect_list(F.struct("rule", "version", "spans")).alias("known"))
-        blobs = blobs.join(known, "blob", "left")
-    entries = []
+    """blob, paths (how many rows have it), entries: an entry for each rule, taken from the ledger (blob, rule, version, spans) or scanned now.
+
+    With a ledger, addresses are looked up first, without their texts; only
+    blobs that lack an entry of a rule's present version fetch theirs, by a
+    semi-join on the addresses wanted (where those are few, Spark's run-time
+    filter keeps the other texts out of its shuffle), and are searched for the
+    rules they lack.
+    """
+    rows = docs.select(address(docs[text_col]).alias("blob"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    if ledger is None:
+        blobs = rows.groupBy("blob").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("paths"))
+        return blobs.select("blob", "paths", F.array(*[_entry(r, find(F.col("text"), r)) for r in rules]).cast(ENTRIES).alias("entries"))
+    present = F.lit(False)
+    for r in rules:
+        present = present | ((F.col("rule") == r.name) & (F.col("version") == r.version))
+    known = ledger.where(present).groupBy(F.col("blob").alias("__blob")).agg(F.collect_list(F.struct("rule", "version", "spans")).alias("known"))
+    paths = rows.groupBy("blob").agg(F.count(F.lit(1)).alias("paths"))
+    asked = paths.join(known, paths.blob == known["__blob"], "left").select("blob", "paths", F.coalesce("known", F.array().cast(ENTRIES)).alias("known"))
+    lack = F.lit(False)
     for r in rules:
-        spans = find(F.col("text"), r)
-        if ledger is not None:
-            old = F.coalesce(_known(r), F.array().cast(ENTRIES))
-            spans = F.when(F.size(old) > 0, F.get(old, F.lit(0))["spans"]).otherwise(spans)
-        entries.append(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), spans.cast(SPANS).alias("spans")))
-    return blobs.select("blob", "paths", F.array(*entries).cast(ENTRIES).alias("entries"))
+        lack = lack | (F.size(_known(r)) == 0)
+    asked = cut(asked.withColumn("lack", lack))
+    unseen = asked.where("lack").select(F.col("blob").alias("__blob"))
+    texts = rows.join(unseen, rows.blob == F.col("__blob"), "left_semi").groupBy(F.col("blob").alias("__blob")).agg(F.first("text").alias("text"))
+    fresh = asked.join(texts, asked.blob == texts["__blob"]).select("blob", "paths", F.array(
+        *[_entry(r, F.when(F.size(_known(r)) > 0, F.get(_known(r), F.lit(0))["spans"]).otherwise(find(F.col("text"), r))) for r in rules]).cast(ENTRIES).alias("entries"))
+    old = asked.where(~F.col("lack")).select("blob", "paths", F.array(*[_entry(r, F.get(_known(r), F.lit(0))["spans"]) for r in rules]).cast(ENTRIES).alias("entries"))
+    return fresh.unionByName(old)
 
 
 def join_back(rows: DataFrame, blob: str, found: DataFrame, name: str) -> DataFrame:

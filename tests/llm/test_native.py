@@ -5,6 +5,7 @@ import re
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from souk.llm import fm_decontam, host_rules, mixing, secret_ledger
 from souk.llm.queries import QUERIES, SQL
@@ -184,3 +185,19 @@ def test_key_blocks_go_as_a_whole(spark):
     cols = sorted(found.columns)
     assert plain(found[cols].itertuples(index=False)) == plain(want[cols].itertuples(index=False))
     assert secret_ledger.MORE[0].version == 3
+
+
+def test_known_blobs_fetch_no_text(spark):
+    rows = [(k, f"password = abcdefghijkl{k % 5}", "s") for k in range(40)] + [(50, None, "s"), (51, "", "s")]
+    docs = table(spark, rows)
+    ledger = secret_ledger.as_ledger(secret_ledger.scan(docs))
+    # all is known: nothing is fetched, whatever the texts were searched for before
+    marked = ledger.withColumn("spans", F.expr("array(named_struct('start', 1, 'end', 2))"))
+    got = secret_ledger.findings(docs, marked).collect()
+    assert len(got) == len(rows) and all(tuple(s) == (1, 2) for r in got for e in r["entries"] for s in e["spans"])
+    # one rule's version is new: only that rule is searched for
+    got = secret_ledger.findings(docs, marked.where("rule != 'assign'")).collect()
+    spans = {r["doc_id"]: {e["rule"]: [tuple(s) for s in e["spans"]] for e in r["entries"]} for r in got}
+    assert spans[3] == {"assign": [(0, 24)], "access": [(1, 2)], "hex": [(1, 2)], "pem": [(1, 2)]} and spans[50]["assign"] == []
+    plan = secret_ledger.scan(docs, ledger)._jdf.queryExecution().toString()
+    assert "LeftSemi" in plan
