@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import byte_cnn, fm_decontam, mixing, secret_ledger, simhash_pivots
 from souk.llm.common import documents
+from souk.plans.pipeline import delete_path
 from souk.session import checkpoint_dir
 
 
@@ -61,10 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what a stage returns is written, and the next reads it from there."""
+    """All stages; what a stage returns is written, and the next reads it from there.
+
+    A stage's rows go when the next one's are written; the last written ones stay for the reader of the result.
+    """
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete_path(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
