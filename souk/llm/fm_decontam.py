@@ -272,11 +272,11 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_
         return d.select("doc_id", "th", n.alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
     if len(found) == 1:
         return found[0]
-    # several blocks: the texts are read once for each, and only hits meet; equal rows have equal hits
+    # several blocks: the texts are read once for each, and only hits meet; equal rows have equal hits, kept once a block
     all_hits = found[0]
     for f in found[1:]:
         all_hits = all_hits.union(f)
-    hits = all_hits.where(F.size("spans") > 0).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+    hits = all_hits.where(F.size("spans") > 0).groupBy("doc_id", "th").agg(F.flatten(F.collect_set("spans")).alias("s"), F.flatten(F.collect_set("items")).alias("i"))
     hits = hits.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "s", "i")
     base = found[0].select("doc_id", "th", "n_words")
     joined = base.join(hits, base.doc_id.eqNullSafe(hits.d) & (base.th == hits.t), "left")

@@ -93,3 +93,14 @@ def test_query(spark):
     rows = [tuple(x) for x in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(x) for x in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     assert sorted(map(tuple, op10_fm_decontam(spark, SF).collect()), key=str) == brute(rows, items)
+
+
+def test_equal_rows_in_several_blocks(spark):
+    """Copies of one row send their hits once a block, whatever their number."""
+    from souk.llm import fm_decontam as D
+    words = [f"w{k}" for k in range(40)]
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text)] * 500 + [(2, "nothing here")], "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([(10, " ".join(words[:12])), (11, " ".join(words[20:33]))], "item_id long, text string")
+    got = D.report(D.contamination(docs, items, block_words=12)).groupBy("doc_id", "n_words", "n_hit", "n_items").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 40, 25, 2, 500), (2, 2, 0, 0, 1)]
