@@ -260,6 +260,36 @@ def order_violations(spark: SparkSession, path: str, keys: list[str]) -> DataFra
     return edges.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), wrong.cast("long").alias("n_violations"))
 
 
+BUCKETS = 16  # of both sides of a bucketed join; set it with their size
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """A table whose files are dealt and sorted by key, one file a bucket."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    (df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return spark.table(name)
+
+
+def join_bucketed(rows: DataFrame, dim: DataFrame, key: str, names: tuple[str, str], out_dir: str, buckets: int = BUCKETS) -> DataFrame:
+    """J3 for tables that are joined again and again: rows ⟕ dim on key, both
+    written in buckets of the key, so a join shuffles nothing.
+
+    A bucket can't be split, so a key with more than one ``HOT_PARTS``-th of
+    all rows isn't put in one: its rows stay as they are and meet their row of
+    the dimension by broadcast (there are fewer than ``HOT_PARTS`` such keys).
+    Rows without a key need no meeting.
+    """
+    total = rows.count()
+    hot = [r[0] for r in rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") * gold.HOT_PARTS > total).collect()]
+    apart = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()
+    left = write_bucketed(rows.where(~apart), names[0], f"{out_dir.rstrip('/')}/{names[0]}", key, buckets)
+    right = write_bucketed(dim, names[1], f"{out_dir.rstrip('/')}/{names[1]}", key, buckets)
+    few = F.broadcast(dim.where(F.col(key).isin(hot) if hot else F.lit(False)))
+    return left.join(right.hint("merge"), key, "left").unionByName(rows.where(apart).join(few, key, "left"))
+
+
 def written_copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A Parquet copy of df under the session's shared checkpoint folder, and
     where it is: the caller deletes it when it is done."""

@@ -185,6 +185,15 @@ def q_captured_by_quarter(spark, sf):
     return captured_by_quarter(spark, out)
 
 
+def q_offers_by_recruiter(spark, sf):
+    """Offers per recruiter category, the fact and its company dimension joined bucket by bucket."""
+    jobs = narrow(spark, sf)
+    dim = gold.dim_company(jobs).select("company", "company_id", "recruiter_category")
+    both = pipeline.join_bucketed(jobs.select("url", "company", "description_length"), dim, "company", (f"{OWN}gold.offers_by_company", f"{OWN}gold.company_buckets"), _folder(spark))
+    return both.groupBy("recruiter_category").agg(F.count(F.lit(1)).alias("n_offers"), F.countDistinct("company_id").alias("n_companies"),
+                                                  F.sum("description_length").cast("bigint").alias("sum_length"))
+
+
 def q_silver_merged(spark, sf):
     """M5, W1 over loads: the unified offers, merged load by load (the second has captures before and after the first's)."""
     out, staged = _folder(spark), silver.stage_all(bronze_offers(spark, sf))
@@ -226,7 +235,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for v in gold.VARIANTS:
         out[f"{v}_variants"] = _variants(v)
     out |= {"fct_jobs": q_fct_jobs, "fct_jobs_safe": q_fct_jobs_safe, "fct_jobs_pairs": q_fct_jobs_pairs, "raw_variants": q_raw_variants,
-            "bridge_written_order": q_bridge_written_order, "captured_by_quarter": q_captured_by_quarter, "silver_merged": q_silver_merged, "bridge_job_skill": q_bridge_job_skill,
+            "bridge_written_order": q_bridge_written_order, "captured_by_quarter": q_captured_by_quarter, "silver_merged": q_silver_merged, "offers_by_recruiter": q_offers_by_recruiter, "bridge_job_skill": q_bridge_job_skill,
             "offers_by_region": q_offers_by_region, "offers_by_source": q_offers_by_source, "offers_by_day": q_offers_by_day,
             "offers_by_city_month": q_offers_by_city_month, "skill_demand": q_skill_demand,
             "bronze_appended": q_bronze_appended, "staging_views": q_staging_views, "warehouse_tables": q_warehouse_tables}
@@ -272,6 +281,8 @@ def oracle_queries() -> dict[str, str]:
     out["captured_by_quarter"] = oracle.with_ctes(silver_ctes[:1], f"""SELECT year(scraped_at) || '-Q' || quarter(scraped_at) AS year_quarter, count(*) AS n_rows,
     count(DISTINCT url) AS n_urls FROM bronze WHERE source = 'linkedin' AND scraped_at >= TIMESTAMP '{QUARTER_SINCE}' AND scraped_at < TIMESTAMP '{QUARTER_UNTIL}'
     AND quarter(scraped_at) IN (1, 3) GROUP BY ALL""")
+    out["offers_by_recruiter"] = of("""SELECT recruiter_category, count(*) AS n_offers, count(DISTINCT company_id) AS n_companies,
+    CAST(sum(description_length) AS BIGINT) AS sum_length FROM jobs_unified LEFT JOIN dim_company USING (company) GROUP BY recruiter_category""")
     out["silver_merged"] = oracle.with_ctes(silver_ctes, "SELECT url, source, job_id, scraped_at, description_length FROM jobs_unified")
     out["staging_views"] = oracle.with_ctes(silver_ctes[:2], "SELECT source, count(*) AS n_rows, count(DISTINCT job_id) AS n_jobs FROM staged GROUP BY source")
     tables = ["dim_source", "dim_date", "dim_skill", *DIMENSIONS, "fct_jobs", "bridge_job_skill"]

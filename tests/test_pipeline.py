@@ -330,3 +330,18 @@ def test_merged_loads_equal_one_build(spark, tmp_path):
     touched = {f"url_part={r[0]}" for r in newer.select(F.pmod(F.xxhash64("url"), F.lit(16))).distinct().collect()}
     after = files()
     assert {k for k in after if after[k] != before.get(k)} <= touched and len(touched) < len(after)
+
+
+def test_bucketed_join_shuffles_nothing(spark, tmp_path):
+    rows = spark.range(0, 3000).select("id", F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 7 == 0, F.lit(None))
+                                       .otherwise(F.concat(F.lit("c"), F.col("id") % 400)).alias("company"))
+    dim = spark.range(0, 400).select(F.concat(F.lit("c"), "id").alias("company"), F.col("id").alias("company_id")).unionByName(
+        spark.createDataFrame([("big", 9999)], "company string, company_id long"))
+    joined = pipeline.join_bucketed(rows, dim, "company", ("bucket_test.f", "bucket_test.d"), str(tmp_path), buckets=8)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    # only the dominant company's one row travels, by broadcast
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    want = rows.join(dim, "company", "left")
+    assert joined.count() == 3000 and joined.select(*want.columns).exceptAll(want).count() == 0
+    # the dominant company and rows without one are in no bucket
+    assert spark.table("bucket_test.f").where("company = 'big' OR company IS NULL").count() == 0
