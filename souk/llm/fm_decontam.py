@@ -1,28 +1,30 @@
 """Benchmark decontamination with an FM-index of each training shard.
 
-Method: a shard (one Arrow batch of documents) is a sequence of word symbols;
-its suffix array comes from prefix doubling, its Burrows-Wheeler transform
-goes into a wavelet matrix, and every window of the test items is sought by
-backward search: one rank query a word on each end of the interval, all
-windows of a block of items at once.  Occurrences are located by walking back
-to sampled suffix positions, and the words they cover merge into spans.
-
-The alphabet is the block's vocabulary: a word that no test item has can't be
-inside an occurrence, so it ends a run of text just as a document does, and a
-run shorter than the shortest window is not indexed.  All other words are.
-
-Test items are broadcast in blocks of at most ``block_words`` words, each
-block against all shards, so what is sent has a bound whatever the number of
-items; the blocks' findings are merged by document.
+Method: a shard (rows of one Arrow batch, about ``shard_bytes`` of text) is a
+sequence of word symbols over its own vocabulary.  Its suffix array comes from
+prefix doubling, its Burrows-Wheeler transform goes into a wavelet matrix of
+packed bits, and suffix positions are kept for the first word of a document
+and every ``SAMPLE``-th one.  The index knows nothing of the test items:
+``index_shards`` makes one row a shard, and any block of items searches it.
+Every window is sought by backward search, all windows of a block at once (one
+rank a word on each end of the interval); occurrences are located by walking
+back to sampled positions, and the words they cover merge into spans.
+
+Test items are broadcast in blocks of at most ``block_words`` words (or one
+longer item).  Several blocks search one written copy of the indexes, so texts
+are read and sorted once whatever the number of items; the blocks' findings
+are merged by document.
 
 Defined results: null texts have no words; an item of fewer words than a
-window is one window, of none nothing; equal item ids are one item; equal
-documents get equal rows; an empty table of either kind gives no hits; other
-columns are ignored.
+window is one window, of none nothing; equal item ids are one item; a null
+item id counts as an item without a name (a null in ``items``, counted, not
+in the digest); equal documents get equal rows; an empty table of either kind
+gives no hits; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -36,80 +38,128 @@ from souk.llm import kernel as K
 from souk.llm.common import cut, pick
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
-SAMPLE = 4
+BLOCK_WORDS = 500_000
+SAMPLE = 8
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+class Bits:
+    """Bit sequence in 64-bit words: rank(i) is the number of ones before i."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+
+    @classmethod
+    def of(cls, bits: np.ndarray) -> Bits:
+        packed = np.zeros((len(bits) // 64 + 1) * 8, np.uint8)
+        some = np.packbits(bits, bitorder="little")
+        packed[:len(some)] = some
+        return cls(packed.view("<u8"))
+
+    def rank(self, i: np.ndarray) -> np.ndarray:
+        word = i >> 6
+        below = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.words[word] & below)
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 class Wavelet:
-    """Wavelet matrix of a symbol sequence: rank(c, i) is how often c occurs before i."""
+    """Wavelet matrix of n symbols: one bit sequence a level, from the highest bit down."""
+
+    def __init__(self, levels: list[Bits], n: int):
+        self.levels = [(bit, b, n - int(b.before[-1])) for bit, b in zip(range(len(levels) - 1, -1, -1), levels)]
 
-    def __init__(self, symbols: np.ndarray, sigma: int):
-        self.levels, cur = [], symbols
+    @classmethod
+    def of(cls, symbols: np.ndarray, sigma: int) -> Wavelet:
+        levels, cur = [], symbols
         for bit in range(max(1, int(sigma - 1).bit_length()) - 1, -1, -1):
             ones = (cur >> bit & 1).astype(bool)
-            before = np.concatenate([[0], np.cumsum(ones)])
-            self.levels.append((bit, before, len(cur) - int(before[-1])))
+            levels.append(Bits.of(ones))
             cur = np.concatenate([cur[~ones], cur[ones]])
+        return cls(levels, len(symbols))
 
     def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """How often c occurs before i."""
         lo = np.zeros_like(i)
-        for bit, before, zeros in self.levels:
+        for bit, ones, zeros in self.levels:
             one = (c >> bit & 1).astype(bool)
-            lo = np.where(one, zeros + before[lo], lo - before[lo])
-            i = np.where(one, zeros + before[i], i - before[i])
+            a, b = ones.rank(lo), ones.rank(i)
+            lo, i = np.where(one, zeros + a, lo - a), np.where(one, zeros + b, i - b)
         return i - lo
 
+    def symbol(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol at i, how often it occurs before i)."""
+        lo, c = np.zeros_like(i), np.zeros_like(i)
+        for bit, ones, zeros in self.levels:
+            one = ones.get(i)
+            c |= one.astype(c.dtype) << bit
+            a, b = ones.rank(lo), ones.rank(i)
+            lo, i = np.where(one, zeros + a, lo - a), np.where(one, zeros + b, i - b)
+        return c, i - lo
+
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling."""
-    n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank, step = rank.astype(np.int64), 1
+    """Suffix array by prefix doubling; only suffixes that still share a bucket are sorted again.
+
+    The last symbol occurs once, so that no two suffixes are equal.
+    """
+    n, step = len(symbols), 1
+    order = np.argsort(symbols, kind="stable")
+    head = np.ones(n, bool)
+    head[1:] = symbols[order][1:] != symbols[order][:-1]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    slots = np.arange(n)
     while True:
-        later = np.full(n, -1, np.int64)
-        if step < n:
-            later[:-step] = rank[step:]
-        key = rank * (n + 1) + later + 1
-        order = np.argsort(key, kind="stable")
-        new = np.ones(n, bool)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank[order] = np.cumsum(new) - 1
-        if new.all():
+        alone = head[slots] & np.append(head, True)[slots + 1]
+        slots = slots[~alone]
+        if not len(slots):
             return order
+        suffixes = order[slots]
+        key = rank[suffixes] * n + rank[suffixes + step]
+        by = np.argsort(key)
+        suffixes, key = suffixes[by], key[by]
+        order[slots] = suffixes
+        new = np.ones(len(slots), bool)
+        new[1:] = key[1:] != key[:-1]
+        head[slots] = new
+        rank[suffixes] = np.maximum.accumulate(np.where(new, slots, 0))
         step *= 2
 
 
 class FMIndex:
-    """FM-index of runs of symbols (1..sigma-1); runs are given by their first positions."""
-
-    def __init__(self, symbols: np.ndarray, run_starts: np.ndarray, sigma: int):
-        # each run ends with a terminator of its own, all less than any word, so that order never depends on the next run
-        n, r = len(symbols), len(run_starts)
-        run = np.repeat(np.arange(r), np.diff(np.append(run_starts, n)))
+    """FM-index of documents of symbols 1..sigma-1."""
+
+    def __init__(self, wavelet: Wavelet, first: np.ndarray, marked: Bits, spots: np.ndarray):
+        #: the transform; rows before each symbol's; rows with a sampled position; those positions, by row
+        self.wavelet, self.first, self.marked, self.spots = wavelet, first, marked, spots
+
+    @classmethod
+    def of(cls, symbols: np.ndarray, starts: np.ndarray, sigma: int) -> FMIndex:
+        """Index of the documents that start at ``starts`` (none is empty)."""
+        # each ends with a terminator of its own, all less than any word, so that order never depends on the next document
+        n, r = len(symbols), len(starts)
+        document = np.repeat(np.arange(r), np.diff(np.append(starts, n)))
         text = np.zeros(n + r, np.int64)
-        place = np.arange(n) + run
+        place = np.arange(n) + document
         text[place] = symbols + r
-        ends = np.append(run_starts[1:], n) + np.arange(r)
-        text[ends] = np.arange(r)
-        self.origin = np.full(n + r, -1, np.int64)
-        self.origin[place] = np.arange(n)
-        order = suffix_order(text)
+        text[np.append(starts[1:], n) + np.arange(r)] = np.arange(r)
+        order = suffix_order(text) if n else np.zeros(0, np.int64)
         plain = np.maximum(text - r, 0)
-        last = plain[order - 1]  # the symbol before each suffix
-        self.wavelet = Wavelet(last, sigma)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(plain, minlength=sigma))])
-        # sampled: the first position of each run and every SAMPLE-th word, so that no walk crosses a terminator
-        sampled = np.zeros(n + r, bool)
-        sampled[place[run_starts]] = True
-        sampled[place[::SAMPLE]] = True
-        self.mark = sampled[order]
-        self.position = np.where(self.mark, order, -1)
-        self.last = last
+        # sampled: the first word of each document and every SAMPLE-th, so that no walk crosses a terminator
+        spot = np.full(n + r, -1, np.int64)
+        spot[place[::SAMPLE]] = np.arange(0, n, SAMPLE)
+        spot[place[starts]] = starts
+        spot = spot[order]
+        return cls(Wavelet.of(plain[order - 1], sigma), np.concatenate([[0], np.cumsum(np.bincount(plain, minlength=sigma))]),
+                   Bits.of(spot >= 0), spot[spot >= 0])
 
     def search(self, windows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Interval of suffixes that start with each window (a row, right-aligned, of ``lengths`` symbols)."""
-        lo, hi = np.zeros(len(windows), np.int64), np.full(len(windows), len(self.last), np.int64)
+        lo, hi = np.zeros(len(windows), np.int64), np.full(len(windows), self.first[-1], np.int64)
         for k in range(windows.shape[1]):
             live = np.flatnonzero((lengths > k) & (lo < hi))
             if not len(live):
@@ -120,18 +170,46 @@ class FMIndex:
         return lo, hi
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
-        """Text position of each suffix."""
+        """Position of each suffix among the words."""
         rows, back, out = rows.copy(), np.zeros(len(rows), np.int64), np.empty(len(rows), np.int64)
         todo = np.arange(len(rows))
         while len(todo):
-            done = self.mark[rows[todo]]
+            done = self.marked.get(rows[todo])
             d = todo[done]
-            out[d] = self.position[rows[d]] + back[d]
+            out[d] = self.spots[self.marked.rank(rows[d])] + back[d]
             todo = todo[~done]
-            c = self.last[rows[todo]]
-            rows[todo] = self.first[c] + self.wavelet.rank(c, rows[todo])
+            c, before = self.wavelet.symbol(rows[todo])
+            rows[todo] = self.first[c] + before
             back[todo] += 1
-        return self.origin[out]
+        return out
+
+
+@dataclass(frozen=True)
+class Shard:
+    """The index of a shard's documents, its vocabulary, and where each document's words start (and the total)."""
+
+    vocabulary: np.ndarray  # sorted word identifiers; symbol k + 1 stands for the k-th
+    first: np.ndarray
+    index: FMIndex
+
+    @classmethod
+    def of(cls, raw: np.ndarray, offs: np.ndarray) -> Shard:
+        starts, stops, first = K.word_bounds(raw, offs, K.NOT_ALNUM)
+        vocabulary, symbols = np.unique(K.word_ids(raw, starts, stops), return_inverse=True)
+        return cls(vocabulary, first, FMIndex.of(symbols + 1, np.unique(first[first < len(starts)]), len(vocabulary) + 1))
+
+    def to_bytes(self) -> bytes:
+        out, i = io.BytesIO(), self.index
+        np.savez(out, vocabulary=self.vocabulary, first=self.first.astype(np.int32), levels=np.array([b.words for _, b, _ in i.wavelet.levels]),
+                 counts=np.diff(i.first).astype(np.int32), marked=i.marked.words, spots=i.spots.astype(np.int32))
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> Shard:
+        x = np.load(io.BytesIO(raw))
+        first = np.concatenate([[0], np.cumsum(x["counts"], dtype=np.int64)])
+        wavelet = Wavelet([Bits(w) for w in x["levels"]], int(first[-1]))
+        return cls(x["vocabulary"], x["first"].astype(np.int64), FMIndex(wavelet, first, Bits(x["marked"]), x["spots"].astype(np.int64)))
 
 
 @dataclass(frozen=True)
@@ -139,98 +217,106 @@ class Block:
     """Windows of a bounded number of test items."""
 
     vocabulary: np.ndarray  # sorted word identifiers; symbol k + 1 stands for the k-th
-    windows: np.ndarray  # distinct windows of symbols, right-aligned
+    windows: np.ndarray  # distinct windows of symbols, right-aligned, zeros before
     lengths: np.ndarray
+    names: list[str | None]  # items, sorted, null last
     owners: np.ndarray  # item of each owner entry
     owner_from: np.ndarray  # first owner entry of each window, and the total
 
 
-def _vocabulary_words(texts: list[str]):
-    raw, offs = K.column_bytes(pa.array(texts, pa.string()))
-    starts, stops, first = K.word_bounds(raw := K.LOWER[raw], offs, K.NOT_ALNUM)
-    return K.word_ids(raw, starts, stops), first
-
-
-def make_block(items: list[tuple[str, str]], width: int) -> Block | None:
+def make_block(items: list[tuple[str | None, str | None]], width: int) -> Block | None:
     """Block of (item id, text) pairs; None if no item has a word."""
-    ids, first = _vocabulary_words([t or "" for _, t in items])
-    if not len(ids):
-        return None
-    vocabulary, symbols = np.unique(ids, return_inverse=True)
-    symbols = symbols + 1
-    owners: dict[tuple, set] = {}
-    for k, (item, _) in enumerate(items):
-        s = symbols[first[k]:first[k + 1]].tolist()
-        for at in range(max(1, len(s) - width + 1)) if s else ():
-            owners.setdefault(tuple(s[at:at + width]), set()).add(item)
-    keys = sorted(owners)
-    windows = np.zeros((len(keys), width), np.int64)
-    for k, w in enumerate(keys):
-        windows[k, width - len(w):] = w
-    per = [sorted(owners[w], key=str) for w in keys]
-    return Block(vocabulary, windows, np.array([len(w) for w in keys]), np.array([x for p in per for x in p], object),
-                 np.concatenate([[0], np.cumsum([len(p) for p in per])]))
-
-
-def occurrences(block: Block, raw: np.ndarray, offs: np.ndarray):
-    """(words of each row, (row, first word, last word + 1, window) of every occurrence)."""
+    raw, offs = K.column_bytes(pa.array([t or "" for _, t in items], pa.string()))
+    raw = K.LOWER[raw]
     starts, stops, first = K.word_bounds(raw, offs, K.NOT_ALNUM)
+    if not len(starts):
+        return None
+    vocabulary, symbols = np.unique(K.word_ids(raw, starts, stops), return_inverse=True)
+    symbols = (symbols + 1).astype(np.int32)
+    names = sorted({i for i, _ in items}, key=lambda i: (i is None, i))
+    number = {i: k for k, i in enumerate(names)}
+    n = np.diff(first)
+    each = np.where(n > 0, np.maximum(n - width + 1, 1), 0)  # windows of each item
+    item = np.repeat(np.arange(len(items)), each)
+    begin = first[item] + np.arange(len(item)) - (np.cumsum(each) - each)[item]
+    lengths = np.minimum(n, width)[item]
+    windows = np.zeros((len(item), width), np.int32)
+    for k in range(width):
+        some = lengths >= width - k
+        windows[some, k] = symbols[begin[some] + lengths[some] - width + k]
+    owner = np.array([number[i] for i, _ in items], np.int32)[item]
+    order = np.lexsort((owner, *windows.T))
+    windows, owner, lengths = windows[order], owner[order], lengths[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (windows[1:] != windows[:-1]).any(axis=1)
+    again = np.zeros(len(order), bool)
+    again[1:] = ~new[1:] & (owner[1:] == owner[:-1])
+    return Block(vocabulary, windows[new], lengths[new], names, owner[~again], np.append(np.flatnonzero(new[~again]), (~again).sum()))
+
+
+def occurrences(shard: Shard, block: Block):
+    """(row, first word, last word + 1, window) of every occurrence in the shard's documents."""
     none = np.zeros(0, np.int64)
-    ids = K.word_ids(raw, starts, stops)
-    at = np.minimum(np.searchsorted(block.vocabulary, ids), len(block.vocabulary) - 1)
-    known = block.vocabulary[at] == ids
-    row = K.rows_of(first)
-    begin = known.copy()
-    begin[1:] &= ~known[:-1] | (row[1:] != row[:-1])
-    run = np.cumsum(begin) - 1
-    size = np.bincount(run[known], minlength=int(begin.sum()))
-    keep = known.copy()
-    keep[known] = size[run[known]] >= block.lengths.min()
-    place = np.flatnonzero(keep)
-    if not len(place):
-        return np.diff(first), (none, none, none, none)
-    cut_at = np.ones(len(place), bool)
-    cut_at[1:] = run[place][1:] != run[place][:-1]
-    index = FMIndex(at[place] + 1, np.flatnonzero(cut_at), len(block.vocabulary) + 1)
-    lo, hi = index.search(block.windows, block.lengths)
+    if not len(shard.vocabulary):
+        return none, none, none, none
+    at = np.minimum(np.searchsorted(shard.vocabulary, block.vocabulary), len(shard.vocabulary) - 1)
+    symbol = np.concatenate([[0], np.where(shard.vocabulary[at] == block.vocabulary, at + 1, -1)])
+    windows = symbol[block.windows]
+    there = np.flatnonzero((windows >= 0).all(axis=1))  # a window with a word that the shard lacks doesn't occur
+    lo, hi = shard.index.search(windows[there], block.lengths[there])
     n = np.maximum(hi - lo, 0)
-    window = np.repeat(np.arange(len(n)), n)
-    ends = np.cumsum(n)
-    spot = index.locate(np.repeat(lo, n) + np.arange(int(ends[-1])) - np.repeat(ends - n, n))
-    word = place[spot]
-    r = row[word]
-    s = word - first[r]
-    return np.diff(first), (r, s, s + block.lengths[window], window)
+    window = np.repeat(there, n)
+    word = shard.index.locate(np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum())))
+    row = np.searchsorted(shard.first, word, "right") - 1
+    start = word - shard.first[row]
+    return row, start, start + block.lengths[window], window
 
 
+_INDEX = "doc_id array<{id}>, th array<long>, shard binary"
 _FOUND = "doc_id {id}, th long, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
 
 
-def _seek(shared, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block: Block = shared.value
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+def _index(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text, every = K.column_bytes(batch.column(2))
         for i, j in K.segments(every, size):
-            raw, offs = K.LOWER[text[every[i]:every[j]]], every[i:j + 1] - every[i]
-            n_words, (row, s, e, window) = occurrences(block, raw, offs)
+            shard = Shard.of(K.LOWER[text[every[i]:every[j]]], every[i:j + 1] - every[i])
+            whole = pa.array([0, j - i], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(whole, pa.concat_arrays([batch.column(k).slice(i, j - i)])) for k in (0, 1)]
+                                             + [pa.array([shard.to_bytes()], pa.binary())], names=["doc_id", "th", "shard"])
+
+
+def _seek(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block: Block = shared.value
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        for k in range(batch.num_rows):
+            shard = Shard.from_bytes(batch.column(2)[k].as_py())
+            row, s, e, window = occurrences(shard, block)
             order = np.argsort(row, kind="stable")
-            bounds = np.searchsorted(row[order], np.arange(j - i + 1))
+            bounds = np.searchsorted(row[order], np.arange(len(shard.first)))
             spans, items = [], []
-            for r in range(j - i):
-                o = order[bounds[r]:bounds[r + 1]]
-                if not len(o):
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                if i == j:
                     spans.append([])
                     items.append([])
                     continue
-                a, b = K.merged(s[o], e[o])
-                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a, b)])
-                items.append(sorted({str(block.owners[q]) for w in np.unique(window[o]) for q in range(block.owner_from[w], block.owner_from[w + 1])}))
+                o = order[i:j]
+                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(*K.merged(s[o], e[o]))])
+                own = np.unique(np.concatenate([block.owners[block.owner_from[w]:block.owner_from[w + 1]] for w in np.unique(window[o])]))
+                items.append([block.names[q] for q in own])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n_words, pa.int64()), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))],
+                [batch.column(0)[k].values, batch.column(1)[k].values, pa.array(np.diff(shard.first), pa.int64()), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))],
                 names=["doc_id", "th", "n_words", "spans", "items"])
 
 
+def index_shards(docs: DataFrame, shard_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a shard: its documents' ids and text hashes, and the FM-index of their words (``Shard``)."""
+    d = pick(docs, doc_id=id_col, text=text_col)
+    d = d.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    return d.mapInArrow(partial(_index, shard_bytes), _INDEX.format(id=docs.schema[id_col].dataType.simpleString()))
+
+
 def blocks_of(items: DataFrame, width: int, block_words: int, id_col: str, text_col: str):
     """The items' blocks, one at a time on the driver; each has at most block_words words, or one longer item."""
     text = F.coalesce(items[text_col], F.lit(""))
@@ -263,16 +349,20 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, th, n_words, spans (maximal runs of hit words), items (ids with occurring windows, sorted) of each row."""
     spark = docs.sparkSession
-    d = pick(docs, doc_id=id_col, text=text_col)
-    d = d.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     schema = _FOUND.format(id=docs.schema[id_col].dataType.simpleString())
-    found = [d.mapInArrow(partial(_seek, spark.sparkContext.broadcast(b), shard_bytes), schema) for b in blocks_of(items, width, block_words, item_col, item_text_col)]
-    if not found:
-        n = F.regexp_count(F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(WORDS)).cast("long")
-        return d.select("doc_id", "th", n.alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    index = index_shards(docs, shard_bytes, id_col, text_col)
+    blocks = [spark.sparkContext.broadcast(b) for b in blocks_of(items, width, block_words, item_col, item_text_col)]
+    if not blocks:
+        text = F.coalesce(docs[text_col], F.lit(""))
+        n = F.regexp_count(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(WORDS)).cast("long")
+        return docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("th"), n.alias("n_words"),
+                           F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    if len(blocks) > 1:
+        index = cut(index)
+    found = [index.mapInArrow(partial(_seek, b), schema) for b in blocks]
     if len(found) == 1:
         return found[0]
-    # several blocks: the texts are read once for each, and only hits meet; equal rows have equal hits, kept once a block
+    # several blocks: each searches the written indexes, and only hits meet; equal rows have equal hits, kept once a block
     all_hits = found[0]
     for f in found[1:]:
         all_hits = all_hits.union(f)
