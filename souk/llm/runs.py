@@ -12,9 +12,11 @@ least grams, so:
    settle all their windows at once; a bucket that holds one content only
    has no repeated window beside those;
 2. the runs of the remaining buckets (the edges of repeated passages) go back
-   to their texts, and each of their windows is compared on its own.
+   to their texts, and each of their windows is compared on its own: by its
+   identifier, or, where the task has ``refine``, by the units themselves,
+   which travel with the run.
 
-Both steps are exact for 64-bit identifiers.  Each map task combines equal
+Both steps are exact for distinct identifiers.  Each map task combines equal
 contents before the shuffle, so a passage found in a third of all documents
 sends one record a batch.  A gram with many different contents in one batch
 is marked: its runs skip the first comparison and their windows are dealt out
@@ -48,6 +50,8 @@ FOUND = "doc_id long, th long, size int, found long"
 GRAM_BYTES = 4
 #: Bytes of text whose records are combined and sent together, and whose records meet in one task (about).
 FLUSH, RANGE = 4 << 20, 12 << 20
+#: Units that are refined together (about): whole buckets.
+REFINED = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -62,6 +66,8 @@ class Task:
     gram: int
     #: True: covered if a smaller doc_id has it; False: if it occurs anywhere else
     first_stays: bool
+    #: (one-byte units, window starts) -> number of each window, equal for equal windows; None: identifiers tell windows apart
+    refine: Callable | None = None
 
     def __post_init__(self):
         if not 0 <= self.window - self.gram < 255:
@@ -102,7 +108,7 @@ def judge(first_stays: bool, bucket, content, ident, multi):
 
 
 def runs_of(task: Task, raw: np.ndarray, offs: np.ndarray):
-    """(row, first window, count, bucket, content, window identifiers) of each piece of the rows."""
+    """(row, first window, count, bucket, content, window identifiers, first index in them, units) of each piece of the rows."""
     n = task.window
     for i, j in K.segments(offs, SEGMENT):
         units, first = task.units(raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
@@ -114,7 +120,7 @@ def runs_of(task: Task, raw: np.ndarray, offs: np.ndarray):
             row = np.searchsorted(first, p + at, "right") - 1
             valid = p + at + n <= first[row + 1]
             bucket, whole, lo, cnt = K.shared_runs(grams, windows, valid, n - task.gram + 1)
-            yield row[lo] + i, lo + at - first[row[lo]], cnt, bucket, whole, windows, lo
+            yield row[lo] + i, lo + at - first[row[lo]], cnt, bucket, whole, windows, lo, part
 
 
 def _low_bytes(x: np.ndarray, width: int) -> bytes:
@@ -144,7 +150,7 @@ def _unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, content, per=None) -> pa.RecordBatch:
-    """One row for each part with all its records; ``per`` contents belong to a record if given."""
+    """One row for each part with all its records; ``per`` contents (identifiers or one-byte units) belong to a record if given."""
     order = np.argsort(part * (np.int64(1) << 44) + row * (np.int64(1) << 22) + np.minimum(lo, (1 << 22) - 1), kind="stable")
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     ends = np.cumsum(per) if per is not None else None
@@ -157,7 +163,7 @@ def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, conten
         body = content[m] if per is None else content[np.repeat(ends[m] - per[m], per[m]) + _within(per[m])]
         rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used], sizes[used]),
                      _pack(np.diff(local, prepend=0).astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
-                     _low_bytes(bucket[m] // np.uint64(parts), GRAM_BYTES), _low_bytes(body, 6)))
+                     _low_bytes(bucket[m] // np.uint64(parts), GRAM_BYTES), _pack(body) if body.dtype == np.uint8 else _low_bytes(body, 6)))
     cols = list(zip(*rows)) if rows else [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                       names=[x.split()[0] for x in BLOB.split(", ")])
@@ -169,8 +175,8 @@ def _within(counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def _read(table: pa.Table, windows: bool):
-    """All records of one part; a content for each record, or for each of its windows (0 where none was sent)."""
+def _read(table: pa.Table, windows: bool, refined: bool = False):
+    """All records of one part; a content for each record, or for each of its windows (0 where none was sent), or the units that were sent."""
     out = {k: [] for k in ("id", "th", "size", "lo", "cnt", "flag", "bucket", "content")}
     for r in table.select(["docs", "places", "bucket", "content"]).to_batches():
         for docs, places, bucket, content in zip(*[c.to_pylist() for c in r.columns]):
@@ -180,10 +186,13 @@ def _read(table: pa.Table, windows: bool):
             met = (flag & (COVERED | REQUEST)) == 0
             grams = np.zeros(len(flag), np.uint64)
             grams[met] = _from_bytes(bucket, GRAM_BYTES)
-            if windows:
-                met = np.repeat(met, cnt)
-            whole = np.zeros(len(met), np.uint64)
-            whole[met] = _from_bytes(content, 6)
+            if refined:
+                whole = _unpack(content, "u1")[0]
+            else:
+                if windows:
+                    met = np.repeat(met, cnt)
+                whole = np.zeros(len(met), np.uint64)
+                whole[met] = _from_bytes(content, 6)
             for k, v in (("id", np.cumsum(ids)[at]), ("th", ths[at]), ("size", sizes[at]), ("lo", lo), ("cnt", cnt), ("flag", flag),
                          ("bucket", grams), ("content", whole)):
                 out[k].append(v)
@@ -298,26 +307,29 @@ def _reduce_runs(task: Task):
 
 
 def _map_windows(task: Task, parts: int):
-    """Texts with their open runs -> the identifiers of those runs' windows."""
+    """Texts with their open runs -> the identifiers of those runs' windows, or the runs' units."""
+    more = task.window - 1 if task.refine else 0  # contents of a run beside one a window
+
     def opened(raw, offs, key, kind):
-        for row, first, cnt, b, _, windows, at in runs_of(task, raw, offs):
+        for row, first, cnt, b, _, windows, at, units in runs_of(task, raw, offs):
             mine = row * (1 << 40) + first
             j = np.minimum(np.searchsorted(key, mine), len(key) - 1)
             hit = np.flatnonzero(key[j] == mine)
             if len(hit):
                 c = cnt[hit]
                 ws = windows[np.repeat(at[hit], c) + _within(c)] & np.uint64((1 << 48) - 1)
-                yield row[hit], first[hit], c, b[hit], kind[j[hit]], ws
+                body = units[np.repeat(at[hit], c + more) + _within(c + more)] if task.refine else ws
+                yield row[hit], first[hit], c, b[hit], kind[j[hit]], ws, body
 
-    def send(ids, ths, sizes, row, first, cnt, b, k, ws):
+    def send(ids, ths, sizes, row, first, cnt, b, k, ws, body):
         flag = np.where(k > 2, MULTI, 0).astype(np.uint8)
         heavy = (k == 2) | (k == 4)
-        ends = np.cumsum(cnt)
+        ends, upto = np.cumsum(cnt), np.cumsum(cnt + more)
         light, hv = np.flatnonzero(~heavy), np.flatnonzero(heavy)
         if len(light):
-            n = cnt[light]
+            n, per = cnt[light], cnt[light] + more
             yield _blobs(parts, (b[light] % np.uint64(parts)).astype(np.int64), ids, ths, sizes, row[light], first[light], n,
-                         flag[light], b[light], ws[np.repeat(ends[light] - n, n) + _within(n)], n)
+                         flag[light], b[light], body[np.repeat(~heavy, cnt + more)], per)
         if len(hv):
             n = cnt[hv]
             w = ws[np.repeat(ends[hv] - n, n) + _within(n)]
@@ -329,7 +341,12 @@ def _map_windows(task: Task, parts: int):
             salt = K.pair(bb, w)
             where = np.concatenate([salt[go], K.mix(salt[cov] + r[cov].astype(np.uint64))]) % np.uint64(parts)
             one = np.ones(len(o), np.int64)
-            yield _blobs(parts, where.astype(np.int64), ids, ths, sizes, r[o], f[o], one, code, bb[o], w[o], one)
+            if task.refine:  # only what is compared carries its units
+                begin = (np.repeat(upto[hv] - n - more, n) + _within(n))[go]
+                w, per = np.lib.stride_tricks.sliding_window_view(body, task.window)[begin].ravel(), np.where(np.arange(len(o)) < len(begin), task.window, 0)
+            else:
+                w, per = w[o], one
+            yield _blobs(parts, where.astype(np.int64), ids, ths, sizes, r[o], f[o], one, code, bb[o], w, per)
 
     def run(batches):
         for batch in batches:
@@ -353,10 +370,30 @@ def _map_windows(task: Task, parts: int):
     return run
 
 
+def _numbered(task: Task, rec: dict, n: np.ndarray) -> np.ndarray:
+    """A number for each window of the records, equal for equal windows of one bucket; buckets are refined some at a time."""
+    met = np.flatnonzero((rec["flag"] & (COVERED | REQUEST)) == 0)
+    size, upto = n[met] + task.window - 1, np.cumsum(n) - n
+    begin = np.cumsum(size) - size
+    order = np.argsort(rec["bucket"][met], kind="stable")
+    b = rec["bucket"][met][order]
+    edges = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b)) if len(b) else np.zeros(1, np.int64)
+    out, sizes = np.zeros(int(n.sum()), np.uint64), np.concatenate([[0], np.cumsum(size[order])])
+    for i, j in K.segments(sizes[edges], REFINED):
+        o = order[edges[i]:edges[j]]
+        units = rec["content"][np.repeat(begin[o], size[o]) + _within(size[o])]
+        c = n[met[o]]
+        starts = np.repeat(np.cumsum(size[o]) - size[o], c) + _within(c)
+        out[np.repeat(upto[met[o]], c) + _within(c)] = task.refine(units, starts)
+    return out
+
+
 def _reduce_windows(task: Task):
     def run(table: pa.Table) -> pa.Table:
-        rec = _read(table, True)
+        rec = _read(table, True, task.refine is not None)
         n = rec["cnt"].astype(np.int64)
+        if task.refine:
+            rec["content"] = _numbered(task, rec, n)
         each = {k: np.repeat(rec[k], n) for k in ("id", "th", "size", "flag", "bucket")}
         each["lo"] = np.repeat(rec["lo"].astype(np.int64), n) + _within(n)
         each["cnt"] = np.ones(len(each["lo"]), np.int64)

@@ -1,14 +1,15 @@
 """Suffix dedup: remove every byte of a long string that an earlier document has too.
 
-Method: bucket-pointer refinement.  Suffixes start in buckets of their first
-eight bytes; a bucket is refined by the bucket identifiers at a later offset
-(8, then 16, 32 and 50 bytes deep), and every level reuses the level before.
-On one machine the identifiers are positions in the suffix array; here they
-are 64-bit names made from the two names they join, so that all machines give
-equal strings equal names without a global ranking.  Spark then sorts
-suffixes into buckets by those names (``runs``): by the least 20-byte name in
-a window first, by the name of all that a run covers next, and by the 50-byte
-name where a bucket still holds several strings.
+Method: bucket-pointer refinement.  Suffixes are dealt to machines by the
+least 20-byte string of a window (``runs``), named by a hash that all
+machines agree on, so that no machine needs a global ranking; long repeats
+meet there run by run and are settled.  The suffixes of what is left (the
+edges of repeats) travel as bytes and are sorted where they meet
+(``refined``): buckets of equal first eight bytes, ordered, each suffix with
+a pointer to its bucket; a bucket is refined by sorting its suffixes on the
+pointers of later offsets (8, then 16, then 18 further), the finer pointers
+serve the next level, and a suffix alone in its bucket is never sorted again.
+After 50 bytes, suffixes in one bucket start with the same string.
 
 Defined results: a null text is empty; a text shorter than ``length`` loses
 nothing; rows with equal doc_id don't cover each other; a null doc_id counts
@@ -61,10 +62,39 @@ def _identify(length: int, units: np.ndarray):
     return grams, names
 
 
+def refined(length: int, units: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The bucket, ``length`` bytes deep, of the suffixes at ``starts``: equal for equal strings.
+
+    A bucket's pointer is the place of its first suffix in sorted order.
+    """
+    n, have = len(units), 8
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = units
+    first = np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)
+    order = np.argsort(first)
+    head = np.ones(n, bool)
+    head[1:] = first[order][1:] != first[order][:-1]
+    pointer = np.empty(n, np.int64)
+    pointer[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    slots = np.arange(n)
+    while have < length:
+        depth = min(2 * have, length)
+        slots = slots[~(head[slots] & np.append(head, True)[slots + 1])]
+        suffixes = order[slots]
+        # a suffix that ends before is no window's: where it lies in its bucket doesn't matter
+        key = pointer[suffixes] * n + pointer[np.minimum(suffixes + depth - have, n - 1)]
+        by = np.argsort(key)
+        order[slots], key = suffixes[by], key[by]
+        head[slots] = np.append(True, key[1:] != key[:-1])[:len(key)]
+        pointer[order[slots]] = np.maximum.accumulate(np.where(head[slots], slots, 0))
+        have = depth
+    return pointer[starts].astype(np.uint64)
+
+
 def task(length: int) -> Task:
     if length < GRAM:
         raise ValueError(f"length is at least {GRAM} bytes")
-    return Task(units=_units, identify=partial(_identify, length), window=length, gram=GRAM, first_stays=True)
+    return Task(units=_units, identify=partial(_identify, length), window=length, gram=GRAM, first_stays=True, refine=partial(refined, length))
 
 
 _OUT = "doc_id long, text string, spans array<struct<start:int,end:int>>, kept binary"

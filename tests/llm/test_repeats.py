@@ -114,6 +114,22 @@ def test_long_texts_cross_segments(spark, monkeypatch):
     assert starts == list(range(len(raw) - 49))
 
 
+@pytest.mark.parametrize("length", [20, 32, 50, 77])
+def test_refined_buckets_are_equal_strings(length):
+    import numpy as np
+    r = random.Random(length)
+    text = b"".join(r.choice([b"a" * 70, b"ab", b"abcabcabc" * 9, bytes([r.randrange(256)])]) for _ in range(300))
+    units, starts = np.frombuffer(text, np.uint8), np.arange(len(text) - length + 1)
+    got = suffix_dedup.refined(length, units, starts)
+    strings = [text[p:p + length] for p in starts]
+    places = {}
+    for s, k in zip(strings, got.tolist()):
+        assert places.setdefault(s, k) == k
+    assert len(set(places.values())) == len(places)
+    # pointers are places in sorted order
+    assert [s for _, s in sorted((k, s) for s, k in places.items())] == sorted(places)
+
+
 def colliding(spark):
     """Two texts of different sizes with one 32-bit hash, and no repeated window."""
     from pyspark.sql import functions as F
