@@ -163,7 +163,7 @@ def _blobs(parts: int, part, ids, ths, sizes, row, lo, cnt, flag, bucket, conten
         body = content[m] if per is None else content[np.repeat(ends[m] - per[m], per[m]) + _within(per[m])]
         rows.append((int(k), _pack(np.diff(ids[used], prepend=np.int64(0)), ths[used], sizes[used]),
                      _pack(np.diff(local, prepend=0).astype("<u4"), lo[o].astype("<u4"), cnt[o].astype(np.uint8), flag[o].astype(np.uint8)),
-                     _low_bytes(bucket[m] // np.uint64(parts), GRAM_BYTES), _pack(body) if body.dtype == np.uint8 else _low_bytes(body, 6)))
+                     _low_bytes(bucket[m] // np.uint64(parts), GRAM_BYTES), _pack(body.ravel()) if body.dtype == np.uint8 else _low_bytes(body, 6)))
     cols = list(zip(*rows)) if rows else [()] * 5
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
                                       names=[x.split()[0] for x in BLOB.split(", ")])
@@ -343,10 +343,10 @@ def _map_windows(task: Task, parts: int):
             one = np.ones(len(o), np.int64)
             if task.refine:  # only what is compared carries its units
                 begin = (np.repeat(upto[hv] - n - more, n) + _within(n))[go]
-                w, per = np.lib.stride_tricks.sliding_window_view(body, task.window)[begin].ravel(), np.where(np.arange(len(o)) < len(begin), task.window, 0)
+                w = np.lib.stride_tricks.sliding_window_view(body, task.window)[begin]
             else:
-                w, per = w[o], one
-            yield _blobs(parts, where.astype(np.int64), ids, ths, sizes, r[o], f[o], one, code, bb[o], w, per)
+                w = w[o]
+            yield _blobs(parts, where.astype(np.int64), ids, ths, sizes, r[o], f[o], one, code, bb[o], w)
 
     def run(batches):
         for batch in batches:

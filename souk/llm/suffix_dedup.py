@@ -8,7 +8,7 @@ edges of repeats) travel as bytes and are sorted where they meet
 (``refined``): buckets of equal first eight bytes, ordered, each suffix with
 a pointer to its bucket; a bucket is refined by sorting its suffixes on the
 pointers of later offsets (8, then 16, then 18 further), the finer pointers
-serve the next level, and a suffix alone in its bucket is never sorted again.
+serve the next level, and a suffix alone in its bucket isn't sorted again.
 After 50 bytes, suffixes in one bucket start with the same string.
 
 Defined results: a null text is empty; a text shorter than ``length`` loses
@@ -67,30 +67,44 @@ def refined(length: int, units: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
     A bucket's pointer is the place of its first suffix in sorted order.
     """
-    n, have = len(units), 8
+    n, depths = len(units), [8]
+    while depths[-1] < length:
+        depths.append(min(2 * depths[-1], length))
+    steps = [b - a for a, b in zip(depths, depths[1:])]
+    # what each level sorts: the suffixes of the next one, and those whose pointers refine them
+    levels = [np.zeros(n, bool)]
+    levels[0][starts] = True
+    for step in reversed(steps):
+        later = levels[0].copy()
+        later[step:] |= levels[0][:n - step]
+        levels.insert(0, later)
     padded = np.zeros(n + 8, np.uint8)
     padded[:n] = units
-    first = np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)
-    order = np.argsort(first)
-    head = np.ones(n, bool)
-    head[1:] = first[order][1:] != first[order][:-1]
+    order = np.flatnonzero(levels[0])
+    key = np.ndarray((n,), ">u8", padded, 0, (1,))[order].astype(np.uint64)
+    by = np.argsort(key)
+    order, key = order[by], key[by]
     pointer = np.empty(n, np.int64)
-    pointer[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    slots = np.arange(n)
-    while have < length:
-        depth = min(2 * have, length)
-        slots = slots[~(head[slots] & np.append(head, True)[slots + 1])]
+    pointer[order] = _places(np.append(True, key[1:] != key[:-1]))
+    for step, level in zip(steps, levels[1:]):
+        order = order[level[order]]
+        bucket = pointer[order]
+        head = np.append(True, bucket[1:] != bucket[:-1])
+        slots = np.flatnonzero(~(head & np.append(head[1:], True)))
         suffixes = order[slots]
-        # a suffix that ends before is no window's: where it lies in its bucket doesn't matter
-        key = pointer[suffixes] * n + pointer[np.minimum(suffixes + depth - have, n - 1)]
+        key = bucket[slots] * n + pointer[suffixes + step]
         by = np.argsort(key)
         order[slots], key = suffixes[by], key[by]
         head[slots] = np.append(True, key[1:] != key[:-1])[:len(key)]
-        pointer[order[slots]] = np.maximum.accumulate(np.where(head[slots], slots, 0))
-        have = depth
+        pointer[order] = _places(head)
     return pointer[starts].astype(np.uint64)
 
 
+def _places(head: np.ndarray) -> np.ndarray:
+    """For each suffix in sorted order the place where its bucket starts."""
+    return np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+
+
 def task(length: int) -> Task:
     if length < GRAM:
         raise ValueError(f"length is at least {GRAM} bytes")
