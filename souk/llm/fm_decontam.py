@@ -40,6 +40,8 @@ from souk.llm.common import cut, pick
 WINDOW = 10
 BLOCK_WORDS = 500_000
 SAMPLE = 8
+#: Bytes of text in a shard (or one longer document); making its index takes some 20 times that.
+SHARD = 4 << 20
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -310,7 +312,7 @@ def _seek(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["doc_id", "th", "n_words", "spans", "items"])
 
 
-def index_shards(docs: DataFrame, shard_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def index_shards(docs: DataFrame, shard_bytes: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a shard: its documents' ids and text hashes, and the FM-index of their words (``Shard``)."""
     d = pick(docs, doc_id=id_col, text=text_col)
     d = d.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
@@ -345,7 +347,7 @@ def _merged(spans: Column) -> Column:
     return F.when(F.size(spans) == 0, F.array().cast(kind)).otherwise(F.aggregate(F.sort_array(spans), F.array().cast(kind), step))
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = 16 << 20,
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, th, n_words, spans (maximal runs of hit words), items (ids with occurring windows, sorted) of each row."""
     spark = docs.sparkSession
