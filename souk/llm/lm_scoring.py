@@ -47,6 +47,8 @@ PAIR_MASK = U((1 << PAIR_BITS) - 1)
 BITS_PER_ENTRY, PROBES = 24, 5
 BROADCAST_BYTES = 256 << 20
 FLUSH = 16 << 20
+#: Bytes of text, and pairs, that are worked on at a time: what a task holds besides its results is some MB.
+PIECE, BLOCK = 2 << 20, 1 << 17
 #: Bytes of text that are scored in one task, about.
 SLOT = 128 << 20
 
@@ -74,32 +76,61 @@ def _unfive(raw: bytes) -> np.ndarray:
 
 def tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token identifiers (words, then one end for each row) and the index of each row's first (and the total)."""
-    raw = K.LOWER[raw]
-    starts, stops, first = K.word_bounds(raw, offs, K.BLANK)
-    out = np.full(len(starts) + len(offs) - 1, END, U)
-    rows = np.arange(len(offs))
-    out[np.arange(len(starts)) + K.rows_of(first)] = K.word_ids(raw, starts, stops)
-    return out, first + rows
+    ids, firsts, n = [np.zeros(0, U)], [], 0
+    for i, j in K.segments(offs, PIECE):
+        part = K.LOWER[raw[offs[i]:offs[j]]]
+        starts, stops, first = K.word_bounds(part, offs[i:j + 1] - offs[i], K.BLANK)
+        out = np.full(len(starts) + j - i, END, U)
+        out[np.arange(len(starts)) + K.rows_of(first)] = K.word_ids(part, starts, stops)
+        ids.append(out)
+        firsts.append(first[:-1] + np.arange(j - i) + n)
+        n += len(out)
+    return np.concatenate(ids), np.concatenate([*firsts, [n]]).astype(np.int64)
+
+
+def blocks(n: int) -> Iterator[slice]:
+    return (slice(a, a + BLOCK) for a in range(0, n, BLOCK))
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and their counts; sorts x itself."""
+    x.sort()
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    at = np.flatnonzero(new)
+    return x[at], np.diff(at, append=len(x))
 
 
 class Vocabulary:
     """Distinct tokens of some rows, by hash range, and their distinct pairs."""
 
     def __init__(self, ids: np.ndarray, parts: int):
-        u, inv = np.unique(ids, return_inverse=True)
+        by = np.argsort(ids)
+        new, ids = np.ones(len(ids), bool), ids[by]
+        np.not_equal(ids[1:], ids[:-1], out=new[1:])
+        u = ids[new]
+        del ids
         part = (u % U(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        place = np.empty(len(u), np.int64)
+        place = np.empty(len(u), np.int32)  # fewer than 2 ** 31 tokens fit an Arrow array
         place[order] = np.arange(len(u))
-        self.ids, self.index = u[order], place[inv]
+        self.ids, self.index = u[order], np.empty(len(by), np.int32)
+        self.index[by] = np.repeat(place, np.diff(np.flatnonzero(new), append=len(new)))
         self.bounds = np.searchsorted(part[order], np.arange(parts + 1))
         end = place[np.searchsorted(u, END)] if len(u) else 0
-        self.before = np.concatenate([[end], self.index[:-1]]) if len(ids) else self.index  # every row ends with END
+        self.before = self.index.copy()  # every row ends with END
+        self.before[:1], self.before[1:] = end, self.index[:-1]
+
+    def keys(self) -> np.ndarray:
+        """context << 40 | pair of each token."""
+        out = np.empty(len(self.index), U)
+        for b in blocks(len(out)):
+            out[b] = self.before[b].astype(U) << U(PAIR_BITS) | K.pair(self.ids[self.before[b]], self.ids[self.index[b]]) & PAIR_MASK
+        return out
 
-    def pairs(self):
-        """(distinct context << 40 | pair, inverse, counts); sorted, so by range too."""
-        low = K.pair(self.ids[self.before], self.ids[self.index]) & PAIR_MASK
-        return np.unique(self.before.astype(U) << U(PAIR_BITS) | low, return_inverse=True, return_counts=True)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys and their counts; sorted, so by range too."""
+        return _distinct(self.keys())
 
 
 COUNTS = "part int, ids binary, counts binary, n_pairs binary, pairs binary, pair_counts binary"
@@ -110,10 +141,9 @@ def _count(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     for batch in batches:
         text, every = K.column_bytes(batch.column(0))
         for i, j in K.segments(every, FLUSH):
-            ids, _ = tokens(text[every[i]:every[j]], every[i:j + 1] - every[i])
-            v = Vocabulary(ids, parts)
+            v = Vocabulary(tokens(text[every[i]:every[j]], every[i:j + 1] - every[i])[0], parts)
             n = np.bincount(v.index, minlength=len(v.ids))
-            key, _, kn = v.pairs()
+            key, kn = v.pairs()
             head = (key >> U(PAIR_BITS)).astype(np.int64)
             per = np.bincount(head, minlength=len(v.ids))
             cut_at = np.searchsorted(head, v.bounds)
@@ -137,20 +167,23 @@ def build_filter(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The filter's 64-bit words, for pairs with their levels (>= 1): an entry sets PROBES bits of one word."""
     words = np.zeros(max(1, int(levels.sum()) * BITS_PER_ENTRY // 64), U)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        at, mask = _places(keys[levels >= level], level, U(len(words)))
-        np.bitwise_or.at(words, at, mask)
+        for b in blocks(len(keys)):
+            at, mask = _places(keys[b][levels[b] >= level], level, U(len(words)))
+            np.bitwise_or.at(words, at, mask)
     return words
 
 
 def probe(words: np.ndarray, keys: np.ndarray, n_words, start) -> np.ndarray:
     """Level of each pair: levels are probed upwards until one is missing."""
-    out, live, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
+    out = np.zeros(len(keys), np.int64)
     n_words, start = np.broadcast_to(n_words, keys.shape), np.broadcast_to(start, keys.shape)
-    while len(live):
-        at, mask = _places(keys[live], level, n_words[live])
-        live = live[words[start[live] + at] & mask == mask]
-        out[live] = level
-        level += 1
+    for b in blocks(len(keys)):
+        level, live = 1, np.arange(b.start, min(b.stop, len(keys)))
+        while len(live):
+            at, mask = _places(keys[live], level, n_words[live])
+            live = live[words[start[live] + at] & mask == mask]
+            out[live] = level
+            level += 1
     return out
 
 
@@ -235,30 +268,37 @@ SCORES = "n_tokens long, n_known long, base_score double, score double"
 
 
 def _score(parts: int, n: int, v: int, shared, table: pa.Table, answers: pa.Table) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # what earlier stages left to this process; the filter takes its place
     text, offs = K.column_bytes(table.column("text"))
     ids, first = tokens(text, offs)
     voc = Vocabulary(ids, parts)
+    del ids, text
     got = sorted(answers.to_pylist(), key=lambda r: r["part"])
     counts, sums = (np.concatenate([_unzip(r[k]) for r in got]) for k in ("counts", "sums"))
-    c, ch, sh = counts[voc.index].astype(float), counts[voc.before].astype(float), sums[voc.before].astype(float)
-    p1 = (c + 1) / (n + 1.0 * (v + 1))
-    heads = voc.ids[voc.before]
+    asked = None
     if shared is None:
-        _, inv, _ = voc.pairs()
-        level = np.concatenate([_unzip(r["levels"]) for r in got])[inv]
-    else:
-        words, n_words, start = shared.value
-        part = (heads % U(parts)).astype(np.int64)
-        keys = K.pair(heads, K.pair(heads, voc.ids[voc.index]) & PAIR_MASK)
-        level = np.zeros(len(keys), np.int64)
-        there = np.flatnonzero(sh > 0)  # other contexts have no pair in the filter
-        level[there] = probe(words, keys[there], n_words[part[there]], start[part[there]])
-    q = np.minimum(np.where(level > 0, np.exp2(level - 1), 0.0), sh)
-    p = (q + np.maximum(ch - sh + 1, 1) * p1) / (ch + 1)
-    at = first[:-1]
+        asked = np.concatenate([_unzip(r["levels"]) for r in got])[np.unique(voc.keys(), return_inverse=True)[1]]
+    known, base, total = np.empty(len(offs) - 1, np.int64), np.empty(len(offs) - 1), np.empty(len(offs) - 1)
+    for i, j in K.segments(first, BLOCK):
+        word, head = voc.index[first[i]:first[j]], voc.before[first[i]:first[j]]
+        c, ch, sh = counts[word].astype(float), counts[head].astype(float), sums[head].astype(float)
+        p1 = (c + 1) / (n + 1.0 * (v + 1))
+        if shared is None:
+            level = asked[first[i]:first[j]]
+        else:
+            words, n_words, start = shared.value
+            level = np.zeros(len(word), np.int64)
+            there = np.flatnonzero(sh > 0)  # other contexts have no pair in the filter
+            h = voc.ids[head[there]]
+            part = (h % U(parts)).astype(np.int64)
+            level[there] = probe(words, K.pair(h, K.pair(h, voc.ids[word[there]]) & PAIR_MASK), n_words[part], start[part])
+        q = np.minimum(np.where(level > 0, np.exp2(level - 1), 0.0), sh)
+        p = (q + np.maximum(ch - sh + 1, 1) * p1) / (ch + 1)
+        at = first[i:j] - first[i]
+        known[i:j] = np.add.reduceat((c > 0).astype(np.int64), at)
+        base[i:j], total[i:j] = np.add.reduceat(np.log10(p1), at), np.add.reduceat(np.log10(p), at)
     return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "n_tokens": np.diff(first),
-                     "n_known": np.add.reduceat((c > 0).astype(np.int64), at), "base_score": np.add.reduceat(np.log10(p1), at),
-                     "score": np.add.reduceat(np.log10(p), at)})
+                     "n_known": known, "base_score": base, "score": total})
 
 
 def score(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -87,3 +87,34 @@ def test_pairs_seen_once_count(spark, limit):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in L.score(df, df.doc_id < 4, broadcast_bytes=limit).collect()}
     assert got[4] > got[5] + 0.1
+
+
+def test_pieces_and_blocks_change_nothing(monkeypatch):
+    import pyarrow as pa
+    from souk.llm import kernel as K
+    text, offs = K.column_bytes(pa.array([t for _, t in fixture()]))
+    ids, first = L.tokens(text, offs)
+    keys, levels = L.Vocabulary(ids, 5).pairs()
+    words = L.build_filter(keys, levels)
+    found = L.probe(words, keys, np.uint64(len(words)), 0)
+    monkeypatch.setattr(L, "PIECE", 50)
+    monkeypatch.setattr(L, "BLOCK", 7)
+    again, at = L.tokens(text, offs)
+    assert (again == ids).all() and (at == first).all() and len(first) == len(fixture()) + 1
+    k, n = L.Vocabulary(again, 5).pairs()
+    assert (k == keys).all() and (n == levels).all() and n.sum() == len(ids) and (np.diff(k.astype(object)) > 0).all()
+    assert (L.build_filter(keys, levels) == words).all() and (L.probe(words, keys, np.uint64(len(words)), 0) == found).all()
+    empty, zero = L.tokens(text[:0], offs[:1])
+    assert len(empty) == 0 and list(zero) == [0]
+
+
+def test_counting_holds_little_besides_its_results():
+    import tracemalloc
+    import pyarrow as pa
+    r = random.Random(2)
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{r.randrange(50_000)}" for _ in range(2000)) for _ in range(500)])], names=["text"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in L._count(3, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 3 and peak < 75 * 1_000_000, peak  # bytes a token
