@@ -15,7 +15,8 @@ unigrams, so probabilities sum to one but for false positives of the filter.
 Exact word counts c and s are no broadcast data, as vocabularies grow with the
 corpus.  Documents are dealt into slots; a slot asks each hash range of words
 for the counts of its distinct words, and the answers come back to the slot.
-The filter has a shard for each range, sized by the range's pairs.  If all
+The filter has a shard for each range, sized by the range's pairs; shards stay
+compressed, also in the broadcast, and a task opens one at a time.  If all
 shards together are over ``broadcast_bytes``, probes travel the same way: the
 slot sends its distinct pairs and the range that holds the shard probes it.
 
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm import kernel as K
-from souk.llm.common import crc_mod, cut, partitions, pick, ranges
+from souk.llm.common import crc_mod, cut, give_back, partitions, pick, ranges
 
 U = np.uint64
 END = U(0x5851F42D4C957F2D)
@@ -64,6 +65,15 @@ def _unzip(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(a.reshape(8, -1).T).view("<i8").ravel()
 
 
+def _pack(words: np.ndarray) -> bytes:
+    """A shard of the filter, compressed: about a fifth of its bits are set, so a third of its bytes go."""
+    return zstandard.ZstdCompressor(level=1).compress(words.astype("<u8").tobytes())
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<u8")
+
+
 def _five(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
@@ -139,6 +149,7 @@ COUNTS = "part int, ids binary, counts binary, n_pairs binary, pairs binary, pai
 def _count(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training texts -> counts of each flush's distinct tokens and pairs, a row for each hash range."""
     for batch in batches:
+        give_back()
         text, every = K.column_bytes(batch.column(0))
         for i, j in K.segments(every, FLUSH):
             v = Vocabulary(tokens(text[every[i]:every[j]], every[i:j + 1] - every[i])[0], parts)
@@ -192,6 +203,7 @@ MODEL = "part int, n long, v long, ids binary, counts binary, sums binary, filte
 
 def _model(table: pa.Table) -> pa.Table:
     """All counts of one hash range -> its words' counts and sums, and its filter shard."""
+    give_back()
     rows = table.to_pylist()
     ids = np.concatenate([np.frombuffer(r["ids"], "<u8") for r in rows]).astype(U)
     u, inv = np.unique(ids, return_inverse=True)
@@ -211,7 +223,7 @@ def _model(table: pa.Table) -> pa.Table:
     words = build_filter(K.pair(u[head], key & PAIR_MASK), level)
     return pa.table({"part": pa.array([rows[0]["part"]], pa.int32()), "n": [int(counts.sum())], "v": [len(u)], "ids": pa.array([u.tobytes()], pa.binary()),
                      "counts": pa.array([_zip(counts)], pa.binary()), "sums": pa.array([_zip(sums)], pa.binary()),
-                     "filter": pa.array([words.tobytes()], pa.binary()), "n_words": [len(words)]})
+                     "filter": pa.array([_pack(words)], pa.binary()), "n_words": [len(words)]})
 
 
 def train(docs: DataFrame, is_training: Column | None = None, text_col: str = "text") -> DataFrame:
@@ -226,6 +238,7 @@ ANSWER = "slot int, part int, counts binary, sums binary, levels binary"
 
 
 def _ask(parts: int, with_pairs: bool, table: pa.Table) -> pa.Table:
+    give_back()
     text, offs = K.column_bytes(table.column("text"))
     v = Vocabulary(tokens(text, offs)[0], parts)
     key = v.pairs()[0] if with_pairs else np.zeros(0, U)
@@ -241,12 +254,13 @@ def _ask(parts: int, with_pairs: bool, table: pa.Table) -> pa.Table:
 
 
 def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+    give_back()
     known = model.to_pylist()
     ids, counts, sums, words = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), None
     if known:
         m = known[0]
         ids, counts, sums = np.frombuffer(m["ids"], "<u8").astype(U), _unzip(m["counts"]), _unzip(m["sums"])
-        words = np.frombuffer(m["filter"], "<u8")
+        words = _unpack(m["filter"]) if m["filter"] else None
     out = []
     for r in asked.to_pylist():
         u = np.frombuffer(r["ids"], "<u8").astype(U)
@@ -267,31 +281,43 @@ def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
 SCORES = "n_tokens long, n_known long, base_score double, score double"
 
 
+def _levels(shards: list, voc: Vocabulary, sums: np.ndarray) -> np.ndarray:
+    """Level of each token's pair, shard by shard: only one is open at a time."""
+    out = np.zeros(len(voc.index), np.int8)
+    of = np.repeat(np.arange(len(shards), dtype=np.min_scalar_type(len(shards))), np.diff(voc.bounds))
+    there = np.flatnonzero(sums[voc.before] > 0)  # other contexts have no pair in the filter
+    part = of[voc.before[there]]
+    at = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=len(shards)))])
+    there = there[np.argsort(part, kind="stable")]
+    for shard, a, b in zip(shards, at, at[1:]):
+        if a == b:
+            continue
+        words = _unpack(shard)
+        for piece in blocks(b - a):
+            t = there[a:b][piece]
+            h = voc.ids[voc.before[t]]
+            out[t] = probe(words, K.pair(h, K.pair(h, voc.ids[voc.index[t]]) & PAIR_MASK), U(len(words)), 0)
+    return out
+
+
 def _score(parts: int, n: int, v: int, shared, table: pa.Table, answers: pa.Table) -> pa.Table:
-    pa.default_memory_pool().release_unused()  # what earlier stages left to this process; the filter takes its place
+    give_back()
     text, offs = K.column_bytes(table.column("text"))
     ids, first = tokens(text, offs)
     voc = Vocabulary(ids, parts)
     del ids, text
     got = sorted(answers.to_pylist(), key=lambda r: r["part"])
     counts, sums = (np.concatenate([_unzip(r[k]) for r in got]) for k in ("counts", "sums"))
-    asked = None
     if shared is None:
-        asked = np.concatenate([_unzip(r["levels"]) for r in got])[np.unique(voc.keys(), return_inverse=True)[1]]
+        levels = np.concatenate([_unzip(r["levels"]) for r in got])[np.unique(voc.keys(), return_inverse=True)[1]]
+    else:
+        levels = _levels(shared.value, voc, sums)
     known, base, total = np.empty(len(offs) - 1, np.int64), np.empty(len(offs) - 1), np.empty(len(offs) - 1)
     for i, j in K.segments(first, BLOCK):
         word, head = voc.index[first[i]:first[j]], voc.before[first[i]:first[j]]
         c, ch, sh = counts[word].astype(float), counts[head].astype(float), sums[head].astype(float)
         p1 = (c + 1) / (n + 1.0 * (v + 1))
-        if shared is None:
-            level = asked[first[i]:first[j]]
-        else:
-            words, n_words, start = shared.value
-            level = np.zeros(len(word), np.int64)
-            there = np.flatnonzero(sh > 0)  # other contexts have no pair in the filter
-            h = voc.ids[head[there]]
-            part = (h % U(parts)).astype(np.int64)
-            level[there] = probe(words, K.pair(h, K.pair(h, voc.ids[word[there]]) & PAIR_MASK), n_words[part], start[part])
+        level = levels[first[i]:first[j]].astype(np.int64)
         q = np.minimum(np.where(level > 0, np.exp2(level - 1), 0.0), sh)
         p = (q + np.maximum(ch - sh + 1, 1) * p1) / (ch + 1)
         at = first[i:j] - first[i]
@@ -306,17 +332,13 @@ def score(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST
     spark, parts = docs.sparkSession, partitions(docs.sparkSession)
     model = train(docs, is_training, text_col)
     size = model.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"),
-                     F.coalesce(F.sum(F.octet_length("filter").cast("long")), F.lit(0)).alias("b")).first()
+                     F.coalesce(F.sum(F.col("n_words") * 8), F.lit(0)).alias("b")).first()
     shared = None
     if size["b"] <= broadcast_bytes:
-        # one array, filled shard by shard: the driver holds the filter once
-        n_words, start, at = np.ones(parts, U), np.zeros(parts, np.int64), 1
-        words = np.zeros(1 + size["b"] // 8, U)
-        for r in model.select("part", "n_words", "filter").toLocalIterator():
-            n_words[r["part"]], start[r["part"]] = r["n_words"], at
-            words[at:at + r["n_words"]] = np.frombuffer(r["filter"], "<u8")
-            at += r["n_words"]
-        shared = spark.sparkContext.broadcast((words, n_words, start))
+        shards = [None] * parts
+        for r in model.select("part", "filter").toLocalIterator():
+            shards[r["part"]] = bytes(r["filter"])
+        shared = spark.sparkContext.broadcast(shards)
     slots = max(3 * parts, ranges(docs, text_col, SLOT))
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.withColumn("__held", ~is_training)

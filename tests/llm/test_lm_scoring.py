@@ -118,3 +118,53 @@ def test_counting_holds_little_besides_its_results():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == 3 and peak < 75 * 1_000_000, peak  # bytes a token
+
+
+def test_filter_stays_packed_and_is_opened_by_shard():
+    import tracemalloc
+    from collections import defaultdict
+    import pyarrow as pa
+    from souk.llm import kernel as K
+    r, parts = random.Random(4), 16
+    texts = pa.array([" ".join(f"w{r.randrange(3000)}" for _ in range(1000)) for _ in range(400)])
+    rows = defaultdict(list)
+    for b in L._count(parts, iter([pa.RecordBatch.from_arrays([texts], names=["text"])])):
+        for x in b.to_pylist():
+            rows[x["part"]].append(x)
+    models = {p: L._model(pa.Table.from_pylist(x)).to_pylist()[0] for p, x in rows.items()}
+    size = sum(m["n_words"] * 8 for m in models.values())
+    shards = [models[p]["filter"] for p in range(parts)]
+    assert sum(map(len, shards)) < 0.75 * size
+    text, offs = K.column_bytes(texts)
+    voc = L.Vocabulary(L.tokens(text[:offs[20]], offs[:21])[0], parts)
+    sums = np.concatenate([L._unzip(models[p]["sums"])[np.isin(np.frombuffer(models[p]["ids"], "<u8"), voc.ids[a:b])]
+                           for p, (a, b) in enumerate(zip(voc.bounds, voc.bounds[1:]))])
+    tracemalloc.start()
+    found = L._levels(shards, voc, sums)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < size / 2, (peak, size)
+    every = L.Vocabulary(L.tokens(text, offs)[0], parts)
+    exact = dict(zip(*(x.tolist() for x in every.pairs())))
+    place = {w: k for k, w in enumerate(every.ids.tolist())}
+    head = np.array([place[w] for w in voc.ids.tolist()], np.uint64)[voc.before] << np.uint64(L.PAIR_BITS)
+    key = head | K.pair(voc.ids[voc.before], voc.ids[voc.index]) & L.PAIR_MASK
+    want = np.array([exact[k].bit_length() for k in key.tolist()])
+    assert (found >= want).all() and (found == want).mean() > 0.99
+    none = L._levels([None] * parts, voc, np.zeros_like(sums))
+    assert len(none) == len(found) and not none.any()
+
+
+def test_freed_memory_is_given_back():
+    import ctypes
+    import re
+    from souk.llm.common import give_back
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("glibc only")
+    used = lambda: int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1]) // 1024
+    held = [bytes(bytearray(b"x" * 90_000)) for _ in range(3000)]
+    last = held[-1]  # on top of the heap: without a trim nothing below goes
+    del held
+    before = used()
+    give_back()
+    assert used() < before - 150 and len(last) == 90_000
